@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every report of the reference is a batch SELECT with no event-time window,
+watermark or state, so no streaming operator is part of this library.  A
+caller that wants reports over a stream can run any report function inside
+``foreachBatch`` on the micro-batch tables.
+"""
