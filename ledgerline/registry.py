@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline import oracle as _o  # noqa: F401
+from ledgerline.oracle import gl as o_gl
 from ledgerline.oracle import products as o_products
 from ledgerline.oracle.base import Q
 from ledgerline.params import FIXTURE_PARAMS, Params
-from ledgerline.plans import products
+from ledgerline.plans import gl, products
 from ledgerline.plans.variant import MT, ST, Variant
 from ledgerline.sources.tables import Tables
 
@@ -23,6 +24,7 @@ def _both(mt_key: str, st_key: str, plan: Callable, oracle: Callable | None) ->
     _REPORTS[st_key] = (plan, oracle, ST)
 
 
+_both("mt_gl_accounts_general", "st_gl_accounts_general", gl.gl_accounts_general, o_gl.gl_accounts_general)
 _both("mt_account_transactions", "st_accounts_transactions", products.account_transactions,
       o_products.account_transactions)
 
