@@ -76,3 +76,23 @@ def yes_no(cond: Column) -> Column:
 def gl_account_canon(x) -> Column:
     """Trim, strip leading zeros (an all-zero text becomes ''), null -> '0'."""
     return F.coalesce(F.regexp_replace(F.trim(col(x)), r"^0+", ""), F.lit("0"))
+
+
+def period_columns(month: Column, prefix: str = "entry_") -> list[Column]:
+    """Year, month, quarter (int) and 'yyyy-MM' of a month-start date."""
+    return [F.year(month).alias(f"{prefix}year"), F.month(month).alias(f"{prefix}month"),
+            F.quarter(month).alias(f"{prefix}quarter"), F.date_format(month, "yyyy-MM").alias("yearMonth")]
+
+
+def accrual_alert(paid: Column, accrued: Column, variance: Column, paid_scale: Column) -> Column:
+    """PAID_WITHOUT_ACCRUAL, ACCRUED_NOT_PAID, SIGNIFICANT_VARIANCE (over 5 % of
+    ``paid_scale``), else NORMAL, first match wins."""
+    return (F.when((paid > 0) & (accrued == 0), "PAID_WITHOUT_ACCRUAL")
+            .when((paid == 0) & (accrued > 0), "ACCRUED_NOT_PAID")
+            .when(F.abs(variance) > paid_scale * F.lit(0.05), "SIGNIFICANT_VARIANCE")
+            .otherwise("NORMAL"))
+
+
+def accrual_ratio_pct(paid: Column, accrued: Column) -> Column:
+    """Paid / accrued x 100, 2 decimals, only when accrued > 0 (double)."""
+    return F.when(accrued > 0, F.round(paid.cast("double") / accrued.cast("double") * 100, 2))

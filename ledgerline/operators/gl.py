@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.common import MONEY_SUM
+from ledgerline.functions.common import MONEY_SUM, col
 
 
 def monthly_gl_activity(gl_history: DataFrame, keys: list[str]) -> DataFrame:
@@ -32,3 +32,53 @@ def running_balance(df: DataFrame, keys: list[str], order: str, value: str,
     run = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast(MONEY_SUM)
     df = df.withColumn(out, run)
     return df.withColumn(change, (F.col(out) - F.lag(out, 1).over(w)).cast(MONEY_SUM))
+
+
+def accrual_monthly(account_types: DataFrame, gl_history: DataFrame, category: str, mt: bool,
+                    paid_abs: bool) -> DataFrame:
+    """O5 (aggregation half): per tenant and month, paid and accrued GL activity
+    of one product category.
+
+    Paid lines post to the category's ``div_int_acct`` GL numbers, accrued
+    lines to its ``accrual_acct`` numbers.  Each posted line is tagged with its
+    role(s) by one join to the small distinct (tenant, GL number, role) set,
+    so the journal is scanned once.  Distinct batch counts come from a first
+    aggregate per (month, role, batch) and a second per month, instead of an
+    Expand per distinct aggregate; both stages combine map-side.
+
+    MT: codes and GL numbers are canonicalized (upper/trim, leading zeros),
+    a null status counts as posted.  ST: the binding normalized codes, the
+    GL numbers are compared as they are, status 'D' (and null) is dropped.
+    """
+    from ledgerline.functions.gl import gl_account_canon
+
+    k = ["credit_union"] if mt else []
+    cat = F.upper(F.trim("category")) if mt else F.col("category")
+    at = account_types.filter(cat == category)
+    canon = gl_account_canon if mt else col
+    roles = (at.filter(F.col("div_int_acct").isNotNull())
+             .select(*k, canon("div_int_acct").alias("_gl"), F.lit("paid").alias("_role"))
+             .unionByName(at.filter(F.col("accrual_acct").isNotNull())
+                          .select(*k, canon("accrual_acct").alias("_gl"), F.lit("accrued").alias("_role")))
+             .distinct())
+    posted = (F.upper(F.trim(F.coalesce(F.col("status"), F.lit("P")))) == "P") if mt else (F.col("status") != "D")
+    lines = (gl_history.filter(posted)
+             .select(*k, canon(F.col("gl_account_number").cast("string")).alias("_gl"), "effective_date",
+                     "amount", "batch_number")
+             .join(roles, k + ["_gl"], "inner"))
+    amt = F.when((F.col("_role") == "paid") & F.lit(paid_abs), F.abs("amount")).otherwise(F.col("amount"))
+    per_batch = (lines.withColumn("_m", F.trunc("effective_date", "month"))
+                 .groupBy(*k, "_m", "_role", "batch_number")
+                 .agg(F.sum(amt).alias("_s"), F.count(F.lit(1)).alias("_n"),
+                      F.min("effective_date").alias("_lo"), F.max("effective_date").alias("_hi")))
+
+    def side(role: str, name: str) -> list:
+        r = F.col("_role") == role
+        return [F.max(r).alias(f"has_{name}"),
+                F.sum(F.when(r, F.col("_s"))).cast(MONEY_SUM).alias(f"{name}_sum"),
+                F.count(F.when(r, F.col("batch_number"))).alias(f"{name}_batches"),
+                F.sum(F.when(r, F.col("_n"))).alias(f"{name}_lines"),
+                F.min(F.when(r, F.col("_lo"))).alias(f"{name}_earliest"),
+                F.max(F.when(r, F.col("_hi"))).alias(f"{name}_latest")]
+
+    return per_batch.groupBy(*k, "_m").agg(*side("paid", "paid"), *side("accrued", "acc"))

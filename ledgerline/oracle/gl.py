@@ -72,3 +72,68 @@ SELECT {q.head('a')}a.period_start AS Period_Date, strftime(a.period_start, '%Y-
   a.modified_timestamp AS Last_Modified, a.modified_by_userid AS Last_Modified_By
 FROM r a
 {q.idfi('a', 'credit_union', exact=True)}""")
+
+
+def _accruals(q: Q, category: str, product: str, kind: str, loans: bool) -> str:
+    if q.mt:
+        canon = "coalesce(regexp_replace(trim(CAST({} AS VARCHAR)), '^0+', ''), '0')"
+        cat = "upper(trim(category))"
+        posted = "upper(trim(coalesce(status, 'P'))) = 'P'"
+    else:
+        canon = "{}"
+        cat = "category"
+        posted = "status <> 'D'"
+
+    def agg(col: str, name: str, amount: str) -> str:
+        return f"""{name} AS (
+  SELECT {q.k('h')}CAST(year(h.effective_date) AS INTEGER) AS y, CAST(month(h.effective_date) AS INTEGER) AS mo,
+         CAST(quarter(h.effective_date) AS INTEGER) AS qu, strftime(h.effective_date, '%Y-%m') AS ym,
+         CAST(sum({amount}) AS DECIMAL(38,2)) AS s, count(DISTINCT h.batch_number) AS nb, count(*) AS nl,
+         min(h.effective_date) AS lo, max(h.effective_date) AS hi
+  FROM (SELECT DISTINCT {q.k()}{canon.format(col)} AS gl FROM account_types WHERE {cat} = '{category}' AND {col} IS NOT NULL) x
+  JOIN (SELECT *, {canon.format('gl_account_number')} AS gl FROM gl_history WHERE {posted}) h
+    ON h.gl = x.gl{q.on('h', 'x')}
+  GROUP BY ALL)"""
+
+    paid_amt = "abs(h.amount)" if loans else "h.amount"
+    acc0 = "coalesce(a.s, 0)"
+    if loans:
+        paid, scale = "p.s", "p.s"
+    else:
+        paid, scale = f"(p.s - {acc0})", f"abs(p.s - {acc0})"
+    tenant_on = " AND a.credit_union = p.credit_union" if q.mt else ""
+    main = f"""
+SELECT {q.k('p')}'{product}' AS product_type, '{kind}' AS transaction_type, p.y AS entry_year, p.mo AS entry_month,
+  p.qu AS entry_quarter, p.ym AS yearMonth, CAST({paid} AS DECIMAL(38,2)) AS total_paid_amount,
+  CAST({acc0} AS DECIMAL(38,2)) AS total_accrued_amount, CAST({paid} - {acc0} AS DECIMAL(38,2)) AS variance_paid_vs_accrued,
+  CASE WHEN {acc0} > 0 THEN round(CAST({paid} AS DOUBLE) / CAST(a.s AS DOUBLE) * 100, 2) END AS paid_to_accrued_ratio_pct,
+  p.nb AS paid_transaction_count, coalesce(a.nb, 0) AS accrued_transaction_count, p.nl AS paid_gl_entries,
+  coalesce(a.nl, 0) AS accrued_gl_entries, p.lo AS paid_earliest_date, p.hi AS paid_latest_date,
+  a.lo AS accrued_earliest_date, a.hi AS accrued_latest_date,
+  CASE WHEN {paid} > 0 AND {acc0} = 0 THEN 'PAID_WITHOUT_ACCRUAL' WHEN {paid} = 0 AND {acc0} > 0 THEN 'ACCRUED_NOT_PAID'
+       WHEN abs({paid} - {acc0}) > {scale} * 0.05 THEN 'SIGNIFICANT_VARIANCE' ELSE 'NORMAL' END AS alert_status,
+  CASE WHEN a.lo IS NOT NULL AND p.hi IS NOT NULL THEN CAST(date_diff('day', a.lo, p.hi) AS INTEGER) END AS days_between_accrual_and_payment
+FROM paid p LEFT JOIN acc a ON a.ym = p.ym{tenant_on}
+WHERE p.ym IS NOT NULL{' AND p.s > 0' if loans and not q.mt else ''}"""
+    only = f"""
+SELECT {q.k('a')}'{product}', '{kind}', a.y, a.mo, a.qu, a.ym, CAST(0 - a.s AS DECIMAL(38,2)), a.s,
+  CAST((0 - a.s) - a.s AS DECIMAL(38,2)), CASE WHEN a.s > 0 THEN round(CAST(0 - a.s AS DOUBLE) / CAST(a.s AS DOUBLE) * 100, 2) END,
+  0, a.nb, 0, a.nl, NULL, NULL, a.lo, a.hi, 'ACCRUED_NOT_PAID', NULL
+FROM acc a LEFT JOIN paid p ON a.ym = p.ym{tenant_on}
+WHERE p.ym IS NULL AND a.s <> 0"""
+    body = main if loans else f"{main}\nUNION\n{only}"
+    head = "r.credit_union, fi.idfi, " if q.mt else ""
+    return q.wrap(f"""
+WITH {agg('div_int_acct', 'paid', paid_amt)},
+{agg('accrual_acct', 'acc', 'h.amount')},
+r AS ({body})
+SELECT {head}r.* EXCLUDE ({'credit_union' if q.mt else 'product_type'}){', r.product_type' if not q.mt else ''}
+FROM r {q.idfi('r', 'credit_union', exact=False)}""")
+
+
+def gl_accruals_certificates(q: Q) -> str:
+    return _accruals(q, "CERT", "CERT", "Dividend", loans=False)
+
+
+def gl_accruals_loans(q: Q) -> str:
+    return _accruals(q, "LOAN", "LOAN", "Interest", loans=True)

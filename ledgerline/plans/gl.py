@@ -78,3 +78,93 @@ def gl_accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     if p.ordered:
         df = df.orderBy(F.col("Period_Date").desc(), "_type", "GL_ID")
     return df.drop("_type")
+
+
+_ACCRUAL_COLUMNS = ["product_type", "transaction_type", "entry_year", "entry_month", "entry_quarter", "yearMonth",
+                    "total_paid_amount", "total_accrued_amount", "variance_paid_vs_accrued",
+                    "paid_to_accrued_ratio_pct", "paid_transaction_count", "accrued_transaction_count",
+                    "paid_gl_entries", "accrued_gl_entries", "paid_earliest_date", "paid_latest_date",
+                    "accrued_earliest_date", "accrued_latest_date", "alert_status", "days_between_accrual_and_payment"]
+
+
+def _accruals(t: Tables, p: Params, v: Variant, category: str, product: str, kind: str, loans: bool) -> DataFrame:
+    """Monthly paid vs accrued GL activity of one category.
+
+    Certificates: paid = dividend/interest GL net of the accruals, and months
+    with accruals but no payments are added (left match + anti rows, combined
+    with a distinct UNION).  Loans: paid = sum of |amount|, left match only;
+    ST also requires paid > 0.
+    """
+    from ledgerline.operators.gl import accrual_monthly
+
+    k = v.keys
+    m = accrual_monthly(t["account_types"], t["gl_history"], category, v.mt, paid_abs=loans)
+    # A month row with a null key never matches the other side of the reference's join.
+    joinable = F.col("_m").isNotNull()
+    for c in k:
+        joinable = joinable & F.col(c).isNotNull()
+    acc = F.when(joinable, F.col("acc_sum"))
+    acc0 = F.coalesce(acc, F.lit(0).cast(MONEY_SUM))
+    if loans:
+        paid = F.col("paid_sum")
+        variance = paid - acc0
+        alert = G.accrual_alert(paid, acc0, variance, paid)
+    else:
+        paid = F.col("paid_sum") - acc0
+        variance = paid - acc0
+        alert = G.accrual_alert(paid, acc0, variance, F.abs(paid))
+    main = m.filter(F.col("has_paid") & F.col("_m").isNotNull())
+    if loans and not v.mt:
+        main = main.filter(F.col("paid_sum") > 0)
+    main = main.select(
+        *k, F.lit(product).alias("product_type"), F.lit(kind).alias("transaction_type"), *G.period_columns(F.col("_m")),
+        paid.cast(MONEY_SUM).alias("total_paid_amount"), acc0.alias("total_accrued_amount"),
+        variance.cast(MONEY_SUM).alias("variance_paid_vs_accrued"),
+        G.accrual_ratio_pct(paid, acc0).alias("paid_to_accrued_ratio_pct"),
+        F.col("paid_batches").alias("paid_transaction_count"),
+        F.coalesce(F.when(joinable, F.col("acc_batches")), F.lit(0)).alias("accrued_transaction_count"),
+        F.col("paid_lines").alias("paid_gl_entries"),
+        F.coalesce(F.when(joinable, F.col("acc_lines")), F.lit(0)).alias("accrued_gl_entries"),
+        F.col("paid_earliest").alias("paid_earliest_date"), F.col("paid_latest").alias("paid_latest_date"),
+        F.when(joinable, F.col("acc_earliest")).alias("accrued_earliest_date"),
+        F.when(joinable, F.col("acc_latest")).alias("accrued_latest_date"),
+        alert.alias("alert_status"),
+        F.datediff(F.col("paid_latest"), F.when(joinable, F.col("acc_earliest"))).alias(
+            "days_between_accrual_and_payment"))
+    df = main
+    if not loans:
+        a = F.col("acc_sum")
+        only = (m.filter(F.col("has_acc") & (~F.coalesce(F.col("has_paid"), F.lit(False)) | ~joinable) & (a != 0))
+                .select(*k, F.lit(product).alias("product_type"), F.lit(kind).alias("transaction_type"),
+                        *G.period_columns(F.col("_m")),
+                        (F.lit(0) - a).cast(MONEY_SUM).alias("total_paid_amount"),
+                        a.alias("total_accrued_amount"),
+                        ((F.lit(0) - a) - a).cast(MONEY_SUM).alias("variance_paid_vs_accrued"),
+                        G.accrual_ratio_pct(F.lit(0) - a, a).alias("paid_to_accrued_ratio_pct"),
+                        F.lit(0).cast("bigint").alias("paid_transaction_count"),
+                        F.col("acc_batches").alias("accrued_transaction_count"),
+                        F.lit(0).cast("bigint").alias("paid_gl_entries"),
+                        F.col("acc_lines").alias("accrued_gl_entries"),
+                        F.lit(None).cast("date").alias("paid_earliest_date"),
+                        F.lit(None).cast("date").alias("paid_latest_date"),
+                        F.col("acc_earliest").alias("accrued_earliest_date"),
+                        F.col("acc_latest").alias("accrued_latest_date"),
+                        F.lit("ACCRUED_NOT_PAID").alias("alert_status"),
+                        F.lit(None).cast("int").alias("days_between_accrual_and_payment")))
+        df = main.unionByName(only)
+    if v.mt:
+        df = tenant_enrich(df, t["fi_map"], exact=False)
+    df = df.select(*(["credit_union", "idfi"] if v.mt else []), *_ACCRUAL_COLUMNS)
+    if not loans:
+        df = df.distinct()  # UNION (not UNION ALL) in the report text
+    if p.ordered:
+        df = df.orderBy(F.col("entry_year").desc(), F.col("entry_month").desc())
+    return df
+
+
+def gl_accruals_certificates(t: Tables, p: Params, v: Variant) -> DataFrame:
+    return _accruals(t, p, v, "CERT", "CERT", "Dividend", loans=False)
+
+
+def gl_accruals_loans(t: Tables, p: Params, v: Variant) -> DataFrame:
+    return _accruals(t, p, v, "LOAN", "LOAN", "Interest", loans=True)

@@ -25,6 +25,9 @@ def _both(mt_key: str, st_key: str, plan: Callable, oracle: Callable | None) ->
 
 
 _both("mt_gl_accounts_general", "st_gl_accounts_general", gl.gl_accounts_general, o_gl.gl_accounts_general)
+_both("mt_gl_accruals_certificates", "st_gl_accruals_certificates", gl.gl_accruals_certificates,
+      o_gl.gl_accruals_certificates)
+_both("mt_gl_accruals_loans", "st_gl_accruals_loans", gl.gl_accruals_loans, o_gl.gl_accruals_loans)
 _both("mt_account_transactions", "st_accounts_transactions", products.account_transactions,
       o_products.account_transactions)
 
