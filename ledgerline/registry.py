@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline import oracle as _o  # noqa: F401
 from ledgerline.oracle import gl as o_gl
+from ledgerline.oracle import members as o_members
 from ledgerline.oracle import products as o_products
 from ledgerline.oracle.base import Q
 from ledgerline.params import FIXTURE_PARAMS, Params
-from ledgerline.plans import gl, products
+from ledgerline.plans import gl, members, products
 from ledgerline.plans.variant import MT, ST, Variant
 from ledgerline.sources.tables import Tables
 
@@ -28,6 +29,7 @@ _both("mt_gl_accounts_general", "st_gl_accounts_general", gl.gl_accounts_general
 _both("mt_gl_accruals_certificates", "st_gl_accruals_certificates", gl.gl_accruals_certificates,
       o_gl.gl_accruals_certificates)
 _both("mt_gl_accruals_loans", "st_gl_accruals_loans", gl.gl_accruals_loans, o_gl.gl_accruals_loans)
+_both("mt_member_key_trends", "st_member_key_trends", members.member_key_trends, o_members.member_key_trends)
 _both("mt_account_transactions", "st_accounts_transactions", products.account_transactions,
       o_products.account_transactions)
 
