@@ -32,3 +32,22 @@ def member_status_strict(member_number="member_number", inactive_flag="inactive_
         cond = col(member_number).isNotNull() & col(member_type).isNotNull() & (col(all_closed) == 0) & (
             col(inactive_flag) != "I")
     return F.when(cond, "Active").otherwise("Inactive")
+
+
+def transaction_volume_category(n12) -> Column:
+    """Yearly transaction count -> volume label (fixed label texts)."""
+    n = col(n12)
+    return (F.when(n == 0, "No Transactions").when(n <= 12, "Low Volume (≤12/year)")
+            .when(n <= 52, "Medium Volume (13-52/year)").when(n <= 156, "High Volume (53-156/year)")
+            .otherwise("Very High Volume (>156/year)"))
+
+
+def transaction_scores(n30, n12) -> dict[str, Column]:
+    """Engagement points from 30-day and yearly counts."""
+    return {"transaction_score_30d": F.when(col(n30) > 0, 20).otherwise(0),
+            "transaction_score_volume": F.when(col(n30) > 5, 10).otherwise(0),
+            "transaction_score_annual": F.when(col(n12) > 52, 20).otherwise(0)}
+
+
+def active_label(n) -> Column:
+    return F.when(col(n) > 0, "Active").otherwise("Inactive")
