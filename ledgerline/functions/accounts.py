@@ -13,3 +13,20 @@ ACCOUNT_CATEGORY = {"S": "SAVINGS", "D": "CHECKING", "C": "CERTIFICATES", "L": "
 def account_category(discriminator: Column) -> Column:
     """C20: discriminator code -> SAVINGS/CHECKING/CERTIFICATES/LOANS/SPECIAL, else OTHER."""
     return case_map(discriminator, ACCOUNT_CATEGORY, "OTHER")
+
+
+# Discriminator -> product type label (member details).
+PRODUCT_TYPE = {"S": "Savings", "D": "Checkings", "L": "Loan", "C": "Certificate", "U": "Custom"}
+
+
+def product_type(discriminator: Column) -> Column:
+    """C17: product type label, null for other codes."""
+    return case_map(discriminator, PRODUCT_TYPE)
+
+
+def account_open_columns(date_closed: Column) -> dict[str, Column]:
+    """C17: 'Still Open' or the close date as yyyy-MM-dd text; Active/Closed."""
+    from pyspark.sql import functions as F
+    return {"date_closed": F.when(date_closed.isNull(), "Still Open")
+            .otherwise(F.date_format(date_closed, "yyyy-MM-dd")),
+            "product_status": F.when(date_closed.isNull(), "Active").otherwise("Closed")}

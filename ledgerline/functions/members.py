@@ -51,3 +51,67 @@ def transaction_scores(n30, n12) -> dict[str, Column]:
 
 def active_label(n) -> Column:
     return F.when(col(n) > 0, "Active").otherwise("Inactive")
+
+
+def _cap(x: Column) -> Column:
+    """Upper first letter, lower the rest (null in, null out)."""
+    return F.concat(F.upper(F.substr(x, F.lit(1), F.lit(1))), F.lower(F.substr(x, F.lit(2))))
+
+
+def full_name(first="name_first", middle="name_middle", last="name_last") -> Column:
+    """Capitalized 'First [Middle] Last'; '[NULL]' means missing; a null part
+    makes the whole name null (CONCAT semantics)."""
+    f, m, la = col(first), col(middle), col(last)
+    return (F.when(f.isNull() | (f == "[NULL]"), _cap(la))
+            .when(m.isNotNull() & (m != "[NULL]") & (m != ""),
+                  F.concat(_cap(f), F.lit(" "), _cap(m), F.lit(" "), _cap(la)))
+            .otherwise(F.concat(_cap(f), F.lit(" "), _cap(la))))
+
+
+def age_completed_years(dob, as_of) -> Column:
+    """C4 (MT details): whole years between dob and as_of."""
+    return F.timestamp_diff("YEAR", col(dob), F.lit(as_of)).cast("int")
+
+
+def age_year_difference(dob, as_of) -> Column:
+    """C4 (profile, ST): year(as_of) - year(dob)."""
+    return (F.lit(as_of.year) - F.year(col(dob))).cast("int")
+
+
+# Age brackets (lower, upper, plain label); lettered labels add 'A. ' ... prefixes.
+AGE_BRACKETS = [(0, 17, "0-17"), (18, 25, "18-25"), (26, 35, "26-35"), (36, 45, "36-45"), (46, 55, "46-55"),
+                (56, 65, "56-65"), (66, 75, "66-75"), (76, 85, "76-85")]
+
+
+def age_group(age: Column, lettered: bool = True) -> Column:
+    """C4: age bracket label, 'Unknown' when age is null or negative."""
+    out = None
+    for i, (lo, hi, lab) in enumerate(AGE_BRACKETS):
+        text = f"{chr(65 + i)}. {lab}" if lettered else lab
+        out = F.when(age.between(lo, hi), text) if out is None else out.when(age.between(lo, hi), text)
+    return out.when(age > 85, "I. 85+" if lettered else "85+").otherwise("Unknown")
+
+
+def member_type_label(member_type: Column, corporate: str = "Corporate Member") -> Column:
+    """P/B/C member type label."""
+    return (F.when(member_type == "P", "Personal").when(member_type == "B", "Business")
+            .when(member_type == "C", corporate).otherwise("Unknown"))
+
+
+# Tenure brackets in days (exclusive upper bound) and labels.
+TENURE_BRACKETS = [(183, "1. Recent (0-6 months)"), (365, "2. New (6-12 months)"),
+                   (1095, "3. Established (1-3 years)"), (1825, "4. Mature (3-5 years)")]
+TENURE_LAST = "5. Veteran (5+ years)"
+
+
+def tenure_category(days: Column) -> Column:
+    """Days since joining -> tenure label (null days -> veteran, as the text's ELSE)."""
+    out = None
+    for lim, lab in TENURE_BRACKETS:
+        out = F.when(days < lim, lab) if out is None else out.when(days < lim, lab)
+    return out.otherwise(TENURE_LAST)
+
+
+def online_banking_status(home_bank_date="home_bank_date") -> Column:
+    """C7."""
+    return F.when(col(home_bank_date).isNotNull(), "Active").otherwise("Inactive")

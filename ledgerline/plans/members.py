@@ -106,3 +106,53 @@ def member_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
     if p.ordered and v.mt:
         df = df.orderBy("credit_union", "member_number")
     return df
+
+
+def member_details(t: Tables, p: Params, v: Variant) -> DataFrame:
+    """One row per account with member and entity attributes.
+
+    account LEFT JOIN (member LEFT JOIN entity): the member-entity join runs
+    once per member, then one equi-join on (tenant, member number) attaches it
+    to accounts.  Null member numbers cannot match; AQE's skew-join split
+    keeps a large null or hot key from landing in one task.
+    """
+    from ledgerline.functions.accounts import account_open_columns, product_type
+
+    k = v.keys
+    ent = t["entity"].select(*k, F.col("entity_id").alias("member_entity_id"), "address1", "dob", "name_first",
+                             "name_middle", "name_last")
+    mem = (t["member"].select(*k, "member_id", "member_number", "member_entity_id", "member_type", "inactive_flag",
+                              "all_accounts_closed", "join_date", "home_bank_date")
+           .join(ent, k + ["member_entity_id"], "left"))
+    a = t["account"]
+    if v.mt:
+        a = a.filter(F.col("account_id").isNotNull())
+    a = a.select(*k, "account_id", "account_number", "description", "current_balance", "date_closed",
+                 "date_opened", "discriminator", F.col("member_number").alias("_amn"))
+    cond = a["_amn"] == mem["member_number"]
+    for c in k:
+        cond = cond & (a[c] == mem[c])
+    j = a.join(mem, cond, "left").drop(*[mem[c] for c in k])
+    if v.mt:
+        j = tenant_enrich(j, t["fi_map"], exact=False)
+    age = (M.age_completed_years("dob", p.as_of) if v.mt else M.age_year_difference("dob", p.as_of))
+    fc = M.member_filter_columns()
+    oc = account_open_columns(F.col("date_closed"))
+    disc = F.trim("discriminator") if v.mt else F.col("discriminator")
+    mtype = F.trim("member_type") if v.mt else F.col("member_type")
+    cols = [*(["credit_union", "idfi"] if v.mt else []), "account_id", "account_number",
+            F.coalesce(F.col("description"), F.lit("")).alias("description"), "current_balance",
+            oc["date_closed"].alias("date_closed"), "date_opened", oc["product_status"].alias("product_status"),
+            product_type(disc).alias("product_type"), "member_id", "member_number",
+            *[fc[c].alias(c) for c in ("member_number_is_valid", "member_inactive_flag_status",
+                                       "member_accounts_status")]]
+    if v.mt:
+        cols.append(M.member_status_strict().alias("member_status"))
+    cols += [fc["member_inactive_flag_code"].alias("member_inactive_flag_code"),
+             fc["member_all_accounts_closed_flag"].alias("member_all_accounts_closed_flag"),
+             "address1", age.alias("age"), M.age_group(age).alias("age_group"), M.full_name().alias("full_name"),
+             F.col("join_date").cast("date").alias("join_date"),
+             M.tenure_category(F.datediff(F.lit(p.as_of), F.col("join_date"))).alias("member_tenure_category"),
+             M.member_type_label(mtype).alias("member_type"),
+             M.online_banking_status().alias("online_banking_status")]
+    return j.select(*cols)
