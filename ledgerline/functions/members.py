@@ -115,3 +115,88 @@ def tenure_category(days: Column) -> Column:
 def online_banking_status(home_bank_date="home_bank_date") -> Column:
     """C7."""
     return F.when(col(home_bank_date).isNotNull(), "Active").otherwise("Inactive")
+
+
+def cap_name(x) -> Column:
+    """Capitalized single name part, null for missing or '[NULL]'."""
+    x = col(x)
+    return F.when(x.isNull() | (x == "[NULL]"), F.lit(None).cast("string")).otherwise(_cap(x))
+
+
+def gender_label(g="gender") -> Column:
+    """C8."""
+    g = col(g)
+    return (F.when(g == "F", "Female").when(g == "M", "Male").when(g == "N", "Non-Binary")
+            .when(g == "O", "Opt Out").otherwise("Unknown"))
+
+
+def address_columns() -> dict[str, Column]:
+    """Physical address for foreign members, else mailing; upper(trim());
+    missing city/state/zip/country -> 'Unknown'."""
+    foreign = F.col("foreign_address") == 1
+
+    def pick(mail: str, phys: str, unknown: bool) -> Column:
+        m, p = F.upper(F.trim(mail)), F.upper(F.trim(phys))
+        if unknown:
+            m, p = F.coalesce(m, F.lit("Unknown")), F.coalesce(p, F.lit("Unknown"))
+        return F.when(foreign, p).otherwise(m)
+
+    city, state = pick("city", "physical_city", True), pick("state", "physical_state", True)
+    return {"address1": pick("address1", "physical_address1", False),
+            "address2": pick("address2", "physical_address2", False),
+            "city": city, "state": state,
+            "zip_code": pick("zip", "physical_zip", True),
+            "country": pick("country", "physical_country", True),
+            "city_state": F.concat(city, F.lit(", "), state),
+            "address_type_used": F.when(foreign, "Physical").otherwise("Mailing")}
+
+
+def activity_within(last_activity, as_of, days: int) -> Column:
+    """Active within ``days`` of as_of, Inactive if older, Unknown if null."""
+    import datetime as dt
+    la = col(last_activity)
+    return (F.when(la >= F.lit(as_of - dt.timedelta(days=days)), "Active")
+            .when(la.isNotNull(), "Inactive").otherwise("Unknown"))
+
+
+def product_relationship(counts: dict[str, Column], total: Column) -> dict[str, Column]:
+    """has_* flags (0/1), number of product types held, sum of counts and
+    the relationship category (No Products / Single / Full / Multi / Unknown)."""
+    has = {k: F.when(F.coalesce(c, F.lit(0)) > 0, 1).otherwise(0) for k, c in counts.items()}
+    n_types = None
+    for h in has.values():
+        n_types = h if n_types is None else n_types + h
+    total_by_type = None
+    for c in counts.values():
+        c0 = F.coalesce(c, F.lit(0))
+        total_by_type = c0 if total_by_type is None else total_by_type + c0
+    cat = (F.when(F.coalesce(total, F.lit(0)) == 0, "No Products").when(n_types == 1, "Single Product")
+           .when(n_types == 4, "Full Relationship").when(n_types.between(2, 3), "Multi Product")
+           .otherwise("Unknown"))
+    return {"has": has, "distinct_product_types_count": n_types, "total_products_by_type": total_by_type,
+            "product_relationship_category": cat}
+
+
+def engagement_score(home_bank_date, last_activity, total_accounts: Column, as_of) -> Column:
+    """C11: 40 online banking + 30 active in 30 days + 20 active in 90 days +
+    10 more than one open account (the 30 and 20 both apply to recent activity)."""
+    import datetime as dt
+    la = col(last_activity)
+    return (F.when(col(home_bank_date).isNotNull(), 40).otherwise(0)
+            + F.when(la >= F.lit(as_of - dt.timedelta(days=30)), 30).otherwise(0)
+            + F.when(la >= F.lit(as_of - dt.timedelta(days=90)), 20).otherwise(0)
+            + F.when(F.coalesce(total_accounts, F.lit(0)) > 1, 10).otherwise(0))
+
+
+# Member lifespan brackets in days (exclusive upper bound) and labels.
+LIFESPAN_BRACKETS = [(90, "Early (0-3 months)"), (365, "Short (3-12 months)"), (1095, "Medium (1-3 years)"),
+                     (1825, "Long (3-5 years)")]
+LIFESPAN_LAST = "Very Long (5+ years)"
+
+
+def attrition_category(lifespan: Column) -> Column:
+    """C11: lifespan bracket (callers null it when the member did not attrite)."""
+    out = None
+    for lim, lab in LIFESPAN_BRACKETS:
+        out = F.when(lifespan < lim, lab) if out is None else out.when(lifespan < lim, lab)
+    return out.otherwise(LIFESPAN_LAST)

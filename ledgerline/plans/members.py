@@ -156,3 +156,82 @@ def member_details(t: Tables, p: Params, v: Variant) -> DataFrame:
              M.member_type_label(mtype).alias("member_type"),
              M.online_banking_status().alias("online_banking_status")]
     return j.select(*cols)
+
+
+def member_profile(t: Tables, p: Params, v: Variant) -> DataFrame:
+    """Member 360 view: names, demographics, address, tenure,
+    activity, open-product counts, engagement score and attrition.
+
+    One pass over ``account`` yields both the open-account counts and the
+    latest close date; members join entity, eligibility group and that summary
+    on their keys.  MT keeps members with a number and a type; the second
+    ``member_status`` of the MT text is named ``member_status_strict`` (D5).
+    """
+    from ledgerline.operators.members import OPEN_COUNT_CODES, account_summary, flag_any_all_closed
+
+    k = v.keys
+    summ = account_summary(t["account"], k)
+    m = flag_any_all_closed(t["member"], k)
+    if v.mt:
+        m = m.filter(F.col("member_number").isNotNull() & F.col("member_type").isNotNull())
+    ent = t["entity"].withColumnRenamed("entity_id", "member_entity_id")
+    eg = t["eligibility_group"].select(*k, "eligibility_group_id", F.col("description").alias("_eg_desc"))
+    j = (m.join(ent, k + ["member_entity_id"], "left")
+         .join(eg, k + ["eligibility_group_id"], "left")
+         .join(summ, k + ["member_number"], "left"))
+    if v.mt:
+        j = tenant_enrich(j, t["fi_map"], exact=False)
+    age = M.age_year_difference("dob", p.as_of)
+    counts = {c: F.col(name) for c, name in OPEN_COUNT_CODES.items()}
+    rel = M.product_relationship(counts, F.col("total_account_count"))
+    attr = F.when(F.col("_any_all_closed"), F.col("latest_account_closure_date"))
+    lifespan = F.when((F.col("all_accounts_closed") == 1) & attr.isNotNull(), F.datediff(attr, F.col("join_date")))
+    fc = M.member_filter_columns()
+    addr = M.address_columns()
+    cols = [*(["credit_union", "idfi"] if v.mt else []), F.col("member_number").alias("member_id"),
+            M.cap_name("name_first").alias("first_name"), M.cap_name("name_middle").alias("middle_name"),
+            M._cap(F.col("name_last")).alias("last_name"), "preferred_name", M.full_name().alias("full_name"),
+            age.alias("age"),
+            F.when(F.col("inactive_flag") == "I", "Inactive").otherwise("Active").alias("member_status"),
+            *[fc[c].alias(c) for c in ("member_number_is_valid", "member_inactive_flag_status",
+                                       "member_accounts_status")]]
+    if v.mt:
+        cols.append(M.member_status_strict().alias("member_status_strict"))
+    cols += [fc["member_inactive_flag_code"].alias("member_inactive_flag_code"),
+             fc["member_all_accounts_closed_flag"].alias("member_all_accounts_closed_flag"),
+             M.member_type_label(F.col("member_type")).alias("member_type"),
+             F.col("join_date").cast("date").alias("join_date"), F.year("join_date").alias("join_year"),
+             F.quarter("join_date").alias("join_quarter"), F.month("join_date").alias("join_month"),
+             F.datediff(F.lit(p.as_of), F.col("join_date")).alias("member_tenure_days"),
+             M.tenure_category(F.datediff(F.lit(p.as_of), F.col("join_date"))).alias("member_tenure_category"),
+             M.gender_label().alias("gender"), M.age_group(age, lettered=False).alias("age_group"),
+             age.alias("calculated_age"),
+             *[c.alias(n) for n, c in addr.items()],
+             F.col("branch_number").alias("branch"),
+             F.coalesce(F.col("_eg_desc"), F.lit("Unknown")).alias("eligibility_group"),
+             M.online_banking_status().alias("online_banking_status"),
+             M.activity_within("last_nondiv_activity", p.as_of, 30).alias("activity_30_days"),
+             M.activity_within("last_nondiv_activity", p.as_of, 90).alias("activity_90_days"),
+             F.coalesce(F.col("total_account_count"), F.lit(0)).alias("total_account_count"),
+             F.coalesce(F.col("share_count"), F.lit(0)).alias("savings_accounts_count"),
+             F.coalesce(F.col("draft_count"), F.lit(0)).alias("checking_accounts_count"),
+             F.coalesce(F.col("loan_count"), F.lit(0)).alias("loan_accounts_count"),
+             F.coalesce(F.col("cert_count"), F.lit(0)).alias("certificate_accounts_count"),
+             rel["has"]["S"].alias("has_savings"), rel["has"]["D"].alias("has_checking"),
+             rel["has"]["L"].alias("has_loans"), rel["has"]["C"].alias("has_certificates"),
+             rel["distinct_product_types_count"].alias("distinct_product_types_count"),
+             rel["total_products_by_type"].alias("total_products_by_type"),
+             rel["product_relationship_category"].alias("product_relationship_category"),
+             M.engagement_score("home_bank_date", "last_nondiv_activity", F.col("total_account_count"),
+                                p.as_of).alias("engagement_score"),
+             F.col("last_nondiv_activity").alias("last_activity_date"),
+             F.col("home_bank_date").alias("last_online_banking_date"),
+             F.when(F.col("all_accounts_closed") == 1, "Yes").otherwise("No").alias(
+                 "all_accounts_closed" if v.mt else "all_accounts_closed_legacy"),
+             attr.alias("attrition_date"), lifespan.alias("member_lifespan_days"),
+             F.when(lifespan.isNotNull(), M.attrition_category(lifespan)).alias("attrition_category"),
+             F.lit(p.as_of).alias("data_extract_date")]
+    df = j.select(*cols)
+    if p.ordered:
+        df = df.orderBy("member_id")
+    return df

@@ -33,6 +33,7 @@ _both("mt_member_key_trends", "st_member_key_trends", members.member_key_trends,
 _both("mt_member_transactions", "st_member_transactions", members.member_transactions,
       o_members.member_transactions)
 _both("mt_member_details", "st_member_details", members.member_details, o_members.member_details)
+_both("mt_member_profile", "st_member_profile", members.member_profile, o_members.member_profile)
 _both("mt_account_transactions", "st_accounts_transactions", products.account_transactions,
       o_products.account_transactions)
 
