@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline import oracle as _o  # noqa: F401
+from ledgerline.oracle import cards as o_cards
 from ledgerline.oracle import gl as o_gl
+from ledgerline.oracle import loans as o_loans
 from ledgerline.oracle import members as o_members
 from ledgerline.oracle import products as o_products
 from ledgerline.oracle.base import Q
 from ledgerline.params import FIXTURE_PARAMS, Params
-from ledgerline.plans import gl, members, products
+from ledgerline.plans import cards, gl, loans, members, products
 from ledgerline.plans.variant import MT, ST, Variant
 from ledgerline.sources.tables import Tables
 
@@ -34,6 +36,8 @@ _both("mt_member_transactions", "st_member_transactions", members.member_transac
       o_members.member_transactions)
 _both("mt_member_details", "st_member_details", members.member_details, o_members.member_details)
 _both("mt_member_profile", "st_member_profile", members.member_profile, o_members.member_profile)
+_both("mt_cards_transactions", "st_cards_transactions", cards.cards_transactions, o_cards.cards_transactions)
+_both("mt_loans_applications", "st_loans_applications", loans.loans_applications, o_loans.loans_applications)
 _both("mt_account_transactions", "st_accounts_transactions", products.account_transactions,
       o_products.account_transactions)
 
