@@ -48,3 +48,59 @@ def loans_applications(t: Tables, p: Params, v: Variant) -> DataFrame:
     if p.ordered:
         df = df.orderBy(F.col("application_date").desc(), F.col("_id").desc())
     return df.drop("_id")
+
+
+def loans_general(t: Tables, p: Params, v: Variant) -> DataFrame:
+    """Loan book (non-card loan accounts) with bureau class, paid
+    installments, status, delinquency, income and yield columns.
+
+    account (loans only, filter reaches the scan) JOIN account_loan on the
+    account key; account types, tenant map and tenant names are small
+    per-tenant lookups.  MT's undefined ``cu_info`` is the distinct tenant name
+    table (D6).
+    """
+    from ledgerline.operators.tenant import cu_names
+
+    k = v.keys
+    a = t["account"].filter((v.norm("discriminator") == "L") & ~v.norm("account_type").isin("CC", "PCO", "PCCO"))
+    a = a.select(*k, "account_id", "member_number", "account_type", "date_opened", "date_closed", "charge_off_date",
+                 "current_balance", v.norm("account_type").alias("_type"))
+    al = t["account_loan"].drop("credit_union") if not v.mt else t["account_loan"]
+    at = t["account_types"].select(*k, v.norm("account_type").alias("_type"),
+                                   F.col("description").alias("_at_desc"), "cb_loan_type")
+    j = a.join(al, k + ["account_id"], "inner").join(at, k + ["_type"], "left")
+    if v.mt:
+        j = tenant_enrich(j, t["fi_map"], exact=False).join(cu_names(t["credit_union_info"]), ["credit_union"],
+                                                             "left")
+    ic = L.interest_columns(p.as_of)
+    money = "decimal(18,2)"
+    df = j.select(
+        *(["credit_union", "idfi"] if v.mt else []), F.col("member_number").alias("Member_ID"),
+        *([F.col("credit_union_name").alias("CU_Name")] if v.mt else []),
+        F.col("account_id").alias("Loan_ID"), F.col("cb_loan_type").alias("Credit_Bureau_Code"),
+        L.bureau_category("cb_loan_type").alias("Loan_Main_Category"),
+        F.coalesce(F.col("_at_desc"), F.col("account_type")).alias("Loan_Sub_Category"),
+        F.col("account_type").alias("Account_Type_Code"),
+        F.round("interest_rate", 3).cast("decimal(9,3)").alias("Interest_Rate"),
+        F.col("number_of_payments").alias("Number_of_Installments"),
+        L.paid_installments(p.as_of).alias("Number_of_Paid_Installments"),
+        F.col("date_opened").alias("Creation_Date"), F.col("next_payment_date").alias("Next_Payment_Date"),
+        F.col("date_closed").alias("Closure_Date"), F.col("credit_score").alias("Credit_Score"),
+        L.loan_status(p.as_of).alias("Status"),
+        L.days_past_due("next_payment_date", p.as_of).alias("Days_Past_Due"),
+        L.delinquency_bracket_loans("next_payment_date", p.as_of).alias("Delinquency_Bracket"),
+        (L.zero("delq_count_30") + L.zero("delq_count_60") + L.zero("delq_count_90") + L.zero("delq_count_120")
+         + L.zero("delq_count_150") + L.zero("delq_count_180")).cast("int").alias("Total_Delinquency_Occurrences"),
+        F.col("opening_balance").cast(money).alias("Initial_Balance"),
+        F.col("current_balance").cast(money).alias("Current_Balance"),
+        ic["Total_Interest_Earned"].alias("Total_Interest_Earned"),
+        F.col("interest_ytd").cast(money).alias("Interest_Earned_YTD"),
+        F.col("interest_lytd").cast(money).alias("Interest_Earned_LYTD"),
+        ic["Total_Late_Fees_Earned"].alias("Total_Late_Fees_Earned"),
+        F.col("late_fees_ytd").cast(money).alias("Late_Fees_YTD"),
+        F.col("late_fees_lytd").cast(money).alias("Late_Fees_LYTD"),
+        *[ic[c].alias(c) for c in ("Total_Revenue_Earned", "Interest_Yield_Percentage", "Monthly_Interest_Rate",
+                                   "Expected_Interest_Simple", "Interest_Performance_Ratio")])
+    if p.ordered:
+        df = df.orderBy("Member_ID", "Loan_ID")
+    return df
