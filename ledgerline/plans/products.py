@@ -43,3 +43,54 @@ def account_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
     if p.ordered:
         df = df.orderBy(F.col("month_year").desc(), "account_category", "account_number")
     return df
+
+
+def accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
+    """Deposit accounts (S/D/C/U of valid members) with channel, type
+    description, status, recent activity and per-member counts.
+
+    Joins on the account key run first, then the two joins on (tenant,
+    member_number) share one partitioning.  Applications are not deduplicated:
+    an account repeats once per application, as in the report text.  ST's one
+    credit-union name (first by name, D12) is a scalar subquery.
+    """
+    from ledgerline.functions import accounts as A
+    from ledgerline.operators.accounts import member_account_stats, recently_active_accounts
+    from ledgerline.operators.tenant import cu_name_scalar, cu_names
+
+    k = v.keys
+    disc = v.norm("discriminator")
+    acc = t["account"].filter((F.col("member_number") > 0) & disc.isin("S", "D", "C", "U"))
+    stats = member_account_stats(acc, k, p.as_of, p.recent_days)
+    recent = recently_active_accounts(t["transaction_history"], k, p.as_of, p.recent_days)
+    apps = t["member_application"].select(*k, "member_number", F.lit(True).alias("_app"))
+    j = (acc.join(recent, k + ["account_id"], "left")
+         .join(stats, k + ["member_number"], "left")
+         .join(apps, k + ["member_number"], "left"))
+    if v.mt:
+        j = tenant_enrich(j.join(cu_names(t["credit_union_info"]), ["credit_union"], "left"), t["fi_map"], exact=True)
+        cu = F.col("credit_union_name")
+        user = F.trim("created_by_userid")
+        access = F.upper(F.trim(F.coalesce(F.col("access_control"), F.lit(""))))
+    else:
+        cu = cu_name_scalar(t["credit_union_info"])
+        user = F.col("created_by_userid")
+        access = F.coalesce(F.col("access_control"), F.lit(""))
+    rank = F.when(disc == "S", 1).when(disc == "D", 2).when(disc == "C", 3).when(disc == "U", 4).otherwise(5)
+    df = j.select(
+        *(["credit_union", "idfi"] if v.mt else []), F.col("member_number").alias("member_id"), cu.alias("cu_name"),
+        A.account_channel(F.col("_app").isNotNull(), user).alias("estimated_channel"),
+        A.account_type_description(disc, v.norm("account_type"), F.col("discriminator"),
+                                   F.col("account_type")).alias("account_type_description"),
+        A.main_account_category(disc).alias("main_account_category"),
+        F.col("date_opened").alias("created_date"), F.col("date_closed").alias("deleted_date"),
+        A.account_deleted_status(F.col("date_closed"), access).alias("deleted_status"),
+        F.when(F.col("_recent").isNotNull(), "Active").otherwise("Inactive").alias("active_status_last_3_months"),
+        "account_number", "current_balance",
+        F.col("total_accounts_per_member").alias("number_of_accounts_per_member"), "has_multiple_accounts",
+        F.col("deleted_accounts_per_member").alias("accounts_deleted_per_member"),
+        F.col("inactive_accounts_per_member").alias("accounts_inactive_per_member"),
+        rank.alias("_rank"), F.col("date_opened").alias("_opened"))
+    if p.ordered:
+        df = df.orderBy("member_id", "_rank", F.col("_opened").desc())
+    return df.drop("_rank", "_opened")
