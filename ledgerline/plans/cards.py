@@ -69,3 +69,46 @@ def cards_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
     if p.ordered:
         df = df.orderBy(F.col("idfi").desc(), "period")
     return df
+
+
+CARD_COLUMNS = ["card_id", "last_4_digits", "card_type", "card_brand", "creation_date", "deleted_date",
+                "expiration_date", "balance_or_credit_limit", "credit_used", "credit_used_percentage", "status",
+                "delinquency_bracket", "activation_date", "is_activated", "fraud_incident", "last_activity_date",
+                "card_source"]
+
+
+def unified_cards(t: Tables, p: Params, v: Variant) -> DataFrame:
+    """Physical cards of active card types and credit lines in one schema."""
+    k = v.keys
+    x = t["pd_xmaif"].select("card_type", F.col("description").alias("x_description"), "credit_card", "debit_card",
+                             "atm_card", "card_issuer", "inactive_flag")
+    # LEFT JOIN + WHERE x.inactive_flag = 0 in the text is an inner join.
+    phys = t["eft_card_file"].join(x.filter(F.col("inactive_flag") == 0), ["card_type"], "inner")
+    pc = C.physical_card_columns(p.as_of, v.mt)
+    phys = phys.select(*k, F.col("member_number").alias("member_id"), *[pc[c].alias(c) for c in CARD_COLUMNS])
+    acct = (t["account"].filter((F.col("member_number") > 0) & (v.norm("discriminator") == "L"))
+            .select(*k, "account_id", "member_number", "date_opened", "date_closed", "charge_off_date",
+                    "current_balance", "status"))
+    al = t["account_loan"].filter(F.col("credit_limit") > 0)
+    ca = C.credit_account_columns(p.as_of, v.mt)
+    credit = (al.join(acct, k + ["account_id"], "inner")
+              .select(*k, F.col("member_number").alias("member_id"), *[ca[c].alias(c) for c in CARD_COLUMNS]))
+    return phys.unionByName(credit)
+
+
+def cards_general(t: Tables, p: Params, v: Variant) -> DataFrame:
+    """Physical cards and credit lines with status, delinquency,
+    activation, inactivity, fraud and the member's card portfolio."""
+    k = v.keys
+    uc = unified_cards(t, p, v)
+    port = C.card_portfolio(uc, k)
+    j = uc.join(port, k + ["member_id"], "left")
+    if v.mt:
+        j = tenant_enrich(j, t["fi_map"], exact=True)
+    cols = [c for c in CARD_COLUMNS if c not in ("fraud_incident", "last_activity_date", "card_source")]
+    df = j.select(*(["credit_union", "idfi"] if v.mt else []), "member_id", *cols,
+                  C.inactivity_flag("last_activity_date", p.as_of).alias("inactivity_flag"),
+                  "fraud_incident", "card_source", "member_card_portfolio")
+    if p.ordered:
+        df = df.orderBy(*k, "member_id", "card_source", "card_type", F.col("creation_date").desc())
+    return df

@@ -40,6 +40,7 @@ _both("mt_cards_transactions", "st_cards_transactions", cards.cards_transactions
 _both("mt_loans_applications", "st_loans_applications", loans.loans_applications, o_loans.loans_applications)
 _both("mt_loans_general", "st_loans_general", loans.loans_general, o_loans.loans_general)
 _both("mt_accounts_general", "st_accounts_general", products.accounts_general, o_products.accounts_general)
+_both("mt_cards_general", "st_cards_general", cards.cards_general, o_cards.cards_general)
 _both("mt_account_transactions", "st_accounts_transactions", products.account_transactions,
       o_products.account_transactions)
 
