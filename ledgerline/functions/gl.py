@@ -96,3 +96,66 @@ def accrual_alert(paid: Column, accrued: Column, variance: Column, paid_scale: C
 def accrual_ratio_pct(paid: Column, accrued: Column) -> Column:
     """Paid / accrued x 100, 2 decimals, only when accrued > 0 (double)."""
     return F.when(accrued > 0, F.round(paid.cast("double") / accrued.cast("double") * 100, 2))
+
+
+# Dividend tran codes -> transaction type.
+DIVIDEND_TYPE = {"SHDV": "SHARE_DIVIDEND_TO_MEMBER", "CTDV": "CERTIFICATE_DIVIDEND"}
+
+
+def dividend_type(code) -> Column:
+    """C33."""
+    c = col(code)
+    out = None
+    for k, v in DIVIDEND_TYPE.items():
+        out = F.when(c == k, v) if out is None else out.when(c == k, v)
+    return out.otherwise(F.concat(F.lit("OTHER_DIVIDEND_"), c))
+
+
+# Fixed values: (discriminator, account type) -> deposit product name (dividend report).
+DIVIDEND_PRODUCT_TYPE = [
+    ("S", "PSAV", "Primary Savings"), ("S", "HYS", "High Yield Savings"), ("S", "MMA", "Money Market"),
+    ("S", "SSAV", "Secondary Savings"), ("S", "CLUB", "Club Account"), ("S", "TISV", "Traditional IRA Savings"),
+    ("S", "RISV", "Roth IRA Savings"), ("S", "YSAV", "Youth Savings"), ("S", "SPIS", "SEP IRA Savings"),
+    ("C", "CERT", "Certificate of Deposit"), ("C", "TICD", "Traditional IRA Certificate"),
+    ("C", "RICD", "Roth IRA Certificate"), ("C", "EICD", "Education IRA Certificate"),
+    ("D", "CHK", "Checking Account"), ("D", "OTCK", "Overtime Checking"),
+]
+
+
+def dividend_product_type(disc, atype) -> Column:
+    """Product name by discriminator and type, else 'disc - type'."""
+    d, t = col(disc), col(atype)
+    out = None
+    for dd, tt, label in DIVIDEND_PRODUCT_TYPE:
+        cond = (d == dd) & (t == tt)
+        out = F.when(cond, label) if out is None else out.when(cond, label)
+    return out.otherwise(F.concat(d, F.lit(" - "), t))
+
+
+# GL number prefix -> GL account category, first match wins.
+GL_PREFIX_CATEGORY = [("380.", "DIVIDEND_EXPENSE"), ("901.", "MEMBER_DEPOSIT_ACCOUNT"),
+                      ("903.", "CERTIFICATE_ACCOUNT"), ("383.", "OTHER_DIVIDEND_EXPENSE"), ("151.", "CASH_ACCOUNT")]
+
+
+def gl_prefix_category(number) -> Column:
+    """C34."""
+    n = col(number)
+    out = None
+    for pre, label in GL_PREFIX_CATEGORY:
+        out = F.when(n.startswith(pre), label) if out is None else out.when(n.startswith(pre), label)
+    return out.otherwise("OTHER_GL_ACCOUNT")
+
+
+def business_category(code, disc) -> Column:
+    """C33."""
+    c, d = col(code), col(disc)
+    return (F.when((c == "SHDV") & (d == "S"), "SAVINGS_DIVIDEND_PAYMENT")
+            .when(c == "CTDV", "CERTIFICATE_DIVIDEND_PAYMENT").otherwise("OTHER_DIVIDEND_TRANSACTION"))
+
+
+def estimated_rate(code, amount, balance, factor: int) -> Column:
+    """|amount| / balance x factor, 4 decimals (exact decimal arithmetic),
+    for share dividends paid out of a balance over 100."""
+    c, a, b = col(code), col(amount), col(balance)
+    rate = F.round(F.abs(a) / b * F.lit(factor), 4).cast("decimal(38,4)")
+    return F.when((c == "SHDV") & (b > 100) & (a < 0), rate)

@@ -137,3 +137,62 @@ def gl_accruals_certificates(q: Q) -> str:
 
 def gl_accruals_loans(q: Q) -> str:
     return _accruals(q, "LOAN", "LOAN", "Interest", loans=True)
+
+
+def exact_round_ratio(num: str, den: str, factor: int, scale: int) -> str:
+    """round(num / den x factor, scale) for 2-decimal num >= 0 and den > 0,
+    half away from zero, exact in integer arithmetic, as DECIMAL(38, scale)."""
+    n = f"(CAST(round({num} * 100) AS HUGEINT) * {factor} * {10 ** scale})"
+    d = f"CAST(round({den} * 100) AS HUGEINT)"
+    q = f"((2 * {n} + {d}) // (2 * {d}))"
+    return f"CAST(CAST({q} AS DECIMAL(38,0)) * {1 / 10 ** scale:.{scale}f} AS DECIMAL(38,{scale}))"
+
+
+def gl_dividends(q: Q) -> str:
+    from ledgerline.functions.gl import DIVIDEND_PRODUCT_TYPE, GL_PREFIX_CATEGORY
+    from ledgerline.functions.branches import BRANCH_CATEGORY
+    prod = "CASE " + " ".join(f"WHEN da.discriminator = '{d}' AND da.account_type = '{t}' THEN '{lab}'"
+                              for d, t, lab in DIVIDEND_PRODUCT_TYPE) + \
+        " ELSE da.discriminator || ' - ' || da.account_type END"
+    glc = "CASE " + " ".join(f"WHEN CAST(gl.account_number AS VARCHAR) LIKE '{pre}%' THEN '{lab}'"
+                             for pre, lab in GL_PREFIX_CATEGORY) + " ELSE 'OTHER_GL_ACCOUNT' END"
+    brc = "CASE " + " ".join(f"WHEN db.branch_number = '{k}' THEN '{v}'" for k, v in BRANCH_CATEGORY.items()) + \
+        " ELSE 'OTHER_BRANCH' END"
+    ok = "th.tran_code = 'SHDV' AND da.current_balance > 100 AND th.total_amount < 0"
+    return q.wrap(f"""
+WITH th AS (
+  SELECT * FROM transaction_history
+  WHERE date_effective >= {q.d(q.p.dividend_start)} AND tran_code IN ('SHDV', 'CTDV') AND void_flag = 0 AND total_amount <> 0
+), db AS (
+  SELECT bc.branch_config_id, bc.branch_number, be.name_last AS branch_name
+  FROM branch_config bc LEFT JOIN entity be ON bc.branch_entity_id = be.entity_id
+)
+SELECT 'TXN_' || th.tran_code || '_' || CAST(th.transaction_history_id AS VARCHAR) AS ID_Dividend_Transaction,
+  th.transaction_history_id AS Transaction_History_ID, th.batch_number AS Batch_Number, th.tran_code AS Transaction_Code,
+  CASE WHEN th.tran_code = 'SHDV' THEN 'SHARE_DIVIDEND_TO_MEMBER' WHEN th.tran_code = 'CTDV' THEN 'CERTIFICATE_DIVIDEND'
+       ELSE 'OTHER_DIVIDEND_' || th.tran_code END AS Transaction_Type,
+  th.date_effective AS Transaction_Date, CAST(year(th.date_effective) AS INTEGER) AS Transaction_Year,
+  CAST(month(th.date_effective) AS INTEGER) AS Transaction_Month, CAST(quarter(th.date_effective) AS INTEGER) AS Transaction_Quarter,
+  strftime(th.date_effective, '%Y-%m') AS year_month, th.total_amount AS Amount, abs(th.total_amount) AS Amount_Absolute,
+  th.member_id AS Member_ID, dm.member_number AS Member_Number, th.account_id AS Account_ID,
+  da.account_number AS Account_Number, da.account_type AS Account_Type, da.discriminator AS Account_Discriminator,
+  CASE da.discriminator WHEN 'S' THEN 'SAVINGS' WHEN 'C' THEN 'CERTIFICATES' WHEN 'D' THEN 'CHECKING' WHEN 'L' THEN 'LOANS'
+       WHEN 'U' THEN 'SPECIAL' ELSE 'OTHER' END AS Account_Category,
+  da.current_balance AS Current_Account_Balance, da.status AS Account_Status, {prod} AS Product_Type,
+  CAST(gl.account_number AS VARCHAR) AS GL_Account_Number, gl.description AS GL_Account_Description,
+  gl.short_desc AS GL_Account_Short_Desc, {glc} AS GL_Account_Category,
+  th.branch_config_id AS Branch_Config_ID, db.branch_number AS Branch_Number,
+  CASE WHEN db.branch_name LIKE '%MINNEQUA WORKS CREDIT UNION%' THEN 'MINNEQUA WORKS CR'
+       WHEN db.branch_name IS NULL THEN 'Unknown Branch' ELSE trim(db.branch_name) END AS Branch_Name,
+  {brc} AS Branch_Category,
+  CASE WHEN th.tran_code = 'SHDV' AND da.discriminator = 'S' THEN 'SAVINGS_DIVIDEND_PAYMENT'
+       WHEN th.tran_code = 'CTDV' THEN 'CERTIFICATE_DIVIDEND_PAYMENT' ELSE 'OTHER_DIVIDEND_TRANSACTION' END AS Business_Category,
+  CASE WHEN {ok} THEN {exact_round_ratio('abs(th.total_amount)', 'da.current_balance', 100, 4)} END AS Estimated_Monthly_Rate_Percent,
+  CASE WHEN {ok} THEN {exact_round_ratio('abs(th.total_amount)', 'da.current_balance', 1200, 4)} END AS Estimated_Annual_Rate_Percent,
+  0 AS Is_Voided, th.user_id AS User_ID, th.description AS Transaction_Description,
+  th.created_timestamp AS Created_Timestamp, th.modified_timestamp AS Modified_Timestamp
+FROM th
+LEFT JOIN member dm ON th.member_id = dm.member_id
+LEFT JOIN account da ON th.account_id = da.account_id
+LEFT JOIN gl_chart_of_accounts gl ON th.gl_chart_of_account_id = gl.record_number
+LEFT JOIN db ON th.branch_config_id = db.branch_config_id""")

@@ -168,3 +168,64 @@ def gl_accruals_certificates(t: Tables, p: Params, v: Variant) -> DataFrame:
 
 def gl_accruals_loans(t: Tables, p: Params, v: Variant) -> DataFrame:
     return _accruals(t, p, v, "LOAN", "LOAN", "Interest", loans=True)
+
+
+def dim_branch(branch_config: DataFrame, entity: DataFrame) -> DataFrame:
+    """Branch config id -> branch number and the branch entity's name."""
+    ent = entity.select(F.col("entity_id").alias("branch_entity_id"), F.col("name_last").alias("branch_name"))
+    return (branch_config.select("branch_config_id", "branch_number", "branch_entity_id")
+            .join(ent, ["branch_entity_id"], "left").drop("branch_entity_id"))
+
+
+def gl_dividends(t: Tables, p: Params, v: Variant) -> DataFrame:
+    """R08 (single tenant): share and certificate dividend postings since
+    ``dividend_start`` with member, account, GL and branch attributes and
+    estimated rates.
+
+    The filter reaches the transaction scan; member and account are joined on
+    their keys, GL accounts and branches are small lookups.
+    """
+    from ledgerline.functions.accounts import account_category
+    from ledgerline.functions.branches import branch_category, branch_name
+
+    tx = t["transaction_history"].filter(
+        (F.col("date_effective") >= F.lit(p.dividend_start)) & F.col("tran_code").isin("SHDV", "CTDV")
+        & (F.col("void_flag") == 0) & (F.col("total_amount") != 0))
+    tx = tx.select("transaction_history_id", "batch_number", "tran_code", "date_effective", "total_amount",
+                   "member_id", "account_id", "gl_chart_of_account_id", "branch_config_id", "user_id",
+                   F.col("description").alias("tx_description"), "created_timestamp", "modified_timestamp")
+    mem = t["member"].select("member_id", "member_number")
+    acc = t["account"].select("account_id", "account_number", "account_type", "discriminator", "current_balance",
+                              "status")
+    coa = t["gl_chart_of_accounts"].select(F.col("record_number").alias("gl_chart_of_account_id"),
+                                           F.col("account_number").cast("string").alias("gl_number"),
+                                           F.col("description").alias("gl_description"), "short_desc")
+    br = dim_branch(t["branch_config"], t["entity"])
+    j = (tx.join(mem, ["member_id"], "left").join(acc, ["account_id"], "left")
+         .join(coa, ["gl_chart_of_account_id"], "left").join(br, ["branch_config_id"], "left"))
+    d = F.col("date_effective")
+    return j.select(
+        F.concat(F.lit("TXN_"), F.col("tran_code"), F.lit("_"), F.col("transaction_history_id").cast("string"))
+        .alias("ID_Dividend_Transaction"),
+        F.col("transaction_history_id").alias("Transaction_History_ID"), F.col("batch_number").alias("Batch_Number"),
+        F.col("tran_code").alias("Transaction_Code"), G.dividend_type("tran_code").alias("Transaction_Type"),
+        d.alias("Transaction_Date"), F.year(d).alias("Transaction_Year"), F.month(d).alias("Transaction_Month"),
+        F.quarter(d).alias("Transaction_Quarter"), F.date_format(d, "yyyy-MM").alias("year_month"),
+        F.col("total_amount").alias("Amount"), F.abs("total_amount").alias("Amount_Absolute"),
+        F.col("member_id").alias("Member_ID"), F.col("member_number").alias("Member_Number"),
+        F.col("account_id").alias("Account_ID"), F.col("account_number").alias("Account_Number"),
+        F.col("account_type").alias("Account_Type"), F.col("discriminator").alias("Account_Discriminator"),
+        account_category(F.col("discriminator")).alias("Account_Category"),
+        F.col("current_balance").alias("Current_Account_Balance"), F.col("status").alias("Account_Status"),
+        G.dividend_product_type("discriminator", "account_type").alias("Product_Type"),
+        F.col("gl_number").alias("GL_Account_Number"), F.col("gl_description").alias("GL_Account_Description"),
+        F.col("short_desc").alias("GL_Account_Short_Desc"),
+        G.gl_prefix_category("gl_number").alias("GL_Account_Category"),
+        F.col("branch_config_id").alias("Branch_Config_ID"), F.col("branch_number").alias("Branch_Number"),
+        branch_name("branch_name").alias("Branch_Name"), branch_category("branch_number").alias("Branch_Category"),
+        G.business_category("tran_code", "discriminator").alias("Business_Category"),
+        G.estimated_rate("tran_code", "total_amount", "current_balance", 100).alias("Estimated_Monthly_Rate_Percent"),
+        G.estimated_rate("tran_code", "total_amount", "current_balance", 1200).alias("Estimated_Annual_Rate_Percent"),
+        F.lit(0).alias("Is_Voided"), F.col("user_id").alias("User_ID"),
+        F.col("tx_description").alias("Transaction_Description"),
+        F.col("created_timestamp").alias("Created_Timestamp"), F.col("modified_timestamp").alias("Modified_Timestamp"))
