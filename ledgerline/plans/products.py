@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,3 +96,136 @@ def accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     if p.ordered:
         df = df.orderBy("member_id", "_rank", F.col("_opened").desc())
     return df.drop("_rank", "_opened")
+
+
+PRODUCT_COLUMNS = ["id_member", "id_product", "main_category", "category_product", "product_number",
+                   "date_opened_product", "date_closed_product", "product_is_active", "_recent",
+                   "table_name_origin", "_counts"]
+
+
+def product_rows(t: Tables, p: Params, v: Variant) -> DataFrame:
+    """The thin 5-way union of products (accounts, loans, debit cards, credit
+    cards, credit lines) with the member key, row columns and ``_counts``
+    (the row is an active product for the per-member count, O16).
+
+    ``account`` is scanned once for the three account-based branches and
+    joined to recent activity once; ``eft_card_file`` once for both card
+    branches; ``account_loan`` is joined once for loans and credit lines.
+    """
+    from ledgerline.functions import products as P
+    from ledgerline.operators.accounts import recently_active_accounts
+
+    k = v.keys
+    disc = v.norm("discriminator")
+    atype = v.norm("account_type")
+    acc = t["account"]
+    cards = t["eft_card_file"]
+    if v.mt:
+        acc = acc.filter(F.col("member_number") > 0)
+        cards = cards.filter(F.col("member_number") > 0)
+    recent = recently_active_accounts(t["transaction_history"], k, p.as_of, p.recent_days)
+    acc = (acc.filter(disc.isin("S", "D", "C", "U", "L"))
+           .select(*k, "account_id", "member_number", "account_number", "date_opened", "date_closed",
+                   "charge_off_date", "access_control", disc.alias("_disc"), atype.alias("_type"))
+           .join(recent, k + ["account_id"], "left"))
+    recent_acc = F.col("_recent").isNotNull()
+    access = (F.upper(F.trim(F.coalesce(F.col("access_control"), F.lit("")))) if v.mt
+              else F.coalesce(F.col("access_control"), F.lit("")))
+    open_ = F.col("date_closed").isNull()
+    open_nco = open_ & F.col("charge_off_date").isNull()
+    deposit = acc.filter(F.col("_disc").isin("S", "D", "C", "U")).select(
+        *k, F.col("member_number").alias("id_member"), F.col("account_number").alias("id_product"),
+        F.lit("Accounts").alias("main_category"), P.account_product(F.col("_disc")).alias("category_product"),
+        F.col("account_number").alias("product_number"), F.col("date_opened").alias("date_opened_product"),
+        F.col("date_closed").alias("date_closed_product"),
+        F.when(open_, "Active").otherwise("Inactive").alias("product_is_active"), recent_acc.alias("_recent"),
+        F.lit("account").alias("table_name_origin"), (open_ & ~access.isin("B", "R")).alias("_counts"))
+    lo = acc.filter(F.col("_disc") == "L").join(t["account_loan"].select(*k, "account_id", "credit_limit"),
+                                                k + ["account_id"], "inner")
+    non_card = ~F.col("_type").isin(*P.LOAN_CARD_TYPES)
+    # ST lists every L account as a loan (defect D9, literal unless ``fix`` has "D9").
+    loan_rows = non_card if (v.mt or p.fixed("D9")) else F.lit(True)
+    common = [F.col("date_opened").alias("date_opened_product"), F.col("date_closed").alias("date_closed_product"),
+              F.when(open_nco, "Active").otherwise("Inactive").alias("product_is_active"),
+              recent_acc.alias("_recent")]
+    loans = lo.filter(loan_rows).select(
+        *k, F.col("member_number").alias("id_member"), F.col("account_number").alias("id_product"),
+        F.lit("Loans").alias("main_category"), F.lit("Loan").alias("category_product"),
+        F.col("account_number").alias("product_number"), *common,
+        F.lit("account_loan").alias("table_name_origin"), (non_card & open_nco).alias("_counts"))
+    lines = lo.filter(F.col("credit_limit") > 0).select(
+        *k, F.col("member_number").alias("id_member"),
+        F.concat(F.col("account_number"), F.lit("_CREDIT_ACCOUNT")).alias("id_product"),
+        F.lit("Cards").alias("main_category"), F.lit("Credit Card Account").alias("category_product"),
+        F.col("account_number").alias("product_number"), *common,
+        F.lit("account_loan_credit").alias("table_name_origin"), open_nco.alias("_counts"))
+
+    ctype = F.upper(F.trim("card_type")) if v.mt else F.col("card_type")
+    reject = F.trim(F.col("reject_code").cast("string")) if v.mt else F.col("reject_code")
+    cards = cards.filter(ctype.isin(*P.DEBIT_TYPES, *P.CREDIT_TYPES)).withColumn("_ct", ctype)
+    debit = F.col("_ct").isin(*P.DEBIT_TYPES)
+    card_rows = cards.select(
+        *k, F.col("member_number").alias("id_member"),
+        F.concat(F.col("member_number").cast("string"), F.when(debit, "_CARD_").otherwise("_CREDITCARD_"),
+                 F.col("record_number").cast("string")).alias("id_product"),
+        F.lit("Cards").alias("main_category"),
+        F.when(debit, P.debit_card_product(F.col("_ct"))).otherwise(P.credit_card_product(F.col("_ct")))
+        .alias("category_product"),
+        F.col("record_number").cast("string").alias("product_number"),
+        F.col("issue_date").alias("date_opened_product"), P.card_closed_date(p.as_of).alias("date_closed_product"),
+        P.card_is_active(p.as_of, reject).alias("product_is_active"),
+        F.coalesce(F.col("last_pin_used_date") >= F.lit(p.as_of - dt.timedelta(days=p.recent_days)),
+                   F.lit(False)).alias("_recent"),
+        F.when(debit, "eft_card_file_debit").otherwise("eft_card_file_credit").alias("table_name_origin"),
+        P.card_counts_as_product(p.as_of, reject).alias("_counts"))
+    return (deposit.unionByName(loans).unionByName(card_rows).unionByName(lines)
+            .withColumnRenamed("id_member", "member_number"))
+
+
+def products_overview(t: Tables, p: Params, v: Variant) -> DataFrame:
+    """One row per product with the member's active-product count,
+    member status and kind, tenant name.
+
+    The member-keyed joins (count, status, kind) share one partitioning of the
+    union; status and kind are joined separately, so duplicate member rows fan
+    out as in the report text.  MT keeps tenants that have a name row (inner
+    join); ST's single name is a scalar subquery.
+    """
+    from ledgerline.functions import members as M
+    from ledgerline.functions import products as P
+    from ledgerline.operators.tenant import cu_name_scalar
+
+    k = v.keys
+    rows = product_rows(t, p, v)
+    counts = (rows.filter(F.col("_counts")).groupBy(*k, "member_number")
+              .agg(F.count(F.lit(1)).alias("number_of_products_for_member")))
+    fc = M.member_filter_columns()
+    m = t["member"]
+    status = m.select(*k, "member_number", M.member_status_strict().alias("member_status"),
+                      *[fc[c].alias(c) for c in ("member_number_is_valid", "member_inactive_flag_status",
+                                                 "member_accounts_status", "member_inactive_flag_code",
+                                                 "member_all_accounts_closed_flag")])
+    kind = (m.filter(F.col("member_number") > 0) if v.mt else m).select(
+        *k, "member_number", P.member_category("member_type").alias("member_category"))
+    j = (rows.join(counts, k + ["member_number"], "left").join(status, k + ["member_number"], "left")
+         .join(kind, k + ["member_number"], "left"))
+    if v.mt:
+        fi = t["fi_map"].select(F.col("prodigy_code").alias("_code"), "idfi")
+        info = t["credit_union_info"].select("credit_union", "credit_union_name")
+        ci = (info.join(fi, F.lower(F.trim(info["credit_union"])) == F.lower(F.trim(fi["_code"])), "left")
+              .select("credit_union", "credit_union_name", "idfi").distinct())
+        j = j.join(ci, ["credit_union"], "inner")
+        cu = F.col("credit_union_name")
+    else:
+        cu = cu_name_scalar(t["credit_union_info"])
+    df = j.select(*(["credit_union", "idfi"] if v.mt else []), F.col("member_number").alias("id_member"),
+                  "id_product", "main_category", "category_product", cu.alias("cu_name"), "product_number",
+                  "date_opened_product", "date_closed_product", "number_of_products_for_member",
+                  "product_is_active", P.recent_label(F.col("_recent")).alias("recent_activity_status"),
+                  "member_status", "table_name_origin", "member_category", "member_number_is_valid",
+                  "member_inactive_flag_status", "member_accounts_status", "member_inactive_flag_code",
+                  "member_all_accounts_closed_flag")
+    if p.ordered:
+        df = df.orderBy(*(["credit_union", "idfi"] if v.mt else []), "id_member", "main_category",
+                        "category_product", F.col("product_is_active").desc())
+    return df
