@@ -30,3 +30,34 @@ def branch_name(name) -> Column:
 def branch_category(number) -> Column:
     """Branch number -> category label, else OTHER_BRANCH."""
     return case_map(col(number), BRANCH_CATEGORY, "OTHER_BRANCH")
+
+
+# The head-office entity name as stored, mapped to the short label (journal report).
+HEAD_OFFICE_ENTITY_NAME = "MINNEQUA WORKS CREDIT UNION - PAULINE MONTOYA"
+
+# Journal-report branch labels by branch number ('0'..'6'):
+# (category, activity level, specialization, member density).
+JOURNAL_BRANCH_LABELS = {
+    "0": ("HEADQUARTERS/CORPORATE", "VERY_HIGH_ACTIVITY", "Corporate/Administrative Members", "VERY_HIGH_DENSITY"),
+    "1": ("MAIN_BRANCH/PRIMARY", "HIGHEST_ACTIVITY", "Family/General Membership", "HIGHEST_DENSITY"),
+    "2": ("REGENCY/BUSINESS_SERVICES", "MINIMAL_ACTIVITY", "Customer/Business Services", "MINIMAL_DENSITY"),
+    "3": ("PUEBLO_WEST/COMMUNITY", "LOW_ACTIVITY", "Family/Community Satellite", "LOW_DENSITY"),
+    "4": ("EAGLERIDGE/HIGH_VOLUME", "HIGH_ACTIVITY", "Family/Community Focused", "HIGH_DENSITY"),
+    "5": ("NEPCO/MIXED_SERVICES", "MEDIUM_ACTIVITY", "Mixed Community/Business", "MEDIUM_DENSITY"),
+    "6": ("REMOTE_SERVICES/DIGITAL", "DIGITAL_ONLY", "Digital/Remote Services", "ULTRA_LOW_DENSITY"),
+}
+JOURNAL_BRANCH_DEFAULTS = ("OTHER_BRANCH", "UNKNOWN_ACTIVITY", "Unknown Specialization", "UNKNOWN_DENSITY")
+
+
+def journal_branch_name(name) -> Column:
+    """Head-office entity -> short label, missing -> 'Unknown Branch', else trimmed."""
+    n = col(name)
+    return (F.when(n == HEAD_OFFICE_ENTITY_NAME, INSTITUTION_SHORT_NAME)
+            .when(n.isNull(), "Unknown Branch").otherwise(F.trim(n)))
+
+
+def journal_branch_labels(number) -> dict[str, Column]:
+    """The four branch label columns of the journal report."""
+    names = ["Branch_Category", "Branch_Activity_Level", "Branch_Specialization", "Branch_Member_Density"]
+    return {name: case_map(col(number), {k: v[i] for k, v in JOURNAL_BRANCH_LABELS.items()},
+                           JOURNAL_BRANCH_DEFAULTS[i]) for i, name in enumerate(names)}

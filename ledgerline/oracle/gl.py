@@ -196,3 +196,117 @@ LEFT JOIN member dm ON th.member_id = dm.member_id
 LEFT JOIN account da ON th.account_id = da.account_id
 LEFT JOIN gl_chart_of_accounts gl ON th.gl_chart_of_account_id = gl.record_number
 LEFT JOIN db ON th.branch_config_id = db.branch_config_id""")
+
+
+def gl_accounts_transactions(q: Q) -> str:
+    from ledgerline.functions.branches import JOURNAL_BRANCH_DEFAULTS, JOURNAL_BRANCH_LABELS
+    from ledgerline.operators.kpis import _minus_months
+    start = q.d(_minus_months(q.p.as_of, q.p.grid_months))
+    n = "TRY_CAST(gl.account_number AS DOUBLE)"
+    t = "gl.account_type"
+    r = lambda k, lo, hi: f"({t} = '{k}' AND {n} BETWEEN {lo} AND {hi})"
+    deb = f"({r('B', 700, 899)} OR {r('I', 200, 399)})"
+    cre = f"({r('B', 900, 999)} OR {r('I', 110, 199)} OR {r('I', 400, 499)})"
+    names = ["Branch_Category", "Branch_Activity_Level", "Branch_Specialization", "Branch_Member_Density"]
+    brl = ", ".join("CASE " + " ".join(f"WHEN bc.branch_number = '{k}' THEN '{v[i]}'" for k, v in
+                                       JOURNAL_BRANCH_LABELS.items()) + f" ELSE '{JOURNAL_BRANCH_DEFAULTS[i]}' END AS {nm}"
+                    for i, nm in enumerate(names))
+    u = "upper(h.description)"
+    a = "h.amount"
+    return q.wrap(f"""
+SELECT h.record_number AS Transaction_ID, CAST(h.gl_account_number AS VARCHAR) AS GL_ID, gl.description AS GL_Name,
+  gl.short_desc AS GL_Short_Name, h.description AS Transaction_Description,
+  h.gl_account_number || '-' || gl.short_desc AS GL_Account_Concat, h.branch_config_id AS Branch_Config_ID,
+  bc.branch_number AS Branch_Number,
+  CASE WHEN be.name_last = 'MINNEQUA WORKS CREDIT UNION - PAULINE MONTOYA' THEN 'MINNEQUA WORKS CR'
+       WHEN be.name_last IS NULL THEN 'Unknown Branch' ELSE trim(be.name_last) END AS Branch_Name, {brl},
+  {t} AS Account_Type,
+  CASE WHEN {t} = 'B' THEN 'Balance Sheet' WHEN {t} = 'I' THEN 'Income Statement' ELSE 'Other' END AS Account_Category,
+  CASE WHEN {r('B', 700, 799)} THEN 'ASSETS - Loans & Investments' WHEN {r('B', 800, 899)} THEN 'ASSETS/LIABILITIES - Clearing & Payables'
+       WHEN {r('B', 900, 999)} THEN 'LIABILITIES - Deposits & Equity' WHEN {r('I', 110, 199)} THEN 'INCOME - Interest & Fees'
+       WHEN {r('I', 200, 299)} THEN 'EXPENSES - Personnel & Operations' WHEN {r('I', 300, 399)} THEN 'EXPENSES - Operations & Provisions'
+       WHEN {r('I', 400, 499)} THEN 'OTHER - Miscellaneous Income/Expense' ELSE 'OTHER' END AS GL_Subcategory,
+  CASE WHEN {deb} THEN 'DEBIT_NATURE' WHEN {cre} THEN 'CREDIT_NATURE' ELSE 'MIXED_NATURE' END AS Account_Nature,
+  CASE WHEN {r('B', 700, 899)} THEN 'ASSETS (Increase with Debits, Decrease with Credits)'
+       WHEN {r('I', 200, 399)} THEN 'EXPENSES (Increase with Debits, Decrease with Credits)'
+       WHEN {r('B', 900, 999)} THEN 'LIABILITIES/EQUITY (Increase with Credits, Decrease with Debits)'
+       WHEN {r('I', 110, 199)} THEN 'REVENUE (Increase with Credits, Decrease with Debits)'
+       WHEN {r('I', 400, 499)} THEN 'OTHER REVENUE (Increase with Credits, Decrease with Debits)'
+       ELSE 'MIXED OR UNCLASSIFIED NATURE' END AS Account_Nature_Description,
+  h.effective_date AS Effective_Date, h.reference_date AS Reference_Date, h.actual_date AS Posting_Date,
+  strftime(h.effective_date, '%Y-%m') AS YearMonth, CAST(year(h.effective_date) AS INTEGER) AS TransactionYear,
+  CAST(month(h.effective_date) AS INTEGER) AS TransactionMonth, strftime(h.effective_date, '%B') AS MonthName,
+  CAST(quarter(h.effective_date) AS INTEGER) AS TransactionQuarter, CAST(day(h.effective_date) AS INTEGER) AS DayOfMonth,
+  strftime(h.effective_date, '%A') AS DayOfWeek, CAST(isodow(h.effective_date) AS INTEGER) AS DayOfWeekNumber,
+  CAST(weekofyear(h.effective_date) AS INTEGER) AS ISOWeek, CAST(dayofyear(h.effective_date) AS INTEGER) AS DayOfYear,
+  CASE WHEN isodow(h.effective_date) IN (6, 7) THEN 'Weekend' ELSE 'Weekday' END AS BusinessDayType,
+  CASE WHEN day(h.effective_date) <= 7 THEN 'First Week' WHEN day(h.effective_date) <= 14 THEN 'Second Week'
+       WHEN day(h.effective_date) <= 21 THEN 'Third Week' ELSE 'Fourth Week+' END AS WeekOfMonth,
+  h.source AS Txn_Source,
+  CASE h.source WHEN 'CU' THEN 'Credit Union System (EOD Processing)' WHEN 'JE' THEN 'Journal Entry (Manual/System)'
+       WHEN 'CT' THEN 'Certificate/Time Deposit' WHEN 'AP' THEN 'Accounts Payable' WHEN 'FA' THEN 'Fixed Assets/Depreciation'
+       ELSE 'Other: ' || h.source END AS Txn_Source_Description,
+  h.entry_desc AS Txn_Type,
+  CASE WHEN h.entry_desc = 'EOD' THEN 'End of Day Processing'
+       WHEN h.entry_desc LIKE '%-%' THEN 'Manual Entry - User ' || substr(h.entry_desc, 1, 2)
+       WHEN h.entry_desc = 'CERT ACCRUAL' THEN 'Certificate Interest Accrual' WHEN h.entry_desc = 'INVOICE' THEN 'Invoice Payment/Processing'
+       WHEN h.entry_desc = 'Depreciation' THEN 'Asset Depreciation' WHEN h.entry_desc LIKE 'ME Loan%' THEN 'Member Loan Accrual'
+       ELSE h.entry_desc END AS Txn_Type_Description,
+  {a} AS Amount, abs({a}) AS Abs_Amount,
+  CASE WHEN {a} > 0 THEN 'Debit' WHEN {a} < 0 THEN 'Credit' ELSE 'Zero' END AS Debit_Credit,
+  CAST(CASE WHEN {a} > 0 THEN {a} ELSE 0 END AS DECIMAL(18,2)) AS Debit_Amount,
+  CAST(CASE WHEN {a} < 0 THEN abs({a}) ELSE 0 END AS DECIMAL(18,2)) AS Credit_Amount,
+  CASE WHEN {deb} THEN CASE WHEN {a} > 0 THEN 'INCREASE' WHEN {a} < 0 THEN 'DECREASE' ELSE 'NO_CHANGE' END
+       WHEN {cre} THEN CASE WHEN {a} > 0 THEN 'DECREASE' WHEN {a} < 0 THEN 'INCREASE' ELSE 'NO_CHANGE' END
+       ELSE 'UNKNOWN_IMPACT' END AS Account_Impact,
+  CASE WHEN {deb} THEN CASE WHEN {a} > 0 THEN 'INCREASES ' || CASE WHEN {t} = 'B' THEN 'ASSET' ELSE 'EXPENSE' END || ' (Normal Debit)'
+                            WHEN {a} < 0 THEN 'DECREASES ' || CASE WHEN {t} = 'B' THEN 'ASSET' ELSE 'EXPENSE' END || ' (Contra Credit)'
+                            ELSE 'NO CHANGE' END
+       WHEN {cre} THEN CASE WHEN {a} > 0 THEN 'DECREASES ' || CASE WHEN {t} = 'B' THEN 'LIABILITY/EQUITY' ELSE 'REVENUE' END || ' (Contra Debit)'
+                            WHEN {a} < 0 THEN 'INCREASES ' || CASE WHEN {t} = 'B' THEN 'LIABILITY/EQUITY' ELSE 'REVENUE' END || ' (Normal Credit)'
+                            ELSE 'NO CHANGE' END
+       ELSE 'IMPACT NOT DETERMINED' END AS Account_Impact_Description,
+  CASE WHEN abs({a}) = 0 THEN 'Zero Amount' WHEN abs({a}) < 100 THEN 'Small (< $100)' WHEN abs({a}) < 1000 THEN 'Medium ($100 - $1K)'
+       WHEN abs({a}) < 10000 THEN 'Large ($1K - $10K)' WHEN abs({a}) < 100000 THEN 'Very Large ($10K - $100K)'
+       ELSE 'Exceptional ($100K+)' END AS Transaction_Size_Category,
+  h.batch_number AS Batch_Number, h.group_id AS Group_ID, h.group_seq AS Group_Sequence, h.posted_by_user AS Posted_By_User,
+  CASE WHEN {u} LIKE '%DIVIDEND%' OR {u} LIKE '%DIV-%' THEN 'Dividend Transaction'
+       WHEN {u} LIKE '%INTEREST%' OR {u} LIKE '%INT-%' THEN 'Interest Transaction'
+       WHEN {u} LIKE '%FEE%' OR {u} LIKE '%CHARGE%' THEN 'Fee Transaction'
+       WHEN {u} LIKE '%SUMMARY%' THEN 'Summary/Aggregated Transaction'
+       WHEN {u} LIKE '%ACCRUAL%' OR {u} LIKE '%ACCR%' THEN 'Accrual Transaction'
+       WHEN {u} LIKE '%REVERSAL%' OR {u} LIKE '%REV%' THEN 'Reversal Transaction'
+       WHEN {u} LIKE '%CORRECTION%' OR {u} LIKE '%CORR%' THEN 'Correction Transaction'
+       WHEN {u} LIKE '%ADJUSTMENT%' OR {u} LIKE '%ADJ%' THEN 'Adjustment Transaction'
+       ELSE 'Regular Transaction' END AS Transaction_Nature,
+  CASE WHEN h.source = 'CU' AND h.entry_desc = 'EOD' THEN 'Automated EOD' WHEN h.source = 'JE' AND h.entry_desc LIKE '%-%' THEN 'Manual Entry'
+       WHEN h.source IN ('CT', 'AP', 'FA') THEN 'System Generated' ELSE 'Other Processing' END AS Processing_Type,
+  h.status AS Record_Status, h.modified AS Modified_Flag, h.version AS Record_Version, h.created_timestamp AS Record_Created,
+  h.created_by_userid AS Created_By_User, h.modified_timestamp AS Record_Modified, h.modified_by_userid AS Modified_By_User,
+  gl.inactive AS Account_Inactive, gl.restricted AS Account_Restricted, gl.controlled AS Account_Controlled,
+  gl.balance AS Current_Account_Balance,
+  CASE WHEN abs({a}) > 500000 THEN 'Exceptional Volume' WHEN abs({a}) > 100000 THEN 'Very High Volume'
+       WHEN abs({a}) > 10000 THEN 'High Volume' ELSE 'Standard Volume' END AS Volume_Indicator,
+  CASE WHEN {r('B', 860, 899)} OR {r('I', 110, 199)} THEN 'High Activity Account' ELSE 'Standard Activity Account' END AS Expected_Activity_Level,
+  CASE WHEN ({r('B', 700, 899)} AND {a} > 0) OR ({r('I', 200, 399)} AND {a} > 0) OR ({r('B', 900, 999)} AND {a} < 0)
+            OR ({r('I', 110, 199)} AND {a} < 0) OR ({r('I', 400, 499)} AND {a} < 0) THEN 'NORMAL_PATTERN'
+       WHEN ({r('B', 700, 899)} AND {a} < 0) OR ({r('I', 200, 399)} AND {a} < 0) OR ({r('B', 900, 999)} AND {a} > 0)
+            OR ({r('I', 110, 199)} AND {a} > 0) OR ({r('I', 400, 499)} AND {a} > 0) THEN 'CONTRA_PATTERN'
+       ELSE 'UNDEFINED_PATTERN' END AS Transaction_Pattern,
+  CASE WHEN {a} = 0 THEN 'ZERO_RISK'
+       WHEN abs({a}) > 100000 AND (({r('B', 700, 899)} AND {a} < 0) OR ({r('B', 900, 999)} AND {a} > 0)) THEN 'HIGH_RISK_LARGE_CONTRA'
+       WHEN h.source = 'JE' AND h.entry_desc LIKE '%-%' AND abs({a}) > 10000 THEN 'MEDIUM_RISK_MANUAL_LARGE'
+       WHEN {u} LIKE '%REVERSAL%' OR {u} LIKE '%CORRECTION%' THEN 'MEDIUM_RISK_ADJUSTMENT' ELSE 'LOW_RISK' END AS Risk_Level,
+  CASE WHEN {r('B', 700, 899)} THEN 'ASSETS' WHEN {r('B', 900, 999)} THEN 'LIABILITIES_EQUITY' WHEN {r('I', 110, 199)} THEN 'REVENUE'
+       WHEN {r('I', 200, 399)} THEN 'EXPENSES' WHEN {r('I', 400, 499)} THEN 'OTHER_INCOME' ELSE 'UNCATEGORIZED' END AS Accounting_Category,
+  CASE WHEN bc.branch_number = '0' AND abs({a}) > 1000000 THEN 'HQ_LARGE_TRANSACTION'
+       WHEN bc.branch_number <> '0' AND abs({a}) > 100000 THEN 'BRANCH_LARGE_TRANSACTION'
+       WHEN bc.branch_number = '6' AND abs({a}) > 1000 THEN 'REMOTE_UNUSUAL_AMOUNT' ELSE 'NORMAL_BRANCH_TRANSACTION' END AS Branch_Transaction_Pattern,
+  CASE WHEN h.source = 'JE' AND bc.branch_number <> '0' THEN 'BRANCH_MANUAL_ENTRY'
+       WHEN h.source = 'CU' AND bc.branch_number = '0' THEN 'HQ_SYSTEM_TRANSACTION'
+       WHEN h.source = 'CU' AND bc.branch_number <> '0' THEN 'BRANCH_SYSTEM_TRANSACTION' ELSE 'OTHER_BRANCH_TRANSACTION' END AS Branch_Transaction_Type
+FROM gl_history h
+JOIN gl_chart_of_accounts gl ON gl.account_number = h.gl_account_number
+LEFT JOIN branch_config bc ON h.branch_config_id = bc.branch_config_id
+LEFT JOIN entity be ON bc.branch_entity_id = be.entity_id
+WHERE h.effective_date >= {start} AND gl.account_type IN ('B', 'I')""")

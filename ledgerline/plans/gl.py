@@ -229,3 +229,72 @@ def gl_dividends(t: Tables, p: Params, v: Variant) -> DataFrame:
         F.lit(0).alias("Is_Voided"), F.col("user_id").alias("User_ID"),
         F.col("tx_description").alias("Transaction_Description"),
         F.col("created_timestamp").alias("Created_Timestamp"), F.col("modified_timestamp").alias("Modified_Timestamp"))
+
+
+def gl_accounts_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
+    """R03 (single tenant): enriched GL journal lines of the last ``grid_months``
+    months: branch labels, account nature, calendar, source, debit/credit
+    split, accounting impact, size, risk and branch patterns.
+
+    The date filter reaches the journal scan; journal lines join the chart of
+    accounts (B/I types only, inner) and the small branch dimension.
+    """
+    from ledgerline.functions import journal as J
+    from ledgerline.functions.branches import journal_branch_labels, journal_branch_name
+    from ledgerline.operators.kpis import _minus_months
+
+    start = _minus_months(p.as_of, p.grid_months)
+    h = t["gl_history"].filter(F.col("effective_date") >= F.lit(start))
+    coa = (t["gl_chart_of_accounts"].filter(F.col("account_type").isin("B", "I"))
+           .select(F.col("account_number").alias("gl_account_number"), F.col("description").alias("gl_description"),
+                   "short_desc", "account_type", "inactive", "restricted", "controlled", "balance"))
+    j = (h.join(coa, ["gl_account_number"], "inner")
+         .join(dim_branch(t["branch_config"], t["entity"]), ["branch_config_id"], "left"))
+    ty = F.col("account_type")
+    n = G.gl_numeric("gl_account_number")
+    amt = F.col("amount")
+    ab = F.abs(amt)
+    money = "decimal(18,2)"
+    cal = J.calendar_columns(F.col("effective_date"))
+    imp = J.account_impact(ty, n, amt)
+    br = journal_branch_labels(F.col("branch_number"))
+    bp = J.branch_patterns(F.col("branch_number"), amt, F.col("source"))
+    df = j.select(
+        F.col("record_number").alias("Transaction_ID"), F.col("gl_account_number").cast("string").alias("GL_ID"),
+        F.col("gl_description").alias("GL_Name"), F.col("short_desc").alias("GL_Short_Name"),
+        F.col("description").alias("Transaction_Description"),
+        F.concat(F.col("gl_account_number"), F.lit("-"), F.col("short_desc")).alias("GL_Account_Concat"),
+        F.col("branch_config_id").alias("Branch_Config_ID"), F.col("branch_number").alias("Branch_Number"),
+        journal_branch_name("branch_name").alias("Branch_Name"), *[c.alias(k) for k, c in br.items()],
+        ty.alias("Account_Type"), G.gl_category(ty).alias("Account_Category"),
+        J.journal_subcategory(ty, n).alias("GL_Subcategory"), J.account_nature(ty, n).alias("Account_Nature"),
+        J.account_nature_description(ty, n).alias("Account_Nature_Description"),
+        F.col("effective_date").alias("Effective_Date"), F.col("reference_date").alias("Reference_Date"),
+        F.col("actual_date").alias("Posting_Date"), *[c.alias(k) for k, c in cal.items()],
+        F.col("source").alias("Txn_Source"), J.source_description("source").alias("Txn_Source_Description"),
+        F.col("entry_desc").alias("Txn_Type"), J.entry_type_description("entry_desc").alias("Txn_Type_Description"),
+        amt.alias("Amount"), ab.alias("Abs_Amount"),
+        F.when(amt > 0, "Debit").when(amt < 0, "Credit").otherwise("Zero").alias("Debit_Credit"),
+        F.when(amt > 0, amt).otherwise(0).cast(money).alias("Debit_Amount"),
+        F.when(amt < 0, ab).otherwise(0).cast(money).alias("Credit_Amount"),
+        imp["Account_Impact"].alias("Account_Impact"),
+        imp["Account_Impact_Description"].alias("Account_Impact_Description"),
+        J.size_category(ab).alias("Transaction_Size_Category"),
+        F.col("batch_number").alias("Batch_Number"), F.col("group_id").alias("Group_ID"),
+        F.col("group_seq").alias("Group_Sequence"), F.col("posted_by_user").alias("Posted_By_User"),
+        J.transaction_nature("description").alias("Transaction_Nature"),
+        J.processing_type("source", "entry_desc").alias("Processing_Type"),
+        F.col("status").alias("Record_Status"), F.col("modified").alias("Modified_Flag"),
+        F.col("version").alias("Record_Version"), F.col("created_timestamp").alias("Record_Created"),
+        F.col("created_by_userid").alias("Created_By_User"), F.col("modified_timestamp").alias("Record_Modified"),
+        F.col("modified_by_userid").alias("Modified_By_User"), F.col("inactive").alias("Account_Inactive"),
+        F.col("restricted").alias("Account_Restricted"), F.col("controlled").alias("Account_Controlled"),
+        F.col("balance").alias("Current_Account_Balance"), J.volume_indicator(ab).alias("Volume_Indicator"),
+        J.expected_activity_level(ty, n).alias("Expected_Activity_Level"),
+        imp["Transaction_Pattern"].alias("Transaction_Pattern"),
+        J.risk_level(ty, n, amt, F.col("source"), F.col("entry_desc"), F.col("description")).alias("Risk_Level"),
+        J.accounting_category(ty, n).alias("Accounting_Category"),
+        *[c.alias(k) for k, c in bp.items()])
+    if p.ordered:
+        df = df.orderBy(F.col("Effective_Date").desc(), F.col("Transaction_ID").desc())
+    return df

@@ -41,6 +41,7 @@ _both("mt_loans_applications", "st_loans_applications", loans.loans_applications
 _both("mt_loans_general", "st_loans_general", loans.loans_general, o_loans.loans_general)
 _both("mt_accounts_general", "st_accounts_general", products.accounts_general, o_products.accounts_general)
 _both("mt_cards_general", "st_cards_general", cards.cards_general, o_cards.cards_general)
+_REPORTS["st_gl_accounts_transactions"] = (gl.gl_accounts_transactions, o_gl.gl_accounts_transactions, ST)
 _REPORTS["st_gl_dividends"] = (gl.gl_dividends, o_gl.gl_dividends, ST)
 _both("mt_products_overview", "st_products_overview", products.products_overview,
       o_products.products_overview)
