@@ -36,3 +36,18 @@ def as_double(c) -> Column:
 
 def money_sum(c) -> Column:
     return F.sum(c).cast(MONEY_SUM)
+
+
+def to_cents(c) -> Column:
+    """A 2-decimal money value as exact integer cents (bigint).
+
+    Aggregating cents runs on primitive longs inside whole-stage codegen,
+    where sums of decimal(18,2) widen to object-backed decimal(28+) buffers.
+    """
+    return (col(c) * 100).cast("bigint")
+
+
+def from_cents(c) -> Column:
+    """Integer cents back to an exact decimal(38,2)."""
+    from decimal import Decimal
+    return (col(c).cast("decimal(38,0)") * F.lit(Decimal("0.01"))).cast(MONEY_SUM)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.common import MONEY_SUM
+from ledgerline.functions.common import from_cents, to_cents
 
 
 def signed_distinct_activity(tx: DataFrame, keys: list[str], id_col: str, amount: str,
@@ -19,7 +19,7 @@ def signed_distinct_activity(tx: DataFrame, keys: list[str], id_col: str, amount
     partial aggregate, then counted.  A hot key is split across ids in the
     first shuffle and pre-aggregated before the second.
     """
-    a = F.col(amount)
+    a = to_cents(amount)
     per_id = (tx.groupBy(*keys, id_col).agg(
         F.max(a > 0).alias("_pos"),
         F.max(a < 0).alias("_neg"),
@@ -31,9 +31,9 @@ def signed_distinct_activity(tx: DataFrame, keys: list[str], id_col: str, amount
         F.count(id_col).alias(f"{prefix}Transactions"),
         F.count_if(has_id & F.col("_pos")).alias(f"{prefix}Deposits"),
         F.count_if(has_id & F.col("_neg")).alias(f"{prefix}Withdrawals"),
-        F.round(F.sum("_cr"), 2).cast(MONEY_SUM).alias(f"{prefix}total_credits"),
-        F.round(F.sum("_dr"), 2).cast(MONEY_SUM).alias(f"{prefix}total_debits"),
-        F.round(F.sum("_net"), 2).cast(MONEY_SUM).alias(f"{prefix}net_change_for_month"))
+        from_cents(F.sum("_cr")).alias(f"{prefix}total_credits"),
+        from_cents(F.sum("_dr")).alias(f"{prefix}total_debits"),
+        from_cents(F.sum("_net")).alias(f"{prefix}net_change_for_month"))
 
 
 def rollback_balance(monthly: DataFrame, keys: list[str], order: str, net: str,

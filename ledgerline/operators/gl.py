@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.common import MONEY_SUM, col
+from ledgerline.functions.common import MONEY_SUM, col, from_cents, to_cents
 
 
 def monthly_gl_activity(gl_history: DataFrame, keys: list[str]) -> DataFrame:
     """O2: per keys + account + month: lines, debits (negated negative
     amounts), credits, net and gross amount."""
-    a = F.col("amount")
-    return (gl_history
-            .select(*keys, F.col("gl_account_number").cast("string").alias("account_number"),
-                    F.trunc("effective_date", "month").alias("period_start"), "amount")
-            .groupBy(*keys, "account_number", "period_start")
-            .agg(F.count(F.lit(1)).alias("monthly_transactions"),
-                 F.sum(F.when(a < 0, -a).otherwise(0)).cast(MONEY_SUM).alias("monthly_debits"),
-                 F.sum(F.when(a > 0, a).otherwise(0)).cast(MONEY_SUM).alias("monthly_credits"),
-                 F.sum(a).cast(MONEY_SUM).alias("monthly_net_activity"),
-                 F.sum(F.abs(a)).cast(MONEY_SUM).alias("monthly_total_amount")))
+    a = F.col("_c")
+    g = (gl_history
+         .select(*keys, F.col("gl_account_number").cast("string").alias("account_number"),
+                 F.trunc("effective_date", "month").alias("period_start"), to_cents("amount").alias("_c"))
+         .groupBy(*keys, "account_number", "period_start")
+         .agg(F.count(F.lit(1)).alias("monthly_transactions"),
+              F.sum(F.when(a < 0, -a).otherwise(0)).alias("monthly_debits"),
+              F.sum(F.when(a > 0, a).otherwise(0)).alias("monthly_credits"),
+              F.sum(a).alias("monthly_net_activity"),
+              F.sum(F.abs(a)).alias("monthly_total_amount")))
+    sums = ("monthly_debits", "monthly_credits", "monthly_net_activity", "monthly_total_amount")
+    return g.select(*[from_cents(c).alias(c) if c in sums else c for c in g.columns])
 
 
 def running_balance(df: DataFrame, keys: list[str], order: str, value: str,
@@ -66,7 +68,8 @@ def accrual_monthly(account_types: DataFrame, gl_history: DataFrame, category: s
              .select(*k, canon(F.col("gl_account_number").cast("string")).alias("_gl"), "effective_date",
                      "amount", "batch_number")
              .join(roles, k + ["_gl"], "inner"))
-    amt = F.when((F.col("_role") == "paid") & F.lit(paid_abs), F.abs("amount")).otherwise(F.col("amount"))
+    cents = to_cents("amount")
+    amt = F.when((F.col("_role") == "paid") & F.lit(paid_abs), F.abs(cents)).otherwise(cents)
     per_batch = (lines.withColumn("_m", F.trunc("effective_date", "month"))
                  .groupBy(*k, "_m", "_role", "batch_number")
                  .agg(F.sum(amt).alias("_s"), F.count(F.lit(1)).alias("_n"),
@@ -75,7 +78,7 @@ def accrual_monthly(account_types: DataFrame, gl_history: DataFrame, category: s
     def side(role: str, name: str) -> list:
         r = F.col("_role") == role
         return [F.max(r).alias(f"has_{name}"),
-                F.sum(F.when(r, F.col("_s"))).cast(MONEY_SUM).alias(f"{name}_sum"),
+                from_cents(F.sum(F.when(r, F.col("_s")))).alias(f"{name}_sum"),
                 F.count(F.when(r, F.col("batch_number"))).alias(f"{name}_batches"),
                 F.sum(F.when(r, F.col("_n"))).alias(f"{name}_lines"),
                 F.min(F.when(r, F.col("_lo"))).alias(f"{name}_earliest"),

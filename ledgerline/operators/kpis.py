@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.common import MONEY_SUM
+from ledgerline.functions.common import from_cents, to_cents
 from ledgerline.operators.calendar import add_months
 
 
@@ -41,8 +41,9 @@ def _minus_months(d: dt.date, n: int) -> dt.date:
 
 
 def account_partials(tx: DataFrame, keys: list[str], windows: dict[str, Column]) -> DataFrame:
-    """Per ``keys`` (tenant, account): partial counts and sums for every window."""
-    a = F.col("total_amount")
+    """Per ``keys`` (tenant, account): partial counts and sums (integer cents)
+    for every window."""
+    a = to_cents("total_amount")
     ab = F.abs(a)
     aggs = []
     for w, c in windows.items():
@@ -62,10 +63,10 @@ def account_partials(tx: DataFrame, keys: list[str], windows: dict[str, Column])
     return tx.groupBy(*keys).agg(*aggs)
 
 
-def round_avg(total: Column, n: Column) -> Column:
+def round_avg(total: Column, n: Column, in_cents: bool = False) -> Column:
     """ROUND(total / n, 2) for total >= 0 with half-up rounding in integer
     cents, as a double (identical in every engine)."""
-    cents = (total * 100).cast("bigint")
+    cents = total if in_cents else to_cents(total)
     q = F.floor((cents * 2 + n) / (n * 2))  # exact: both operands are integers below 2^53
     return F.when(n > 0, q.cast("double") / 100)
 
@@ -88,12 +89,12 @@ def member_kpis(partials: DataFrame, keys: list[str], windows: list[str], cc_fla
         avg_src = F.col(f"sa_{w}") if life else F.col(f"san_{w}")
         debit_n = F.col("cc_n") if (w == "12m" and debit_12m_from_cc) else F.col(f"nd_{w}")
         cols += [F.col(f"n_{w}").alias(f"total_transactions_{w}"),
-                 F.round(F.col(f"sa_{w}"), 2).cast(MONEY_SUM).alias(f"total_transaction_amount_{w}"),
-                 round_avg(avg_src, F.col(f"nn_{w}")).alias(f"avg_transaction_amount_{w}"),
+                 from_cents(f"sa_{w}").alias(f"total_transaction_amount_{w}"),
+                 round_avg(avg_src, F.col(f"nn_{w}"), in_cents=True).alias(f"avg_transaction_amount_{w}"),
                  debit_n.alias(f"debit_transactions_{w}"),
                  F.col(f"nc_{w}").alias(f"credit_transactions_{w}"),
-                 F.round(F.col(f"da_{w}"), 2).cast(MONEY_SUM).alias(f"debit_amount_{w}"),
-                 F.round(F.col(f"ca_{w}"), 2).cast(MONEY_SUM).alias(f"credit_amount_{w}")]
+                 from_cents(f"da_{w}").alias(f"debit_amount_{w}"),
+                 from_cents(f"ca_{w}").alias(f"credit_amount_{w}")]
     cols += [F.col("cc_n").alias("credit_card_transactions_12m"),
-             F.round(F.col("cc_a"), 2).cast(MONEY_SUM).alias("credit_card_amount_12m")]
+             from_cents("cc_a").alias("credit_card_amount_12m")]
     return g.select(*keys, *cols, "first_d", "last_d", "n_30d", "n_90d", "n_12m")

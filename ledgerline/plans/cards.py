@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import cards as C
-from ledgerline.functions.common import MONEY_SUM
+from ledgerline.functions.common import from_cents, to_cents
 from ledgerline.operators.kpis import round_avg
 from ledgerline.operators.tenant import tenant_enrich
 from ledgerline.params import Params
@@ -26,7 +26,7 @@ def cards_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
     """
     tx = t["transaction_history"].filter(F.col("date_actual") >= F.lit(p.cards_start))
     period = F.date_format("date_actual", "yyyy-MM").alias("period")
-    amt = F.abs("total_amount")
+    amt = F.abs(to_cents("total_amount"))
     if not v.mt:
         code = F.col("tran_code")
         base = tx.filter(code.startswith("DRWD") | code.startswith("TLTC")).select(
@@ -36,8 +36,8 @@ def cards_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
             F.count_distinct("member_id").alias("unique_members"),
             F.count_distinct("account_id").alias("unique_accounts"),
             F.count(F.lit(1)).alias("total_transactions"),
-            round_avg(F.sum("amt"), F.count("amt")).alias("avg_transaction_amount"),
-            F.round(F.sum("amt"), 2).cast(MONEY_SUM).alias("total_transaction_volume"))
+            round_avg(F.sum("amt"), F.count("amt"), in_cents=True).alias("avg_transaction_amount"),
+            from_cents(F.sum("amt")).alias("total_transaction_volume"))
         if p.ordered:
             df = df.orderBy(F.col("period").desc(), "general_card_type")
         return df
@@ -59,13 +59,13 @@ def cards_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
                  C.specific_card_type(pre, F.col("debit_type"), F.col("credit_type"), tlt).alias(
                      "specific_card_type"),
                  "member_id", C.unique_card_key(pre, "account_id", "member_id", tlt).alias("_card"),
-                 "transaction_history_id", F.abs("total_amount").alias("amt"))
+                 "transaction_history_id", amt.alias("amt"))
     df = j.groupBy("credit_union", "idfi", "period", "specific_card_type").agg(
         F.count_distinct("member_id").alias("unique_members"),
         F.count_distinct("_card").alias("unique_cards"),
         F.count_distinct("transaction_history_id").alias("total_transactions"),
-        round_avg(F.sum("amt"), F.count("amt")).alias("avg_transaction_amount"),
-        F.round(F.sum("amt"), 2).cast(MONEY_SUM).alias("total_transaction_volume"))
+        round_avg(F.sum("amt"), F.count("amt"), in_cents=True).alias("avg_transaction_amount"),
+        from_cents(F.sum("amt")).alias("total_transaction_volume"))
     if p.ordered:
         df = df.orderBy(F.col("idfi").desc(), "period")
     return df

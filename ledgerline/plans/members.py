@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import members as M
-from ledgerline.functions.common import MONEY_SUM
+from ledgerline.functions.common import from_cents, to_cents
 from ledgerline.operators.tenant import tenant_enrich
 from ledgerline.params import Params
 from ledgerline.plans.variant import Variant
@@ -25,7 +25,7 @@ def member_key_trends(t: Tables, p: Params, v: Variant) -> DataFrame:
     """
     k = v.keys
     d = v.norm("discriminator")
-    bal = F.col("current_balance")
+    bal = to_cents("current_balance")
     acc = (t["account"].groupBy(*k, F.col("member_number").alias("_mk"))
            .agg(F.sum(bal).alias("_s"), F.count(bal).alias("_n"),
                 F.sum(F.when(d.isin("S", "D", "C"), bal).otherwise(0)).alias("_dep"),
@@ -57,10 +57,10 @@ def member_key_trends(t: Tables, p: Params, v: Variant) -> DataFrame:
     else:
         cols.append(F.when(F.col("all_accounts_closed") == 1, "Yes").otherwise("No").alias("Closed Membership"))
     cols += ["modified_timestamp",
-             F.when(F.col("_n") > 0, F.col("_s").cast("double") / F.col("_n")).alias("average_balance"),
-             F.col("_s").cast(MONEY_SUM).alias("total_balance"),
-             F.col("_dep").cast(MONEY_SUM).alias("total_deposits_balance"),
-             F.col("_loan").cast(MONEY_SUM).alias("total_loans_balance")]
+             F.when(F.col("_n") > 0, from_cents("_s").cast("double") / F.col("_n")).alias("average_balance"),
+             from_cents("_s").alias("total_balance"),
+             from_cents("_dep").alias("total_deposits_balance"),
+             from_cents("_loan").alias("total_loans_balance")]
     return g.select(*cols)
 
 

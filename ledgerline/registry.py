@@ -49,6 +49,11 @@ _both("mt_account_transactions", "st_accounts_transactions", products.account_tr
       o_products.account_transactions)
 
 
+def report(key: str) -> tuple[Callable, Callable | None, Variant]:
+    """(plan, oracle builder, variant) of a report key."""
+    return _REPORTS[key]
+
+
 def run(spark: SparkSession, sf_dir: str, key: str, p: Params = FIXTURE_PARAMS) -> DataFrame:
     plan, _, v = _REPORTS[key]
     return plan(Tables.from_dir(spark, sf_dir, v.name), p, v)

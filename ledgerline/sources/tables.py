@@ -60,3 +60,14 @@ class Tables(Mapping):
 
         names = [n for n in fixtures.COLUMNS if not (tenancy == "st" and n == "fi_map")]
         return cls({n: (lambda n=n: load(n)) for n in names}, tenancy)
+
+    @classmethod
+    def from_parquet(cls, spark: SparkSession, root: str, tenancy: str = "mt") -> "Tables":
+        """Bind logical tables stored as ``<root>/<name>`` parquet directories."""
+        names = [n for n in fixtures.COLUMNS if not (tenancy == "st" and n == "fi_map")]
+        return cls({n: (lambda n=n: spark.read.parquet(f"{root.rstrip('/')}/{n}")) for n in names}, tenancy)
+
+    def write(self, root: str) -> None:
+        """Store every table as ``<root>/<name>`` parquet (overwrite)."""
+        for n in self:
+            self[n].write.mode("overwrite").parquet(f"{root.rstrip('/')}/{n}")
