@@ -35,7 +35,7 @@ def main() -> None:
     tables = {}
     for tenancy in ("mt", "st"):
         root = os.path.join(store, tenancy)
-        Tables.from_dir(spark, sf_dir, tenancy).write(root)
+        Tables.from_dir(spark, sf_dir, tenancy).write(root, files=int(cpus) * 2)
         tables[tenancy] = Tables.from_parquet(spark, root, tenancy)
     bind = round(time.perf_counter() - t0, 3)
 

@@ -36,14 +36,27 @@ def specific_card_type(prefix: Column, debit_type: Column, credit_type: Column,
             .otherwise("Other"))
 
 
-def unique_card_key(prefix: Column, account_id, member_id, tlt: Column) -> Column:
-    """Composed card id per transaction kind (null when a part is null)."""
+def unique_card_text(prefix: Column, account_id, member_id, tlt: Column) -> Column:
+    """Composed card id text per transaction kind ('DEBIT_<account>_<member>',
+    'CREDIT_<account>', 'ACCOUNT_<account>'), null when a part is null."""
     a, m = col(account_id).cast("string"), col(member_id).cast("string")
     return (F.when(prefix == "DRWD", F.concat(F.lit("DEBIT_"), a, F.lit("_"), m))
             .when(tlt, F.concat(F.lit("CREDIT_"), a))
             .otherwise(F.concat(F.lit("ACCOUNT_"), a)))
 
 
+def unique_card_key(prefix: Column, account_id, member_id, tlt: Column) -> Column:
+    """C41 as a compact key with the same identity and null rule as the text
+    id: (kind, account, member) where member only counts for debit cards.
+    Distinct-counting this struct avoids building a string per transaction."""
+    a, m = col(account_id), col(member_id)
+    debit = prefix == "DRWD"
+    kind = F.when(debit, 0).when(tlt, 1).otherwise(2)
+    member = F.when(debit, m.cast("bigint"))
+    complete = a.isNotNull() & (~debit | m.isNotNull())
+    return F.when(complete, F.struct(kind.alias("k"), a.alias("a"), member.alias("m")))
+
+
 def general_card_type(tran_code) -> Column:
     """C27 (ST): ATM before DEBIT before CREDIT by tran-code prefix."""
     c = col(tran_code)

@@ -43,14 +43,11 @@ def zero_filled_grid(keys: DataFrame, first: dt.date, last: dt.date, facts: Data
 
     The months are generated per key row (explode of a constant sequence), so
     the grid never crosses two relations; the facts join is a plain equi-join.
-    The key table is hash-partitioned on ``on`` first, into an explicit
-    number of partitions (the session's shuffle partitions): a small key
-    table would otherwise explode in a single task (AQE sizes partitions by
-    the bytes entering the shuffle, not the 37x rows leaving it), and this is
-    the partitioning the per-key window after the grid needs.
+    The exploded grid is hash-partitioned on ``on`` (AQE sizes the partitions
+    from the exploded bytes, not from the small key table), which is also the
+    partitioning the per-key window after the grid needs.
     """
-    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grid = keys.repartition(n, *on).withColumn(period, F.explode(month_sequence(first, last)))
+    grid = keys.withColumn(period, F.explode(month_sequence(first, last))).repartition(*on)
     joined = grid.join(facts, on + [period], "left")
     return joined.select(*[c for c in joined.columns if c not in fill],
                          *[F.coalesce(F.col(c), v).alias(c) for c, v in fill.items()])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Discriminator codes counted per member, with the output column for each.
@@ -33,7 +33,14 @@ def account_summary(account: DataFrame, keys: list[str]) -> DataFrame:
 
 def flag_any_all_closed(member: DataFrame, keys: list[str]) -> DataFrame:
     """O7 helper: ``_any_all_closed`` = some member row with the same (keys,
-    member_number) has all_accounts_closed = 1 (window on the join keys, so it
-    shares the join's exchange)."""
-    w = Window.partitionBy(*keys, "member_number")
-    return member.withColumn("_any_all_closed", F.max(F.col("all_accounts_closed") == 1).over(w))
+    member_number) has all_accounts_closed = 1.
+
+    The closed keys are a partially aggregated DISTINCT joined back as an
+    existence flag, not a window: a window would put every row of a hot member
+    number (a third of all rows, say) into one task, while the join gets
+    AQE's skew split.
+    """
+    closed = (member.filter((F.col("all_accounts_closed") == 1) & F.col("member_number").isNotNull())
+              .select(*keys, "member_number").distinct().withColumn("_any_all_closed", F.lit(True)))
+    return (member.join(closed, keys + ["member_number"], "left")
+            .withColumn("_any_all_closed", F.coalesce(F.col("_any_all_closed"), F.lit(False))))

@@ -67,7 +67,9 @@ class Tables(Mapping):
         names = [n for n in fixtures.COLUMNS if not (tenancy == "st" and n == "fi_map")]
         return cls({n: (lambda n=n: spark.read.parquet(f"{root.rstrip('/')}/{n}")) for n in names}, tenancy)
 
-    def write(self, root: str) -> None:
-        """Store every table as ``<root>/<name>`` parquet (overwrite)."""
+    def write(self, root: str, files: int | None = None) -> None:
+        """Store every table as ``<root>/<name>`` parquet (overwrite), spread
+        over ``files`` files when given (round robin), as a lake table is."""
         for n in self:
-            self[n].write.mode("overwrite").parquet(f"{root.rstrip('/')}/{n}")
+            df = self[n] if files is None else self[n].repartition(files)
+            df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{n}")
