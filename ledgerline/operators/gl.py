@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ledgerline.functions.common import MONEY_SUM, col, from_cents, to_cents
 
 
-def monthly_gl_activity(gl_history: DataFrame, keys: list[str]) -> DataFrame:
+def monthly_gl_activity(gl_history: DataFrame, keys: list[str], cents: bool = False) -> DataFrame:
     """O2: per keys + account + month: lines, debits (negated negative
-    amounts), credits, net and gross amount."""
+    amounts), credits, net and gross amount (decimal, or integer cents when
+    ``cents`` so later windows stay on longs)."""
     a = F.col("_c")
     g = (gl_history
          .select(*keys, F.col("gl_account_number").cast("string").alias("account_number"),
@@ -21,6 +22,8 @@ def monthly_gl_activity(gl_history: DataFrame, keys: list[str]) -> DataFrame:
               F.sum(F.when(a > 0, a).otherwise(0)).alias("monthly_credits"),
               F.sum(a).alias("monthly_net_activity"),
               F.sum(F.abs(a)).alias("monthly_total_amount")))
+    if cents:
+        return g
     sums = ("monthly_debits", "monthly_credits", "monthly_net_activity", "monthly_total_amount")
     return g.select(*[from_cents(c).alias(c) if c in sums else c for c in g.columns])
 
@@ -29,11 +32,14 @@ def running_balance(df: DataFrame, keys: list[str], order: str, value: str,
                     out: str = "calculated_balance", change: str = "period_change") -> DataFrame:
     """Cumulative sum of ``value`` per ``keys`` in ``order`` and its change
     against the previous period (null on the first).  Both windows use the
-    same partitioning and ordering: one exchange, one sort."""
+    same partitioning and ordering: one exchange, one sort.  Integer (cents)
+    input stays integer; decimal input yields decimal(38,2)."""
     w = Window.partitionBy(*keys).orderBy(order)
-    run = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast(MONEY_SUM)
-    df = df.withColumn(out, run)
-    return df.withColumn(change, (F.col(out) - F.lag(out, 1).over(w)).cast(MONEY_SUM))
+    run = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    is_int = dict(df.dtypes)[value] in ("bigint", "int")
+    df = df.withColumn(out, run if is_int else run.cast(MONEY_SUM))
+    diff = F.col(out) - F.lag(out, 1).over(w)
+    return df.withColumn(change, diff if is_int else diff.cast(MONEY_SUM))
 
 
 def accrual_monthly(account_types: DataFrame, gl_history: DataFrame, category: str, mt: bool,

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.common import MONEY_SUM
+from ledgerline.functions.common import MONEY_SUM, from_cents
 from ledgerline.functions import gl as G
 from ledgerline.operators.calendar import add_months, grid_window, zero_filled_grid
 from ledgerline.operators.gl import monthly_gl_activity, running_balance
@@ -35,8 +35,8 @@ def gl_accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
                     F.col("balance").alias("current_balance_from_coa")))
     hist = t["gl_history"].filter((F.col("effective_date") >= F.lit(max(first, p.gl_start)))
                                   & (F.col("effective_date") < F.lit(add_months(last, 1))))
-    stats = monthly_gl_activity(hist, k)
-    zero = F.lit(0).cast(MONEY_SUM)
+    stats = monthly_gl_activity(hist, k, cents=True)
+    zero = F.lit(0).cast("bigint")
     grid = zero_filled_grid(acct, first, last, stats, k + ["account_number"],
                             {"monthly_transactions": F.lit(0).cast("bigint"), "monthly_debits": zero,
                              "monthly_credits": zero, "monthly_net_activity": zero, "monthly_total_amount": zero})
@@ -61,14 +61,14 @@ def gl_accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
         F.when(F.col("inactive") == 0, "Active").otherwise("Inactive").alias("Status"),
         F.col("created_timestamp").alias("Open_Date"),
         F.when(F.col("inactive") == 1, F.col("modified_timestamp")).alias("Close_Date"),
-        F.col("calculated_balance").alias("Historical_Balance"),
+        from_cents("calculated_balance").alias("Historical_Balance"),
         F.col("current_balance_from_coa").alias("Current_Balance_From_COA"),
-        F.col("period_change").alias("Period_Balance_Change"),
+        from_cents("period_change").alias("Period_Balance_Change"),
         F.col("monthly_transactions").alias("Monthly_Transaction_Count"),
-        F.col("monthly_debits").alias("Monthly_Debits"),
-        F.col("monthly_credits").alias("Monthly_Credits"),
-        F.col("monthly_net_activity").alias("Monthly_Net_Activity"),
-        F.col("monthly_total_amount").alias("Monthly_Total_Amount"),
+        from_cents("monthly_debits").alias("Monthly_Debits"),
+        from_cents("monthly_credits").alias("Monthly_Credits"),
+        from_cents("monthly_net_activity").alias("Monthly_Net_Activity"),
+        from_cents("monthly_total_amount").alias("Monthly_Total_Amount"),
         G.gl_activity_level("monthly_transactions").alias("Activity_Level"),
         G.yes_no(F.col("restricted") == 1).alias("Restricted"),
         G.yes_no(controlled).alias("Controlled"),
