@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline import oracle as _o  # noqa: F401
+from ledgerline.oracle import blocks as o_blocks
 from ledgerline.oracle import cards as o_cards
 from ledgerline.oracle import gl as o_gl
 from ledgerline.oracle import loans as o_loans
@@ -14,7 +15,7 @@ from ledgerline.oracle import members as o_members
 from ledgerline.oracle import products as o_products
 from ledgerline.oracle.base import Q
 from ledgerline.params import FIXTURE_PARAMS, Params
-from ledgerline.plans import cards, gl, loans, members, products
+from ledgerline.plans import blocks, cards, gl, loans, members, products
 from ledgerline.plans.variant import MT, ST, Variant
 from ledgerline.sources.tables import Tables
 
@@ -49,6 +50,13 @@ _both("mt_account_transactions", "st_accounts_transactions", products.account_tr
       o_products.account_transactions)
 
 
+# Stand-alone operator keys (multi-tenant), one per reusable dataflow step.
+for _name in ("gl_monthly_activity", "cert_accrual_months", "member_account_summary", "member_account_stats",
+              "recent_account_activity", "member_card_rank", "card_portfolio", "member_product_counts",
+              "member_status_dim"):
+    _REPORTS[f"mt_{_name}"] = (getattr(blocks, _name), getattr(o_blocks, _name), MT)
+
+
 def report(key: str) -> tuple[Callable, Callable | None, Variant]:
     """(plan, oracle builder, variant) of a report key."""
     return _REPORTS[key]
