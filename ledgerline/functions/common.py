@@ -30,14 +30,6 @@ def year_range(c, year: int) -> Column:
     return (c >= F.lit(dt.date(year, 1, 1))) & (c < F.lit(dt.date(year + 1, 1, 1)))
 
 
-def as_double(c) -> Column:
-    return col(c).cast("double")
-
-
-def money_sum(c) -> Column:
-    return F.sum(c).cast(MONEY_SUM)
-
-
 def to_cents(c) -> Column:
     """A 2-decimal money value as exact integer cents (bigint).
 

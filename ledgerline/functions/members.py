@@ -27,10 +27,10 @@ def member_status_strict(member_number="member_number", inactive_flag="inactive_
                          require_type: bool = True) -> Column:
     """Active when the number is set, (the type is set,) some account is open
     and the flag is not 'I'; else Inactive."""
-    cond = col(member_number).isNotNull() & (col(all_closed) == 0) & (col(inactive_flag) != "I")
+    cond = col(member_number).isNotNull()
     if require_type:
-        cond = col(member_number).isNotNull() & col(member_type).isNotNull() & (col(all_closed) == 0) & (
-            col(inactive_flag) != "I")
+        cond = cond & col(member_type).isNotNull()
+    cond = cond & (col(all_closed) == 0) & (col(inactive_flag) != "I")
     return F.when(cond, "Active").otherwise("Inactive")
 
 
