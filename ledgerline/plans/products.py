@@ -108,9 +108,11 @@ def product_rows(t: Tables, p: Params, v: Variant) -> DataFrame:
     cards, credit lines) with the member key, row columns and ``_counts``
     (the row is an active product for the per-member count, O16).
 
-    ``account`` is scanned once for the three account-based branches and
-    joined to recent activity once; ``eft_card_file`` once for both card
-    branches; ``account_loan`` is joined once for loans and credit lines.
+    ``account`` is read once for its three branches: it is joined to recent
+    activity and, for loan accounts only (the discriminator is part of the
+    join condition, so deposit rows never fan out), to ``account_loan``; a
+    generator then emits the deposit, loan and credit-line rows that apply.
+    ``eft_card_file`` is read once for both card branches.
     """
     from ledgerline.functions import products as P
     from ledgerline.operators.accounts import recently_active_accounts
@@ -128,44 +130,54 @@ def product_rows(t: Tables, p: Params, v: Variant) -> DataFrame:
            .select(*k, "account_id", "member_number", "account_number", "date_opened", "date_closed",
                    "charge_off_date", "access_control", disc.alias("_disc"), atype.alias("_type"))
            .join(recent, k + ["account_id"], "left"))
+    al = t["account_loan"].select(*[F.col(c).alias(f"_al_{c}") for c in k], F.col("account_id").alias("_al_id"),
+                                  F.col("credit_limit").alias("_limit"), F.lit(True).alias("_loan"))
+    cond = (acc["account_id"] == al["_al_id"]) & (acc["_disc"] == "L")
+    for c in k:
+        cond = cond & (acc[c] == al[f"_al_{c}"])
+    acc = acc.join(al, cond, "left")
+
     recent_acc = F.col("_recent").isNotNull()
     access = (F.upper(F.trim(F.coalesce(F.col("access_control"), F.lit("")))) if v.mt
               else F.coalesce(F.col("access_control"), F.lit("")))
     open_ = F.col("date_closed").isNull()
     open_nco = open_ & F.col("charge_off_date").isNull()
-    deposit = acc.filter(F.col("_disc").isin("S", "D", "C", "U")).select(
-        *k, F.col("member_number").alias("id_member"), F.col("account_number").alias("id_product"),
-        F.lit("Accounts").alias("main_category"), P.account_product(F.col("_disc")).alias("category_product"),
-        F.col("account_number").alias("product_number"), F.col("date_opened").alias("date_opened_product"),
-        F.col("date_closed").alias("date_closed_product"),
-        F.when(open_, "Active").otherwise("Inactive").alias("product_is_active"), recent_acc.alias("_recent"),
-        F.lit("account").alias("table_name_origin"), (open_ & ~access.isin("B", "R")).alias("_counts"))
-    lo = acc.filter(F.col("_disc") == "L").join(t["account_loan"].select(*k, "account_id", "credit_limit"),
-                                                k + ["account_id"], "inner")
     non_card = ~F.col("_type").isin(*P.LOAN_CARD_TYPES)
     # ST lists every L account as a loan (defect D9, literal unless ``fix`` has "D9").
     loan_rows = non_card if (v.mt or p.fixed("D9")) else F.lit(True)
-    common = [F.col("date_opened").alias("date_opened_product"), F.col("date_closed").alias("date_closed_product"),
-              F.when(open_nco, "Active").otherwise("Inactive").alias("product_is_active"),
-              recent_acc.alias("_recent")]
-    loans = lo.filter(loan_rows).select(
-        *k, F.col("member_number").alias("id_member"), F.col("account_number").alias("id_product"),
-        F.lit("Loans").alias("main_category"), F.lit("Loan").alias("category_product"),
-        F.col("account_number").alias("product_number"), *common,
-        F.lit("account_loan").alias("table_name_origin"), (non_card & open_nco).alias("_counts"))
-    lines = lo.filter(F.col("credit_limit") > 0).select(
-        *k, F.col("member_number").alias("id_member"),
-        F.concat(F.col("account_number"), F.lit("_CREDIT_ACCOUNT")).alias("id_product"),
-        F.lit("Cards").alias("main_category"), F.lit("Credit Card Account").alias("category_product"),
-        F.col("account_number").alias("product_number"), *common,
-        F.lit("account_loan_credit").alias("table_name_origin"), open_nco.alias("_counts"))
+    is_loan = (F.col("_disc") == "L") & F.col("_loan").isNotNull()
+
+    def row(id_product, main, category, active, origin, counts):
+        return F.struct(id_product.alias("id_product"), F.lit(main).alias("main_category"),
+                        category.alias("category_product"), active.alias("product_is_active"),
+                        F.lit(origin).alias("table_name_origin"), counts.alias("_counts"))
+
+    loan_active = F.when(open_nco, "Active").otherwise("Inactive")
+    branches = F.array(
+        F.when(F.col("_disc").isin("S", "D", "C", "U"),
+               row(F.col("account_number"), "Accounts", P.account_product(F.col("_disc")),
+                   F.when(open_, "Active").otherwise("Inactive"), "account", open_ & ~access.isin("B", "R"))),
+        F.when(is_loan & loan_rows,
+               row(F.col("account_number"), "Loans", F.lit("Loan"), loan_active, "account_loan",
+                   non_card & open_nco)),
+        F.when(is_loan & (F.col("_limit") > 0),
+               row(F.concat(F.col("account_number"), F.lit("_CREDIT_ACCOUNT")), "Cards",
+                   F.lit("Credit Card Account"), loan_active, "account_loan_credit", open_nco)))
+    acc_rows = (acc.select(*k, "member_number", "account_number", "date_opened", "date_closed",
+                           recent_acc.alias("_recent"),
+                           F.explode(F.filter(branches, lambda b: b.isNotNull())).alias("_b"))
+                .select(*k, F.col("member_number"), "_b.id_product", "_b.main_category", "_b.category_product",
+                        F.col("account_number").alias("product_number"),
+                        F.col("date_opened").alias("date_opened_product"),
+                        F.col("date_closed").alias("date_closed_product"), "_b.product_is_active", "_recent",
+                        "_b.table_name_origin", "_b._counts"))
 
     ctype = F.upper(F.trim("card_type")) if v.mt else F.col("card_type")
     reject = F.trim(F.col("reject_code").cast("string")) if v.mt else F.col("reject_code")
     cards = cards.filter(ctype.isin(*P.DEBIT_TYPES, *P.CREDIT_TYPES)).withColumn("_ct", ctype)
     debit = F.col("_ct").isin(*P.DEBIT_TYPES)
     card_rows = cards.select(
-        *k, F.col("member_number").alias("id_member"),
+        *k, F.col("member_number"),
         F.concat(F.col("member_number").cast("string"), F.when(debit, "_CARD_").otherwise("_CREDITCARD_"),
                  F.col("record_number").cast("string")).alias("id_product"),
         F.lit("Cards").alias("main_category"),
@@ -178,8 +190,7 @@ def product_rows(t: Tables, p: Params, v: Variant) -> DataFrame:
                    F.lit(False)).alias("_recent"),
         F.when(debit, "eft_card_file_debit").otherwise("eft_card_file_credit").alias("table_name_origin"),
         P.card_counts_as_product(p.as_of, reject).alias("_counts"))
-    return (deposit.unionByName(loans).unionByName(card_rows).unionByName(lines)
-            .withColumnRenamed("id_member", "member_number"))
+    return acc_rows.unionByName(card_rows)
 
 
 def products_overview(t: Tables, p: Params, v: Variant) -> DataFrame:
