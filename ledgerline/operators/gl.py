@@ -64,11 +64,11 @@ def accrual_monthly(account_types: DataFrame, gl_history: DataFrame, category: s
     cat = F.upper(F.trim("category")) if mt else F.col("category")
     at = account_types.filter(cat == category)
     canon = gl_account_canon if mt else col
-    roles = (at.filter(F.col("div_int_acct").isNotNull())
-             .select(*k, canon("div_int_acct").alias("_gl"), F.lit("paid").alias("_role"))
-             .unionByName(at.filter(F.col("accrual_acct").isNotNull())
-                          .select(*k, canon("accrual_acct").alias("_gl"), F.lit("accrued").alias("_role")))
-             .distinct())
+    pair = lambda c, role: F.when(F.col(c).isNotNull(),
+                                  F.struct(canon(c).alias("_gl"), F.lit(role).alias("_role")))
+    roles = (at.select(*k, F.explode(F.filter(F.array(pair("div_int_acct", "paid"), pair("accrual_acct", "accrued")),
+                                              lambda r: r.isNotNull())).alias("_r"))
+             .select(*k, "_r._gl", "_r._role").distinct())
     posted = (F.upper(F.trim(F.coalesce(F.col("status"), F.lit("P")))) == "P") if mt else (F.col("status") != "D")
     lines = (gl_history.filter(posted)
              .select(*k, canon(F.col("gl_account_number").cast("string")).alias("_gl"), "effective_date",

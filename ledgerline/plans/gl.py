@@ -113,45 +113,46 @@ def _accruals(t: Tables, p: Params, v: Variant, category: str, product: str, kin
         paid = F.col("paid_sum") - acc0
         variance = paid - acc0
         alert = G.accrual_alert(paid, acc0, variance, F.abs(paid))
-    main = m.filter(F.col("has_paid") & F.col("_m").isNotNull())
+    # Both row kinds come from the one monthly aggregate through a generator,
+    # so the journal is scanned and aggregated once (a UNION of two selects
+    # would plan the whole pipeline twice).
+    main_ok = F.col("has_paid") & F.col("_m").isNotNull()
     if loans and not v.mt:
-        main = main.filter(F.col("paid_sum") > 0)
-    main = main.select(
-        *k, F.lit(product).alias("product_type"), F.lit(kind).alias("transaction_type"), *G.period_columns(F.col("_m")),
+        main_ok = main_ok & (F.col("paid_sum") > 0)
+    zero_n = F.lit(0).cast("bigint")
+    no_date = F.lit(None).cast("date")
+    main_row = F.struct(
         paid.cast(MONEY_SUM).alias("total_paid_amount"), acc0.alias("total_accrued_amount"),
         variance.cast(MONEY_SUM).alias("variance_paid_vs_accrued"),
         G.accrual_ratio_pct(paid, acc0).alias("paid_to_accrued_ratio_pct"),
         F.col("paid_batches").alias("paid_transaction_count"),
-        F.coalesce(F.when(joinable, F.col("acc_batches")), F.lit(0)).alias("accrued_transaction_count"),
+        F.coalesce(F.when(joinable, F.col("acc_batches")), zero_n).alias("accrued_transaction_count"),
         F.col("paid_lines").alias("paid_gl_entries"),
-        F.coalesce(F.when(joinable, F.col("acc_lines")), F.lit(0)).alias("accrued_gl_entries"),
+        F.coalesce(F.when(joinable, F.col("acc_lines")), zero_n).alias("accrued_gl_entries"),
         F.col("paid_earliest").alias("paid_earliest_date"), F.col("paid_latest").alias("paid_latest_date"),
         F.when(joinable, F.col("acc_earliest")).alias("accrued_earliest_date"),
         F.when(joinable, F.col("acc_latest")).alias("accrued_latest_date"),
         alert.alias("alert_status"),
         F.datediff(F.col("paid_latest"), F.when(joinable, F.col("acc_earliest"))).alias(
             "days_between_accrual_and_payment"))
-    df = main
+    rows = [F.when(main_ok, main_row)]
     if not loans:
         a = F.col("acc_sum")
-        only = (m.filter(F.col("has_acc") & (~F.coalesce(F.col("has_paid"), F.lit(False)) | ~joinable) & (a != 0))
-                .select(*k, F.lit(product).alias("product_type"), F.lit(kind).alias("transaction_type"),
-                        *G.period_columns(F.col("_m")),
-                        (F.lit(0) - a).cast(MONEY_SUM).alias("total_paid_amount"),
-                        a.alias("total_accrued_amount"),
-                        ((F.lit(0) - a) - a).cast(MONEY_SUM).alias("variance_paid_vs_accrued"),
-                        G.accrual_ratio_pct(F.lit(0) - a, a).alias("paid_to_accrued_ratio_pct"),
-                        F.lit(0).cast("bigint").alias("paid_transaction_count"),
-                        F.col("acc_batches").alias("accrued_transaction_count"),
-                        F.lit(0).cast("bigint").alias("paid_gl_entries"),
-                        F.col("acc_lines").alias("accrued_gl_entries"),
-                        F.lit(None).cast("date").alias("paid_earliest_date"),
-                        F.lit(None).cast("date").alias("paid_latest_date"),
-                        F.col("acc_earliest").alias("accrued_earliest_date"),
-                        F.col("acc_latest").alias("accrued_latest_date"),
-                        F.lit("ACCRUED_NOT_PAID").alias("alert_status"),
-                        F.lit(None).cast("int").alias("days_between_accrual_and_payment")))
-        df = main.unionByName(only)
+        only_ok = F.col("has_acc") & (~F.coalesce(F.col("has_paid"), F.lit(False)) | ~joinable) & (a != 0)
+        only_row = F.struct(
+            (F.lit(0) - a).cast(MONEY_SUM).alias("total_paid_amount"), a.alias("total_accrued_amount"),
+            ((F.lit(0) - a) - a).cast(MONEY_SUM).alias("variance_paid_vs_accrued"),
+            G.accrual_ratio_pct(F.lit(0) - a, a).alias("paid_to_accrued_ratio_pct"),
+            zero_n.alias("paid_transaction_count"), F.col("acc_batches").alias("accrued_transaction_count"),
+            zero_n.alias("paid_gl_entries"), F.col("acc_lines").alias("accrued_gl_entries"),
+            no_date.alias("paid_earliest_date"), no_date.alias("paid_latest_date"),
+            F.col("acc_earliest").alias("accrued_earliest_date"), F.col("acc_latest").alias("accrued_latest_date"),
+            F.lit("ACCRUED_NOT_PAID").alias("alert_status"),
+            F.lit(None).cast("int").alias("days_between_accrual_and_payment"))
+        rows.append(F.when(only_ok, only_row))
+    df = (m.select(*k, "_m", F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("_r"))
+          .select(*k, F.lit(product).alias("product_type"), F.lit(kind).alias("transaction_type"),
+                  *G.period_columns(F.col("_m")), "_r.*"))
     if v.mt:
         df = tenant_enrich(df, t["fi_map"], exact=False)
     df = df.select(*(["credit_union", "idfi"] if v.mt else []), *_ACCRUAL_COLUMNS)
