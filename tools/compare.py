@@ -4,6 +4,10 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
+
+
+STRICT = os.environ.get("LEDGERLINE_STRICT") == "1"
 
 
 def canon(v):
@@ -12,7 +16,7 @@ def canon(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "<null>"
-        return f"f{v:.9g}"
+        return f"f{v!r}" if STRICT else f"f{v:.9g}"
     if isinstance(v, decimal.Decimal):
         return f"d{v}"
     if isinstance(v, bool):
