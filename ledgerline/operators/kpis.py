@@ -57,8 +57,6 @@ def account_partials(tx: DataFrame, keys: list[str], windows: dict[str, Column])
             F.sum(F.when(c & (a < 0), ab).otherwise(0)).alias(f"da_{w}"),
             F.sum(F.when(c & (a > 0), a).otherwise(0)).alias(f"ca_{w}"),
         ]
-        if not life:
-            aggs.append(F.sum(F.when(c, ab)).alias(f"san_{w}"))
     aggs += [F.min("date_effective").alias("first_d"), F.max("date_effective").alias("last_d")]
     return tx.groupBy(*keys).agg(*aggs)
 
@@ -77,7 +75,7 @@ def member_kpis(partials: DataFrame, keys: list[str], windows: list[str], cc_fla
     s = {}
     sums = []
     for w in windows:
-        for p in ("n", "nn", "sa", "nd", "nc", "da", "ca") + (("san",) if w != "lifetime" else ()):
+        for p in ("n", "nn", "sa", "nd", "nc", "da", "ca"):
             sums.append(F.sum(f"{p}_{w}").alias(f"{p}_{w}"))
     sums += [F.sum(F.when(cc_flag, F.col("n_12m")).otherwise(0)).alias("cc_n"),
              F.sum(F.when(cc_flag, F.col("sa_12m")).otherwise(0)).alias("cc_a"),
@@ -85,8 +83,9 @@ def member_kpis(partials: DataFrame, keys: list[str], windows: list[str], cc_fla
     g = partials.groupBy(*keys).agg(*sums)
     cols = []
     for w in windows:
-        life = w == "lifetime"
-        avg_src = F.col(f"sa_{w}") if life else F.col(f"san_{w}")
+        # Where the average is defined (nn > 0) the ELSE-0 sum equals the sum of
+        # the matching non-null amounts, so one sum serves both columns.
+        avg_src = F.col(f"sa_{w}")
         debit_n = F.col("cc_n") if (w == "12m" and debit_12m_from_cc) else F.col(f"nd_{w}")
         cols += [F.col(f"n_{w}").alias(f"total_transactions_{w}"),
                  from_cents(f"sa_{w}").alias(f"total_transaction_amount_{w}"),
