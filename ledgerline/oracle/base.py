@@ -25,10 +25,12 @@ def with_tables(body: str, tenancy: str) -> str:
 class Q:
     """Text snippets that differ between the MT and ST oracle statements."""
 
-    def __init__(self, tenancy: str, p: Params = FIXTURE_PARAMS):
+    def __init__(self, tenancy: str, p: Params = FIXTURE_PARAMS, bind: bool = True):
         self.mt = tenancy == "mt"
         self.tenancy = tenancy
         self.p = p
+        # bind=False: the logical tables are already registered under their names.
+        self.bind = bind
 
     def k(self, alias: str = "") -> str:
         """Tenant column followed by a comma (MT) or nothing (ST)."""
@@ -62,4 +64,4 @@ class Q:
         return f"{alias}.credit_union, fi.idfi, " if self.mt else ""
 
     def wrap(self, body: str) -> str:
-        return with_tables(body, self.tenancy)
+        return with_tables(body, self.tenancy) if self.bind else body
