@@ -64,8 +64,9 @@ def accrual_monthly(account_types: DataFrame, gl_history: DataFrame, category: s
     cat = F.upper(F.trim("category")) if mt else F.col("category")
     at = account_types.filter(cat == category)
     canon = gl_account_canon if mt else col
-    pair = lambda c, role: F.when(F.col(c).isNotNull(),
-                                  F.struct(canon(c).alias("_gl"), F.lit(role).alias("_role")))
+    def pair(c: str, role: str):
+        return F.when(F.col(c).isNotNull(), F.struct(canon(c).alias("_gl"), F.lit(role).alias("_role")))
+
     roles = (at.select(*k, F.explode(F.filter(F.array(pair("div_int_acct", "paid"), pair("accrual_acct", "accrued")),
                                               lambda r: r.isNotNull())).alias("_r"))
              .select(*k, "_r._gl", "_r._role").distinct())

@@ -65,7 +65,7 @@ def loans_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     a = t["account"].filter((v.norm("discriminator") == "L") & ~v.norm("account_type").isin("CC", "PCO", "PCCO"))
     a = a.select(*k, "account_id", "member_number", "account_type", "date_opened", "date_closed", "charge_off_date",
                  "current_balance", v.norm("account_type").alias("_type"))
-    al = t["account_loan"].drop("credit_union") if not v.mt else t["account_loan"]
+    al = t["account_loan"]
     at = t["account_types"].select(*k, v.norm("account_type").alias("_type"),
                                    F.col("description").alias("_at_desc"), "cb_loan_type")
     j = a.join(al, k + ["account_id"], "inner").join(at, k + ["_type"], "left")

@@ -1,4 +1,4 @@
-"""Product reports: account transactions (R17/R18), ..."""
+"""Account and product reports: account transactions (R17/R18), accounts general (R19/R20), products overview."""
 
 from __future__ import annotations
 

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline import oracle as _o  # noqa: F401
 from ledgerline.oracle import blocks as o_blocks
 from ledgerline.oracle import cards as o_cards
 from ledgerline.oracle import gl as o_gl
