@@ -20,9 +20,11 @@ def gl_accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     """GL account x month of the look-back grid, zero-filled activity,
     running balance, change vs previous month and GL classification.
 
-    Chart-of-accounts columns ride along the grid instead of being joined back
-    after the window ((tenant, account_number) is the chart's key).  Only grid
-    months can reach the output, so the journal scan is cut to the grid range.
+    The grid and the window carry only keys and integer-cent measures; the
+    chart attributes join back after the window on the window's own keys (a
+    broadcast, or a merge join on the existing partitioning), as in the
+    report text.  Only grid months can reach the output, so the journal scan
+    is cut to the grid range.
     """
     k = v.keys
     first, last = grid_window(p.gl_start, p.as_of, p.grid_months)
@@ -37,10 +39,11 @@ def gl_accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
                                   & (F.col("effective_date") < F.lit(add_months(last, 1))))
     stats = monthly_gl_activity(hist, k, cents=True)
     zero = F.lit(0).cast("bigint")
-    grid = zero_filled_grid(acct, first, last, stats, k + ["account_number"],
-                            {"monthly_transactions": F.lit(0).cast("bigint"), "monthly_debits": zero,
-                             "monthly_credits": zero, "monthly_net_activity": zero, "monthly_total_amount": zero})
-    r = running_balance(grid, k + ["account_number"], "period_start", "monthly_net_activity")
+    grid = zero_filled_grid(acct.select(*k, "account_number"), first, last, stats, k + ["account_number"],
+                            {"monthly_transactions": zero, "monthly_debits": zero, "monthly_credits": zero,
+                             "monthly_net_activity": zero, "monthly_total_amount": zero})
+    r = (running_balance(grid, k + ["account_number"], "period_start", "monthly_net_activity")
+         .join(acct, k + ["account_number"], "inner"))
     if v.mt:
         r = tenant_enrich(r, t["fi_map"], exact=True)
     number = G.gl_int_part("account_number") if v.mt else G.gl_numeric("account_number")
