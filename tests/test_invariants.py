@@ -44,3 +44,38 @@ def test_reshuffled_input_same_result(spark, sf):
     b = plan(shuffled, FIXTURE_PARAMS, v).toArrow()
     ok, msg = compare(a, b)
     assert ok, msg
+
+
+def _mt_vs_st(spark, sf, key_mt, key_st, cols, fix=(), rename=None):
+    import dataclasses
+    p = dataclasses.replace(FIXTURE_PARAMS, fix=frozenset(fix))
+    plan_mt, _, mt = registry.report(key_mt)
+    plan_st, _, st = registry.report(key_st)
+    a = (plan_mt(Tables.from_dir(spark, sf, "mt"), p, mt).filter(F.col("credit_union") == "cu0")
+         .select(*cols))
+    b = plan_st(Tables.from_dir(spark, sf, "st"), p, st)
+    for old, new in (rename or {}).items():
+        b = b.withColumnRenamed(old, new)
+    return compare(a.toArrow(), b.select(*cols).toArrow())
+
+
+def test_mt_one_tenant_equals_st_key_trends(spark, sf):
+    ok, msg = _mt_vs_st(spark, sf, "mt_member_key_trends", "st_member_key_trends",
+                        ["member_id", "member_number", "average_balance", "total_balance",
+                         "total_deposits_balance", "total_loans_balance"], fix={"D1"})
+    assert ok, msg
+
+
+def test_mt_one_tenant_equals_st_loan_book(spark, sf):
+    ok, msg = _mt_vs_st(spark, sf, "mt_loans_general", "st_loans_general",
+                        ["Member_ID", "Loan_ID", "Credit_Bureau_Code", "Loan_Main_Category",
+                         "Number_of_Paid_Installments", "Status", "Days_Past_Due", "Total_Revenue_Earned",
+                         "Interest_Yield_Percentage", "Expected_Interest_Simple"])
+    assert ok, msg
+
+
+def test_mt_one_tenant_equals_st_account_transactions(spark, sf):
+    ok, msg = _mt_vs_st(spark, sf, "mt_account_transactions", "st_accounts_transactions",
+                        ["month_year", "account_number", "account_category", "Transactions", "Deposits",
+                         "Withdrawals", "net_change_for_month", "approximate_beginning_balance"])
+    assert ok, msg
