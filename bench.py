@@ -4,7 +4,7 @@ The 18 logical tables are first bound from the driver's parquet files and
 stored as parquet (what a production lake holds; timed as ``bind_seconds``).
 Each report then runs against the stored tables to a ``noop`` sink (full
 computation, no output I/O): one warm-up pass over all reports (JIT,
-codegen caches), then $BENCH_RUNS timed passes (default 2); a report's time
+codegen caches), then $BENCH_RUNS timed passes (default 3); a report's time
 is its best pass and ``value`` is the sum.  Prints one JSON line.
 """
 
@@ -47,7 +47,7 @@ def main() -> None:
     for k in keys:  # warm-up pass
         run(k)
     times: dict[str, float] = {}
-    for _ in range(int(os.environ.get("BENCH_RUNS", "2"))):
+    for _ in range(int(os.environ.get("BENCH_RUNS", "3"))):
         for k in keys:
             t1 = time.perf_counter()
             run(k)

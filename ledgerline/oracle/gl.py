@@ -25,11 +25,7 @@ def gl_accounts_general(q: Q) -> str:
            else "TRY_CAST(a.account_number AS DOUBLE)")
     ctrl = "upper(trim(CAST(a.controlled AS VARCHAR)))" if q.mt else "a.controlled"
     return q.wrap(f"""
-WITH months AS (
-  SELECT CAST(m AS DATE) AS period_start
-  FROM unnest(generate_series({q.d(q.p.gl_start.replace(day=1))}, {q.d(last)}, INTERVAL 1 MONTH)) AS s(m)
-  WHERE CAST(m AS DATE) >= {q.d(first)}
-), a AS (
+WITH a AS (
   SELECT {q.k()}CAST(account_number AS VARCHAR) AS account_number, description, short_desc,
          {q.norm('account_type')} AS account_type, inactive, created_timestamp, modified_timestamp, restricted,
          controlled, modified_by_userid, balance AS coa_balance
@@ -40,12 +36,16 @@ WITH months AS (
          sum(CASE WHEN amount < 0 THEN -amount ELSE 0 END) AS dr, sum(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS cr,
          sum(amount) AS net, sum(abs(amount)) AS tot
   FROM gl_history WHERE effective_date >= {q.d(q.p.gl_start)} GROUP BY ALL
+), ag AS (
+  SELECT *, CAST(unnest(generate_series({q.d(q.p.gl_start.replace(day=1))}, {q.d(last)}, INTERVAL 1 MONTH)) AS DATE) AS period_start
+  FROM a
 ), g AS (
-  SELECT a.*, m.period_start, coalesce(ms.n, 0) AS n,
+  SELECT a.*, coalesce(ms.n, 0) AS n,
          CAST(coalesce(ms.dr, 0) AS DECIMAL(38,2)) AS dr, CAST(coalesce(ms.cr, 0) AS DECIMAL(38,2)) AS cr,
          CAST(coalesce(ms.net, 0) AS DECIMAL(38,2)) AS net, CAST(coalesce(ms.tot, 0) AS DECIMAL(38,2)) AS tot
-  FROM a JOIN months m ON TRUE
-  LEFT JOIN ms ON ms.account_number = a.account_number AND ms.period_start = m.period_start{q.on('ms', 'a')}
+  FROM ag a
+  LEFT JOIN ms ON ms.account_number = a.account_number AND ms.period_start = a.period_start{q.on('ms', 'a')}
+  WHERE a.period_start >= {q.d(first)}
 ), r AS (
   SELECT *, CAST(sum(net) OVER (PARTITION BY {q.k()}account_number ORDER BY period_start
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS bal
