@@ -31,6 +31,13 @@ def account_summary(account: DataFrame, keys: list[str]) -> DataFrame:
         F.max("_closed").alias("latest_account_closure_date"))
 
 
+def closed_member_keys(member: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, member_number) of member rows with all_accounts_closed = 1, with a
+    constant ``_any_all_closed`` flag (a partially aggregated DISTINCT)."""
+    return (member.filter((F.col("all_accounts_closed") == 1) & F.col("member_number").isNotNull())
+            .select(*keys, "member_number").distinct().withColumn("_any_all_closed", F.lit(True)))
+
+
 def flag_any_all_closed(member: DataFrame, keys: list[str]) -> DataFrame:
     """O7 helper: ``_any_all_closed`` = some member row with the same (keys,
     member_number) has all_accounts_closed = 1.
@@ -40,7 +47,6 @@ def flag_any_all_closed(member: DataFrame, keys: list[str]) -> DataFrame:
     number (a third of all rows, say) into one task, while the join gets
     AQE's skew split.
     """
-    closed = (member.filter((F.col("all_accounts_closed") == 1) & F.col("member_number").isNotNull())
-              .select(*keys, "member_number").distinct().withColumn("_any_all_closed", F.lit(True)))
+    closed = closed_member_keys(member, keys)
     return (member.join(closed, keys + ["member_number"], "left")
             .withColumn("_any_all_closed", F.coalesce(F.col("_any_all_closed"), F.lit(False))))

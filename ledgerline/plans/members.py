@@ -167,18 +167,23 @@ def member_profile(t: Tables, p: Params, v: Variant) -> DataFrame:
     on their keys.  MT keeps members with a number and a type; the second
     ``member_status`` of the MT text is named ``member_status_strict`` (D5).
     """
-    from ledgerline.operators.members import OPEN_COUNT_CODES, account_summary, flag_any_all_closed
+    from ledgerline.operators.members import OPEN_COUNT_CODES, account_summary, closed_member_keys
 
     k = v.keys
     summ = account_summary(t["account"], k)
-    m = flag_any_all_closed(t["member"], k)
+    # Closed keys come from every member row (the report's sub-select is unfiltered).
+    closed = closed_member_keys(t["member"], k)
+    m = t["member"]
     if v.mt:
         m = m.filter(F.col("member_number").isNotNull() & F.col("member_type").isNotNull())
     ent = t["entity"].withColumnRenamed("entity_id", "member_entity_id")
     eg = t["eligibility_group"].select(*k, "eligibility_group_id", F.col("description").alias("_eg_desc"))
+    # Entity and eligibility first; the two member-number joins then share one partitioning.
     j = (m.join(ent, k + ["member_entity_id"], "left")
          .join(eg, k + ["eligibility_group_id"], "left")
-         .join(summ, k + ["member_number"], "left"))
+         .join(summ, k + ["member_number"], "left")
+         .join(closed, k + ["member_number"], "left")
+         .withColumn("_any_all_closed", F.coalesce(F.col("_any_all_closed"), F.lit(False))))
     if v.mt:
         j = tenant_enrich(j, t["fi_map"], exact=False)
     age = M.age_year_difference("dob", p.as_of)
