@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 def tenant_enrich(df: DataFrame, fi_map: DataFrame, exact: bool) -> DataFrame:
     """Add ``idfi`` by a left join of the tenant map on the tenant key.
 
-    ``exact`` joins ``prodigy_code = credit_union``; otherwise both sides are
+    ``exact`` joins ``tenant_code = credit_union``; otherwise both sides are
     compared as lower(trim()).  The map has one row per tenant, so Spark's
     size-checked broadcast picks it up; no hint is forced.
     """
-    fi = fi_map.select(F.col("prodigy_code").alias("_fi_code"), "idfi")
+    fi = fi_map.select(F.col("tenant_code").alias("_fi_code"), "idfi")
     if exact:
         cond = df["credit_union"] == fi["_fi_code"]
     else:

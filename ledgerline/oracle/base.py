@@ -56,8 +56,8 @@ class Q:
         if not self.mt:
             return ""
         if exact:
-            return f"LEFT JOIN fi_map fi ON fi.prodigy_code = {alias}.{key}"
-        return f"LEFT JOIN fi_map fi ON lower(trim(fi.prodigy_code)) = lower(trim({alias}.{key}))"
+            return f"LEFT JOIN fi_map fi ON fi.tenant_code = {alias}.{key}"
+        return f"LEFT JOIN fi_map fi ON lower(trim(fi.tenant_code)) = lower(trim({alias}.{key}))"
 
     def head(self, alias: str) -> str:
         """Leading output columns credit_union, idfi (MT only)."""

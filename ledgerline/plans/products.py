@@ -221,7 +221,7 @@ def products_overview(t: Tables, p: Params, v: Variant) -> DataFrame:
     j = (rows.join(counts, k + ["member_number"], "left").join(status, k + ["member_number"], "left")
          .join(kind, k + ["member_number"], "left"))
     if v.mt:
-        fi = t["fi_map"].select(F.col("prodigy_code").alias("_code"), "idfi")
+        fi = t["fi_map"].select(F.col("tenant_code").alias("_code"), "idfi")
         info = t["credit_union_info"].select("credit_union", "credit_union_name")
         ci = (info.join(fi, F.lower(F.trim(info["credit_union"])) == F.lower(F.trim(fi["_code"])), "left")
               .select("credit_union", "credit_union_name", "idfi").distinct())

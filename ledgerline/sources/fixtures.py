@@ -19,7 +19,7 @@ ST_TENANT = "cu0"
 
 # Logical table -> column names in order (types are fixed by the SQL below).
 COLUMNS: dict[str, tuple[str, ...]] = {
-    "fi_map": ("prodigy_code", "idfi"),
+    "fi_map": ("tenant_code", "idfi"),
     "credit_union_info": ("credit_union", "credit_union_name"),
     "member": ("credit_union", "member_id", "member_number", "member_entity_id", "member_type", "inactive_flag",
                "all_accounts_closed", "join_date", "home_bank_date", "last_nondiv_activity", "branch_number",
@@ -113,7 +113,7 @@ _LOAN_TYPE_ROWS = [(0, "Auto"), (1, "Personal"), (2, "Mortgage")]
 _SQL: dict[str, str] = {
     "fi_map": """
 SELECT CASE WHEN r_regionkey % 3 = 0 THEN concat('cu', cast(r_regionkey as string))
-            ELSE concat(' CU', cast(r_regionkey as string), ' ') END AS prodigy_code,
+            ELSE concat(' CU', cast(r_regionkey as string), ' ') END AS tenant_code,
        100 + r_regionkey AS idfi
 FROM {region} WHERE r_regionkey < 4""",
     "credit_union_info": """
