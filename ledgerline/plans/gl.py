@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.common import MONEY_SUM, from_cents
+from ledgerline.functions.common import MONEY_SUM, from_cents, to_cents
 from ledgerline.functions import gl as G
 from ledgerline.operators.calendar import add_months, grid_window, zero_filled_grid
 from ledgerline.operators.gl import monthly_gl_activity, running_balance
@@ -20,6 +20,9 @@ def gl_accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     """GL account x month of the look-back grid, zero-filled activity,
     running balance, change vs previous month and GL classification.
 
+    ``fix`` with "D14" carries the net activity from ``gl_start`` up to the
+    grid into the running balance (the text starts the balance at the grid).
+
     The grid and the window carry only keys and integer-cent measures; the
     chart attributes join back after the window on the window's own keys (a
     broadcast, or a merge join on the existing partitioning), as in the
@@ -42,8 +45,17 @@ def gl_accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     grid = zero_filled_grid(acct.select(*k, "account_number"), first, last, stats, k + ["account_number"],
                             {"monthly_transactions": zero, "monthly_debits": zero, "monthly_credits": zero,
                              "monthly_net_activity": zero, "monthly_total_amount": zero})
-    r = (running_balance(grid, k + ["account_number"], "period_start", "monthly_net_activity")
-         .join(acct, k + ["account_number"], "inner"))
+    r = running_balance(grid, k + ["account_number"], "period_start", "monthly_net_activity")
+    if p.fixed("D14") and max(first, p.gl_start) > p.gl_start:
+        # Opt-in repair: carry net activity from gl_start up to the grid into the balance.
+        before = (t["gl_history"].filter((F.col("effective_date") >= F.lit(p.gl_start))
+                                         & (F.col("effective_date") < F.lit(first)))
+                  .groupBy(*k, F.col("gl_account_number").cast("string").alias("account_number"))
+                  .agg(F.sum(to_cents("amount")).alias("_opening")))
+        r = (r.join(before, k + ["account_number"], "left")
+             .withColumn("calculated_balance", F.col("calculated_balance") + F.coalesce("_opening", F.lit(0)))
+             .drop("_opening"))
+    r = r.join(acct, k + ["account_number"], "inner")
     if v.mt:
         r = tenant_enrich(r, t["fi_map"], exact=True)
     number = G.gl_int_part("account_number") if v.mt else G.gl_numeric("account_number")

@@ -49,3 +49,18 @@ def test_d9_st_loans_include_card_types(spark, sf):
 def test_d5_unique_member_status_names(spark, sf):
     cols = run(spark, sf, "mt_member_profile").columns
     assert len(cols) == len(set(c.lower() for c in cols)) == 59
+
+
+def test_d14_opening_balance(spark, sf):
+    literal = run(spark, sf, "st_gl_accounts_general").select("GL_ID", "Period_Date", "Historical_Balance",
+                                                             "Period_Balance_Change", "Monthly_Net_Activity")
+    fixed = run(spark, sf, "st_gl_accounts_general", {"D14"}).select(
+        "GL_ID", "Period_Date", F.col("Historical_Balance").alias("fixed_balance"),
+        F.col("Period_Balance_Change").alias("fixed_change"))
+    j = literal.join(fixed, ["GL_ID", "Period_Date"])
+    assert j.count() == literal.count()
+    # the opening amount shifts every balance of an account by the same amount; changes are unaffected
+    shifts = j.groupBy("GL_ID").agg(F.countDistinct(F.col("fixed_balance") - F.col("Historical_Balance")).alias("n"))
+    assert shifts.filter("n > 1").count() == 0
+    assert j.filter(F.col("fixed_balance") != F.col("Historical_Balance")).count() > 0
+    assert j.filter(~F.col("fixed_change").eqNullSafe(F.col("Period_Balance_Change"))).count() == 0
