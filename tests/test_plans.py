@@ -43,8 +43,12 @@ def test_gl_grid_window_shares_one_exchange(stored):
     text = plan_text(stored, "mt_gl_accounts_general")
     # journal window cut reaches the scan
     assert re.search(r"GreaterThanOrEqual\(effective_date,1998-07-01\)", text)
-    # running sum and LAG: two Window operators over one sort
-    assert text.count("Window [") >= 1
+    # running sum and LAG: two Window operators stacked over one sort and one exchange
+    lines = text.splitlines()
+    win = [i for i, ln in enumerate(lines) if "Window [" in ln]
+    assert len(win) == 2
+    between = lines[win[0] + 1:win[1]]
+    assert not any("Exchange" in ln or "Sort [" in ln for ln in between)
     assert "Generate explode" in text
 
 
