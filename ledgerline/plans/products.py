@@ -54,7 +54,8 @@ def accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     Joins on the account key run first, then the two joins on (tenant,
     member_number) share one partitioning.  Applications are not deduplicated:
     an account repeats once per application, as in the report text.  ST's one
-    credit-union name (first by name, D12) is a scalar subquery.
+    credit-union name (first by name, D12) is a scalar subquery, and an
+    EXISTS filter keeps the cross join's "no name row, no rows" rule.
     """
     from ledgerline.functions import accounts as A
     from ledgerline.operators.accounts import member_account_stats, recently_active_accounts
@@ -93,6 +94,9 @@ def accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
         F.col("deleted_accounts_per_member").alias("accounts_deleted_per_member"),
         F.col("inactive_accounts_per_member").alias("accounts_inactive_per_member"),
         rank.alias("_rank"), F.col("date_opened").alias("_opened"))
+    if not v.mt:
+        # The text crosses with a one-row name table: no name row, no output rows.
+        df = df.where(t["credit_union_info"].exists())
     if p.ordered:
         df = df.orderBy("member_id", "_rank", F.col("_opened").desc())
     return df.drop("_rank", "_opened")
@@ -236,6 +240,9 @@ def products_overview(t: Tables, p: Params, v: Variant) -> DataFrame:
                   "member_status", "table_name_origin", "member_category", "member_number_is_valid",
                   "member_inactive_flag_status", "member_accounts_status", "member_inactive_flag_code",
                   "member_all_accounts_closed_flag")
+    if not v.mt:
+        # The text crosses with a one-row name table: no name row, no output rows.
+        df = df.where(t["credit_union_info"].exists())
     if p.ordered:
         df = df.orderBy(*(["credit_union", "idfi"] if v.mt else []), "id_member", "main_category",
                         "category_product", F.col("product_is_active").desc())

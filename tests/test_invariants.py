@@ -79,3 +79,14 @@ def test_mt_one_tenant_equals_st_account_transactions(spark, sf):
                         ["month_year", "account_number", "account_category", "Transactions", "Deposits",
                          "Withdrawals", "net_change_for_month", "approximate_beginning_balance"])
     assert ok, msg
+
+
+def test_st_reports_empty_name_table_give_no_rows(spark, sf):
+    base = Tables.from_dir(spark, sf, "st")
+    frames = {n: base[n] for n in base}
+    frames["credit_union_info"] = base["credit_union_info"].limit(0)
+    empty = Tables.from_frames(frames, "st")
+    for key in ("st_accounts_general", "st_products_overview"):
+        plan, _, v = registry.report(key)
+        assert plan(base, FIXTURE_PARAMS, v).count() > 0
+        assert plan(empty, FIXTURE_PARAMS, v).count() == 0
