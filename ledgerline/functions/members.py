@@ -78,18 +78,23 @@ def age_year_difference(dob, as_of) -> Column:
     return (F.lit(as_of.year) - F.year(col(dob))).cast("int")
 
 
-# Age brackets (lower, upper, plain label); lettered labels add 'A. ' ... prefixes.
-AGE_BRACKETS = [(0, 17, "0-17"), (18, 25, "18-25"), (26, 35, "26-35"), (36, 45, "36-45"), (46, 55, "46-55"),
-                (56, 65, "56-65"), (66, 75, "66-75"), (76, 85, "76-85")]
+# Age brackets (lower, upper, lettered label, plain label); over 85 and unknown last.
+AGE_BRACKETS = [
+    (0, 17, "A. 0-17", "0-17"), (18, 25, "B. 18-25", "18-25"), (26, 35, "C. 26-35", "26-35"),
+    (36, 45, "D. 36-45", "36-45"), (46, 55, "E. 46-55", "46-55"), (56, 65, "F. 56-65", "56-65"),
+    (66, 75, "G. 66-75", "66-75"), (76, 85, "H. 76-85", "76-85"),
+]
+AGE_OVER_85 = ("I. 85+", "85+")
 
 
 def age_group(age: Column, lettered: bool = True) -> Column:
     """C4: age bracket label, 'Unknown' when age is null or negative."""
+    pick = 2 if lettered else 3
     out = None
-    for i, (lo, hi, lab) in enumerate(AGE_BRACKETS):
-        text = f"{chr(65 + i)}. {lab}" if lettered else lab
-        out = F.when(age.between(lo, hi), text) if out is None else out.when(age.between(lo, hi), text)
-    return out.when(age > 85, "I. 85+" if lettered else "85+").otherwise("Unknown")
+    for b in AGE_BRACKETS:
+        cond = age.between(b[0], b[1])
+        out = F.when(cond, b[pick]) if out is None else out.when(cond, b[pick])
+    return out.when(age > 85, AGE_OVER_85[pick - 2]).otherwise("Unknown")
 
 
 def member_type_label(member_type: Column, corporate: str = "Corporate Member") -> Column:
