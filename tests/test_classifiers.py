@@ -119,3 +119,17 @@ def test_paid_installments_clamp(spark):
     got = values(spark, rows, "date_closed date, date_opened date, number_of_payments int, payments_per_year int",
                  L.paid_installments(AS_OF))
     assert got == [12, 5, 13, 13, None, None]
+
+
+def test_card_key_matches_text_id(spark):
+    rows = [("DRWD", 1, 5), ("DRWD", 1, None), ("DRWD", None, 5), ("TLT", 1, None), ("TLT", 1, 5), ("TLTC", 2, 7),
+            ("TLTC", None, 7), ("DRWD", 1, 6)]
+    df = spark.createDataFrame(rows, "pre string, a long, m long")
+    tlt = F.col("pre") == "TLT"
+    out = df.select(C.unique_card_text(F.col("pre"), "a", "m", tlt).alias("t"),
+                    C.unique_card_key(F.col("pre"), "a", "m", tlt).alias("k")).collect()
+    assert [r.t is None for r in out] == [r.k is None for r in out]
+    texts = [r.t for r in out if r.t is not None]
+    keys = [tuple(r.k) for r in out if r.k is not None]
+    assert len(set(texts)) == len(set(keys))  # same identity: distinct counts agree
+    assert texts[0] == "DEBIT_1_5" and "CREDIT_1" in texts and "ACCOUNT_2" in texts
