@@ -102,3 +102,14 @@ def test_join_fan_out(spark, sf, key):
     want = con.sql(oracle(Q("mt", FIXTURE_PARAMS, bind=False))).to_arrow_table()
     ok, msg = compare(got, want)
     assert ok, msg
+
+
+def test_no_nested_loop_without_broadcast(spark, sf, no_broadcast):
+    """Even when no side fits a broadcast, every key plans equi-joins only."""
+    bad = []
+    for key in registry.queries():
+        plan, _, v = registry.report(key)
+        text = plan(Tables.from_dir(spark, sf, v.name), FIXTURE_PARAMS, v)._jdf.queryExecution().executedPlan().toString()
+        if "NestedLoopJoin" in text or "CartesianProduct" in text:
+            bad.append(key)
+    assert not bad
