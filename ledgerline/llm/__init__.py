@@ -1 +1,11 @@
-"""Training-data operators: sharding, mixing, filters, deduplication, fingerprints, search, tokenisation."""
+"""Training-data operators: sharding, mixing, filters, deduplication, fingerprints, search, tokenisation.
+
+Functions that run in Python workers travel by value, so executors need no
+installed copy of this subpackage.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import mixing, sharding
+from ledgerline.llm import bpe, line_dedup, mixing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +27,25 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document before dropping, dropped, and the kept text's digest."""
+    kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), least=10)
+    return kept.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token count and the digests of its ids and of the decoded bytes."""
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe.decode(ids, vocabulary).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op2_mixing, op5_line_dedup, op9_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
