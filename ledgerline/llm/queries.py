@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, line_dedup, mixing, sharding
+from ledgerline.llm import bpe, line_dedup, mixing, near_dedup, order_minhash, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under a likeness of 0.85 on three-word shingles."""
+    found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, likeness=0.85)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document before dropping, dropped, and the kept text's digest."""
     kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), least=10)
@@ -34,6 +40,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return order_minhash.fingerprints(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token count and the digests of its ids and of the decoded bytes."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -45,7 +58,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_mixing, op5_line_dedup, op9_bpe)}
+    return {f.__name__: f for f in (op1_sharding, op2_mixing, op4_near_dedup, op5_line_dedup, op6_order_minhash, op9_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
