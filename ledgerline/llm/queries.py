@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, line_dedup, mixing, near_dedup, order_minhash, sharding
+from ledgerline.llm import bpe, line_dedup, mixing, near_dedup, order_minhash, permutation_index, quality_nbsvm, sharding
+from ledgerline.llm.common import crc_mod, labelled
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +48,11 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth vector."""
+    return permutation_index.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token count and the digests of its ids and of the decoded bytes."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -57,8 +63,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from two of three labelled ones."""
+    docs = _table(spark, sf_dir, "documents")
+    held = crc_mod(F.col("doc_id"), 3) == 1
+    model = quality_nbsvm.fit(labelled(docs.where(~held), _table(spark, sf_dir, "labels"), "quality"))
+    return quality_nbsvm.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_mixing, op4_near_dedup, op5_line_dedup, op6_order_minhash, op9_bpe)}
+    return {f.__name__: f for f in (op1_sharding, op2_mixing, op4_near_dedup, op5_line_dedup, op6_order_minhash,
+                                     op7_permutation_index, op9_bpe, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
