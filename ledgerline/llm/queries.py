@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, line_dedup, mixing, near_dedup, order_minhash, permutation_index, quality_nbsvm, sharding
+from ledgerline.llm import bpe, line_dedup, mixing, near_dedup, order_minhash, permutation_index, quality_nbsvm, sharding, toxicity
 from ledgerline.llm.common import crc_mod, labelled
 
 
@@ -28,6 +28,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from three of four labelled ones."""
+    docs = _table(spark, sf_dir, "documents")
+    held = crc_mod(F.col("doc_id"), 4) == 2
+    model = toxicity.fit(labelled(docs.where(~held), _table(spark, sf_dir, "labels"), "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held.alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under a likeness of 0.85 on three-word shingles."""
     found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, likeness=0.85)
@@ -73,7 +82,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_mixing, op4_near_dedup, op5_line_dedup, op6_order_minhash,
+    return {f.__name__: f for f in (op1_sharding, op2_mixing, op3_toxicity, op4_near_dedup, op5_line_dedup, op6_order_minhash,
                                      op7_permutation_index, op9_bpe, op10_quality)}
 
 
