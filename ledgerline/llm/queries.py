@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, line_dedup, mixing, near_dedup, order_minhash, permutation_index, quality_nbsvm, sharding, toxicity
+from ledgerline.llm import (bpe, language_crf, line_dedup, mixing, near_dedup, order_minhash, permutation_index,
+                            quality_nbsvm, sharding, toxicity)
 from ledgerline.llm.common import crc_mod, labelled
 
 
@@ -62,6 +63,14 @@ def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op8_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four of five."""
+    docs = _table(spark, sf_dir, "documents")
+    held = crc_mod(F.col("doc_id"), 5) == 0
+    model = language_crf.fit(docs.where(~held))
+    return language_crf.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token count and the digests of its ids and of the decoded bytes."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -83,7 +92,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sharding, op2_mixing, op3_toxicity, op4_near_dedup, op5_line_dedup, op6_order_minhash,
-                                     op7_permutation_index, op9_bpe, op10_quality)}
+                                     op7_permutation_index, op8_language_crf, op9_bpe, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
