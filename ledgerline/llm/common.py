@@ -86,11 +86,30 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """Training rows: documents with a label of 0 or 1, one label per id.
+    """Training rows (doc_id, text, _label): documents with a label of 0 or 1, one label per id.
 
     ``labels`` is reduced to one row per id first (repeated rows: the largest
     label), so that a repeated label does not repeat a document.
     """
     one = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
            .groupBy("doc_id").agg(F.max(label).cast("int").alias("_label")))
-    return docs.join(one, "doc_id")
+    return docs.select("doc_id", "text").join(one, "doc_id")
+
+
+def hash_sample(rows: DataFrame, total: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of ``total`` rows (all, if there are no more), by a hash of doc_id; no shuffle."""
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rows.where(draw * F.lit(total) < F.lit(wanted))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def columns(df: DataFrame, but: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of ``df``, whatever their names hold, without those in ``but``."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in but]

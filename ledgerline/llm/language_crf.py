@@ -230,7 +230,7 @@ def fit(train_docs: DataFrame) -> dict:
     """
     spark = train_docs.sparkSession
     scratch = Scratch(spark, "language")
-    usable = train_docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    usable = train_docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = scratch.keep(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "sizes")  # a row per language
     names = [r["lang"] for r in sizes.select("lang").orderBy("lang").collect()]
     if not names:

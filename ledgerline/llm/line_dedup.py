@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Scratch, map_batches
+from ledgerline.llm.common import Scratch, columns, fresh, map_batches
 
 #: Runs of one level that are merged into one of the next.
 FANOUT = 2
@@ -148,11 +148,11 @@ def _rebuild(least: int) -> Column:
     return rebuild
 
 
-def dedup_lines(docs: DataFrame, least: int = 10, batches: int = 4) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = 10, batches: int = 4, counts: tuple[str, str] = ("_lines", "_dropped")) -> DataFrame:
     """Documents without the lines that a smaller doc_id holds.
 
-    Returns the columns of ``docs`` (text: the remaining lines) with
-    ``_lines`` and ``_dropped``, the lines before and those dropped.  The
+    Returns the columns of ``docs`` (text: the remaining lines) with the
+    ``counts`` columns, the lines before and those dropped.  The
     documents arrive in ``batches`` ranges of ascending doc_id (quantiles over
     all rows), so the first holder of a key is its smallest.
 
@@ -163,7 +163,7 @@ def dedup_lines(docs: DataFrame, least: int = 10, batches: int = 4) -> DataFrame
     Nulls: a null text is one empty line and stays null; a null doc_id counts
     as one id larger than all others.  Rows that repeat a doc_id are one
     document: none of them loses a line to the other.  An empty table gives
-    an empty result.  Other columns pass unchanged.
+    an empty result.  Other columns pass unchanged (of the two names: replaced).
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
@@ -183,8 +183,11 @@ def dedup_lines(docs: DataFrame, least: int = 10, batches: int = 4) -> DataFrame
     runs.close()
     drops = (judged.groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("_drops"))
              .withColumnRenamed("doc", "_doc"))
-    out = (docs.withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long"))
-           .join(drops, F.col("_id") == F.col("_doc"), "left")
-           .withColumn("_kept", _rebuild(least)(F.col("text"), F.col("_drops"))))
-    return out.select(*[F.col("_kept.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-                      F.col("_kept.n_lines").alias("_lines"), F.col("_kept.n_dropped").alias("_dropped"))
+    doc, kept = fresh(docs, "_id"), fresh(docs, "_kept")
+    out = (docs.withColumn(doc, F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long"))
+           .join(drops.select(F.col("_doc").alias(fresh(docs, "_of")), F.col("_drops").alias(fresh(docs, "_drops"))),
+                 F.col(doc) == F.col(fresh(docs, "_of")), "left")
+           .withColumn(kept, _rebuild(least)(F.col("text"), F.col(fresh(docs, "_drops")))))
+    own = [F.col(f"{kept}.text").alias("text") if c == "text" else columns(docs.select(F.col(f"`{c}`")))[0]
+           for c in docs.columns if c not in counts]
+    return out.select(*own, F.col(f"{kept}.n_lines").alias(counts[0]), F.col(f"{kept}.n_dropped").alias(counts[1]))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import WORD, Scratch
+from ledgerline.llm.common import WORD, Scratch, columns, fresh
 
 #: Documents (or residuals) that one fold of the reduction tree takes, on average.
 BLOCK = 128
@@ -157,18 +157,15 @@ def apply_mix(docs: DataFrame, plan: DataFrame) -> DataFrame:
     the group's rows, in text order, take the larger numbers last.  Columns
     are those of ``docs``.
     """
-    names = docs.columns
-    keys = ["_doc", "_source", "_size"]
-    tally = (plan.groupBy(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"))
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("copies").alias("_low"),
-                  F.sum(F.col("copies").cast("long")).alias("_sum")))
-    keyed = docs.withColumns({"_d": F.col("doc_id"), "_s": F.col("source"), "_w": word_count(F.col("text"))})
-    joined = keyed.join(tally, keyed["_d"].eqNullSafe(tally["_doc"]) & keyed["_s"].eqNullSafe(tally["_source"])
-                        & (keyed["_w"] == tally["_size"]))
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("text"), F.xxhash64(*names)))
+    d, s, w, c = (fresh(docs, n) for n in ("_d", "_s", "_w", "_c"))
+    keyed = docs.withColumns({d: F.col("doc_id"), s: F.col("source"), w: word_count(F.col("text"))})
+    doc, source, size, n, low, total = (fresh(keyed, x) for x in ("_doc", "_source", "_size", "_n", "_low", "_sum"))
+    tally = (plan.groupBy(F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("size").alias(size))
+             .agg(F.count(F.lit(1)).alias(n), F.min("copies").alias(low), F.sum(F.col("copies").cast("long")).alias(total)))
+    joined = keyed.join(tally, keyed[d].eqNullSafe(tally[doc]) & keyed[s].eqNullSafe(tally[source]) & (keyed[w] == tally[size]))
+    nth = F.row_number().over(Window.partitionBy(doc, source, size).orderBy(F.xxhash64("text"), F.xxhash64(*columns(docs))))
     # copies differ by at most one within a group: the last rows get the higher number
-    high = F.col("_sum") - F.col("_low") * F.col("_n")
-    copies = F.col("_low") + (nth > F.col("_n") - high).cast("int")
-    return (joined.withColumn("_copies", copies).where(F.col("_copies") > 0)
-            .withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .select(*[F.col(f"`{c}`") for c in names]))
+    high = F.col(total) - F.col(low) * F.col(n)
+    copies = (F.col(low) + (nth > F.col(n) - high).cast("int")).cast("int")
+    return (joined.withColumn(c, copies).where(F.col(c) > 0)
+            .withColumn(c, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*columns(docs)))

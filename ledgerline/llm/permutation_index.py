@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Scratch, map_batches
+from ledgerline.llm.common import Scratch, hash_sample, map_batches
 
 #: Pivots, all taken from a sample of four times as many vectors.
 PIVOTS = 128
@@ -47,12 +47,13 @@ def usable(df: DataFrame, vector: str, key: str) -> DataFrame:
 
 
 def matrix(blobs: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), "<f8").reshape(len(blobs), -1)
+    return np.frombuffer(b"".join(blobs), "<f8").reshape(len(blobs), -1 if blobs else 0)
 
 
 def choose_pivots(vectors: DataFrame) -> np.ndarray:
     """Up to PIVOTS different vectors, by the hash order of their ids."""
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(4 * PIVOTS).collect()
+    few = hash_sample(vectors.withColumnRenamed("id", "doc_id"), vectors.count(), 16 * PIVOTS)
+    rows = few.orderBy(F.xxhash64("doc_id"), "doc_id", "vec").limit(4 * PIVOTS).collect()
     different = list(dict.fromkeys(bytes(r["vec"]) for r in rows))[:PIVOTS]
     return matrix(different)
 

@@ -17,11 +17,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Scratch, map_batches
+from ledgerline.llm.common import Scratch, hash_sample, map_batches
 
 #: Hashed n-gram features.
 FEATURES = 1 << 17
-#: Labelled documents that the weights are fitted on, at most.
+#: Labelled documents that the weights are fitted on, about.
 SAMPLE = 12_000
 #: Penalty of the hinge loss, and passes of the descent.
 COST, PASSES = 1.0, 8
@@ -145,7 +145,7 @@ def fit(train: DataFrame) -> dict:
         at = r.column("feature").to_numpy()
         pos[at], neg[at] = r.column("pos").to_numpy(), r.column("neg").to_numpy()
     ratio = ratios(pos, neg)
-    chosen = rows.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(SAMPLE).coalesce(1)
+    chosen = hash_sample(rows, rows.count(), SAMPLE).repartition(1).sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         grams, docs, labels = NGrams(), [], []

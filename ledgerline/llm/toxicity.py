@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Scratch, map_batches
+from ledgerline.llm.common import Scratch, columns, fresh, hash_sample, map_batches
 
 #: Least share of toxic documents, and least number, that hold a term.
 SUPPORT, SUPPORT_ROWS = 0.005, 5
@@ -35,7 +35,7 @@ STEMS = range(3, 8)
 ONE_EDIT, TWO_EDITS = 5, 9
 #: Words on either side that make the context of a match.
 WINDOW = 6
-#: Labelled documents that the final logistic model is fitted on, at most.
+#: Labelled documents that the final logistic model is fitted on, about.
 SAMPLE = 20_000
 #: Words that announce a quotation, in four languages (fixed values).
 REPORTING = frozenset(
@@ -337,7 +337,7 @@ def fit(train: DataFrame) -> dict:
     for term, about in terms.items():  # words whose misspellings are ordinary words are matched exactly
         if weights[term, True] < MISSPELLED:
             about["edits"] = 0
-    chosen = rows.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(SAMPLE)
+    chosen = hash_sample(rows, toxic + clean, SAMPLE)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         match = Matcher(terms)
@@ -350,11 +350,11 @@ def fit(train: DataFrame) -> dict:
     return {"terms": terms, "weights": weights, "model": model}
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with ``_score`` (0 to 1) and ``_matches`` (term, edits, quoted).
+def score(docs: DataFrame, model: dict, names: tuple[str, str] = ("_score", "_matches")) -> DataFrame:
+    """``docs`` with two more columns: score (0 to 1) and matches (term, edits, quoted).
 
     Null and empty texts have no matches and score the bias; repeated rows
-    score alike; other columns pass unchanged.
+    score alike; other columns pass unchanged (of these names: replaced).
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -371,5 +371,6 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                 [pa.array(p), pa.array([[{"term": t, "edits": e, "quoted": q} for t, e, q in f] for f in found], pa.list_(kind))],
                 ["score", "matches"])
 
-    out = docs.withColumn("_rated", rate(F.col("text")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_rated.score").alias("_score"), F.col("_rated.matches").alias("_matches"))
+    rated = fresh(docs, "_rated")
+    return docs.withColumn(rated, rate(F.col("text"))).select(
+        *columns(docs, names), F.col(f"{rated}.score").alias(names[0]), F.col(f"{rated}.matches").alias(names[1]))
