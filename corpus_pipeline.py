@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, line_dedup, mixing, near_dedup, toxicity
-from ledgerline.llm.common import ASCII_SPACE, Scratch, labelled
+from ledgerline.llm.common import ASCII_SPACE, Scratch, columns, fresh, labelled
 
 #: Documents that score this or more are rejected as toxic.
 TOXIC = 0.3
@@ -31,7 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(labelled(docs, labels, "toxic"))
-    return toxicity.score(docs, model).where(F.col("_score") < TOXIC).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = fresh(docs, "_score"), fresh(docs, "_matches")
+    return toxicity.score(docs, model, names).where(F.col(names[0]) < TOXIC).select(*columns(docs))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +41,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document whose every word stood in such lines is a copy and goes; one
     that had no words before, or a null text, stays.
     """
-    kept = line_dedup.dedup_lines(docs)
-    copied = (F.col("_dropped") > 0) & (F.btrim("text", F.lit(ASCII_SPACE)) == "")
-    kept = kept.where(~F.coalesce(copied, F.lit(False))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    counts = fresh(docs, "_lines"), fresh(docs, "_dropped")
+    kept = line_dedup.dedup_lines(docs, counts=counts)
+    copied = (F.col(counts[1]) > 0) & (F.btrim("text", F.lit(ASCII_SPACE)) == "")
+    kept = kept.where(~F.coalesce(copied, F.lit(False))).select(*columns(docs))
     return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
@@ -54,11 +56,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     found = near_dedup.near_duplicates(docs, SHINGLE, LIKENESS)
     heads = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_head")).distinct()
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = (docs.where(F.col("doc_id").isNotNull()).join(heads, F.col("doc_id") == F.col("_head"))
-             .withColumn("_nth", nth).where(F.col("_nth") == 1))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return named.select(*columns).unionByName(docs.where(F.col("doc_id").isNull()).select(*columns))
+    nth, head = fresh(docs, "_nth"), fresh(docs, "_head")
+    named = (docs.where(F.col("doc_id").isNotNull())
+             .join(heads.withColumnRenamed("_head", head), F.col("doc_id") == F.col(head))
+             .withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(nth) == 1))
+    return named.select(*columns(docs)).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
