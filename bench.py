@@ -13,13 +13,14 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerline import registry  # noqa: E402
 from ledgerline.params import FIXTURE_PARAMS  # noqa: E402
-from ledgerline.session import build_session, ensure_checkpoint_dir  # noqa: E402
+from ledgerline.session import build_session  # noqa: E402
 from ledgerline.sources.tables import Tables  # noqa: E402
 
 
@@ -30,8 +31,8 @@ def main() -> None:
     only = [k for k in sys.argv[1:] if not k.startswith("-")]
     keys = [k for k in registry.queries() if not only or any(s in k for s in only)]
 
-    # Stored tables live under the session's (shared) checkpoint folder.
-    store = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "bench-tables")
+    # Stored tables of this run: $BENCH_STORE (on a cluster, a shared folder) or a folder of their own.
+    store = os.environ.get("BENCH_STORE") or tempfile.mkdtemp(prefix="ledgerline-bench-")
     t0 = time.perf_counter()
     tables = {}
     for tenancy in ("mt", "st"):

@@ -1,7 +1,8 @@
 """Branch and institution labels (C35 and the branch group of C32).
 
-The single-tenant reports label branches of one institution.  The labels are
-fixed values of that institution, kept together here.
+The single-tenant reports label the branches of one institution.  Names and
+labels are the institution's own and come with ``Params.institution``; the
+defaults here are what the reports print for anything unknown.
 """
 
 from __future__ import annotations
@@ -10,54 +11,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerline.functions.common import case_map, col
+from ledgerline.params import Institution
 
-# Branch number -> branch category (dividend report).
-BRANCH_CATEGORY = {"0": "HEADQUARTERS", "1": "MAIN_BRANCH", "2": "REGENCY", "3": "PUEBLO_WEST", "4": "EAGLERIDGE",
-                   "5": "NEPCO", "6": "REMOTE_SERVICES"}
-# The institution's own name as stored on the head-office entity, and its short label.
-INSTITUTION_NAME_PATTERN = "%MINNEQUA WORKS CREDIT UNION%"
-INSTITUTION_SHORT_NAME = "MINNEQUA WORKS CR"
+# Labels of a branch that the institution's table does not list.
+OTHER_BRANCH = "OTHER_BRANCH"
+JOURNAL_BRANCH_DEFAULTS = ("OTHER_BRANCH", "UNKNOWN_ACTIVITY", "Unknown Specialization", "UNKNOWN_DENSITY")
+JOURNAL_BRANCH_COLUMNS = ("Branch_Category", "Branch_Activity_Level", "Branch_Specialization", "Branch_Member_Density")
+
+
+def _named(n: Column, own: Column, inst: Institution) -> Column:
+    return F.when(own, inst.short_name).when(n.isNull(), "Unknown Branch").otherwise(F.trim(n))
 
 
-def branch_name(name) -> Column:
+def branch_name(name, inst: Institution) -> Column:
     """Short label for the institution's own entity, 'Unknown Branch' when
     missing, else the trimmed name."""
     n = col(name)
-    return (F.when(n.like(INSTITUTION_NAME_PATTERN), INSTITUTION_SHORT_NAME)
-            .when(n.isNull(), "Unknown Branch").otherwise(F.trim(n)))
-
-
-def branch_category(number) -> Column:
-    """Branch number -> category label, else OTHER_BRANCH."""
-    return case_map(col(number), BRANCH_CATEGORY, "OTHER_BRANCH")
-
-
-# The head-office entity name as stored, mapped to the short label (journal report).
-HEAD_OFFICE_ENTITY_NAME = "MINNEQUA WORKS CREDIT UNION - PAULINE MONTOYA"
-
-# Journal-report branch labels by branch number ('0'..'6'):
-# (category, activity level, specialization, member density).
-JOURNAL_BRANCH_LABELS = {
-    "0": ("HEADQUARTERS/CORPORATE", "VERY_HIGH_ACTIVITY", "Corporate/Administrative Members", "VERY_HIGH_DENSITY"),
-    "1": ("MAIN_BRANCH/PRIMARY", "HIGHEST_ACTIVITY", "Family/General Membership", "HIGHEST_DENSITY"),
-    "2": ("REGENCY/BUSINESS_SERVICES", "MINIMAL_ACTIVITY", "Customer/Business Services", "MINIMAL_DENSITY"),
-    "3": ("PUEBLO_WEST/COMMUNITY", "LOW_ACTIVITY", "Family/Community Satellite", "LOW_DENSITY"),
-    "4": ("EAGLERIDGE/HIGH_VOLUME", "HIGH_ACTIVITY", "Family/Community Focused", "HIGH_DENSITY"),
-    "5": ("NEPCO/MIXED_SERVICES", "MEDIUM_ACTIVITY", "Mixed Community/Business", "MEDIUM_DENSITY"),
-    "6": ("REMOTE_SERVICES/DIGITAL", "DIGITAL_ONLY", "Digital/Remote Services", "ULTRA_LOW_DENSITY"),
-}
-JOURNAL_BRANCH_DEFAULTS = ("OTHER_BRANCH", "UNKNOWN_ACTIVITY", "Unknown Specialization", "UNKNOWN_DENSITY")
+    return _named(n, n.contains(inst.name), inst)
 
 
-def journal_branch_name(name) -> Column:
+def journal_branch_name(name, inst: Institution) -> Column:
     """Head-office entity -> short label, missing -> 'Unknown Branch', else trimmed."""
     n = col(name)
-    return (F.when(n == HEAD_OFFICE_ENTITY_NAME, INSTITUTION_SHORT_NAME)
-            .when(n.isNull(), "Unknown Branch").otherwise(F.trim(n)))
+    return _named(n, n == inst.head_office, inst)
+
+
+def branch_category(number, inst: Institution) -> Column:
+    """Branch number -> category label, else OTHER_BRANCH."""
+    labels = {b.number: b.category for b in inst.branches}
+    return case_map(col(number), labels, OTHER_BRANCH) if labels else F.lit(OTHER_BRANCH)
 
 
-def journal_branch_labels(number) -> dict[str, Column]:
+def journal_branch_labels(number, inst: Institution) -> dict[str, Column]:
     """The four branch label columns of the journal report."""
-    names = ["Branch_Category", "Branch_Activity_Level", "Branch_Specialization", "Branch_Member_Density"]
-    return {name: case_map(col(number), {k: v[i] for k, v in JOURNAL_BRANCH_LABELS.items()},
-                           JOURNAL_BRANCH_DEFAULTS[i]) for i, name in enumerate(names)}
+    out = {}
+    for i, (name, default) in enumerate(zip(JOURNAL_BRANCH_COLUMNS, JOURNAL_BRANCH_DEFAULTS)):
+        labels = {b.number: b.journal[i] for b in inst.branches}
+        out[name] = case_map(col(number), labels, default) if labels else F.lit(default)
+    return out

@@ -31,10 +31,12 @@ def year_range(c, year: int) -> Column:
 
 
 def to_cents(c) -> Column:
-    """A 2-decimal money value as exact integer cents (bigint).
+    """A decimal money value of at most two decimals as exact integer cents (bigint).
 
     Aggregating cents runs on primitive longs inside whole-stage codegen,
     where sums of decimal(18,2) widen to object-backed decimal(28+) buffers.
+    The cast would cut off anything finer, so ``Tables`` refuses money columns
+    of any other type when they are bound (``sources.tables.MONEY``).
     """
     return (col(c) * 100).cast("bigint")
 

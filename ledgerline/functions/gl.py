@@ -102,13 +102,13 @@ def accrual_ratio_pct(paid: Column, accrued: Column) -> Column:
 DIVIDEND_TYPE = {"SHDV": "SHARE_DIVIDEND_TO_MEMBER", "CTDV": "CERTIFICATE_DIVIDEND"}
 
 
-def dividend_type(code) -> Column:
-    """C33."""
+def dividend_type(code, stored=None) -> Column:
+    """C33; ``stored`` (default: ``code``) is printed where no code matches."""
     c = col(code)
     out = None
     for k, v in DIVIDEND_TYPE.items():
         out = F.when(c == k, v) if out is None else out.when(c == k, v)
-    return out.otherwise(F.concat(F.lit("OTHER_DIVIDEND_"), c))
+    return out.otherwise(F.concat(F.lit("OTHER_DIVIDEND_"), col(code if stored is None else stored)))
 
 
 # Fixed values: (discriminator, account type) -> deposit product name (dividend report).
@@ -122,14 +122,15 @@ DIVIDEND_PRODUCT_TYPE = [
 ]
 
 
-def dividend_product_type(disc, atype) -> Column:
-    """Product name by discriminator and type, else 'disc - type'."""
+def dividend_product_type(disc, atype, stored_disc=None, stored_type=None) -> Column:
+    """Product name by discriminator and type, else 'disc - type' as stored."""
     d, t = col(disc), col(atype)
     out = None
     for dd, tt, label in DIVIDEND_PRODUCT_TYPE:
         cond = (d == dd) & (t == tt)
         out = F.when(cond, label) if out is None else out.when(cond, label)
-    return out.otherwise(F.concat(d, F.lit(" - "), t))
+    return out.otherwise(F.concat(col(disc if stored_disc is None else stored_disc), F.lit(" - "),
+                                  col(atype if stored_type is None else stored_type)))
 
 
 # GL number prefix -> GL account category, first match wins.

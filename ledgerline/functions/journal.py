@@ -123,9 +123,9 @@ def calendar_columns(d: Column) -> dict[str, Column]:
     }
 
 
-def source_description(source) -> Column:
-    s = col(source)
-    return _case_or(s, SOURCE_DESCRIPTION, F.concat(F.lit("Other: "), s))
+def source_description(source, stored=None) -> Column:
+    """``source`` is compared, ``stored`` (default: the same) printed where no code matches."""
+    return _case_or(col(source), SOURCE_DESCRIPTION, F.concat(F.lit("Other: "), col(source if stored is None else stored)))
 
 
 def _case_or(c: Column, mapping: dict, default: Column) -> Column:
@@ -135,13 +135,14 @@ def _case_or(c: Column, mapping: dict, default: Column) -> Column:
     return out.otherwise(default)
 
 
-def entry_type_description(entry_desc) -> Column:
-    e = col(entry_desc)
+def entry_type_description(entry_desc, stored=None) -> Column:
+    """``entry_desc`` in upper case is compared, ``stored`` (default: the same) is printed."""
+    e, text = col(entry_desc), col(entry_desc if stored is None else stored)
     return (F.when(e == "EOD", "End of Day Processing")
-            .when(e.like("%-%"), F.concat(F.lit("Manual Entry - User "), F.substr(e, F.lit(1), F.lit(2))))
+            .when(e.like("%-%"), F.concat(F.lit("Manual Entry - User "), F.substr(text, F.lit(1), F.lit(2))))
             .when(e == "CERT ACCRUAL", "Certificate Interest Accrual").when(e == "INVOICE", "Invoice Payment/Processing")
-            .when(e == "Depreciation", "Asset Depreciation").when(e.like("ME Loan%"), "Member Loan Accrual")
-            .otherwise(e))
+            .when(e == "DEPRECIATION", "Asset Depreciation").when(e.like("ME LOAN%"), "Member Loan Accrual")
+            .otherwise(text))
 
 
 def transaction_nature(description) -> Column:

@@ -9,15 +9,18 @@ from ledgerline.functions.common import col
 
 
 def member_filter_columns(member_number="member_number", inactive_flag="inactive_flag",
-                          all_closed="all_accounts_closed") -> dict[str, Column]:
-    """The dashboard filter columns shared by member and product reports."""
+                          all_closed="all_accounts_closed", code: Column | None = None) -> dict[str, Column]:
+    """The dashboard filter columns shared by member and product reports.
+
+    ``code`` is the inactive flag as printed (default: as compared).
+    """
     n, f, c = col(member_number), col(inactive_flag), col(all_closed)
     return {
         "member_number_is_valid": F.when(n > 0, "Valid").otherwise("Invalid"),
         "member_inactive_flag_status": F.when(f == "I", "Inactive Flag").otherwise("Active Flag"),
         "member_accounts_status": (F.when(c == 1, "All Closed").when(c == 0, "Has Open Accounts")
                                    .otherwise("Unknown/NULL")),
-        "member_inactive_flag_code": f,
+        "member_inactive_flag_code": f if code is None else code,
         "member_all_accounts_closed_flag": c,
     }
 

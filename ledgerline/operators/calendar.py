@@ -38,16 +38,20 @@ def grid_window(gl_start: dt.date, as_of: dt.date, months: int) -> tuple[dt.date
 
 def zero_filled_grid(keys: DataFrame, first: dt.date, last: dt.date, facts: DataFrame, on: list[str],
                      fill: dict[str, Column], period: str = "period_start") -> DataFrame:
-    """O3: every key row x every month in [first, last], left-joined to ``facts``
-    on ``on + [period]`` with missing measures replaced by ``fill``.
-
-    The months are generated per key row (explode of a constant sequence), so
-    the grid never crosses two relations; the facts join is a plain equi-join.
-    The exploded grid is hash-partitioned on ``on`` (AQE sizes the partitions
-    from the exploded bytes, not from the small key table), which is also the
-    partitioning the per-key window after the grid needs.
+    """O3: every key row x every month in [first, last] with the measures of
+    ``facts`` (at most one row per ``on`` and month), missing ones replaced by
+    ``fill``.
+
+    The facts are brought to one row per key (a map with at most one entry per
+    month), joined to the key rows, and only then are the months generated per
+    row, so neither relations are crossed nor grid rows shuffled: the result
+    stays partitioned on ``on``, as a per-key window needs it.
     """
-    grid = keys.withColumn(period, F.explode(month_sequence(first, last))).repartition(*on)
-    joined = grid.join(facts, on + [period], "left")
-    return joined.select(*[c for c in joined.columns if c not in fill],
-                         *[F.coalesce(F.col(c), v).alias(c) for c, v in fill.items()])
+    measures = list(fill)
+    per_key = (facts.where(F.col(period).isNotNull()).groupBy(*on)
+               .agg(F.map_from_entries(F.collect_list(F.struct(F.col(period), F.struct(*measures)))).alias("_facts")))
+    months = F.transform(month_sequence(first, last),
+                         lambda m: F.struct(m.alias(period), F.try_element_at(F.col("_facts"), m).alias("_f")))
+    return (keys.repartition(*on).join(per_key, on, "left")
+            .select(*keys.columns, F.explode(months).alias("_m"))
+            .select(*keys.columns, f"_m.{period}", *[F.coalesce(F.col(f"_m._f.{c}"), v).alias(c) for c, v in fill.items()]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.common import MONEY_SUM, col, from_cents, to_cents
+from ledgerline.functions.common import MONEY_SUM, from_cents, to_cents
 
 
 def monthly_gl_activity(gl_history: DataFrame, keys: list[str], cents: bool = False) -> DataFrame:
@@ -54,16 +54,17 @@ def accrual_monthly(account_types: DataFrame, gl_history: DataFrame, category: s
     aggregate per (month, role, batch) and a second per month, instead of an
     Expand per distinct aggregate; both stages combine map-side.
 
-    MT: codes and GL numbers are canonicalized (upper/trim, leading zeros),
-    a null status counts as posted.  ST: the binding normalized codes, the
-    GL numbers are compared as they are, status 'D' (and null) is dropped.
+    GL numbers compare as numbers: without blanks and leading zeros.  MT:
+    codes are canonicalized (upper/trim) and a null status counts as posted.
+    ST: codes come in comparison form, status 'D' (and null) is dropped.
     """
     from ledgerline.functions.gl import gl_account_canon
 
     k = ["credit_union"] if mt else []
     cat = F.upper(F.trim("category")) if mt else F.col("category")
     at = account_types.filter(cat == category)
-    canon = gl_account_canon if mt else col
+    canon = gl_account_canon
+
     def pair(c: str, role: str):
         return F.when(F.col(c).isNotNull(), F.struct(canon(c).alias("_gl"), F.lit(role).alias("_role")))
 

@@ -63,9 +63,13 @@ def account_partials(tx: DataFrame, keys: list[str], windows: dict[str, Column])
 
 def round_avg(total: Column, n: Column, in_cents: bool = False) -> Column:
     """ROUND(total / n, 2) for total >= 0 with half-up rounding in integer
-    cents, as a double (identical in every engine)."""
+    cents, as a double (identical in every engine).
+
+    Exact while twice the total in cents plus ``n`` stays below 2^53, i.e. up
+    to totals of about 45 * 10^12: the division runs on doubles.
+    """
     cents = total if in_cents else to_cents(total)
-    q = F.floor((cents * 2 + n) / (n * 2))  # exact: both operands are integers below 2^53
+    q = F.floor((cents * 2 + n) / (n * 2))
     return F.when(n > 0, q.cast("double") / 100)
 
 

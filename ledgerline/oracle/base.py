@@ -8,6 +8,25 @@ from ledgerline.params import FIXTURE_PARAMS, Params
 from ledgerline.sources import fixtures
 
 
+# Code columns that a single-tenant database compares without case and trailing blanks.
+ST_CODES = {
+    "account": ("discriminator", "account_type", "access_control", "status"), "account_types": ("account_type", "category"),
+    "gl_chart_of_accounts": ("account_type", "controlled"), "gl_history": ("status", "source", "entry_desc"),
+    "transaction_history": ("tran_code",), "loan_app_status": ("description",), "eft_card_file": ("card_type", "reject_code"),
+    "pd_xmaif": ("card_type", "credit_card", "debit_card", "atm_card"), "member": ("inactive_flag", "member_type"),
+    "entity": ("gender",),
+}
+
+
+def _collated(name: str, sql: str) -> str:
+    codes = ST_CODES.get(name, ())
+    if not codes:
+        return sql
+    again = ", ".join(f"upper(rtrim({c})) AS {c}" for c in codes)
+    stored = ", ".join(f"{c} AS stored_{c}" for c in codes)
+    return f"SELECT * REPLACE ({again}), {stored} FROM (\n{sql}\n) s"
+
+
 def with_tables(body: str, tenancy: str) -> str:
     """``WITH <logical tables the body names> SELECT * FROM (<body>) q``.
 
@@ -18,7 +37,10 @@ def with_tables(body: str, tenancy: str) -> str:
     if tenancy == "st":
         names = [n for n in names if n != "fi_map"]
     build = fixtures.st_sql if tenancy == "st" else fixtures.logical_sql
-    ctes = ",\n".join(f"{n} AS (\n{build(n, 'duckdb')}\n)" for n in names)
+    bound = {n: build(n, "duckdb") for n in names}
+    if tenancy == "st":
+        bound = {n: _collated(n, sql) for n, sql in bound.items()}
+    ctes = ",\n".join(f"{n} AS (\n{sql}\n)" for n, sql in bound.items())
     return f"WITH {ctes}\nSELECT * FROM (\n{body}\n) q"
 
 
@@ -41,6 +63,10 @@ class Q:
         """Extra tenant join condition."""
         return f" AND {a}.credit_union = {b}.credit_union" if self.mt else ""
 
+    def stored(self, alias: str, c: str) -> str:
+        """A code column's text as stored."""
+        return f"{alias}.{c}" if self.mt else f"{alias}.stored_{c}"
+
     def norm(self, x: str) -> str:
         return f"upper(trim({x}))" if self.mt else x
 

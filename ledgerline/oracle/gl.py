@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from ledgerline.oracle.base import Q
-from ledgerline.operators.calendar import grid_window
 
 
 def _subcat(q: Q, num: str, bal: str) -> str:
@@ -20,7 +19,9 @@ def _subcat(q: Q, num: str, bal: str) -> str:
 
 
 def gl_accounts_general(q: Q) -> str:
-    first, last = grid_window(q.p.gl_start, q.p.as_of, q.p.grid_months)
+    last = f"CAST(date_trunc('month', {q.as_of}) AS DATE)"
+    first = (f"CAST(greatest(date_trunc('month', {q.d(q.p.gl_start)}), "
+             f"date_trunc('month', {q.as_of}) - INTERVAL {q.p.grid_months} MONTH) AS DATE)")
     num = ("TRY_CAST(split_part(a.account_number, '.', 1) AS INTEGER)" if q.mt
            else "TRY_CAST(a.account_number AS DOUBLE)")
     ctrl = "upper(trim(CAST(a.controlled AS VARCHAR)))" if q.mt else "a.controlled"
@@ -37,7 +38,7 @@ WITH a AS (
          sum(amount) AS net, sum(abs(amount)) AS tot
   FROM gl_history WHERE effective_date >= {q.d(q.p.gl_start)} GROUP BY ALL
 ), ag AS (
-  SELECT *, CAST(unnest(generate_series({q.d(q.p.gl_start.replace(day=1))}, {q.d(last)}, INTERVAL 1 MONTH)) AS DATE) AS period_start
+  SELECT *, CAST(unnest(generate_series({q.d(q.p.gl_start.replace(day=1))}, {last}, INTERVAL 1 MONTH)) AS DATE) AS period_start
   FROM a
 ), g AS (
   SELECT a.*, coalesce(ms.n, 0) AS n,
@@ -45,7 +46,7 @@ WITH a AS (
          CAST(coalesce(ms.net, 0) AS DECIMAL(38,2)) AS net, CAST(coalesce(ms.tot, 0) AS DECIMAL(38,2)) AS tot
   FROM ag a
   LEFT JOIN ms ON ms.account_number = a.account_number AND ms.period_start = a.period_start{q.on('ms', 'a')}
-  WHERE a.period_start >= {q.d(first)}
+  WHERE a.period_start >= {first}
 ), r AS (
   SELECT *, CAST(sum(net) OVER (PARTITION BY {q.k()}account_number ORDER BY period_start
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS bal
@@ -80,7 +81,7 @@ def _accruals(q: Q, category: str, product: str, kind: str, loans: bool) -> str:
         cat = "upper(trim(category))"
         posted = "upper(trim(coalesce(status, 'P'))) = 'P'"
     else:
-        canon = "{}"
+        canon = "coalesce(regexp_replace(trim(CAST({} AS VARCHAR)), '^0+', ''), '0')"
         cat = "category"
         posted = "status <> 'D'"
 
@@ -149,14 +150,21 @@ def exact_round_ratio(num: str, den: str, factor: int, scale: int) -> str:
 
 
 def gl_dividends(q: Q) -> str:
-    from ledgerline.functions.gl import DIVIDEND_PRODUCT_TYPE, GL_PREFIX_CATEGORY
-    from ledgerline.functions.branches import BRANCH_CATEGORY
-    prod = "CASE " + " ".join(f"WHEN da.discriminator = '{d}' AND da.account_type = '{t}' THEN '{lab}'"
-                              for d, t, lab in DIVIDEND_PRODUCT_TYPE) + \
-        " ELSE da.discriminator || ' - ' || da.account_type END"
-    glc = "CASE " + " ".join(f"WHEN CAST(gl.account_number AS VARCHAR) LIKE '{pre}%' THEN '{lab}'"
-                             for pre, lab in GL_PREFIX_CATEGORY) + " ELSE 'OTHER_GL_ACCOUNT' END"
-    brc = "CASE " + " ".join(f"WHEN db.branch_number = '{k}' THEN '{v}'" for k, v in BRANCH_CATEGORY.items()) + \
+    # Fixed values, stated here once more so that a wrong label in the library shows.
+    products = {"S": {"PSAV": "Primary Savings", "HYS": "High Yield Savings", "MMA": "Money Market", "SSAV": "Secondary Savings",
+                      "CLUB": "Club Account", "TISV": "Traditional IRA Savings", "RISV": "Roth IRA Savings",
+                      "YSAV": "Youth Savings", "SPIS": "SEP IRA Savings"},
+                "C": {"CERT": "Certificate of Deposit", "TICD": "Traditional IRA Certificate", "RICD": "Roth IRA Certificate",
+                      "EICD": "Education IRA Certificate"},
+                "D": {"CHK": "Checking Account", "OTCK": "Overtime Checking"}}
+    prod = "CASE da.discriminator || '/' || da.account_type " + " ".join(
+        f"WHEN '{d}/{t}' THEN '{lab}'" for d, types in products.items() for t, lab in types.items()) + \
+        " ELSE da.stored_discriminator || ' - ' || da.stored_account_type END"
+    glc = ("CASE left(CAST(gl.account_number AS VARCHAR), 4) WHEN '380.' THEN 'DIVIDEND_EXPENSE' WHEN '901.' THEN 'MEMBER_DEPOSIT_ACCOUNT' "
+           "WHEN '903.' THEN 'CERTIFICATE_ACCOUNT' WHEN '383.' THEN 'OTHER_DIVIDEND_EXPENSE' WHEN '151.' THEN 'CASH_ACCOUNT' "
+           "ELSE 'OTHER_GL_ACCOUNT' END")
+    inst = q.p.institution
+    brc = "CASE db.branch_number " + " ".join(f"WHEN '{b.number}' THEN '{b.category}'" for b in inst.branches) + \
         " ELSE 'OTHER_BRANCH' END"
     ok = "th.tran_code = 'SHDV' AND da.current_balance > 100 AND th.total_amount < 0"
     return q.wrap(f"""
@@ -167,22 +175,22 @@ WITH th AS (
   SELECT bc.branch_config_id, bc.branch_number, be.name_last AS branch_name
   FROM branch_config bc LEFT JOIN entity be ON bc.branch_entity_id = be.entity_id
 )
-SELECT 'TXN_' || th.tran_code || '_' || CAST(th.transaction_history_id AS VARCHAR) AS ID_Dividend_Transaction,
-  th.transaction_history_id AS Transaction_History_ID, th.batch_number AS Batch_Number, th.tran_code AS Transaction_Code,
+SELECT 'TXN_' || th.stored_tran_code || '_' || CAST(th.transaction_history_id AS VARCHAR) AS ID_Dividend_Transaction,
+  th.transaction_history_id AS Transaction_History_ID, th.batch_number AS Batch_Number, th.stored_tran_code AS Transaction_Code,
   CASE WHEN th.tran_code = 'SHDV' THEN 'SHARE_DIVIDEND_TO_MEMBER' WHEN th.tran_code = 'CTDV' THEN 'CERTIFICATE_DIVIDEND'
-       ELSE 'OTHER_DIVIDEND_' || th.tran_code END AS Transaction_Type,
+       ELSE 'OTHER_DIVIDEND_' || th.stored_tran_code END AS Transaction_Type,
   th.date_effective AS Transaction_Date, CAST(year(th.date_effective) AS INTEGER) AS Transaction_Year,
   CAST(month(th.date_effective) AS INTEGER) AS Transaction_Month, CAST(quarter(th.date_effective) AS INTEGER) AS Transaction_Quarter,
   strftime(th.date_effective, '%Y-%m') AS year_month, th.total_amount AS Amount, abs(th.total_amount) AS Amount_Absolute,
   th.member_id AS Member_ID, dm.member_number AS Member_Number, th.account_id AS Account_ID,
-  da.account_number AS Account_Number, da.account_type AS Account_Type, da.discriminator AS Account_Discriminator,
+  da.account_number AS Account_Number, da.stored_account_type AS Account_Type, da.stored_discriminator AS Account_Discriminator,
   CASE da.discriminator WHEN 'S' THEN 'SAVINGS' WHEN 'C' THEN 'CERTIFICATES' WHEN 'D' THEN 'CHECKING' WHEN 'L' THEN 'LOANS'
        WHEN 'U' THEN 'SPECIAL' ELSE 'OTHER' END AS Account_Category,
-  da.current_balance AS Current_Account_Balance, da.status AS Account_Status, {prod} AS Product_Type,
+  da.current_balance AS Current_Account_Balance, da.stored_status AS Account_Status, {prod} AS Product_Type,
   CAST(gl.account_number AS VARCHAR) AS GL_Account_Number, gl.description AS GL_Account_Description,
   gl.short_desc AS GL_Account_Short_Desc, {glc} AS GL_Account_Category,
   th.branch_config_id AS Branch_Config_ID, db.branch_number AS Branch_Number,
-  CASE WHEN db.branch_name LIKE '%MINNEQUA WORKS CREDIT UNION%' THEN 'MINNEQUA WORKS CR'
+  CASE WHEN db.branch_name LIKE '%{inst.name}%' THEN '{inst.short_name}'
        WHEN db.branch_name IS NULL THEN 'Unknown Branch' ELSE trim(db.branch_name) END AS Branch_Name,
   {brc} AS Branch_Category,
   CASE WHEN th.tran_code = 'SHDV' AND da.discriminator = 'S' THEN 'SAVINGS_DIVIDEND_PAYMENT'
@@ -199,18 +207,17 @@ LEFT JOIN db ON th.branch_config_id = db.branch_config_id""")
 
 
 def gl_accounts_transactions(q: Q) -> str:
-    from ledgerline.functions.branches import JOURNAL_BRANCH_DEFAULTS, JOURNAL_BRANCH_LABELS
-    from ledgerline.operators.kpis import _minus_months
-    start = q.d(_minus_months(q.p.as_of, q.p.grid_months))
+    start = f"CAST({q.as_of} - INTERVAL {q.p.grid_months} MONTH AS DATE)"
+    inst = q.p.institution
     n = "TRY_CAST(gl.account_number AS DOUBLE)"
     t = "gl.account_type"
     r = lambda k, lo, hi: f"({t} = '{k}' AND {n} BETWEEN {lo} AND {hi})"
     deb = f"({r('B', 700, 899)} OR {r('I', 200, 399)})"
     cre = f"({r('B', 900, 999)} OR {r('I', 110, 199)} OR {r('I', 400, 499)})"
-    names = ["Branch_Category", "Branch_Activity_Level", "Branch_Specialization", "Branch_Member_Density"]
-    brl = ", ".join("CASE " + " ".join(f"WHEN bc.branch_number = '{k}' THEN '{v[i]}'" for k, v in
-                                       JOURNAL_BRANCH_LABELS.items()) + f" ELSE '{JOURNAL_BRANCH_DEFAULTS[i]}' END AS {nm}"
-                    for i, nm in enumerate(names))
+    other = {"Branch_Category": "OTHER_BRANCH", "Branch_Activity_Level": "UNKNOWN_ACTIVITY",
+             "Branch_Specialization": "Unknown Specialization", "Branch_Member_Density": "UNKNOWN_DENSITY"}
+    brl = ", ".join("CASE bc.branch_number " + " ".join(f"WHEN '{b.number}' THEN '{b.journal[i]}'" for b in inst.branches)
+                    + f" ELSE '{default}' END AS {nm}" for i, (nm, default) in enumerate(other.items()))
     u = "upper(h.description)"
     a = "h.amount"
     return q.wrap(f"""
@@ -218,9 +225,9 @@ SELECT h.record_number AS Transaction_ID, CAST(h.gl_account_number AS VARCHAR) A
   gl.short_desc AS GL_Short_Name, h.description AS Transaction_Description,
   h.gl_account_number || '-' || gl.short_desc AS GL_Account_Concat, h.branch_config_id AS Branch_Config_ID,
   bc.branch_number AS Branch_Number,
-  CASE WHEN be.name_last = 'MINNEQUA WORKS CREDIT UNION - PAULINE MONTOYA' THEN 'MINNEQUA WORKS CR'
+  CASE WHEN be.name_last = '{inst.head_office}' THEN '{inst.short_name}'
        WHEN be.name_last IS NULL THEN 'Unknown Branch' ELSE trim(be.name_last) END AS Branch_Name, {brl},
-  {t} AS Account_Type,
+  gl.stored_account_type AS Account_Type,
   CASE WHEN {t} = 'B' THEN 'Balance Sheet' WHEN {t} = 'I' THEN 'Income Statement' ELSE 'Other' END AS Account_Category,
   CASE WHEN {r('B', 700, 799)} THEN 'ASSETS - Loans & Investments' WHEN {r('B', 800, 899)} THEN 'ASSETS/LIABILITIES - Clearing & Payables'
        WHEN {r('B', 900, 999)} THEN 'LIABILITIES - Deposits & Equity' WHEN {r('I', 110, 199)} THEN 'INCOME - Interest & Fees'
@@ -242,16 +249,16 @@ SELECT h.record_number AS Transaction_ID, CAST(h.gl_account_number AS VARCHAR) A
   CASE WHEN isodow(h.effective_date) IN (6, 7) THEN 'Weekend' ELSE 'Weekday' END AS BusinessDayType,
   CASE WHEN day(h.effective_date) <= 7 THEN 'First Week' WHEN day(h.effective_date) <= 14 THEN 'Second Week'
        WHEN day(h.effective_date) <= 21 THEN 'Third Week' ELSE 'Fourth Week+' END AS WeekOfMonth,
-  h.source AS Txn_Source,
+  h.stored_source AS Txn_Source,
   CASE h.source WHEN 'CU' THEN 'Credit Union System (EOD Processing)' WHEN 'JE' THEN 'Journal Entry (Manual/System)'
        WHEN 'CT' THEN 'Certificate/Time Deposit' WHEN 'AP' THEN 'Accounts Payable' WHEN 'FA' THEN 'Fixed Assets/Depreciation'
-       ELSE 'Other: ' || h.source END AS Txn_Source_Description,
-  h.entry_desc AS Txn_Type,
+       ELSE 'Other: ' || h.stored_source END AS Txn_Source_Description,
+  h.stored_entry_desc AS Txn_Type,
   CASE WHEN h.entry_desc = 'EOD' THEN 'End of Day Processing'
-       WHEN h.entry_desc LIKE '%-%' THEN 'Manual Entry - User ' || substr(h.entry_desc, 1, 2)
+       WHEN h.entry_desc LIKE '%-%' THEN 'Manual Entry - User ' || substr(h.stored_entry_desc, 1, 2)
        WHEN h.entry_desc = 'CERT ACCRUAL' THEN 'Certificate Interest Accrual' WHEN h.entry_desc = 'INVOICE' THEN 'Invoice Payment/Processing'
-       WHEN h.entry_desc = 'Depreciation' THEN 'Asset Depreciation' WHEN h.entry_desc LIKE 'ME Loan%' THEN 'Member Loan Accrual'
-       ELSE h.entry_desc END AS Txn_Type_Description,
+       WHEN h.entry_desc = 'DEPRECIATION' THEN 'Asset Depreciation' WHEN h.entry_desc LIKE 'ME LOAN%' THEN 'Member Loan Accrual'
+       ELSE h.stored_entry_desc END AS Txn_Type_Description,
   {a} AS Amount, abs({a}) AS Abs_Amount,
   CASE WHEN {a} > 0 THEN 'Debit' WHEN {a} < 0 THEN 'Credit' ELSE 'Zero' END AS Debit_Credit,
   CAST(CASE WHEN {a} > 0 THEN {a} ELSE 0 END AS DECIMAL(18,2)) AS Debit_Amount,
@@ -281,9 +288,9 @@ SELECT h.record_number AS Transaction_ID, CAST(h.gl_account_number AS VARCHAR) A
        ELSE 'Regular Transaction' END AS Transaction_Nature,
   CASE WHEN h.source = 'CU' AND h.entry_desc = 'EOD' THEN 'Automated EOD' WHEN h.source = 'JE' AND h.entry_desc LIKE '%-%' THEN 'Manual Entry'
        WHEN h.source IN ('CT', 'AP', 'FA') THEN 'System Generated' ELSE 'Other Processing' END AS Processing_Type,
-  h.status AS Record_Status, h.modified AS Modified_Flag, h.version AS Record_Version, h.created_timestamp AS Record_Created,
+  h.stored_status AS Record_Status, h.modified AS Modified_Flag, h.version AS Record_Version, h.created_timestamp AS Record_Created,
   h.created_by_userid AS Created_By_User, h.modified_timestamp AS Record_Modified, h.modified_by_userid AS Modified_By_User,
-  gl.inactive AS Account_Inactive, gl.restricted AS Account_Restricted, gl.controlled AS Account_Controlled,
+  gl.inactive AS Account_Inactive, gl.restricted AS Account_Restricted, gl.stored_controlled AS Account_Controlled,
   gl.balance AS Current_Account_Balance,
   CASE WHEN abs({a}) > 500000 THEN 'Exceptional Volume' WHEN abs({a}) > 100000 THEN 'Very High Volume'
        WHEN abs({a}) > 10000 THEN 'High Volume' ELSE 'Standard Volume' END AS Volume_Indicator,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import cards as C
 from ledgerline.functions.common import from_cents, to_cents
 from ledgerline.operators.kpis import round_avg
+from ledgerline.operators.skew import salted_left_join
 from ledgerline.operators.tenant import tenant_enrich
 from ledgerline.params import Params
 from ledgerline.plans.variant import Variant
@@ -39,7 +40,7 @@ def cards_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
             round_avg(F.sum("amt"), F.count("amt"), in_cents=True).alias("avg_transaction_amount"),
             from_cents(F.sum("amt")).alias("total_transaction_volume"))
         if p.ordered:
-            df = df.orderBy(F.col("period").desc(), "general_card_type")
+            df = df.orderBy(*v.order("-period", "general_card_type"))
         return df
 
     k = v.keys
@@ -52,22 +53,24 @@ def cards_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
     acct = (t["account"].select(*k, "account_id", "member_number")
             .join(ranks, k + ["member_number"], "left").drop("member_number"))
     j = f.join(acct, k + ["account_id"], "inner")
-    j = tenant_enrich(j, t["fi_map"], exact=True)
     pre = F.col("tran_prefix")
     tlt = pre.startswith("TLT") if p.fixed("D3") else (pre == "TLT")
-    j = j.select("credit_union", "idfi", period,
+    j = j.select("credit_union", period,
                  C.specific_card_type(pre, F.col("debit_type"), F.col("credit_type"), tlt).alias(
                      "specific_card_type"),
                  "member_id", C.unique_card_key(pre, "account_id", "member_id", tlt).alias("_card"),
                  "transaction_history_id", amt.alias("amt"))
-    df = j.groupBy("credit_union", "idfi", "period", "specific_card_type").agg(
+    # The tenant map has one row per tenant: it joins the finished groups, not the transactions.
+    df = j.groupBy("credit_union", "period", "specific_card_type").agg(
         F.count_distinct("member_id").alias("unique_members"),
         F.count_distinct("_card").alias("unique_cards"),
         F.count_distinct("transaction_history_id").alias("total_transactions"),
         round_avg(F.sum("amt"), F.count("amt"), in_cents=True).alias("avg_transaction_amount"),
         from_cents(F.sum("amt")).alias("total_transaction_volume"))
+    df = tenant_enrich(df, t["fi_map"], exact=True)
+    df = df.select("credit_union", "idfi", *[c for c in df.columns if c not in ("credit_union", "idfi")])
     if p.ordered:
-        df = df.orderBy(F.col("idfi").desc(), "period")
+        df = df.orderBy(*v.order("-idfi", "period"))
     return df
 
 
@@ -98,11 +101,15 @@ def unified_cards(t: Tables, p: Params, v: Variant) -> DataFrame:
 
 def cards_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     """Physical cards and credit lines with status, delinquency,
-    activation, inactivity, fraud and the member's card portfolio."""
+    activation, inactivity, fraud and the member's card portfolio.
+
+    The portfolio reads the union a second time (key and source only): a
+    window over the one union would put all cards of a member into one task.
+    """
     k = v.keys
     uc = unified_cards(t, p, v)
     port = C.card_portfolio(uc, k)
-    j = uc.join(port, k + ["member_id"], "left")
+    j = salted_left_join(uc, port, k + ["member_id"], [F.col("card_id")])
     if v.mt:
         j = tenant_enrich(j, t["fi_map"], exact=True)
     cols = [c for c in CARD_COLUMNS if c not in ("fraud_incident", "last_activity_date", "card_source")]
@@ -110,5 +117,5 @@ def cards_general(t: Tables, p: Params, v: Variant) -> DataFrame:
                   C.inactivity_flag("last_activity_date", p.as_of).alias("inactivity_flag"),
                   "fraud_incident", "card_source", "member_card_portfolio")
     if p.ordered:
-        df = df.orderBy(*k, "member_id", "card_source", "card_type", F.col("creation_date").desc())
+        df = df.orderBy(*v.order(*k, "member_id", "card_source", "card_type", "-creation_date"))
     return df

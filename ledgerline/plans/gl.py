@@ -23,10 +23,11 @@ def gl_accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     ``fix`` with "D14" carries the net activity from ``gl_start`` up to the
     grid into the running balance (the text starts the balance at the grid).
 
-    The grid and the window carry only keys and integer-cent measures; the
-    chart attributes join back after the window on the window's own keys (a
-    broadcast, or a merge join on the existing partitioning), as in the
-    report text.  Only grid months can reach the output, so the journal scan
+    The monthly facts come to the chart as one row per account, months are
+    generated after that join, and the window runs on its partitioning, so
+    grid rows never cross the network.  The grid and the window carry only
+    keys and integer-cent measures; the chart attributes join back on the
+    window's own keys, as in the report text.  Only grid months can reach the output, so the journal scan
     is cut to the grid range.
     """
     k = v.keys
@@ -91,7 +92,7 @@ def gl_accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
         F.col("modified_by_userid").alias("Last_Modified_By"),
         F.col("account_type").alias("_type"))
     if p.ordered:
-        df = df.orderBy(F.col("Period_Date").desc(), "_type", "GL_ID")
+        df = df.orderBy(*v.order("-Period_Date", "_type", "GL_ID"))
     return df.drop("_type")
 
 
@@ -174,7 +175,7 @@ def _accruals(t: Tables, p: Params, v: Variant, category: str, product: str, kin
     if not loans:
         df = df.distinct()  # UNION (not UNION ALL) in the report text
     if p.ordered:
-        df = df.orderBy(F.col("entry_year").desc(), F.col("entry_month").desc())
+        df = df.orderBy(*v.order("-entry_year", "-entry_month"))
     return df
 
 
@@ -207,12 +208,12 @@ def gl_dividends(t: Tables, p: Params, v: Variant) -> DataFrame:
     tx = t["transaction_history"].filter(
         (F.col("date_effective") >= F.lit(p.dividend_start)) & F.col("tran_code").isin("SHDV", "CTDV")
         & (F.col("void_flag") == 0) & (F.col("total_amount") != 0))
-    tx = tx.select("transaction_history_id", "batch_number", "tran_code", "date_effective", "total_amount",
+    tx = tx.select("transaction_history_id", "batch_number", "tran_code", "stored_tran_code", "date_effective", "total_amount",
                    "member_id", "account_id", "gl_chart_of_account_id", "branch_config_id", "user_id",
                    F.col("description").alias("tx_description"), "created_timestamp", "modified_timestamp")
     mem = t["member"].select("member_id", "member_number")
     acc = t["account"].select("account_id", "account_number", "account_type", "discriminator", "current_balance",
-                              "status")
+                              "stored_account_type", "stored_discriminator", "stored_status")
     coa = t["gl_chart_of_accounts"].select(F.col("record_number").alias("gl_chart_of_account_id"),
                                            F.col("account_number").cast("string").alias("gl_number"),
                                            F.col("description").alias("gl_description"), "short_desc")
@@ -221,24 +222,27 @@ def gl_dividends(t: Tables, p: Params, v: Variant) -> DataFrame:
          .join(coa, ["gl_chart_of_account_id"], "left").join(br, ["branch_config_id"], "left"))
     d = F.col("date_effective")
     return j.select(
-        F.concat(F.lit("TXN_"), F.col("tran_code"), F.lit("_"), F.col("transaction_history_id").cast("string"))
+        F.concat(F.lit("TXN_"), F.col("stored_tran_code"), F.lit("_"), F.col("transaction_history_id").cast("string"))
         .alias("ID_Dividend_Transaction"),
         F.col("transaction_history_id").alias("Transaction_History_ID"), F.col("batch_number").alias("Batch_Number"),
-        F.col("tran_code").alias("Transaction_Code"), G.dividend_type("tran_code").alias("Transaction_Type"),
+        F.col("stored_tran_code").alias("Transaction_Code"),
+        G.dividend_type("tran_code", "stored_tran_code").alias("Transaction_Type"),
         d.alias("Transaction_Date"), F.year(d).alias("Transaction_Year"), F.month(d).alias("Transaction_Month"),
         F.quarter(d).alias("Transaction_Quarter"), F.date_format(d, "yyyy-MM").alias("year_month"),
         F.col("total_amount").alias("Amount"), F.abs("total_amount").alias("Amount_Absolute"),
         F.col("member_id").alias("Member_ID"), F.col("member_number").alias("Member_Number"),
         F.col("account_id").alias("Account_ID"), F.col("account_number").alias("Account_Number"),
-        F.col("account_type").alias("Account_Type"), F.col("discriminator").alias("Account_Discriminator"),
+        F.col("stored_account_type").alias("Account_Type"), F.col("stored_discriminator").alias("Account_Discriminator"),
         account_category(F.col("discriminator")).alias("Account_Category"),
-        F.col("current_balance").alias("Current_Account_Balance"), F.col("status").alias("Account_Status"),
-        G.dividend_product_type("discriminator", "account_type").alias("Product_Type"),
+        F.col("current_balance").alias("Current_Account_Balance"), F.col("stored_status").alias("Account_Status"),
+        G.dividend_product_type("discriminator", "account_type", "stored_discriminator", "stored_account_type")
+        .alias("Product_Type"),
         F.col("gl_number").alias("GL_Account_Number"), F.col("gl_description").alias("GL_Account_Description"),
         F.col("short_desc").alias("GL_Account_Short_Desc"),
         G.gl_prefix_category("gl_number").alias("GL_Account_Category"),
         F.col("branch_config_id").alias("Branch_Config_ID"), F.col("branch_number").alias("Branch_Number"),
-        branch_name("branch_name").alias("Branch_Name"), branch_category("branch_number").alias("Branch_Category"),
+        branch_name("branch_name", p.institution).alias("Branch_Name"),
+        branch_category("branch_number", p.institution).alias("Branch_Category"),
         G.business_category("tran_code", "discriminator").alias("Business_Category"),
         G.estimated_rate("tran_code", "total_amount", "current_balance", 100).alias("Estimated_Monthly_Rate_Percent"),
         G.estimated_rate("tran_code", "total_amount", "current_balance", 1200).alias("Estimated_Annual_Rate_Percent"),
@@ -263,7 +267,7 @@ def gl_accounts_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
     h = t["gl_history"].filter(F.col("effective_date") >= F.lit(start))
     coa = (t["gl_chart_of_accounts"].filter(F.col("account_type").isin("B", "I"))
            .select(F.col("account_number").alias("gl_account_number"), F.col("description").alias("gl_description"),
-                   "short_desc", "account_type", "inactive", "restricted", "controlled", "balance"))
+                   "short_desc", "account_type", "stored_account_type", "inactive", "restricted", "stored_controlled", "balance"))
     j = (h.join(coa, ["gl_account_number"], "inner")
          .join(dim_branch(t["branch_config"], t["entity"]), ["branch_config_id"], "left"))
     ty = F.col("account_type")
@@ -273,7 +277,7 @@ def gl_accounts_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
     money = "decimal(18,2)"
     cal = J.calendar_columns(F.col("effective_date"))
     imp = J.account_impact(ty, n, amt)
-    br = journal_branch_labels(F.col("branch_number"))
+    br = journal_branch_labels(F.col("branch_number"), p.institution)
     bp = J.branch_patterns(F.col("branch_number"), amt, F.col("source"))
     df = j.select(
         F.col("record_number").alias("Transaction_ID"), F.col("gl_account_number").cast("string").alias("GL_ID"),
@@ -281,14 +285,16 @@ def gl_accounts_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
         F.col("description").alias("Transaction_Description"),
         F.concat(F.col("gl_account_number"), F.lit("-"), F.col("short_desc")).alias("GL_Account_Concat"),
         F.col("branch_config_id").alias("Branch_Config_ID"), F.col("branch_number").alias("Branch_Number"),
-        journal_branch_name("branch_name").alias("Branch_Name"), *[c.alias(k) for k, c in br.items()],
-        ty.alias("Account_Type"), G.gl_category(ty).alias("Account_Category"),
+        journal_branch_name("branch_name", p.institution).alias("Branch_Name"), *[c.alias(k) for k, c in br.items()],
+        F.col("stored_account_type").alias("Account_Type"), G.gl_category(ty).alias("Account_Category"),
         J.journal_subcategory(ty, n).alias("GL_Subcategory"), J.account_nature(ty, n).alias("Account_Nature"),
         J.account_nature_description(ty, n).alias("Account_Nature_Description"),
         F.col("effective_date").alias("Effective_Date"), F.col("reference_date").alias("Reference_Date"),
         F.col("actual_date").alias("Posting_Date"), *[c.alias(k) for k, c in cal.items()],
-        F.col("source").alias("Txn_Source"), J.source_description("source").alias("Txn_Source_Description"),
-        F.col("entry_desc").alias("Txn_Type"), J.entry_type_description("entry_desc").alias("Txn_Type_Description"),
+        F.col("stored_source").alias("Txn_Source"),
+        J.source_description("source", "stored_source").alias("Txn_Source_Description"),
+        F.col("stored_entry_desc").alias("Txn_Type"),
+        J.entry_type_description("entry_desc", "stored_entry_desc").alias("Txn_Type_Description"),
         amt.alias("Amount"), ab.alias("Abs_Amount"),
         F.when(amt > 0, "Debit").when(amt < 0, "Credit").otherwise("Zero").alias("Debit_Credit"),
         F.when(amt > 0, amt).otherwise(0).cast(money).alias("Debit_Amount"),
@@ -300,11 +306,11 @@ def gl_accounts_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
         F.col("group_seq").alias("Group_Sequence"), F.col("posted_by_user").alias("Posted_By_User"),
         J.transaction_nature("description").alias("Transaction_Nature"),
         J.processing_type("source", "entry_desc").alias("Processing_Type"),
-        F.col("status").alias("Record_Status"), F.col("modified").alias("Modified_Flag"),
+        F.col("stored_status").alias("Record_Status"), F.col("modified").alias("Modified_Flag"),
         F.col("version").alias("Record_Version"), F.col("created_timestamp").alias("Record_Created"),
         F.col("created_by_userid").alias("Created_By_User"), F.col("modified_timestamp").alias("Record_Modified"),
         F.col("modified_by_userid").alias("Modified_By_User"), F.col("inactive").alias("Account_Inactive"),
-        F.col("restricted").alias("Account_Restricted"), F.col("controlled").alias("Account_Controlled"),
+        F.col("restricted").alias("Account_Restricted"), F.col("stored_controlled").alias("Account_Controlled"),
         F.col("balance").alias("Current_Account_Balance"), J.volume_indicator(ab).alias("Volume_Indicator"),
         J.expected_activity_level(ty, n).alias("Expected_Activity_Level"),
         imp["Transaction_Pattern"].alias("Transaction_Pattern"),
@@ -312,5 +318,5 @@ def gl_accounts_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
         J.accounting_category(ty, n).alias("Accounting_Category"),
         *[c.alias(k) for k, c in bp.items()])
     if p.ordered:
-        df = df.orderBy(F.col("Effective_Date").desc(), F.col("Transaction_ID").desc())
+        df = df.orderBy(*v.order("-Effective_Date", "-Transaction_ID"))
     return df

@@ -17,6 +17,7 @@ def loans_applications(t: Tables, p: Params, v: Variant) -> DataFrame:
     days to decision; status and type are per-tenant lookups (left joins)."""
     k = v.keys
     las = t["loan_app_status"].select(*k, "loan_app_status_id", F.col("description").alias("status_description"),
+                                      v.stored("description").alias("_status_text"),
                                       "approved_flag", "adverse_action_flag", "withdrawn_flag", "incomplete_flag")
     lt = t["loan_type"].select(*k, "loan_type_id", F.col("description").alias("loan_type"))
     j = (t["loan_application"].join(las, k + ["loan_app_status_id"], "left")
@@ -32,7 +33,7 @@ def loans_applications(t: Tables, p: Params, v: Variant) -> DataFrame:
         *(["credit_union", "idfi"] if v.mt else []),
         F.col("loan_application_id").alias("application_id"), F.col("member_number").alias("member_id"),
         "application_date", F.col("action_date").alias("response_date"),
-        F.col("status_description").alias("application_status"),
+        F.col("_status_text").alias("application_status"),
         L.application_status_category(v.mt).alias("status_category"),
         L.application_status_reason(v.mt).alias("status_reason"),
         L.application_channel("created_by_userid", v.mt).alias("origination_channel"),
@@ -46,7 +47,7 @@ def loans_applications(t: Tables, p: Params, v: Variant) -> DataFrame:
         F.col("created_by_userid").alias("submitted_by_user"),
         F.col("loan_application_id").alias("_id"))
     if p.ordered:
-        df = df.orderBy(F.col("application_date").desc(), F.col("_id").desc())
+        df = df.orderBy(*v.order("-application_date", "-_id"))
     return df.drop("_id")
 
 
@@ -63,8 +64,8 @@ def loans_general(t: Tables, p: Params, v: Variant) -> DataFrame:
 
     k = v.keys
     a = t["account"].filter((v.norm("discriminator") == "L") & ~v.norm("account_type").isin("CC", "PCO", "PCCO"))
-    a = a.select(*k, "account_id", "member_number", "account_type", "date_opened", "date_closed", "charge_off_date",
-                 "current_balance", v.norm("account_type").alias("_type"))
+    a = a.select(*k, "account_id", "member_number", v.stored("account_type").alias("account_type"), "date_opened",
+                 "date_closed", "charge_off_date", "current_balance", v.norm("account_type").alias("_type"))
     al = t["account_loan"]
     at = t["account_types"].select(*k, v.norm("account_type").alias("_type"),
                                    F.col("description").alias("_at_desc"), "cb_loan_type")
@@ -102,5 +103,5 @@ def loans_general(t: Tables, p: Params, v: Variant) -> DataFrame:
         *[ic[c].alias(c) for c in ("Total_Revenue_Earned", "Interest_Yield_Percentage", "Monthly_Interest_Rate",
                                    "Expected_Interest_Simple", "Interest_Performance_Ratio")])
     if p.ordered:
-        df = df.orderBy("Member_ID", "Loan_ID")
+        df = df.orderBy(*v.order("Member_ID", "Loan_ID"))
     return df

@@ -39,11 +39,11 @@ def member_key_trends(t: Tables, p: Params, v: Variant) -> DataFrame:
     if v.mt:
         j = tenant_enrich(j, t["fi_map"], exact=False)
     keys = [*(["credit_union", "idfi"] if v.mt else []), "member_id", "member_number", "join_date", "inactive_flag",
-            "all_accounts_closed", "modified_timestamp"]
+            *([] if v.mt else ["stored_inactive_flag"]), "all_accounts_closed", "modified_timestamp"]
     g = j.groupBy(*keys).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"),
                              F.sum(F.coalesce("_dep", F.lit(0))).alias("_dep"),
                              F.sum(F.coalesce("_loan", F.lit(0))).alias("_loan"))
-    fc = M.member_filter_columns()
+    fc = M.member_filter_columns(code=v.stored("inactive_flag"))
     cols = [*(["credit_union", "idfi"] if v.mt else []), "member_id", "member_number",
             *[fc[c].alias(c) for c in ("member_number_is_valid", "member_inactive_flag_status",
                                        "member_accounts_status")]]
@@ -104,7 +104,7 @@ def member_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
         F.datediff(F.lit(p.as_of), F.col("last_d")).alias("days_since_last_transaction"),
         F.lit(p.as_of).alias("transaction_data_extract_date"))
     if p.ordered and v.mt:
-        df = df.orderBy("credit_union", "member_number")
+        df = df.orderBy(*v.order("credit_union", "member_number"))
     return df
 
 
@@ -122,7 +122,8 @@ def member_details(t: Tables, p: Params, v: Variant) -> DataFrame:
     ent = t["entity"].select(*k, F.col("entity_id").alias("member_entity_id"), "address1", "dob", "name_first",
                              "name_middle", "name_last")
     mem = (t["member"].select(*k, "member_id", "member_number", "member_entity_id", "member_type", "inactive_flag",
-                              "all_accounts_closed", "join_date", "home_bank_date")
+                              *([] if v.mt else ["stored_inactive_flag"]), "all_accounts_closed", "join_date",
+                              "home_bank_date")
            .join(ent, k + ["member_entity_id"], "left"))
     a = t["account"]
     if v.mt:
@@ -136,7 +137,7 @@ def member_details(t: Tables, p: Params, v: Variant) -> DataFrame:
     if v.mt:
         j = tenant_enrich(j, t["fi_map"], exact=False)
     age = (M.age_completed_years("dob", p.as_of) if v.mt else M.age_year_difference("dob", p.as_of))
-    fc = M.member_filter_columns()
+    fc = M.member_filter_columns(code=v.stored("inactive_flag"))
     oc = account_open_columns(F.col("date_closed"))
     disc = F.trim("discriminator") if v.mt else F.col("discriminator")
     mtype = F.trim("member_type") if v.mt else F.col("member_type")
@@ -191,7 +192,7 @@ def member_profile(t: Tables, p: Params, v: Variant) -> DataFrame:
     rel = M.product_relationship(counts, F.col("total_account_count"))
     attr = F.when(F.col("_any_all_closed"), F.col("latest_account_closure_date"))
     lifespan = F.when((F.col("all_accounts_closed") == 1) & attr.isNotNull(), F.datediff(attr, F.col("join_date")))
-    fc = M.member_filter_columns()
+    fc = M.member_filter_columns(code=v.stored("inactive_flag"))
     addr = M.address_columns()
     cols = [*(["credit_union", "idfi"] if v.mt else []), F.col("member_number").alias("member_id"),
             M.cap_name("name_first").alias("first_name"), M.cap_name("name_middle").alias("middle_name"),
@@ -238,5 +239,5 @@ def member_profile(t: Tables, p: Params, v: Variant) -> DataFrame:
              F.lit(p.as_of).alias("data_extract_date")]
     df = j.select(*cols)
     if p.ordered:
-        df = df.orderBy("member_id")
+        df = df.orderBy(*v.order("member_id"))
     return df

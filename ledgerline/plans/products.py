@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.accounts import account_category
 from ledgerline.functions.common import MONEY_SUM, year_range
 from ledgerline.operators.activity import rollback_balance, signed_distinct_activity
+from ledgerline.operators.skew import salted_left_join
 from ledgerline.operators.tenant import tenant_enrich
 from ledgerline.params import Params
 from ledgerline.plans.variant import Variant
@@ -29,8 +30,8 @@ def account_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
 
     acct = (t["account"]
             .filter((F.col("member_number") > 0) & v.norm("discriminator").isin("S", "D", "C", "U"))
-            .select(*k, "account_id", "account_number", "member_number", "account_type", "current_balance",
-                    account_category(v.norm("discriminator")).alias("account_category")))
+            .select(*k, "account_id", "account_number", "member_number", v.stored("account_type").alias("account_type"),
+                    "current_balance", account_category(v.norm("discriminator")).alias("account_category")))
     df = monthly.join(acct, k + ["account_id"], "inner")
     if v.mt:
         df = tenant_enrich(df, t["fi_map"], exact=True)
@@ -43,7 +44,7 @@ def account_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
         .cast(MONEY_SUM).alias("approximate_beginning_balance"),
         F.when(F.col("Transactions") > 0, "Active").otherwise("Inactive").alias("activity_status"))
     if p.ordered:
-        df = df.orderBy(F.col("month_year").desc(), "account_category", "account_number")
+        df = df.orderBy(*v.order("-month_year", "account_category", "account_number"))
     return df
 
 
@@ -51,9 +52,11 @@ def accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     """Deposit accounts (S/D/C/U of valid members) with channel, type
     description, status, recent activity and per-member counts.
 
-    Joins on the account key run first, then the two joins on (tenant,
-    member_number) share one partitioning.  Applications are not deduplicated:
-    an account repeats once per application, as in the report text.  ST's one
+    Recent activity joins on the account key; the per-member counts and the
+    number of applications are brought to one row per member and join once,
+    with the accounts of a member dealt to several parts.  Applications are
+    not deduplicated: an account repeats once per application, as in the
+    report text (so rows per member grow as accounts x applications).  ST's one
     credit-union name (first by name, D12) is a scalar subquery, and an
     EXISTS filter keeps the cross join's "no name row, no rows" rule.
     """
@@ -66,10 +69,11 @@ def accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     acc = t["account"].filter((F.col("member_number") > 0) & disc.isin("S", "D", "C", "U"))
     stats = member_account_stats(acc, k, p.as_of, p.recent_days)
     recent = recently_active_accounts(t["transaction_history"], k, p.as_of, p.recent_days)
-    apps = t["member_application"].select(*k, "member_number", F.lit(True).alias("_app"))
-    j = (acc.join(recent, k + ["account_id"], "left")
-         .join(stats, k + ["member_number"], "left")
-         .join(apps, k + ["member_number"], "left"))
+    apps = (t["member_application"].where(F.col("member_number").isNotNull())
+            .groupBy(*k, "member_number").agg(F.count(F.lit(1)).alias("_app")))
+    j = salted_left_join(acc.join(recent, k + ["account_id"], "left"), stats.join(apps, k + ["member_number"], "left"),
+                         k + ["member_number"], [F.col("account_id")])
+    j = j.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("_app", F.lit(1).cast("bigint")))))
     if v.mt:
         j = tenant_enrich(j.join(cu_names(t["credit_union_info"]), ["credit_union"], "left"), t["fi_map"], exact=True)
         cu = F.col("credit_union_name")
@@ -83,8 +87,8 @@ def accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     df = j.select(
         *(["credit_union", "idfi"] if v.mt else []), F.col("member_number").alias("member_id"), cu.alias("cu_name"),
         A.account_channel(F.col("_app").isNotNull(), user).alias("estimated_channel"),
-        A.account_type_description(disc, v.norm("account_type"), F.col("discriminator"),
-                                   F.col("account_type")).alias("account_type_description"),
+        A.account_type_description(disc, v.norm("account_type"), v.stored("discriminator"),
+                                   v.stored("account_type")).alias("account_type_description"),
         A.main_account_category(disc).alias("main_account_category"),
         F.col("date_opened").alias("created_date"), F.col("date_closed").alias("deleted_date"),
         A.account_deleted_status(F.col("date_closed"), access).alias("deleted_status"),
@@ -98,7 +102,7 @@ def accounts_general(t: Tables, p: Params, v: Variant) -> DataFrame:
         # The text crosses with a one-row name table: no name row, no output rows.
         df = df.where(t["credit_union_info"].exists())
     if p.ordered:
-        df = df.orderBy("member_id", "_rank", F.col("_opened").desc())
+        df = df.orderBy(*v.order("member_id", "_rank", "-_opened"))
     return df.drop("_rank", "_opened")
 
 
@@ -201,9 +205,14 @@ def products_overview(t: Tables, p: Params, v: Variant) -> DataFrame:
     """One row per product with the member's active-product count,
     member status and kind, tenant name.
 
-    The member-keyed joins (count, status, kind) share one partitioning of the
-    union; status and kind are joined separately, so duplicate member rows fan
-    out as in the report text.  MT keeps tenants that have a name row (inner
+    Count, status and kind are brought to one row per member and join once,
+    with the products of a member dealt to several parts.  The text joins
+    status and kind separately, so n member rows of one number make n x n
+    rows per product; ``member`` is read once, its rows counted per label
+    combination, and the products of the counts generated after the join.
+    The counts read the product sources a second time (keys and conditions
+    only): a window over the one union would put all products of a member
+    into one task.  MT keeps tenants that have a name row (inner
     join); ST's single name is a scalar subquery.
     """
     from ledgerline.functions import members as M
@@ -214,16 +223,24 @@ def products_overview(t: Tables, p: Params, v: Variant) -> DataFrame:
     rows = product_rows(t, p, v)
     counts = (rows.filter(F.col("_counts")).groupBy(*k, "member_number")
               .agg(F.count(F.lit(1)).alias("number_of_products_for_member")))
-    fc = M.member_filter_columns()
+    fc = M.member_filter_columns(code=v.stored("inactive_flag"))
     m = t["member"]
-    status = m.select(*k, "member_number", M.member_status_strict().alias("member_status"),
-                      *[fc[c].alias(c) for c in ("member_number_is_valid", "member_inactive_flag_status",
-                                                 "member_accounts_status", "member_inactive_flag_code",
-                                                 "member_all_accounts_closed_flag")])
-    kind = (m.filter(F.col("member_number") > 0) if v.mt else m).select(
-        *k, "member_number", P.member_category("member_type").alias("member_category"))
-    j = (rows.join(counts, k + ["member_number"], "left").join(status, k + ["member_number"], "left")
-         .join(kind, k + ["member_number"], "left"))
+    labels = {"member_status": M.member_status_strict(),
+              **{c: fc[c] for c in ("member_number_is_valid", "member_inactive_flag_status", "member_accounts_status",
+                                    "member_inactive_flag_code", "member_all_accounts_closed_flag")}}
+    by_label = (m.where(F.col("member_number").isNotNull())
+                .groupBy(*k, "member_number", F.struct(*[c.alias(n) for n, c in labels.items()]).alias("_status"),
+                         P.member_category("member_type").alias("_kind")).agg(F.count(F.lit(1)).alias("_n")))
+    # a number has few label combinations, however many rows: every status with every kind, as often as both occur
+    pairs = F.flatten(F.transform("_l", lambda a: F.transform("_l", lambda b: F.struct(
+        a["_status"].alias("s"), b["_kind"].alias("k"), (a["_n"] * b["_n"]).alias("n")))))
+    dims = (by_label.groupBy(*k, "member_number").agg(F.collect_list(F.struct("_status", "_kind", "_n")).alias("_l"))
+            .join(counts, k + ["member_number"], "full")
+            .select(*k, "member_number", "number_of_products_for_member", pairs.alias("_pairs")))
+    j = salted_left_join(rows, dims, k + ["member_number"], [F.col("id_product")])
+    j = (j.select("*", F.explode_outer("_pairs").alias("_p"))
+         .select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("_p.n", F.lit(1).cast("bigint")))).alias("_copy"),
+                 "_p.s.*", F.col("_p.k").alias("member_category")))
     if v.mt:
         fi = t["fi_map"].select(F.col("tenant_code").alias("_code"), "idfi")
         info = t["credit_union_info"].select("credit_union", "credit_union_name")
@@ -244,6 +261,6 @@ def products_overview(t: Tables, p: Params, v: Variant) -> DataFrame:
         # The text crosses with a one-row name table: no name row, no output rows.
         df = df.where(t["credit_union_info"].exists())
     if p.ordered:
-        df = df.orderBy(*(["credit_union", "idfi"] if v.mt else []), "id_member", "main_category",
-                        "category_product", F.col("product_is_active").desc())
+        df = df.orderBy(*v.order(*(["credit_union", "idfi"] if v.mt else []), "id_member", "main_category",
+                                 "category_product", "-product_is_active"))
     return df

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Session settings every report relies on: UTC dates, ANSI semantics,
@@ -43,20 +40,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def apply_report_conf(spark: SparkSession) -> None:
+    """Set REPORT_CONF on the caller's session.
+
+    The reports rely on these settings; a caller who builds reports on an own
+    session calls this first, or ``check_report_conf`` to keep its settings
+    and be told where they differ.
+    """
     for k, v in REPORT_CONF.items():
         spark.conf.set(k, v)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set a scratch one only
-    where none is configured (local tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+def check_report_conf(spark: SparkSession) -> list[str]:
+    """The settings of REPORT_CONF that ``spark`` does not have, as ``name=value``."""
+    return [f"{k}={v}" for k, v in REPORT_CONF.items() if (spark.conf.get(k, None) or "").lower() != v.lower()]

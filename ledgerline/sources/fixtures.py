@@ -14,8 +14,10 @@ from __future__ import annotations
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
-# Tenant kept by the single-tenant binding.
-ST_TENANT = "cu0"
+# The single-tenant binding reads the rows of all tenants as one institution's; of the code tables,
+# which the multi-tenant tables repeat per tenant, it has the one copy of this tenant.
+ST_CODE_TABLES = ("account_types", "loan_app_status", "loan_type")
+ST_CODE_TENANT = "cu0"
 
 # Logical table -> column names in order (types are fixed by the SQL below).
 COLUMNS: dict[str, tuple[str, ...]] = {
@@ -65,23 +67,6 @@ COLUMNS: dict[str, tuple[str, ...]] = {
     "loan_type": ("credit_union", "loan_type_id", "description"),
 }
 
-# Single-tenant binding: code columns compared bare by the ST queries are
-# normalized once with upper(trim(x)); GL numbers lose blanks and leading zeros.
-ST_UPPER_TRIM: dict[str, tuple[str, ...]] = {
-    "account": ("discriminator", "account_type", "access_control", "status"),
-    "account_types": ("account_type", "category"),
-    "gl_chart_of_accounts": ("account_type", "controlled"),
-    "gl_history": ("status",),
-    "transaction_history": ("tran_code",),
-    "loan_app_status": ("description",),
-}
-ST_STRIP_ZEROS: dict[str, tuple[str, ...]] = {
-    "account_types": ("div_int_acct", "accrual_acct"),
-}
-# Tables without a tenant column, and tables the ST binding does not expose.
-NO_TENANT = ("pd_xmaif", "fi_map")
-
-
 def _const_rows(dialect: str, fields: tuple[str, ...], rows: list[tuple]) -> str:
     """A list literal of structs, one per row, for explode/unnest."""
     def lit(v):
@@ -119,7 +104,7 @@ FROM {region} WHERE r_regionkey < 4""",
     "credit_union_info": """
 SELECT concat('cu', cast(r_regionkey as string)) AS credit_union, r_name AS credit_union_name FROM {region}""",
     "member": """
-SELECT concat('cu', cast(c_nationkey % 5 as string)) AS credit_union, c_custkey + 1000000 AS member_id,
+SELECT concat('cu', cast(c_nationkey % 5 as string)) AS credit_union, CASE WHEN c_custkey % 4 = 0 THEN c_custkey ELSE c_custkey + 1000000 END AS member_id,
  CASE WHEN c_custkey % 53 = 0 THEN NULL WHEN c_custkey % 41 = 0 THEN -c_custkey ELSE c_custkey END AS member_number,
  c_custkey AS member_entity_id,
  CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'P' WHEN 'BUILDING' THEN 'P' WHEN 'MACHINERY' THEN 'B' WHEN 'FURNITURE' THEN 'C' ELSE NULL END AS member_type,
@@ -148,7 +133,7 @@ SELECT concat('cu', cast(c_nationkey % 5 as string)) AS credit_union, c_custkey
 FROM {customer}
 UNION ALL
 SELECT 'cu0' AS credit_union, 9000000 + s_suppkey AS entity_id, cast(NULL as string) AS name_first,
- cast(NULL as string) AS name_middle, concat(' ', s_name, ' ') AS name_last, cast(NULL as string) AS preferred_name,
+ cast(NULL as string) AS name_middle, CASE s_suppkey WHEN 1 THEN 'EXAMPLE VALLEY SAVERS - HEAD OFFICE' WHEN 2 THEN 'Branch of EXAMPLE VALLEY SAVERS' ELSE concat(' ', s_name, ' ') END AS name_last, cast(NULL as string) AS preferred_name,
  cast(NULL as date) AS dob, cast(NULL as string) AS gender, cast(0 as int) AS foreign_address,
  cast(NULL as string) AS address1, cast(NULL as string) AS address2, cast(NULL as string) AS city,
  cast(NULL as string) AS state, cast(NULL as string) AS zip, cast(NULL as string) AS country,
@@ -163,20 +148,20 @@ SELECT concat('cu', cast(n_nationkey % 5 as string)) AS credit_union, n_nationke
 SELECT concat('cu', cast(c_nationkey % 5 as string)) AS credit_union, o_orderkey AS account_id,
  concat('A', cast(o_orderkey as string)) AS account_number,
  CASE WHEN o_custkey % 53 = 0 THEN NULL WHEN o_custkey % 41 = 0 THEN -o_custkey ELSE o_custkey END AS member_number,
- CASE o_orderpriority WHEN '1-URGENT' THEN 'S' WHEN '2-HIGH' THEN 'D' WHEN '3-MEDIUM' THEN 'C ' WHEN '4-NOT SPECIFIED' THEN 'l' ELSE 'U' END AS discriminator,
+ CASE o_orderpriority WHEN '1-URGENT' THEN 'S' WHEN '2-HIGH' THEN 'D' WHEN '3-MEDIUM' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'C' ELSE 'C ' END WHEN '4-NOT SPECIFIED' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'L' ELSE 'l' END ELSE 'U' END AS discriminator,
  CASE WHEN o_orderpriority = '1-URGENT' THEN CASE o_orderkey % 4 WHEN 0 THEN 'PSAV' WHEN 1 THEN 'SSAV' WHEN 2 THEN 'MMA' ELSE ' hys ' END
  WHEN o_orderpriority = '2-HIGH' THEN CASE o_orderkey % 2 WHEN 0 THEN 'CHK' ELSE 'OTCK' END
  WHEN o_orderpriority = '3-MEDIUM' THEN CASE o_orderkey % 3 WHEN 0 THEN 'CERT' WHEN 1 THEN 'TICD' ELSE 'RICD' END
  WHEN o_orderpriority = '4-NOT SPECIFIED' THEN CASE o_orderkey % 4 WHEN 0 THEN 'AUTO' WHEN 1 THEN 'CC' WHEN 2 THEN 'pers' ELSE 'HELC' END
- ELSE 'SPEC' END AS account_type,
+ WHEN o_orderkey % 3 = 0 THEN concat('T', cast(12 + o_orderkey % 25 as string)) ELSE 'SPEC' END AS account_type,
  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderpriority END AS description,
- cast(CASE WHEN o_orderkey % 16 = 0 THEN 0 ELSE o_totalprice END as decimal(18,2)) AS current_balance,
+ cast(CASE WHEN o_orderkey % 16 = 0 THEN 0 WHEN o_orderkey % 16 = 2 THEN 500 ELSE o_totalprice END as decimal(18,2)) AS current_balance,
  cast(o_orderdate as date) AS date_opened,
  CASE WHEN o_orderstatus = 'F' THEN cast(o_orderdate as date) + cast(o_orderkey % 900 as int) ELSE NULL END AS date_closed,
  CASE WHEN o_orderkey % 37 = 0 THEN cast(o_orderdate as date) + 400 ELSE NULL END AS charge_off_date,
  CASE WHEN o_orderkey % 14 = 0 THEN NULL ELSE cast(o_orderdate as date) + cast(o_orderkey % 2000 as int) END AS last_activity,
  CASE o_orderkey % 12 WHEN 0 THEN 'b' WHEN 1 THEN 'R' WHEN 2 THEN NULL ELSE 'N' END AS access_control,
- CASE o_orderkey % 8 WHEN 0 THEN 'ACTIVE' WHEN 1 THEN 'closed' WHEN 2 THEN 'FROZEN' WHEN 3 THEN 'FRAUD' ELSE NULL END AS status,
+ CASE o_orderkey % 8 WHEN 0 THEN 'ACTIVE' WHEN 1 THEN 'closed' WHEN 2 THEN 'Frozen ' WHEN 3 THEN 'FRAUD' ELSE NULL END AS status,
  CASE o_orderkey % 10 WHEN 0 THEN '88' WHEN 1 THEN 'XXZ' WHEN 2 THEN 'PCN' WHEN 3 THEN NULL WHEN 4 THEN 'web' ELSE cast(o_orderkey % 110 as string) END AS created_by_userid
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
     "account_loan": """
@@ -198,15 +183,15 @@ SELECT concat('cu', cast(c_nationkey % 5 as string)) AS credit_union, o_orderkey
  cast(o_orderkey % 40 as decimal(18,2)) AS late_fees_ytd, cast(NULL as decimal(18,2)) AS late_fees_lytd
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey WHERE o_orderpriority = '4-NOT SPECIFIED'""",
     "transaction_history": """
-SELECT concat('cu', cast(c_nationkey % 5 as string)) AS credit_union, l_orderkey * 10 + l_linenumber AS transaction_history_id,
- l_orderkey AS account_id, o_custkey + 1000000 AS member_id, l_suppkey AS batch_number,
+SELECT concat('cu', cast(c_nationkey % 5 as string)) AS credit_union, (l_orderkey * 10 + l_linenumber) * 100 + k AS transaction_history_id,
+ l_orderkey AS account_id, CASE WHEN o_custkey % 4 = 0 THEN o_custkey ELSE o_custkey + 1000000 END AS member_id, l_suppkey AS batch_number,
  CASE l_suppkey % 6 WHEN 0 THEN 'DRWDA1' WHEN 1 THEN ' drwd' WHEN 2 THEN 'TLTC' WHEN 3 THEN 'SHDV' WHEN 4 THEN 'CTDV' ELSE 'TLT' END AS tran_code,
- cast(l_shipdate as date) AS date_effective, cast(l_shipdate as date) + 1 AS date_actual,
+ cast(l_shipdate as date) + cast(3 * (k - 1) as int) AS date_effective, cast(l_shipdate as date) + cast(3 * (k - 1) + 1 as int) AS date_actual,
  cast(CASE WHEN l_returnflag = 'R' THEN -l_extendedprice WHEN l_returnflag = 'N' AND l_linenumber = 7 THEN 0 ELSE l_extendedprice END as decimal(18,2)) AS total_amount,
  cast(CASE WHEN l_quantity > 45 THEN 1 ELSE 0 END as int) AS void_flag, l_partkey AS gl_chart_of_account_id,
  l_suppkey % 8 AS branch_config_id, cast(l_suppkey as string) AS user_id, l_linestatus AS description,
  l_shipdate AS created_timestamp, l_shipdate AS modified_timestamp
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey""",
+FROM (SELECT *, {repeats} AS k FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey) r""",
     "gl_chart_of_accounts": """
 SELECT concat('cu', cast(p_partkey % 5 as string)) AS credit_union, p_partkey AS record_number,
  concat(cast(100 + p_partkey % 900 as string), '.', cast(cast(floor(p_partkey / 900) as int) as string)) AS account_number,
@@ -220,28 +205,29 @@ SELECT concat('cu', cast(p_partkey % 5 as string)) AS credit_union, p_partkey AS
  cast(p_size as string) AS modified_by_userid
 FROM {part}""",
     "gl_history": """
-SELECT concat('cu', cast(l_partkey % 5 as string)) AS credit_union, l_orderkey * 10 + l_linenumber AS record_number,
- concat(cast(100 + l_partkey % 900 as string), '.', cast(cast(floor(l_partkey / 900) as int) as string)) AS gl_account_number,
+SELECT concat('cu', cast(p % 5 as string)) AS credit_union, l_orderkey * 10 + l_linenumber AS record_number,
+ concat(cast(100 + p % 900 as string), '.', cast(cast(floor(p / 900) as int) as string)) AS gl_account_number,
  cast(l_shipdate as date) AS effective_date,
  cast(CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END as decimal(18,2)) AS amount,
  l_suppkey AS batch_number, CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN 'D' WHEN 3 THEN ' p' ELSE 'P' END AS status,
  CASE l_suppkey % 6 WHEN 0 THEN 'CU' WHEN 1 THEN 'JE' WHEN 2 THEN 'CT' WHEN 3 THEN 'AP' WHEN 4 THEN 'FA' ELSE 'ZZ' END AS source,
- CASE l_partkey % 6 WHEN 0 THEN 'EOD' WHEN 1 THEN '12-adj' WHEN 2 THEN 'CERT ACCRUAL' WHEN 3 THEN 'INVOICE' WHEN 4 THEN 'Depreciation' ELSE 'ME Loan x' END AS entry_desc,
+ CASE l_partkey % 6 WHEN 0 THEN 'eod ' WHEN 1 THEN '12-adj' WHEN 2 THEN 'CERT ACCRUAL' WHEN 3 THEN 'INVOICE' WHEN 4 THEN 'Depreciation' ELSE 'ME Loan x' END AS entry_desc,
  CASE l_orderkey % 9 WHEN 0 THEN 'dividend' WHEN 1 THEN 'INT-1' WHEN 2 THEN 'late fee' WHEN 3 THEN 'Summary' WHEN 4 THEN 'accrual' WHEN 5 THEN 'reversal' WHEN 6 THEN 'correction' WHEN 7 THEN 'adj' ELSE 'other' END AS description,
  l_suppkey % 8 AS branch_config_id, cast(l_shipdate as date) + 1 AS reference_date, cast(l_shipdate as date) + 2 AS actual_date,
  l_suppkey AS group_id, l_linenumber AS group_seq, cast(l_suppkey as string) AS posted_by_user,
  cast(l_linenumber % 2 as int) AS modified, 1 AS version, l_shipdate AS created_timestamp, 'u1' AS created_by_userid,
  l_shipdate AS modified_timestamp, 'u2' AS modified_by_userid
-FROM {lineitem}""",
+FROM (SELECT *, CASE WHEN l_linenumber <= 2 THEN 4 WHEN l_linenumber = 5 THEN 7 WHEN l_linenumber = 7 THEN 10
+                     ELSE l_partkey END AS p FROM {lineitem}) g""",
     "account_types": """
 SELECT concat('cu', cast(p_partkey % 5 as string)) AS credit_union,
- CASE cast(floor(p_partkey / 5) as int) WHEN 0 THEN 'PSAV' WHEN 1 THEN 'ssav' WHEN 2 THEN 'MMA' WHEN 3 THEN 'HYS' WHEN 4 THEN 'CHK' WHEN 5 THEN 'CERT' WHEN 6 THEN 'TICD' WHEN 7 THEN 'RICD' WHEN 8 THEN 'AUTO' WHEN 9 THEN 'CC' WHEN 10 THEN 'PERS' ELSE 'HELC' END AS account_type,
- CASE WHEN p_partkey < 25 THEN 'SHARE' WHEN p_partkey < 40 THEN ' cert' ELSE 'LOAN' END AS category, p_name AS description,
+ CASE WHEN p_partkey >= 60 THEN concat('T', cast(cast(floor(p_partkey / 5) as int) as string)) ELSE CASE cast(floor(p_partkey / 5) as int) WHEN 0 THEN 'PSAV' WHEN 1 THEN 'ssav' WHEN 2 THEN 'MMA' WHEN 3 THEN 'HYS' WHEN 4 THEN 'CHK' WHEN 5 THEN 'CERT' WHEN 6 THEN 'TICD' WHEN 7 THEN 'RICD' WHEN 8 THEN 'AUTO' WHEN 9 THEN 'CC' WHEN 10 THEN 'PERS' ELSE 'HELC' END END AS account_type,
+ CASE WHEN p_partkey >= 60 THEN CASE p_partkey % 3 WHEN 0 THEN 'Share' WHEN 1 THEN 'CERT' ELSE 'loan ' END WHEN p_partkey < 25 THEN 'SHARE' WHEN p_partkey < 40 THEN 'cert ' ELSE 'LOAN' END AS category, p_name AS description,
  CASE WHEN p_partkey % 7 = 6 THEN NULL ELSE concat('00', concat(cast(100 + p_partkey % 900 as string), '.', cast(cast(floor(p_partkey / 900) as int) as string))) END AS div_int_acct,
  concat(' ', concat(cast(100 + (p_partkey + 60) % 900 as string), '.', cast(cast(floor((p_partkey + 60) / 900) as int) as string))) AS accrual_acct,
  CASE WHEN p_partkey >= 45 AND p_partkey < 50 THEN '1' WHEN p_partkey < 5 THEN 'x' ELSE '0' END AS credit_card,
  CASE cast(floor(p_partkey / 5) as int) WHEN 8 THEN '00' WHEN 9 THEN '18' WHEN 10 THEN '01' WHEN 11 THEN '89' ELSE NULL END AS cb_loan_type
-FROM {part} WHERE p_partkey < 60""",
+FROM {part}""",
     "branch_config": """
 SELECT 'cu0' AS credit_union, s_suppkey AS branch_config_id, cast(s_suppkey as string) AS branch_number,
  CASE WHEN s_suppkey = 6 THEN NULL ELSE 9000000 + s_suppkey END AS branch_entity_id
@@ -257,7 +243,7 @@ FROM {region}""",
 SELECT concat('cu', cast(c_nationkey % 5 as string)) AS credit_union,
  CASE WHEN c_custkey % 53 = 0 THEN NULL WHEN c_custkey % 41 = 0 THEN -c_custkey ELSE c_custkey END AS member_number,
  c_custkey * 7919 AS record_number,
- CASE c_custkey % 6 WHEN 0 THEN 'D' WHEN 1 THEN 'DI' WHEN 2 THEN 'A' WHEN 3 THEN 'C' WHEN 4 THEN 'PC' ELSE 'ZZ' END AS card_type,
+ CASE c_custkey % 6 WHEN 0 THEN CASE WHEN c_custkey % 4 = 0 THEN 'D' ELSE 'd ' END WHEN 1 THEN 'DI' WHEN 2 THEN 'A' WHEN 3 THEN 'C' WHEN 4 THEN 'PC' ELSE 'ZZ' END AS card_type,
  DATE '1999-01-01' + cast(c_custkey % 700 as int) AS issue_date,
  CASE WHEN c_custkey % 8 = 0 THEN DATE '2001-02-01' ELSE NULL END AS block_date,
  DATE '2001-01-01' + cast(c_custkey * 13 % 800 as int) AS expire_date,
@@ -303,6 +289,12 @@ def logical_sql(name: str, dialect: str, table_ref=lambda t: t) -> str:
     ``table_ref`` maps a driver-table name to the text put in its place.
     """
     subs = {t: table_ref(t) for t in DRIVER_TABLES}
+    # Copies of the movements of a few busy members (two ids in every 500).
+    busy = "CASE WHEN o_custkey % 500 = 7 THEN {many} WHEN o_custkey % 500 = 8 THEN {some} ELSE {one} END"
+    lists = {n: ", ".join(map(str, range(1, k + 1))) for n, k in (("many", 60), ("some", 15), ("one", 1))}
+    make = "[{}]" if dialect == "duckdb" else "array({})"
+    subs["repeats"] = ("unnest({})" if dialect == "duckdb" else "explode({})").format(
+        busy.format(**{n: make.format(v) for n, v in lists.items()}))
     subs["seq12"] = "unnest([1, 2])" if dialect == "duckdb" else "explode(array(1, 2))"
     subs["status_rows"] = _const_rows(dialect, _STATUS_FIELDS, _STATUS_ROWS)
     subs["loan_type_rows"] = _const_rows(dialect, _LOAN_TYPE_FIELDS, _LOAN_TYPE_ROWS)
@@ -313,24 +305,9 @@ def logical_sql(name: str, dialect: str, table_ref=lambda t: t) -> str:
     return sql
 
 
-def st_projection(name: str, dialect: str) -> str:
-    """SELECT list of the single-tenant view of ``name`` (tenant column dropped,
-    bare-compared code columns normalized)."""
-    cols = []
-    for c in COLUMNS[name]:
-        if c == "credit_union":
-            continue
-        if c in ST_UPPER_TRIM.get(name, ()):
-            cols.append(f"upper(trim({c})) AS {c}")
-        elif c in ST_STRIP_ZEROS.get(name, ()):
-            cols.append(f"regexp_replace(trim({c}), '^0+', '') AS {c}")
-        else:
-            cols.append(c)
-    return ", ".join(cols)
-
-
 def st_sql(name: str, dialect: str, table_ref=lambda t: t) -> str:
-    """SQL text of the single-tenant binding of ``name``."""
+    """SQL text of the single-tenant binding of ``name``: no tenant column, codes as stored."""
     inner = logical_sql(name, dialect, table_ref)
-    where = "" if name in NO_TENANT else f" WHERE credit_union = '{ST_TENANT}'"
-    return f"SELECT {st_projection(name, dialect)} FROM ({inner}) b{where}"
+    columns = ", ".join(c for c in COLUMNS[name] if c != "credit_union")
+    where = f" WHERE credit_union = '{ST_CODE_TENANT}'" if name in ST_CODE_TABLES else ""
+    return f"SELECT {columns} FROM ({inner}) b{where}"

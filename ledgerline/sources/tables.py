@@ -1,10 +1,11 @@
 """Tables: logical table name -> lazily built DataFrame.
 
 Two views of the same data exist: the multi-tenant one (every table carries
-``credit_union``) and the single-tenant one (one tenant's rows, tenant column
-dropped, code columns normalized, see ``fixtures.ST_*``).  In production a
-caller builds ``Tables`` from its catalog with ``Tables.from_catalog``; the
-tests bind the driver's parquet files through ``Tables.from_dir``.
+``credit_union``) and the single-tenant one (no tenant column; code columns
+in their comparison form with the stored text beside them, see
+``sources.collation``).  In production a caller builds ``Tables`` from its
+catalog with ``Tables.from_catalog``; the tests bind the driver's parquet
+files through ``Tables.from_dir``.
 """
 
 from __future__ import annotations
@@ -12,8 +13,28 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DecimalType, IntegralType
 
 from ledgerline.sources import fixtures
+from ledgerline.sources.collation import st_view
+
+# Columns that the reports sum as integer cents.
+MONEY = {"transaction_history": ("total_amount",), "gl_history": ("amount",), "account": ("current_balance",)}
+
+
+def check_money(name: str, df: DataFrame) -> DataFrame:
+    """Refuse a money column whose values cents cannot hold exactly.
+
+    A double or a finer decimal has no exact cents, and rounding each row is
+    not what a rounded sum is; the caller must decide how to round.
+    """
+    for c in MONEY.get(name, ()):
+        if c in df.columns:
+            kind = df.schema[c].dataType
+            if not (isinstance(kind, IntegralType) or isinstance(kind, DecimalType) and kind.scale <= 2):
+                raise TypeError(f"{name}.{c} is {kind.simpleString()}; money columns must be decimals of at most two "
+                                "decimals, e.g. CAST(... AS DECIMAL(18,2))")
+    return df
 
 
 class Tables(Mapping):
@@ -24,7 +45,8 @@ class Tables(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self._loaders[name]()
+            df = check_money(name, self._loaders[name]())
+            self._cache[name] = st_view(name, df) if self.tenancy == "st" else df
         return self._cache[name]
 
     def __iter__(self):

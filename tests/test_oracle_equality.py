@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as E
+from ledgerline import registry
 from tools.compare import compare
 
-KEYS = sorted(E.queries())
+KEYS = sorted(registry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)

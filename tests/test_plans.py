@@ -58,3 +58,20 @@ def test_scan_prunes_columns(stored):
                   text)
     assert m is not None
     assert "description" not in m.group(1) and "date_opened" not in m.group(1)
+
+
+@pytest.mark.parametrize("key", ["mt_gl_accounts_general", "st_gl_accounts_general"])
+def test_gl_grid_rows_are_not_shuffled(spark, stored, key):
+    """Without broadcasts, months are generated after the one shuffle on the account key and feed the window."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        lines = plan_text(stored, key).splitlines()
+    finally:
+        for n in names:
+            spark.conf.unset(n)
+    window = [i for i, ln in enumerate(lines) if "Window [" in ln]
+    grid = next(i for i, ln in enumerate(lines) if "Generate explode" in ln)
+    assert window[0] < window[1] < grid
+    assert not any("Exchange" in ln for ln in lines[window[0]:grid])
