@@ -8,16 +8,19 @@ sketches differ estimates how many samples differ.  Candidates whose sketches
 say that they are far below the wanted likeness are dropped; the rest are
 checked on their full sets.
 
-Within a band bucket every document is first compared with the bucket's
-smallest one.  What that links is one component and needs no further
-comparison; only buckets that still hold several components compare their
-documents outside the largest one with the rest.  A bucket of thousands of
-copies so costs thousands of comparisons, not their square, and no link
-between components is lost.
+Within a band bucket every document is first compared with the bucket's hub,
+the one with the most neighbours over all its buckets.  What that links is
+one component and needs no further comparison.  Documents of buckets that
+still hold several components are joined exactly by their rarest shingles
+(two sets of the wanted likeness must share one among the first of them, in
+positions that leave room for the overlap), so a group of thousands of
+copies costs thousands of comparisons, not their square, and no link between
+components is lost.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -33,9 +36,11 @@ from ledgerline.llm.components import components
 #: At likeness 0.85 a pair shares no band once in 10^8 pairs, at 0.8 once in 10^5.
 BANDS, BAND_ROWS = 40, 6
 #: Bits of an odd sketch, in 64-bit words.
-SKETCH_WORDS = 8
+SKETCH_WORDS = 16
 #: Standard errors of the estimate by which a sketch must miss the likeness.
-SLACK = 6.0
+SLACK = 5.0
+#: Counters by which shingles are ordered from rare to frequent; more shingles than that share counters.
+COUNTERS = 1 << 20
 #: Comparisons with one document that one task takes together.
 HUB_SPLIT = 512
 
@@ -104,13 +109,17 @@ def odd_sketch(sample: np.ndarray) -> np.ndarray:
 def most_differing_bits(likeness: float) -> int:
     """Largest number of differing bits that two sketches of this likeness may show.
 
-    k samples differ in d of them, binomial with mean k (1 - J); each differing
-    sample flips two random bits, so n (1 - exp(-4 d / n)) / 2 bits differ.
+    Of k samples d differ, binomially with mean k (1 - J); each flips two of n
+    bits, so n (1 - (1 - 2 / n)^2d) / 2 bits differ, with the variance of
+    parities of 2d balls in n urns.
     """
     k, n = BANDS * BAND_ROWS, 64 * SKETCH_WORDS
-    d = k * (1 - likeness) + SLACK * (k * likeness * (1 - likeness)) ** 0.5
-    mean = n * (1 - np.exp(-4 * d / n)) / 2
-    return int(mean + SLACK * (n / 4 * (1 - np.exp(-8 * d / n))) ** 0.5)
+    d = np.arange(k + 1)
+    chance = np.array([math.comb(k, i) * (1 - likeness) ** i * likeness ** (k - i) for i in range(k + 1)])
+    mean = n * (1 - (1 - 2 / n) ** (2 * d)) / 2
+    noise = (n + n * (n - 1) * (1 - 4 / n) ** (2 * d) - n * n * (1 - 2 / n) ** (4 * d)) / 4
+    middle = (chance * mean).sum()
+    return int(middle + SLACK * (chance * (noise + (mean - middle) ** 2)).sum() ** 0.5)
 
 
 def _signed(x: np.ndarray) -> list[int]:
@@ -186,6 +195,57 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingle_words:
     return map_batches(one, "node long, shingles binary", run)
 
 
+def _counters(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of ``sets`` occur, by COUNTERS counters."""
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        count = np.zeros(COUNTERS, np.int64)
+        for b in batches:
+            for s in b["shingles"]:
+                count += np.bincount((np.frombuffer(s.as_py(), "<u8") >> np.uint64(44)).astype(np.int64), minlength=COUNTERS)
+        seen = np.flatnonzero(count)
+        yield {"at": pa.array(seen), "n": pa.array(count[seen])}
+
+    total = np.zeros(COUNTERS, np.int64)
+    for r in map_batches(sets.select("shingles"), "at long, n long", run).groupBy("at").agg(F.sum("n").alias("n")).toArrow().to_batches():
+        total[r.column("at").to_numpy()] = r.column("n").to_numpy()
+    return total
+
+
+def _rare_first(open_sets: DataFrame, counters: np.ndarray, ratio: Fraction) -> DataFrame:
+    """(token, pos, size, node, label, outside): the rarest shingles of each set, as many as a link may miss plus one."""
+    shared = open_sets.sparkSession.sparkContext.broadcast(counters)
+
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        count = shared.value
+        for b in batches:
+            for s, node, label, outside in zip(b["shingles"], b["node"].to_pylist(), b["label"].to_pylist(), b["outside"].to_pylist()):
+                x = np.frombuffer(s.as_py(), "<u8")
+                first = len(x) - math.ceil(ratio * len(x)) + 1
+                order = np.lexsort((x, count[(x >> np.uint64(44)).astype(np.int64)]))[:first]
+                n = len(order)
+                yield {"token": pa.array(x[order].view("<i8")), "pos": pa.array(np.arange(n)), "size": [len(x)] * n,
+                       "node": [node] * n, "label": [label] * n, "outside": [outside] * n}
+
+    return map_batches(open_sets.select("shingles", "node", "label", "outside"),
+                       "token long, pos int, size int, node long, label long, outside boolean", run)
+
+
+def _across(open_sets: DataFrame, ratio: Fraction, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of different labels, a outside, that may be linked: exact, by prefix and position.
+
+    The first common shingle, in the order from rare to frequent, leaves at
+    most size - position shingles on either side to overlap in.
+    """
+    rows = scratch.keep(_rare_first(open_sets, _counters(open_sets), ratio), "prefixes")
+    a, b = rows.where("outside").alias("a"), rows.alias("b")
+    over, both = ratio.numerator, ratio.numerator + ratio.denominator
+    overlap = F.floor((F.lit(over) * (F.col("a.size") + F.col("b.size")) + F.lit(both - 1)) / F.lit(both))
+    return (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.label") != F.col("b.label"))
+                   & (F.col("a.pos") + overlap <= F.col("a.size")) & (F.col("b.pos") + overlap <= F.col("b.size"))
+                   & (~F.col("b.outside") | (F.col("a.node") < F.col("b.node"))))
+            .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, likeness: float = 0.8) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``.
 
@@ -209,9 +269,12 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, likeness: float = 0
     firsts = some.join(classes.select("c1", "c2", F.col("doc_id").alias("_first")), ["c1", "c2"]).where(F.col("doc_id") == F.col("_first"))
     nodes = scratch.keep(firsts.select(F.col("doc_id").alias("node"), "bands", "sketch").dropDuplicates(["node"]), "nodes")
     member = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = scratch.keep(member.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("k"))
-                           .where(F.col("k") > 1).select("band", "hub"), "buckets")
-    inside = scratch.keep(member.join(buckets, "band").select("band", "node", "hub"), "inside")
+    buckets = scratch.keep(member.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1), "buckets")
+    inside = scratch.keep(member.join(buckets, "band").select("band", "node", "k"), "inside")
+    near = inside.groupBy("node").agg(F.sum("k").alias("near"))
+    hubs = scratch.keep(inside.join(near, "node").groupBy("band").agg(F.max(F.struct("near", (-F.col("node")).alias("node"))).alias("top"))
+                        .select("band", (-F.col("top.node")).alias("hub")), "hubs")
+    sets = scratch.keep(_sets(docs, classes, near.select("node"), shingle_words), "sets")
 
     sketch = nodes.select("node", "sketch")
 
@@ -221,26 +284,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, likeness: float = 0
                 .join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
                 .where(_near(F.col("sa"), F.col("sb"), likeness)).select("a", "b"))
 
-    stars = scratch.keep(like(inside.where(F.col("hub") != F.col("node")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()), "stars")
-    wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
-    links = _verify(stars, scratch.keep(_sets(docs, classes, wanted, shingle_words), "sets"), ratio, scratch)
+    stars = (inside.join(hubs, "band").where(F.col("hub") != F.col("node"))
+             .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    links = _verify(scratch.keep(like(stars), "stars"), sets, ratio, scratch)
 
     found = components(links, scratch)
-    placed = inside.join(found, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    placed = scratch.keep(placed, "placed")
+    placed = scratch.keep(inside.join(found, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label")), "placed")
     per = placed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("k"))
-    mixed = (per.groupBy("band").agg(F.max(F.struct("k", "label")).alias("top"), F.count(F.lit(1)).alias("parts"))
-             .where(F.col("parts") > 1).select("band", F.col("top.label").alias("largest")))
-    mixed = scratch.keep(mixed, "mixed")
-    open_ = scratch.keep(placed.join(mixed, "band"), "open")
-    outside = open_.where(F.col("label") != F.col("largest")).select("band", F.col("node").alias("a"), F.col("label").alias("la"))
-    rest = open_.select("band", F.col("node").alias("b"), F.col("label").alias("lb"), "largest")
-    pairs = (outside.join(rest, "band")
-             .where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("largest")) | (F.col("la") < F.col("lb"))))
-             .select("a", "b").distinct())
-    more = scratch.keep(like(pairs).join(stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "more")
-    wanted = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node"))).distinct()
-    extra = _verify(more, scratch.keep(_sets(docs, classes, wanted, shingle_words), "sets"), ratio, scratch)
+    mixed = scratch.keep(per.groupBy("band").agg(F.max(F.struct("k", "label")).alias("top"), F.count(F.lit(1)).alias("parts"))
+                         .where(F.col("parts") > 1).select("band", F.col("top.label").alias("largest")), "mixed")
+    still = placed.join(mixed, "band").groupBy("node", "label").agg(F.max(F.col("label") != F.col("largest")).alias("outside"))
+    pairs = _across(scratch.keep(still.join(sets, "node"), "open"), ratio, scratch)
+    extra = _verify(scratch.keep(like(pairs), "more"), sets, ratio, scratch)
 
     final = components(links.unionByName(extra), scratch)
     of_class = (classes.join(final, "node", "left")
