@@ -217,7 +217,7 @@ SELECT concat('cu', cast(p % 5 as string)) AS credit_union, l_orderkey * 10 + l_
  l_suppkey AS group_id, l_linenumber AS group_seq, cast(l_suppkey as string) AS posted_by_user,
  cast(l_linenumber % 2 as int) AS modified, 1 AS version, l_shipdate AS created_timestamp, 'u1' AS created_by_userid,
  l_shipdate AS modified_timestamp, 'u2' AS modified_by_userid
-FROM (SELECT *, CASE WHEN l_linenumber <= 2 THEN 4 WHEN l_linenumber = 5 THEN 7 WHEN l_linenumber = 7 THEN 10
+FROM (SELECT *, CASE WHEN l_linenumber <= 2 THEN 4 WHEN l_linenumber = 5 THEN 7 WHEN l_linenumber = 7 AND l_suppkey % 4 = 0 THEN 10
                      ELSE l_partkey END AS p FROM {lineitem}) g""",
     "account_types": """
 SELECT concat('cu', cast(p_partkey % 5 as string)) AS credit_union,
