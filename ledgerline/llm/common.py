@@ -89,11 +89,12 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """Training rows (doc_id, text, _label): documents with a label of 0 or 1, one label per id.
 
     ``labels`` is reduced to one row per id first (repeated rows: the largest
-    label), so that a repeated label does not repeat a document.
+    label), so that a repeated label does not repeat a document.  Labels grow
+    with the documents, so the join is a shuffle join at every size.
     """
     one = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
            .groupBy("doc_id").agg(F.max(label).cast("int").alias("_label")))
-    return docs.select("doc_id", "text").join(one, "doc_id")
+    return docs.select("doc_id", "text").join(one.hint("merge"), "doc_id")
 
 
 def hash_sample(rows: DataFrame, total: int, wanted: int) -> DataFrame:
