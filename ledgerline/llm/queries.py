@@ -95,5 +95,45 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                      op7_permutation_index, op8_language_crf, op9_bpe, op10_quality)}
 
 
+# A text's words as the contracts cut them, A-Z in lower case.
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_OP4 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w
+), x AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS s FROM s
+), e AS (
+  SELECT a.doc_id AS p, b.doc_id AS q FROM x a JOIN x b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), r AS (
+  SELECT doc_id AS p, doc_id AS q FROM documents
+  UNION
+  SELECT r.p, e.q FROM r JOIN e ON r.q = e.p
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN (SELECT p, min(q) AS component_id FROM r GROUP BY p) c ON c.p = s.doc_id"""
+
+_OP5 = f"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
+), k AS (
+  SELECT *, translate(trim(line, {_SPACE}), '{_UPPER}', '{_LOWER}') AS key FROM l
+), h AS (
+  SELECT key, min(doc_id) AS keeper FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), j AS (
+  SELECT k.*, coalesce(h.keeper <> k.doc_id, false) AS gone FROM k LEFT JOIN h ON h.key = k.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB statements of the queries that SQL can express."""
+    return {"op4_near_dedup": _OP4, "op5_line_dedup": _OP5}
