@@ -44,6 +44,11 @@ def with_tables(body: str, tenancy: str) -> str:
     return f"WITH {ctes}\nSELECT * FROM (\n{body}\n) q"
 
 
+def first_of(rules: list[tuple[str, str]], default: str) -> str:
+    """The label of the first (condition, label) that holds."""
+    return "coalesce(" + ", ".join(f"CASE WHEN {c} THEN '{lab}' END" for c, lab in rules) + f", '{default}')"
+
+
 class Q:
     """Text snippets that differ between the MT and ST oracle statements."""
 

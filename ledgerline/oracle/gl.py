@@ -85,50 +85,58 @@ def _accruals(q: Q, category: str, product: str, kind: str, loans: bool) -> str:
         cat = "category"
         posted = "status <> 'D'"
 
-    def agg(col: str, name: str, amount: str) -> str:
-        return f"""{name} AS (
-  SELECT {q.k('h')}CAST(year(h.effective_date) AS INTEGER) AS y, CAST(month(h.effective_date) AS INTEGER) AS mo,
-         CAST(quarter(h.effective_date) AS INTEGER) AS qu, strftime(h.effective_date, '%Y-%m') AS ym,
-         CAST(sum({amount}) AS DECIMAL(38,2)) AS s, count(DISTINCT h.batch_number) AS nb, count(*) AS nl,
-         min(h.effective_date) AS lo, max(h.effective_date) AS hi
-  FROM (SELECT DISTINCT {q.k()}{canon.format(col)} AS gl FROM account_types WHERE {cat} = '{category}' AND {col} IS NOT NULL) x
-  JOIN (SELECT *, {canon.format('gl_account_number')} AS gl FROM gl_history WHERE {posted}) h
-    ON h.gl = x.gl{q.on('h', 'x')}
-  GROUP BY ALL)"""
+    # one pass: every posted line with its roles, one row per month with both sides
+    sides = {"paid": "abs(amount)" if loans else "amount", "acc": "amount"}
 
-    paid_amt = "abs(h.amount)" if loans else "h.amount"
-    acc0 = "coalesce(a.s, 0)"
-    if loans:
-        paid, scale = "p.s", "p.s"
-    else:
-        paid, scale = f"(p.s - {acc0})", f"abs(p.s - {acc0})"
-    tenant_on = " AND a.credit_union = p.credit_union" if q.mt else ""
-    main = f"""
-SELECT {q.k('p')}'{product}' AS product_type, '{kind}' AS transaction_type, p.y AS entry_year, p.mo AS entry_month,
-  p.qu AS entry_quarter, p.ym AS yearMonth, CAST({paid} AS DECIMAL(38,2)) AS total_paid_amount,
-  CAST({acc0} AS DECIMAL(38,2)) AS total_accrued_amount, CAST({paid} - {acc0} AS DECIMAL(38,2)) AS variance_paid_vs_accrued,
-  CASE WHEN {acc0} > 0 THEN round(CAST({paid} AS DOUBLE) / CAST(a.s AS DOUBLE) * 100, 2) END AS paid_to_accrued_ratio_pct,
-  p.nb AS paid_transaction_count, coalesce(a.nb, 0) AS accrued_transaction_count, p.nl AS paid_gl_entries,
-  coalesce(a.nl, 0) AS accrued_gl_entries, p.lo AS paid_earliest_date, p.hi AS paid_latest_date,
-  a.lo AS accrued_earliest_date, a.hi AS accrued_latest_date,
-  CASE WHEN {paid} > 0 AND {acc0} = 0 THEN 'PAID_WITHOUT_ACCRUAL' WHEN {paid} = 0 AND {acc0} > 0 THEN 'ACCRUED_NOT_PAID'
-       WHEN abs({paid} - {acc0}) > {scale} * 0.05 THEN 'SIGNIFICANT_VARIANCE' ELSE 'NORMAL' END AS alert_status,
-  CASE WHEN a.lo IS NOT NULL AND p.hi IS NOT NULL THEN CAST(date_diff('day', a.lo, p.hi) AS INTEGER) END AS days_between_accrual_and_payment
-FROM paid p LEFT JOIN acc a ON a.ym = p.ym{tenant_on}
-WHERE p.ym IS NOT NULL{' AND p.s > 0' if loans and not q.mt else ''}"""
-    only = f"""
-SELECT {q.k('a')}'{product}', '{kind}', a.y, a.mo, a.qu, a.ym, CAST(0 - a.s AS DECIMAL(38,2)), a.s,
-  CAST((0 - a.s) - a.s AS DECIMAL(38,2)), CASE WHEN a.s > 0 THEN round(CAST(0 - a.s AS DOUBLE) / CAST(a.s AS DOUBLE) * 100, 2) END,
-  0, a.nb, 0, a.nl, NULL, NULL, a.lo, a.hi, 'ACCRUED_NOT_PAID', NULL
-FROM acc a LEFT JOIN paid p ON a.ym = p.ym{tenant_on}
-WHERE p.ym IS NULL AND a.s <> 0"""
-    body = main if loans else f"{main}\nUNION\n{only}"
-    head = "r.credit_union, fi.idfi, " if q.mt else ""
+    def side(role: str) -> str:
+        f = f"FILTER (role = '{role}')"
+        return (f"CAST(sum({sides[role]}) {f} AS DECIMAL(38,2)) AS {role}, count(DISTINCT batch_number) {f} AS {role}_batches, "
+                f"count(*) {f} AS {role}_lines, min(effective_date) {f} AS {role}_lo, max(effective_date) {f} AS {role}_hi")
+
+    joins = "mon IS NOT NULL" + (" AND credit_union IS NOT NULL" if q.mt else "")
+    both = f"if({joins}, acc, NULL)"
+    paid = "paid" if loans else f"(paid - coalesce({both}, 0))"
+    scale = "paid" if loans else f"abs({paid})"
+    wanted = "paid_lines > 0 AND mon IS NOT NULL" + (" AND paid > 0" if loans and not q.mt else "")
+
+    def row(p: str, a: str, alert: str, lead: str, days: str, a_dates: str) -> str:
+        n = lambda x, c: f"if({c}, {x}, 0)"
+        there = "true" if lead == "NULL" else joins
+        return f"""
+  SELECT {q.k()}'{product}' AS product_type, '{kind}' AS transaction_type, CAST(year(mon) AS INTEGER) AS entry_year,
+    CAST(month(mon) AS INTEGER) AS entry_month, CAST(quarter(mon) AS INTEGER) AS entry_quarter, strftime(mon, '%Y-%m') AS yearMonth,
+    CAST({p} AS DECIMAL(38,2)) AS total_paid_amount, CAST({a} AS DECIMAL(38,2)) AS total_accrued_amount,
+    CAST({p} - {a} AS DECIMAL(38,2)) AS variance_paid_vs_accrued,
+    CASE WHEN {a} > 0 THEN round(CAST({p} AS DOUBLE) / CAST({a} AS DOUBLE) * 100, 2) END AS paid_to_accrued_ratio_pct,
+    {'0' if lead == 'NULL' else 'paid_batches'} AS paid_transaction_count, {n('acc_batches', there)} AS accrued_transaction_count,
+    {'0' if lead == 'NULL' else 'paid_lines'} AS paid_gl_entries, {n('acc_lines', there)} AS accrued_gl_entries,
+    {lead if lead == 'NULL' else 'paid_lo'} AS paid_earliest_date, {lead if lead == 'NULL' else 'paid_hi'} AS paid_latest_date,
+    {a_dates.format('acc_lo')} AS accrued_earliest_date, {a_dates.format('acc_hi')} AS accrued_latest_date,
+    {alert} AS alert_status, {days} AS days_between_accrual_and_payment
+  FROM g"""
+
+    a0 = f"coalesce({both}, 0)"
+    alert = (f"CASE WHEN {paid} > 0 AND {a0} = 0 THEN 'PAID_WITHOUT_ACCRUAL' WHEN {paid} = 0 AND {a0} > 0 THEN 'ACCRUED_NOT_PAID' "
+             f"WHEN abs({paid} - {a0}) > {scale} * 0.05 THEN 'SIGNIFICANT_VARIANCE' ELSE 'NORMAL' END")
+    dates = f"if({joins}, {{}}, NULL)"
+    body = row(paid, a0, alert, "", f"CAST(date_diff('day', {dates.format('acc_lo')}, paid_hi) AS INTEGER)", dates) + f" WHERE {wanted}"
+    if not loans:
+        body += "\n  UNION\n" + row("(0 - acc)", "acc", "'ACCRUED_NOT_PAID'", "NULL", "NULL", "{}") + \
+            f" WHERE acc_lines > 0 AND acc <> 0 AND (paid_lines = 0 OR NOT ({joins}))"
     return q.wrap(f"""
-WITH {agg('div_int_acct', 'paid', paid_amt)},
-{agg('accrual_acct', 'acc', 'h.amount')},
-r AS ({body})
-SELECT {head}r.* EXCLUDE ({'credit_union' if q.mt else 'product_type'}){', r.product_type' if not q.mt else ''}
+WITH roles AS (
+  SELECT DISTINCT {q.k()}role, gl FROM (
+    SELECT {q.k()}unnest([{{'role': 'paid', 'gl': div_int_acct}}, {{'role': 'acc', 'gl': accrual_acct}}], recursive := true)
+    FROM (SELECT {q.k()}CASE WHEN div_int_acct IS NOT NULL THEN {canon.format('div_int_acct')} END AS div_int_acct,
+            CASE WHEN accrual_acct IS NOT NULL THEN {canon.format('accrual_acct')} END AS accrual_acct
+          FROM account_types WHERE {cat} = '{category}') t) u
+  WHERE gl IS NOT NULL
+), g AS (
+  SELECT {q.k('h')}CAST(date_trunc('month', h.effective_date) AS DATE) AS mon, {side('paid')}, {side('acc')}
+  FROM (SELECT *, {canon.format('gl_account_number')} AS gl FROM gl_history WHERE {posted}) h
+  JOIN roles r ON r.gl = h.gl{q.on('r', 'h')} GROUP BY ALL
+), r AS ({body})
+SELECT {'r.credit_union, fi.idfi, ' if q.mt else ''}r.* {'EXCLUDE (credit_union)' if q.mt else ''}
 FROM r {q.idfi('r', 'credit_union', exact=False)}""")
 
 
