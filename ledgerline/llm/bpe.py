@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import Scratch, map_batches
 
 #: Characters after which a block is closed (a longer document makes a longer block).
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 #: Word buckets per shuffle partition.
 SPREAD = 1
 #: Words longer than this are merged with a heap instead of a scan.

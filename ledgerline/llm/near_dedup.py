@@ -64,7 +64,7 @@ class Shingler:
 
     def __call__(self, text: str | None) -> np.ndarray:
         known, hash64 = self.known, xxhash.xxh3_64_intdigest
-        if len(known) > 500_000:
+        if len(known) > 100_000:
             known.clear()
         words = (text or "").encode().lower().split()  # bytes: ASCII rules
         if not words:

@@ -48,7 +48,7 @@ class NGrams:
 
     def __call__(self, text: str | None) -> np.ndarray:
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > 100_000:
             known.clear()
         tokens = self.find(text or "")
         pairs = np.empty((len(tokens), 2), np.uint64)

@@ -165,7 +165,7 @@ class Matcher:
                 hits[w] = found
             else:
                 self.clean.add(w)
-        if len(self.clean) > 500_000:
+        if len(self.clean) > 100_000:
             self.clean.clear()
         if not hits:
             return []
