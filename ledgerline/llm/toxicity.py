@@ -27,7 +27,7 @@ from ledgerline.llm.common import Scratch, columns, fresh, hash_sample, map_batc
 SUPPORT, SUPPORT_ROWS = 0.005, 5
 #: Least share of toxic documents among those that hold a term, and least log-likelihood ratio.
 PRECISION, EVIDENCE = 0.3, 25.0
-#: Least weight (log odds) at which the misspellings of a term count.
+#: Least weight (log odds) at which a word counts as a misspelling of a term.
 MISSPELLED = 1.5
 #: Lengths of the word beginnings that may become terms.
 STEMS = range(3, 8)
@@ -152,21 +152,31 @@ def edits_of(term: str) -> int:
 
 
 class Matcher:
-    """Matches of a text: (term, edits, quoted); words known to match nothing are remembered."""
+    """Matches of a text: (term, edits, quoted); words known to match nothing are remembered.
 
-    def __init__(self, terms: dict[str, dict]) -> None:
+    ``ordinary`` words are no misspellings: they match only as they are written.
+    """
+
+    def __init__(self, terms: dict[str, dict], ordinary: frozenset[str] = frozenset()) -> None:
         self.automaton, self.clean = LexiconAutomaton(terms), set()
+        self.ordinary = ordinary
 
-    def __call__(self, text: str | None) -> list[tuple[str, int, bool]]:
-        words = words_of(text)
+    def hits(self, words: set[str]) -> dict[str, tuple[str, int]]:
+        """{word: (term, edits)} of the words that match."""
         hits = {}
-        for w in set(words) - self.clean:
-            if found := self.automaton.match(w):
+        for w in words - self.clean:
+            found = self.automaton.match(w)
+            if found and not (found[1] and w in self.ordinary):
                 hits[w] = found
             else:
                 self.clean.add(w)
         if len(self.clean) > 100_000:
             self.clean.clear()
+        return hits
+
+    def __call__(self, text: str | None) -> list[tuple[str, int, bool]]:
+        words = words_of(text)
+        hits = self.hits(set(words))
         if not hits:
             return []
         out, low = [], (text or "").lower()
@@ -276,10 +286,35 @@ def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) ->
     return kept
 
 
-def _learned(rows: DataFrame, terms: dict[str, dict], toxic: int, clean: int) -> dict[tuple[str, bool], float]:
-    """Weight of (term, misspelled): log odds of its documents, a misspelling's shrunk to a part of the term's."""
+def _ordinary(rows: DataFrame, terms: dict[str, dict], toxic: int, clean: int) -> frozenset[str]:
+    """Words within a term's edits that are no misspellings: clean documents hold them too often.
+
+    Decided word by word, with two toxic documents as prior; the terms' edits
+    stay on for all other words.  Only the words left out reach the driver.
+    """
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         match, count = Matcher(terms), Counter()
+        for b in batches:
+            for text, label in zip(b["text"], b["_label"].to_pylist()):
+                count.update((w, label) for w, (_, e) in match.hits(set(words_of(text.as_py()))).items() if e)
+        yield {"word": [k[0] for k in count], "label": [k[1] for k in count], "n": list(count.values())}
+
+    odds = (F.col("t") + 2) / (F.col("c") + 0.25) * ((clean + 1) / (toxic + 1))
+    found = (map_batches(rows.select("text", "_label"), "word string, label int, n long", run)
+             .groupBy("word").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("t"),
+                                  F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("c"))
+             .where((F.col("c") > 0) & (F.log(odds) < MISSPELLED)).select("word").collect())
+    return frozenset(r["word"] for r in found)
+
+
+def _learned(rows: DataFrame, terms: dict[str, dict], ordinary: frozenset[str], toxic: int, clean: int) -> dict[tuple[str, bool], float]:
+    """Weight of (term, misspelled): log odds of its documents, a misspelling's shrunk to a part of the term's.
+
+    Words that are no misspellings are left out one by one, so what is left
+    weighs MISSPELLED at least, or as much as the term.
+    """
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        match, count = Matcher(terms, ordinary), Counter()
         for b in batches:
             for text, label in zip(b["text"], b["_label"].to_pylist()):
                 count.update({(t, e > 0, label) for t, e, _ in match(text.as_py())})
@@ -296,7 +331,7 @@ def _learned(rows: DataFrame, terms: dict[str, dict], toxic: int, clean: int) ->
             # a misspelling that was never seen weighs as if two toxic documents held it
             prior = 2.0 if wrong else 1.0
             odds = (t + prior) / (c + 0.25) * (clean + 1) / (toxic + 1)
-            weights[term, wrong] = min(terms[term]["weight"], math.log(odds)) if wrong else math.log(odds)
+            weights[term, wrong] = min(terms[term]["weight"], max(MISSPELLED, math.log(odds))) if wrong else math.log(odds)
     return weights
 
 
@@ -333,21 +368,19 @@ def fit(train: DataFrame) -> dict:
         often = {r["term"]: r["toxic"] for r in _toxic_contexts(rows, list(often)).collect()}
         held = {r["term"]: r["clean"] for r in _clean_counts(rows, list(often)).collect()}
         terms = choose_terms({t: (n, held.get(t, 0)) for t, n in often.items()}, toxic, clean)
-    weights = _learned(rows, terms, toxic, clean) if terms else {}
-    for term, about in terms.items():  # words whose misspellings are ordinary words are matched exactly
-        if weights[term, True] < MISSPELLED:
-            about["edits"] = 0
+    ordinary = _ordinary(rows, terms, toxic, clean) if terms else frozenset()
+    weights = _learned(rows, terms, ordinary, toxic, clean) if terms else {}
     chosen = hash_sample(rows, toxic + clean, SAMPLE)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        match = Matcher(terms)
+        match = Matcher(terms, ordinary)
         for b in batches:
             yield {"x": [features(match(x), x, weights) for x in b["text"].to_pylist()], "y": b["_label"]}
 
     got = map_batches(chosen.select("text", "_label"), "x array<double>, y int", run).collect() if terms else []
     model = _logistic(np.array([r["x"] for r in got]), np.array([r["y"] for r in got], float))
     scratch.drop(rows)
-    return {"terms": terms, "weights": weights, "model": model}
+    return {"terms": terms, "ordinary": ordinary, "weights": weights, "model": model}
 
 
 def score(docs: DataFrame, model: dict, names: tuple[str, str] = ("_score", "_matches")) -> DataFrame:
@@ -361,7 +394,7 @@ def score(docs: DataFrame, model: dict, names: tuple[str, str] = ("_score", "_ma
     @F.arrow_udf("struct<score:double,matches:array<struct<term:string,edits:int,quoted:boolean>>>")
     def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        match, kind = Matcher(m["terms"]), pa.struct([("term", pa.string()), ("edits", pa.int32()), ("quoted", pa.bool_())])
+        match, kind = Matcher(m["terms"], m["ordinary"]), pa.struct([("term", pa.string()), ("edits", pa.int32()), ("quoted", pa.bool_())])
         for texts in batches:
             texts = texts.to_pylist()
             found = [match(t) for t in texts]

@@ -116,6 +116,19 @@ def test_copies_of_one_text_make_no_terms(spark):
     assert set(toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, _label int"))["terms"]) == {"grumblor"}
 
 
+def test_an_ordinary_neighbour_does_not_switch_off_a_terms_misspellings(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    text = lambda *extra: " ".join([*(word() for _ in range(20)), *extra, *(word() for _ in range(20))])
+    rows = [(i, text("moron"), 1) for i in range(60)] + [(100 + i, text("oron") if i % 2 else text(), 0) for i in range(240)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, _label int"))
+    df = spark.createDataFrame([("ordinary", "the oron today"), ("wrong", "you mor0n today"), ("exact", "you moron today")], "doc_id string, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(df, model).collect()}
+    assert got["ordinary"]["_matches"] == [] and got["ordinary"]["_score"] < 0.3
+    assert [(m["term"], m["edits"]) for m in got["wrong"]["_matches"]] == [("moron", 1)] and got["wrong"]["_score"] >= 0.3
+    assert got["exact"]["_score"] >= 0.3
+
+
 def test_marginals_against_the_plain_recursion():
     rng = np.random.default_rng(0)
     scores, trans, start = rng.normal(size=(57, 4)), rng.normal(size=(4, 4)), rng.normal(size=4)
