@@ -11,7 +11,7 @@ less.  A small logistic model turns a text's matches into a score.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +35,8 @@ STEMS = range(3, 8)
 ONE_EDIT, TWO_EDITS = 5, 9
 #: Words on either side that make the context of a match.
 WINDOW = 6
+#: Words per run by which copies are known.
+SHINGLE = 5
 #: Labelled documents that the final logistic model is fitted on, about.
 SAMPLE = 20_000
 #: Words that announce a quotation, in four languages (fixed values).
@@ -206,66 +208,56 @@ def features(matches: list[tuple[str, int, bool]], text: str | None, weights: di
     return [max(direct, default=0.0), math.log1p(sum(direct)), math.log1p(1000 * sum(direct) / len(text)), max(quoted, default=0.0), max(wrong, default=0.0)]
 
 
-def _toxic_terms(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterator[dict]) -> Iterator[dict]:
-        for b in batches:
-            count: Counter = Counter()
-            for text in b["text"]:
-                count.update(terms_of(set(words_of(text.as_py()))))
-            yield {"term": list(count), "toxic": list(count.values())}
+def _kin(text: str | None) -> int:
+    """Smallest hash of a text's runs of SHINGLE words: copies, and most near copies, share it."""
+    words = words_of(text)
+    return min(xxhash.xxh3_64_intdigest(" ".join(words[i:i + SHINGLE])) for i in range(max(1, len(words) - SHINGLE + 1))) >> 1
 
-    return (map_batches(rows.where(F.col("_label") == 1).select("text"), "term string, toxic long", run)
-            .groupBy("term").agg(F.sum("toxic").alias("toxic")))
 
+def _shared(train: DataFrame, scratch: Scratch) -> DataFrame:
+    """Training rows (doc_id, text, _label, _part): ``_part`` is one over the rows of the label with the same ``_kin``.
 
-def _clean_counts(rows: DataFrame, terms: list[str]) -> DataFrame:
-    """(term, clean): documents labelled 0 that hold each of ``terms``."""
-    shared = rows.sparkSession.sparkContext.broadcast(frozenset(terms))
-
+    So a group of copies counts as one document, of either class alike.  The
+    rows meet their group's size by a plain join that adaptive execution splits.
+    """
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        wanted, count = shared.value, Counter()
         for b in batches:
-            for text in b["text"]:
-                count.update(terms_of(set(words_of(text.as_py()))) & wanted)
-        yield {"term": list(count), "clean": list(count.values())}
+            yield b | {"_kin": [_kin(t.as_py()) for t in b["text"]]}
 
-    return (map_batches(rows.where(F.col("_label") == 0).select("text"), "term string, clean long", run)
-            .groupBy("term").agg(F.sum("clean").alias("clean")))
-
-
-def _toxic_contexts(rows: DataFrame, terms: list[str]) -> DataFrame:
-    """(term, toxic): different neighbours that each of ``terms`` has in documents labelled 1.
+    narrow = train.select("doc_id", "text", "_label")
+    id_type = narrow.schema["doc_id"].dataType.simpleString()
+    rows = scratch.keep(map_batches(narrow, f"doc_id {id_type}, text string, _label int, _kin long", run), "train")
+    sizes = rows.groupBy("_label", "_kin").agg((F.lit(1.0) / F.count(F.lit(1))).alias("_part"))
+    out = scratch.keep(rows.join(sizes.hint("merge"), ["_label", "_kin"]).select("doc_id", "text", "_label", "_part"), "shared")
+    scratch.drop(rows)
+    return out
 
-    One pair of neighbours per document, that of the term's first word; so
-    many copies of one text, all of whose rare words would look toxic, count
-    as one document.
-    """
-    shared = rows.sparkSession.sparkContext.broadcast(frozenset(terms))
 
+def _counts(rows: DataFrame) -> DataFrame:
+    """(term, toxic, clean): documents of either class that hold each term, copies as one."""
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        wanted = shared.value
+        count: dict[str, list[float]] = {}
         for b in batches:
-            found: set[tuple[str, int]] = set()
-            for text in b["text"]:
-                words, first = ["", *words_of(text.as_py()), ""], {}
-                for i in range(1, len(words) - 1):
-                    for term in terms_of({words[i]}) & wanted:
-                        first.setdefault(term, i)
-                found |= {(t, xxhash.xxh3_64_intdigest(f"{words[i - 1]} {words[i + 1]}") >> 1) for t, i in first.items()}
-            yield {"term": [t for t, _ in found], "context": [c for _, c in found]}
+            for text, label, part in zip(b["text"], b["_label"].to_pylist(), b["_part"].to_pylist()):
+                for t in terms_of(set(words_of(text.as_py()))):
+                    count.setdefault(t, [0.0, 0.0])[label] += part
+                if len(count) > 200_000:
+                    yield {"term": list(count), "toxic": [n[1] for n in count.values()], "clean": [n[0] for n in count.values()]}
+                    count = {}
+        yield {"term": list(count), "toxic": [n[1] for n in count.values()], "clean": [n[0] for n in count.values()]}
 
-    return (map_batches(rows.where(F.col("_label") == 1).select("text"), "term string, context long", run)
-            .distinct().groupBy("term").agg(F.count(F.lit(1)).alias("toxic")))
+    return (map_batches(rows.select("text", "_label", "_part"), "term string, toxic double, clean double", run)
+            .groupBy("term").agg(*(F.round(F.sum(n), 6).alias(n) for n in ("toxic", "clean"))))
 
 
-def _evidence(t: int, c: int, toxic: int, clean: int) -> float:
+def _evidence(t: float, c: float, toxic: float, clean: float) -> float:
     """Log-likelihood ratio (G2) of a term's counts against the classes' sizes."""
     total, n = toxic + clean, t + c
     expected = n * toxic / total
     return 2 * (t * math.log(t / expected) + (c * math.log(c / (n - expected)) if c else 0.0))
 
 
-def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, dict]:
+def choose_terms(counts: dict[str, tuple[float, float]], toxic: float, clean: float) -> dict[str, dict]:
     """The lexicon: of each family of words and their beginnings, the term that tells most.
 
     Terms are taken by falling log-likelihood ratio (ties: the longer term);
@@ -286,43 +278,46 @@ def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) ->
     return kept
 
 
-def _ordinary(rows: DataFrame, terms: dict[str, dict], toxic: int, clean: int) -> frozenset[str]:
+def _ordinary(rows: DataFrame, terms: dict[str, dict], toxic: float, clean: float) -> frozenset[str]:
     """Words within a term's edits that are no misspellings: clean documents hold them too often.
 
     Decided word by word, with two toxic documents as prior; the terms' edits
     stay on for all other words.  Only the words left out reach the driver.
     """
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        match, count = Matcher(terms), Counter()
+        match, count = Matcher(terms), defaultdict(float)
         for b in batches:
-            for text, label in zip(b["text"], b["_label"].to_pylist()):
-                count.update((w, label) for w, (_, e) in match.hits(set(words_of(text.as_py()))).items() if e)
+            for text, label, part in zip(b["text"], b["_label"].to_pylist(), b["_part"].to_pylist()):
+                for w, (_, e) in match.hits(set(words_of(text.as_py()))).items():
+                    if e:
+                        count[w, label] += part
         yield {"word": [k[0] for k in count], "label": [k[1] for k in count], "n": list(count.values())}
 
     odds = (F.col("t") + 2) / (F.col("c") + 0.25) * ((clean + 1) / (toxic + 1))
-    found = (map_batches(rows.select("text", "_label"), "word string, label int, n long", run)
-             .groupBy("word").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("t"),
-                                  F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("c"))
+    found = (map_batches(rows.select("text", "_label", "_part"), "word string, label int, n double", run)
+             .groupBy("word").agg(F.round(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)), 6).alias("t"),
+                                  F.round(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)), 6).alias("c"))
              .where((F.col("c") > 0) & (F.log(odds) < MISSPELLED)).select("word").collect())
     return frozenset(r["word"] for r in found)
 
 
-def _learned(rows: DataFrame, terms: dict[str, dict], ordinary: frozenset[str], toxic: int, clean: int) -> dict[tuple[str, bool], float]:
+def _learned(rows: DataFrame, terms: dict[str, dict], ordinary: frozenset[str], toxic: float, clean: float) -> dict[tuple[str, bool], float]:
     """Weight of (term, misspelled): log odds of its documents, a misspelling's shrunk to a part of the term's.
 
     Words that are no misspellings are left out one by one, so what is left
     weighs MISSPELLED at least, or as much as the term.
     """
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        match, count = Matcher(terms, ordinary), Counter()
+        match, count = Matcher(terms, ordinary), defaultdict(float)
         for b in batches:
-            for text, label in zip(b["text"], b["_label"].to_pylist()):
-                count.update({(t, e > 0, label) for t, e, _ in match(text.as_py())})
+            for text, label, part in zip(b["text"], b["_label"].to_pylist(), b["_part"].to_pylist()):
+                for t, wrong in {(t, e > 0) for t, e, _ in match(text.as_py())}:
+                    count[t, wrong, label] += part
         yield {"term": [k[0] for k in count], "wrong": [k[1] for k in count], "label": [k[2] for k in count], "n": list(count.values())}
 
-    found = (map_batches(rows.select("text", "_label"), "term string, wrong boolean, label int, n long", run)
-             .groupBy("term", "wrong").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("t"),
-                                           F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("c")).collect())
+    found = (map_batches(rows.select("text", "_label", "_part"), "term string, wrong boolean, label int, n double", run)
+             .groupBy("term", "wrong").agg(F.round(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)), 6).alias("t"),
+                                           F.round(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)), 6).alias("c")).collect())
     by = {(r["term"], r["wrong"]): (r["t"], r["c"]) for r in found}
     weights = {}
     for term in terms:
@@ -359,18 +354,16 @@ def fit(train: DataFrame) -> dict:
     prior's.
     """
     scratch = Scratch(train.sparkSession, "toxic")
-    rows = scratch.keep(train.select("doc_id", "text", "_label"), "train")
-    sizes = {r["_label"]: r["n"] for r in rows.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    rows = _shared(train, scratch)
+    sizes = {r["_label"]: r for r in rows.groupBy("_label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("_part"), 6).alias("parts")).collect()}
+    toxic, clean = (sizes[k]["parts"] if k in sizes else 0.0 for k in (1, 0))
     terms: dict[str, dict] = {}
     if toxic and clean:
-        often = {r["term"]: r["toxic"] for r in _toxic_terms(rows).where(F.col("toxic") >= max(SUPPORT_ROWS, SUPPORT * toxic)).collect()}
-        often = {r["term"]: r["toxic"] for r in _toxic_contexts(rows, list(often)).collect()}
-        held = {r["term"]: r["clean"] for r in _clean_counts(rows, list(often)).collect()}
-        terms = choose_terms({t: (n, held.get(t, 0)) for t, n in often.items()}, toxic, clean)
+        often = _counts(rows).where(F.col("toxic") >= max(SUPPORT_ROWS, SUPPORT * toxic)).collect()
+        terms = choose_terms({r["term"]: (r["toxic"], r["clean"]) for r in often}, toxic, clean)
     ordinary = _ordinary(rows, terms, toxic, clean) if terms else frozenset()
     weights = _learned(rows, terms, ordinary, toxic, clean) if terms else {}
-    chosen = hash_sample(rows, toxic + clean, SAMPLE)
+    chosen = hash_sample(rows, sum(r["n"] for r in sizes.values()), SAMPLE)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         match = Matcher(terms, ordinary)

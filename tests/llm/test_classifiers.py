@@ -129,6 +129,18 @@ def test_an_ordinary_neighbour_does_not_switch_off_a_terms_misspellings(spark):
     assert got["exact"]["_score"] >= 0.3
 
 
+def test_clean_copies_that_quote_a_term_leave_it_learned(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    text = lambda *extra: " ".join([*(word() for _ in range(20)), *extra, *(word() for _ in range(20))])
+    copy = text("grumblor")
+    rows = [(i, text("grumblor"), 1) for i in range(60)] + [(100 + i, copy if i < 200 else text(), 0) for i in range(700)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, _label int"))
+    assert set(model["terms"]) == {"grumblor"}
+    got = toxicity.score(spark.createDataFrame([(1, "you are a grumblor")], "doc_id long, text string"), model).first()
+    assert got["_score"] >= 0.3
+
+
 def test_marginals_against_the_plain_recursion():
     rng = np.random.default_rng(0)
     scores, trans, start = rng.normal(size=(57, 4)), rng.normal(size=(4, 4)), rng.normal(size=4)
