@@ -67,25 +67,28 @@ class LexiconAutomaton:
     trie (match), stays (a letter too many), or passes to a child (a letter
     changed, or with the next letter, left out).  A term's node accepts at
     the word's end if the edits used are allowed for that term; a stem
-    accepts, without edits, whatever follows.
+    accepts, within its edits, whatever follows.  The words of a stem's family
+    accept as the stem, within edits of their own.
     """
 
     def __init__(self, terms: dict[str, dict]) -> None:
         self.children: list[dict[str, int]] = [{}]
-        self.ends: list[str | None] = [None]
+        self.ends: list[tuple[str, int] | None] = [None]  # term, and the edits it allows
         self.budget = [0]  # most edits that any term below a node allows
         self.stem_at: dict[int, str] = {}
         self.allowed = {term: about["edits"] for term, about in terms.items()}
         for term, about in terms.items():
-            self._insert(term.rstrip("*"), term, about["edits"])
+            self._insert(term.rstrip("*"), term, about["edits"], term.endswith("*"))
+            for word in about.get("words", ()):
+                self._insert(word, term, edits_of(word), False)
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
         self.accepts: list[tuple[str, int] | None] = []
-        self.stems: list[str | None] = []
+        self.stems: list[tuple[str, int] | None] = []
         self.start = self._state(self._closed({(0, 0)}))
 
-    def _insert(self, letters: str, term: str, edits: int) -> None:
+    def _insert(self, letters: str, term: str, edits: int, stem: bool) -> None:
         at = 0
         self.budget[0] = max(self.budget[0], edits)
         for c in letters:
@@ -96,10 +99,10 @@ class LexiconAutomaton:
                 self.budget.append(0)
             at = self.children[at][c]
             self.budget[at] = max(self.budget[at], edits)
-        if term.endswith("*"):
+        if stem:
             self.stem_at[at] = term
         else:
-            self.ends[at] = term
+            self.ends[at] = (term, edits)
 
     def _closed(self, states: set[tuple[int, int]]) -> frozenset:
         """Add the states reached by leaving out letters of a term; keep the fewest edits per node."""
@@ -116,11 +119,12 @@ class LexiconAutomaton:
         if members in self.states:
             return self.states[members]
         number = self.states[members] = len(self.sets)
-        found = [(used, self.ends[n]) for n, used in members if self.ends[n] and used <= self.allowed[self.ends[n]]]
+        found = [(used, self.ends[n][0]) for n, used in members if self.ends[n] and used <= self.ends[n][1]]
         self.sets.append(members)
         self.steps.append({})
         self.accepts.append(min(found)[::-1] if found else None)
-        self.stems.append(next((self.stem_at[n] for n, used in members if used == 0 and n in self.stem_at), None))
+        begun = [(used, self.stem_at[n]) for n, used in members if n in self.stem_at and used <= self.allowed[self.stem_at[n]]]
+        self.stems.append(min(begun)[::-1] if begun else None)
         return number
 
     def _step(self, state: int, c: str) -> int:
@@ -136,21 +140,23 @@ class LexiconAutomaton:
         return to
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """(term, edits) of the nearest term, or None; a stem that the word begins with comes last."""
+        """(term, edits) of the nearest term, or None; of equally near ones a whole word comes first, then the longest stem."""
         state, stem = self.start, None
         for c in word:
             state = self.steps[state].get(c, -2) if c in self.steps[state] else self._step(state, c)
             if state < 0:
-                return (stem, 0) if stem else None
-            stem = self.stems[state] or stem
-        return self.accepts[state] or ((stem, 0) if stem else None)
+                return stem
+            begun = self.stems[state]
+            if begun and (stem is None or begun[1] <= stem[1]):
+                stem = begun
+        whole = self.accepts[state]
+        return stem if whole is None or stem and stem[1] < whole[1] else whole
 
 
 def edits_of(term: str) -> int:
-    """Edits that a term allows: none for stems and short words."""
-    if term.endswith("*"):
-        return 0
-    return 2 if len(term) >= TWO_EDITS else 1 if len(term) >= ONE_EDIT else 0
+    """Edits that a term allows: none for short words and short stems."""
+    letters = len(term.rstrip("*"))
+    return 2 if letters >= TWO_EDITS else 1 if letters >= ONE_EDIT else 0
 
 
 class Matcher:
@@ -261,7 +267,8 @@ def choose_terms(counts: dict[str, tuple[float, float]], toxic: float, clean: fl
     """The lexicon: of each family of words and their beginnings, the term that tells most.
 
     Terms are taken by falling log-likelihood ratio (ties: the longer term);
-    one that begins, or is begun by, a term already taken is left out.
+    one that begins, or is begun by, a term already taken is left out.  Words
+    that a stem begins join it as its ``words``, with edits of their own.
     """
     good = {t: _evidence(*n, toxic, clean) for t, n in counts.items()
             if n[0] >= PRECISION * sum(n) and n[0] * clean > n[1] * toxic}
@@ -269,12 +276,16 @@ def choose_terms(counts: dict[str, tuple[float, float]], toxic: float, clean: fl
     begun: set[str] = set()  # beginnings of the terms taken
     for term in sorted(good, key=lambda t: (-good[t], -len(t.rstrip("*")), t)):
         body = term.rstrip("*")
-        related = any(body[:n] + "*" in kept for n in range(1, len(body) + 1)) or term.endswith("*") and body in begun
-        if good[term] < EVIDENCE or related:
+        if good[term] < EVIDENCE:
+            break
+        if any(body[:n] + "*" in kept for n in range(1, len(body) + 1)) or term.endswith("*") and body in begun:
             continue
         t, c = counts[term]
         kept[term] = {"weight": math.log((t + 0.5) / (c + 0.5) * (clean + 1) / (toxic + 1)), "edits": edits_of(term)}
         begun |= {body[:n] for n in range(1, len(body) + 1)}
+    for word in (t for t in sorted(good) if good[t] >= EVIDENCE and t not in kept and not t.endswith("*")):
+        stem = next(word[:n] + "*" for n in range(1, len(word) + 1) if word[:n] + "*" in kept)
+        kept[stem].setdefault("words", []).append(word)
     return kept
 
 

@@ -141,6 +141,25 @@ def test_clean_copies_that_quote_a_term_leave_it_learned(spark):
     assert got["_score"] >= 0.3
 
 
+def test_a_family_of_forms_keeps_its_misspellings(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    text = lambda *extra: " ".join([*(word() for _ in range(20)), *extra, *(word() for _ in range(20))])
+    forms = ["idiot"] * 5 + ["idiots", "idi0t", "idioot"]
+    rows = [(i, text(forms[i % 8]), 1) for i in range(80)] + [(100 + i, text(), 0) for i in range(640)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, _label int"))
+    assert any(t.endswith("*") for t in model["terms"])
+    df = spark.createDataFrame([(w, f"you {w} today") for w in ("idot", "1diot", "iidiot", "idiotic")], "doc_id string, text string")
+    assert all(r["_matches"] and r["_score"] >= 0.3 for r in toxicity.score(df, model).collect())
+
+
+def test_stems_carry_their_edits():
+    automaton = toxicity.LexiconAutomaton({t: {"edits": toxicity.edits_of(t)} for t in ("grumb*", "vequ*")})
+    assert automaton.match("grumbling") == ("grumb*", 0)
+    assert {automaton.match(w) for w in ("gxumbling", "grmbling", "grrumbling")} == {("grumb*", 1)}
+    assert automaton.match("vxqumo") is None and automaton.match("gxxmbling") is None
+
+
 def test_marginals_against_the_plain_recursion():
     rng = np.random.default_rng(0)
     scores, trans, start = rng.normal(size=(57, 4)), rng.normal(size=(4, 4)), rng.normal(size=4)
