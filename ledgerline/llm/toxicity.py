@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Scratch, columns, fresh, hash_sample, map_batches
 
-#: Least share of toxic documents, and least number, that hold a term.
-SUPPORT, SUPPORT_ROWS = 0.005, 5
+#: Least number of toxic documents that hold a term.
+SUPPORT_ROWS = 5
 #: Least share of toxic documents among those that hold a term, and least log-likelihood ratio.
 PRECISION, EVIDENCE = 0.3, 25.0
 #: Least weight (log odds) at which a word counts as a misspelling of a term.
@@ -263,6 +263,15 @@ def _evidence(t: float, c: float, toxic: float, clean: float) -> float:
     return 2 * (t * math.log(t / expected) + (c * math.log(c / (n - expected)) if c else 0.0))
 
 
+def _telling(counts: DataFrame, toxic: float, clean: float) -> DataFrame:
+    """The rows of ``counts`` (term, toxic, clean) that pass the tests of ``choose_terms``."""
+    t, c = F.col("toxic"), F.col("clean")
+    expected = (t + c) * (toxic / (toxic + clean))
+    evidence = 2 * (t * F.log(t / expected) + F.when(c > 0, c * F.log(c / (t + c - expected))).otherwise(0.0))
+    # a hair below the bound: choose_terms tests again, with the driver's logarithm
+    return counts.where((t >= SUPPORT_ROWS) & (t >= PRECISION * (t + c)) & (t * clean > c * toxic) & (evidence >= EVIDENCE - 1e-6))
+
+
 def choose_terms(counts: dict[str, tuple[float, float]], toxic: float, clean: float) -> dict[str, dict]:
     """The lexicon: of each family of words and their beginnings, the term that tells most.
 
@@ -359,8 +368,9 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(train: DataFrame) -> dict:
     """Model of ``train`` (doc_id, text, _label).
 
-    All training documents are counted; only terms that SUPPORT of the toxic
-    documents hold reach the driver, at most (words per document) / SUPPORT.
+    All training documents are counted; only terms that SUPPORT_ROWS toxic
+    documents hold and that pass the tests of evidence and precision, made in
+    Spark, reach the driver, whatever their share of the toxic documents.
     Without toxic documents the lexicon is empty and every score is the
     prior's.
     """
@@ -370,8 +380,8 @@ def fit(train: DataFrame) -> dict:
     toxic, clean = (sizes[k]["parts"] if k in sizes else 0.0 for k in (1, 0))
     terms: dict[str, dict] = {}
     if toxic and clean:
-        often = _counts(rows).where(F.col("toxic") >= max(SUPPORT_ROWS, SUPPORT * toxic)).collect()
-        terms = choose_terms({r["term"]: (r["toxic"], r["clean"]) for r in often}, toxic, clean)
+        telling = _telling(_counts(rows), toxic, clean).collect()
+        terms = choose_terms({r["term"]: (r["toxic"], r["clean"]) for r in telling}, toxic, clean)
     ordinary = _ordinary(rows, terms, toxic, clean) if terms else frozenset()
     weights = _learned(rows, terms, ordinary, toxic, clean) if terms else {}
     chosen = hash_sample(rows, sum(r["n"] for r in sizes.values()), SAMPLE)

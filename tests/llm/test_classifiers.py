@@ -160,6 +160,14 @@ def test_stems_carry_their_edits():
     assert automaton.match("vxqumo") is None and automaton.match("gxxmbling") is None
 
 
+def test_terms_of_a_small_topic_are_learned(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    text = lambda *extra: " ".join([*(word() for _ in range(5)), *extra, *(word() for _ in range(5))])
+    rows = [(i, text("zurkoply" if i < 10 else "grumblor"), 1) for i in range(4000)] + [(5000 + i, text(), 0) for i in range(20000)]
+    assert {"zurkoply", "grumblor"} <= set(toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, _label int"))["terms"])
+
+
 def test_marginals_against_the_plain_recursion():
     rng = np.random.default_rng(0)
     scores, trans, start = rng.normal(size=(57, 4)), rng.normal(size=(4, 4)), rng.normal(size=4)
