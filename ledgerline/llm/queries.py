@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (bpe, language_crf, line_dedup, mixing, near_dedup, order_minhash, permutation_index,
-                            quality_nbsvm, sharding, toxicity)
+                            pii_bootstrap, quality_nbsvm, sharding, toxicity)
 from ledgerline.llm.common import crc_mod, labelled
 
 
@@ -90,9 +90,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain identifiers of every document, counted and digested, and all spans found."""
+    found = pii_bootstrap.find(_table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in pii_bootstrap.KINDS])
+    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(
+        ":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    kinds = F.transform("base", lambda s: s["kind"])
+    return found.select("doc_id", *[(F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{k}")
+                                    for i, k in enumerate(pii_bootstrap.KINDS)],
+                        "base_sha256", listed.alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sharding, op2_mixing, op3_toxicity, op4_near_dedup, op5_line_dedup, op6_order_minhash,
-                                     op7_permutation_index, op8_language_crf, op9_bpe, op10_quality)}
+                                     op7_permutation_index, op8_language_crf, op9_bpe, op10_quality, op11_pii)}
 
 
 # A text's words as the contracts cut them, A-Z in lower case.
