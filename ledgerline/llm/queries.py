@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (bpe, language_crf, line_dedup, mixing, near_dedup, order_minhash, permutation_index,
-                            pii_bootstrap, quality_nbsvm, sharding, toxicity)
+                            pii_bootstrap, quality_nbsvm, sharding, source_audit, toxicity)
 from ledgerline.llm.common import crc_mod, labelled
 
 
@@ -102,9 +102,15 @@ def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_sha256", listed.alias("spans"))
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and its most telling terms."""
+    return source_audit.audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sharding, op2_mixing, op3_toxicity, op4_near_dedup, op5_line_dedup, op6_order_minhash,
-                                     op7_permutation_index, op8_language_crf, op9_bpe, op10_quality, op11_pii)}
+                                     op7_permutation_index, op8_language_crf, op9_bpe, op10_quality, op11_pii,
+                                     op12_source_audit)}
 
 
 # A text's words as the contracts cut them, A-Z in lower case.
@@ -146,6 +152,42 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM j GROUP BY doc_id"""
 
 
+_OP12 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
+), o AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d
+), k AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), l AS (
+  SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS nl FROM k GROUP BY lang
+), c AS (
+  SELECT o.lang, o.source, o.term, CAST(count(*) AS HUGEINT) AS n FROM o JOIN k USING (lang, term) GROUP BY o.lang, o.source, o.term
+), g AS (
+  SELECT x.lang, x.source, coalesce(l.v, 0) AS v, l.nl, CAST(coalesce(s.ng, 0) AS HUGEINT) AS ng FROM (SELECT DISTINCT lang, source FROM d) x
+  LEFT JOIN l USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS ng FROM c GROUP BY lang, source) s USING (lang, source)
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (g.ng + g.v) AS p,
+    1 + (1000000000 * (k.n + 1)) // (g.nl + g.v) AS q
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(max(f.value), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source) f
+  ON f.lang = a.lang AND f.source = a.source AND f.other = b.source
+  GROUP BY a.lang, a.source, b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements of the queries that SQL can express."""
-    return {"op4_near_dedup": _OP4, "op5_line_dedup": _OP5}
+    return {"op4_near_dedup": _OP4, "op5_line_dedup": _OP5, "op12_source_audit": _OP12}
