@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (bpe, language_crf, line_dedup, mixing, near_dedup, order_minhash, permutation_index,
-                            pii_bootstrap, quality_nbsvm, sharding, source_audit, toxicity)
+                            pii_bootstrap, quality_nbsvm, sharding, source_audit, token_alignment,
+                            toxicity)
 from ledgerline.llm.common import crc_mod, labelled
 
 
@@ -107,10 +108,18 @@ def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(_table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens under two tokenizers, their groups and links, and the links' corpus counts."""
+    found = token_alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sharding, op2_mixing, op3_toxicity, op4_near_dedup, op5_line_dedup, op6_order_minhash,
                                      op7_permutation_index, op8_language_crf, op9_bpe, op10_quality, op11_pii,
-                                     op12_source_audit)}
+                                     op12_source_audit, op13_token_alignment)}
 
 
 # A text's words as the contracts cut them, A-Z in lower case.
