@@ -150,11 +150,22 @@ def inactivity_flag(last_activity, as_of, days: int = 90) -> Column:
     return F.when(la.isNull(), "True").when(F.datediff(F.lit(as_of), la) > days, "True").otherwise("False")
 
 
+def is_debit_source(source: Column) -> Column:
+    return source.isin("Physical Debit", "Physical ATM")
+
+
+def is_credit_source(source: Column) -> Column:
+    return source.isin("Physical Credit", "Credit Account")
+
+
+def portfolio_label(debit: Column, credit: Column) -> Column:
+    """Label of a member that has debit and credit cards or not."""
+    return F.when(debit & credit, "Both").when(debit, "Debit Only").when(credit, "Credit Only").otherwise("Unknown")
+
+
 def card_portfolio(cards, keys: list[str]):
     """Both / Debit Only / Credit Only / Unknown per member."""
     src = F.col("card_source")
-    deb = F.count(F.when(src.isin("Physical Debit", "Physical ATM"), 1)) > 0
-    cre = F.count(F.when(src.isin("Physical Credit", "Credit Account"), 1)) > 0
     return cards.groupBy(*keys, "member_id").agg(
-        F.when(deb & cre, "Both").when(deb, "Debit Only").when(cre, "Credit Only").otherwise("Unknown")
+        portfolio_label(F.count_if(is_debit_source(src)) > 0, F.count_if(is_credit_source(src)) > 0)
         .alias("member_card_portfolio"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import cards as C
 from ledgerline.functions.common import from_cents, to_cents
 from ledgerline.operators.kpis import round_avg
-from ledgerline.operators.skew import salted_left_join
+from ledgerline.operators.skew import with_own_figures
 from ledgerline.operators.tenant import tenant_enrich
 from ledgerline.params import Params
 from ledgerline.plans.variant import Variant
@@ -103,13 +103,17 @@ def cards_general(t: Tables, p: Params, v: Variant) -> DataFrame:
     """Physical cards and credit lines with status, delinquency,
     activation, inactivity, fraud and the member's card portfolio.
 
-    The portfolio reads the union a second time (key and source only): a
-    window over the one union would put all cards of a member into one task.
+    The union is built and shuffled once: the portfolio is summed from that
+    exchange and joined back to it (``with_own_figures``).
     """
     k = v.keys
     uc = unified_cards(t, p, v)
-    port = C.card_portfolio(uc, k)
-    j = salted_left_join(uc, port, k + ["member_id"], [F.col("card_id")])
+    packed = uc.select(*k, "member_id", "card_id", F.array(F.struct(*CARD_COLUMNS)).alias("_rows"))
+    kinds = {"_debit": C.is_debit_source, "_credit": C.is_credit_source}
+    figures = {n: F.size(F.filter("_rows", lambda r: has(r["card_source"]))) for n, has in kinds.items()}
+    j = with_own_figures(packed, ["member_id", *k], [F.col("card_id")], figures,
+                         lambda sums: sums.select(*k, "member_id", "_parts", C.portfolio_label(F.col("_debit") > 0, F.col("_credit") > 0)
+                                                  .alias("member_card_portfolio")))
     if v.mt:
         j = tenant_enrich(j, t["fi_map"], exact=True)
     cols = [c for c in CARD_COLUMNS if c not in ("fraud_incident", "last_activity_date", "card_source")]
