@@ -148,7 +148,15 @@ def _rebuild(least: int) -> Column:
     return rebuild
 
 
-def dedup_lines(docs: DataFrame, least: int = 10, batches: int = 4, counts: tuple[str, str] = ("_lines", "_dropped")) -> DataFrame:
+def _same_lines(keys: DataFrame) -> DataFrame:
+    """(doc): documents whose long lines are, as a set, those of a smaller document."""
+    sets = keys.groupBy("doc").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"))
+    first = sets.groupBy("n", "x1", "x2").agg(F.min("doc").alias("first"))
+    return sets.join(first, ["n", "x1", "x2"]).where(F.col("doc") > F.col("first")).select("doc")
+
+
+def dedup_lines(docs: DataFrame, least: int = 10, batches: int = 4, counts: tuple[str, str] = ("_lines", "_dropped"),
+                copied: str | None = None) -> DataFrame:
     """Documents without the lines that a smaller doc_id holds.
 
     Returns the columns of ``docs`` (text: the remaining lines) with the
@@ -163,7 +171,11 @@ def dedup_lines(docs: DataFrame, least: int = 10, batches: int = 4, counts: tupl
     Nulls: a null text is one empty line and stays null; a null doc_id counts
     as one id larger than all others.  Rows that repeat a doc_id are one
     document: none of them loses a line to the other.  An empty table gives
-    an empty result.  Other columns pass unchanged (of the two names: replaced).
+    an empty result.  Other columns pass unchanged (of the given names: replaced).
+
+    ``copied`` names a further column: whether one smaller document holds all
+    the lines that a document loses (it keeps them all, or it has the same
+    long lines; lines of several documents put together are no copy).
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
@@ -178,16 +190,22 @@ def dedup_lines(docs: DataFrame, least: int = 10, batches: int = 4, counts: tupl
             batch = batch.where(F.col("doc") > low)
         if high is not None:
             batch = batch.where(F.col("doc") <= high)
-        lost = batch.join(runs.add(batch), ["h1", "h2"]).where(F.col("doc") != F.col("keeper")).select("doc", "h1", "h2")
+        lost = batch.join(runs.add(batch), ["h1", "h2"]).where(F.col("doc") != F.col("keeper")).select("doc", "h1", "h2", "keeper")
         judged = lost if judged is None else judged.unionByName(lost)
     runs.close()
-    drops = (judged.groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("_drops"))
-             .withColumnRenamed("doc", "_doc"))
+    drops = judged.groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("_drops"),
+                                      *([(F.min("keeper") == F.max("keeper")).alias("_one")] if copied else []))
+    if copied:
+        drops = (drops.join(_same_lines(keys).withColumn("_same", F.lit(True)), "doc", "left")
+                 .withColumn("_one", F.col("_one") | F.col("_same").isNotNull()))
+    drops = drops.withColumnRenamed("doc", "_doc")
     doc, kept = fresh(docs, "_id"), fresh(docs, "_kept")
     out = (docs.withColumn(doc, F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long"))
-           .join(drops.select(F.col("_doc").alias(fresh(docs, "_of")), F.col("_drops").alias(fresh(docs, "_drops"))),
+           .join(drops.select(F.col("_doc").alias(fresh(docs, "_of")), F.col("_drops").alias(fresh(docs, "_drops")),
+                              *([F.col("_one").alias(fresh(docs, "_one"))] if copied else [])),
                  F.col(doc) == F.col(fresh(docs, "_of")), "left")
            .withColumn(kept, _rebuild(least)(F.col("text"), F.col(fresh(docs, "_drops")))))
     own = [F.col(f"{kept}.text").alias("text") if c == "text" else columns(docs.select(F.col(f"`{c}`")))[0]
-           for c in docs.columns if c not in counts]
-    return out.select(*own, F.col(f"{kept}.n_lines").alias(counts[0]), F.col(f"{kept}.n_dropped").alias(counts[1]))
+           for c in docs.columns if c not in (*counts, copied)]
+    flag = [F.coalesce(F.col(fresh(docs, "_one")), F.lit(False)).alias(copied)] if copied else []
+    return out.select(*own, F.col(f"{kept}.n_lines").alias(counts[0]), F.col(f"{kept}.n_dropped").alias(counts[1]), *flag)

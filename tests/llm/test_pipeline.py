@@ -25,7 +25,12 @@ def test_stages_on_whole_tables(spark, sf, tmp_path):
             assert 0 < len(after) <= len(before) and all(texts[r["doc_id"]] == r["text"] for r in after)
         if name == "line_dedup":
             want = {i: t for i, _, _, t in lines_expected(list(texts.items()))}
-            assert {r["doc_id"]: r["text"] for r in after} == {i: t for i, t in want.items() if t.strip() or not texts[i].strip()}
+            got = {r["doc_id"]: r["text"] for r in after}
+            assert all(got[i] == t for i, t in want.items() if t.strip() or not texts[i].strip())
+            assert all(want[i] == t for i, t in got.items())
+            held = {i: {k for x in t.split("\n") if len(k := x.strip(" \t\n\x0b\x0c\r").lower()) >= 10} for i, t in texts.items()}
+            for i in set(want) - set(got):  # what went is a copy: one smaller document holds all its long lines
+                assert any(j < i and held[i] <= held[j] for j in texts)
             assert all(r["n_chars"] == len(r["text"]) for r in after)
         if name == "near_dedup":
             want = {i for i, (_, c) in near_expected(list(texts.items()), 5, 80).items() if i == c}
@@ -68,3 +73,16 @@ def test_copies_and_toxic_documents_go_and_clean_ones_stay(spark, sf):
     assert all(i in kept for i, toxic in labels.items() if not toxic)
     insult = re.compile(r"\b(idiot|moron|scum|trash|loser)\b", re.I)
     assert not any(insult.search(r["text"]) and labels.get(r["doc_id"]) for r in docs.collect() if r["doc_id"] in kept)
+
+
+def test_a_document_put_together_from_others_stays(spark, sf):
+    lines = [f"line number {i} of the corpus stands here" for i in range(9)]
+    texts = ["\n".join(lines[:3]), "\n".join(lines[3:6]), "\n".join(lines[6:]), "\n".join([lines[0], lines[4], lines[8]]),
+             "\n".join(lines[:3]), lines[1], "", None, "\n".join([lines[0], "header of its own here", lines[1]]),
+             "\n".join([lines[0], "header of its own here", lines[1]])]
+    rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.dedup_lines(spark, docs, sf).collect()}
+    # 3 has lines of three documents; 4 and 5 are copies of 0 and of a part of it; 9 is one of 8, whose lines 0 and 8 keep
+    assert set(out) == {0, 1, 2, 3, 6, 7, 8}
+    assert out[3] == ("", 0) and out[8] == ("header of its own here", 22) and out[7] == (None, None)
