@@ -38,13 +38,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that a smaller doc_id holds; n_chars follows the text.
 
-    A document whose every word stood in such lines is a copy and goes; one
-    that had no words before, or a null text, stays.
+    A document goes where it is left without words and one smaller document
+    holds all the lines it lost: it is a copy.  One put together from lines of
+    several others stays with what is left of it, as do documents that had no
+    words before, and null texts.
     """
-    counts = fresh(docs, "_lines"), fresh(docs, "_dropped")
-    kept = line_dedup.dedup_lines(docs, counts=counts)
-    copied = (F.col(counts[1]) > 0) & (F.btrim("text", F.lit(ASCII_SPACE)) == "")
-    kept = kept.where(~F.coalesce(copied, F.lit(False))).select(*columns(docs))
+    counts, copied = (fresh(docs, "_lines"), fresh(docs, "_dropped")), fresh(docs, "_copied")
+    kept = line_dedup.dedup_lines(docs, counts=counts, copied=copied)
+    gone = F.col(copied) & (F.btrim("text", F.lit(ASCII_SPACE)) == "")
+    kept = kept.where(~F.coalesce(gone, F.lit(False))).select(*columns(docs))
     return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
