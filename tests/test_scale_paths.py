@@ -140,3 +140,25 @@ def test_hot_member_is_split(spark, sf, key, no_broadcast):
     by_member = [ln for ln in text.splitlines() if "Join" in ln and "LeftOuter" in ln and ("member_number" in ln or "member_id" in ln)]
     large = [ln for ln in by_member if "_part" in ln]
     assert large, "the rows join their member without being dealt to parts"
+
+
+@pytest.mark.parametrize("key", ["mt_gl_accounts_general", "st_gl_accounts_general"])
+def test_chart_lists_numbers_twice(spark, sf, key):
+    """A number that the chart lists m times has m x m rows per month, its balance runs over all m."""
+    plan, oracle, v = registry.report(key)
+    t = Tables.from_dir(spark, sf, v.name)
+    frames = {n: t[n] for n in t}
+    chart = frames["gl_chart_of_accounts"].where(F.pmod(F.xxhash64("account_number"), F.lit(3)) < 2)
+    again = chart.where(F.pmod(F.xxhash64("account_number"), F.lit(3)) == 0)
+    frames["gl_chart_of_accounts"] = (chart.unionByName(again.withColumn("description", F.lit("listed again")))
+                                      .unionByName(again.withColumn("inactive", F.lit(1))
+                                                   .where(F.pmod(F.xxhash64("account_number"), F.lit(2)) == 0)))
+    tabs = Tables.from_frames(frames, v.name)
+    got = plan(tabs, FIXTURE_PARAMS, v).toArrow()
+    con = duckdb.connect()
+    for n in tabs:
+        con.register(n, tabs[n].toArrow())
+    want = con.sql(oracle(Q(v.name, FIXTURE_PARAMS, bind=False))).to_arrow_table()
+    assert got.num_rows > frames["gl_chart_of_accounts"].count() * 37
+    ok, msg = compare(got, want)
+    assert ok, msg
