@@ -97,9 +97,12 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return docs.select("doc_id", "text").join(one.hint("merge"), "doc_id")
 
 
-def hash_sample(rows: DataFrame, total: int, wanted: int) -> DataFrame:
-    """About ``wanted`` of ``total`` rows (all, if there are no more), by a hash of doc_id; no shuffle."""
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+def hash_sample(rows: DataFrame, total: int, wanted: int, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """About ``wanted`` of ``total`` rows (all, if there are no more), by a hash of the columns ``by``; no shuffle.
+
+    Rows alike in ``by`` are drawn together.
+    """
+    draw = F.pmod(F.xxhash64(F.lit("sample"), *by), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return rows.where(draw * F.lit(total) < F.lit(wanted))
 
 

@@ -134,8 +134,9 @@ def fit(train: DataFrame) -> dict:
     """Model of ``train`` (doc_id, text, _label): ratio, weights, bias, slope and offset.
 
     Only the model (a few megabytes, by FEATURES) reaches the driver; the
-    sample is gathered by one task.  Without both classes, every score is the
-    share of label 1.
+    sample is gathered by one task.  Three quarters of it give the weights and
+    the rest slope and offset; where either part lacks a class, all of it
+    gives both.  Without both classes, every score is the share of label 1.
     """
     scratch = Scratch(train.sparkSession, "quality")
     rows = scratch.keep(train.select("doc_id", "text", "_label"), "train")
@@ -145,7 +146,8 @@ def fit(train: DataFrame) -> dict:
         at = r.column("feature").to_numpy()
         pos[at], neg[at] = r.column("pos").to_numpy(), r.column("neg").to_numpy()
     ratio = ratios(pos, neg)
-    chosen = hash_sample(rows, rows.count(), SAMPLE).repartition(1).sortWithinPartitions("doc_id", "text")
+    chosen = (hash_sample(rows, rows.count(), SAMPLE, ("doc_id", "text")).distinct()
+              .repartition(1).sortWithinPartitions("doc_id", "text"))
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         grams, docs, labels = NGrams(), [], []
@@ -156,11 +158,14 @@ def fit(train: DataFrame) -> dict:
         w, bias, slope, offset = np.zeros(FEATURES), 0.0, 0.0, 0.0
         share = (np.count_nonzero(y > 0) + 1) / (len(y) + 2)
         offset = float(np.log(share / (1 - share)))
-        if len(y) >= 10 and len(set(y.tolist())) == 2:
+        if len(set(y.tolist())) == 2:
             seen = np.arange(len(y)) % 4 != 3
+            rest = ~seen
+            if not all(len(set(y[part].tolist())) == 2 for part in (seen, rest)):
+                seen = rest = np.ones(len(y), bool)
             w, bias = descend([d for d, s in zip(docs, seen) if s], y[seen], ratio)
-            margins = np.array([w[d] @ scaled(d, ratio) + bias for d, s in zip(docs, seen) if not s])
-            slope, offset = logistic(margins, y[~seen])
+            margins = np.array([w[d] @ scaled(d, ratio) + bias for d, r in zip(docs, rest) if r])
+            slope, offset = logistic(margins, y[rest])
         yield {"weights": [w.astype("<f8").tobytes()], "bias": [float(bias)], "slope": [float(slope)], "offset": [float(offset)]}
 
     model = map_batches(chosen.select("text", "_label"), "weights binary, bias double, slope double, offset double", run).collect()
