@@ -11,13 +11,13 @@ mean marginal.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,16 +31,20 @@ BUCKETS, LENGTHS = 1 << 16, (2, 3, 4, 5)
 FREQUENT = 0.02
 #: Training sequences, words per piece of one, and passes over them.
 SEQUENCES, PIECE, PASSES = 2400, (4, 24), 4
-#: Words whose chains are summed at a time.
-CHAIN = 400_000
+#: Numbers in the transition matrices of the words that are summed at a time: words x languages^2.
+CELLS = 6_400_000
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def first_words(text: str | None, most: int) -> list[str]:
+    return [m.group() for m in islice(_WORD.finditer((text or "").lower()), most)]
+
+
 def feature_rows(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """(rows, counts): weight rows of every word's features, word by word for each n-gram length in turn.
 
@@ -80,42 +84,48 @@ def emissions(words: list[str], weights: np.ndarray, lexicon: dict[str, int]) ->
     return out
 
 
-def marginals(scores: np.ndarray, firsts: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Forward-backward marginals of words in chains that begin at ``firsts``.
+def sweep(scores: np.ndarray, firsts: np.ndarray, trans: np.ndarray, start: np.ndarray, before: np.ndarray | None = None,
+          after: np.ndarray | None = None, fill: bool = True) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
+    """(marginals, state after the last word, state before the first) of words in chains that begin at ``firsts``.
 
     All chains lie one after the other: the matrix of a chain's first word
     forgets what came before.  The matrices are multiplied within blocks of
     equal length side by side, the blocks' products are run through in
-    order, and then all blocks are filled in side by side.
+    order, and then all blocks are filled in side by side (with ``fill``).
+    Words cut out of a longer chain get the forward state ``before`` them and
+    the backward state ``after`` them.
     """
     n, langs = scores.shape
     psi = np.exp(scores - scores.max(axis=1, keepdims=True))
     move = np.exp(trans - trans.max())
-    steps = move[None, :, :] * psi[:, None, :]
-    steps[firsts] = (np.exp(start - start.max()) * psi[firsts])[:, None, :]
-    steps /= steps.sum(axis=(1, 2), keepdims=True)
     width = max(1, int(n ** 0.5))
     blocks = -(-n // width)
     full = np.empty((blocks * width, langs, langs))
-    full[:n], full[n:] = steps, np.eye(langs)
+    np.multiply(move[None, :, :], psi[:, None, :], out=full[:n])
+    full[firsts] = (np.exp(start - start.max()) * psi[firsts])[:, None, :]
+    full[:n] /= full[:n].sum(axis=(1, 2), keepdims=True)
+    full[n:] = np.eye(langs)
     full = full.reshape(blocks, width, langs, langs)
     product = full[:, 0].copy()
     for i in range(1, width):
         product = product @ full[:, i]
         product /= product.sum(axis=(1, 2), keepdims=True)
     into, onward = np.empty((blocks, langs)), np.empty((blocks, langs))
-    at = np.full(langs, 1 / langs)
+    at = np.full(langs, 1 / langs) if before is None else before
     for b in range(blocks):
         into[b] = at
         at = at @ product[b]
         at /= at.sum()
-    at = np.full(langs, 1 / langs)
+    last = at
+    at = np.full(langs, 1 / langs) if after is None else after
     for b in range(blocks - 1, -1, -1):
         onward[b] = at
         at = product[b] @ at
         at /= at.sum()
+    if not fill:
+        return None, last, at
     forward = np.empty((blocks, width, langs))
-    at = into
+    first, at = at, into
     for i in range(width):
         at = (at[:, None, :] @ full[:, i])[:, 0]
         at /= at.sum(axis=1, keepdims=True)
@@ -126,7 +136,12 @@ def marginals(scores: np.ndarray, firsts: np.ndarray, trans: np.ndarray, start:
         at = (full[:, i] @ at[:, :, None])[:, :, 0]
         at /= at.sum(axis=1, keepdims=True)
     gamma = forward.reshape(-1, langs)[:n]
-    return gamma / gamma.sum(axis=1, keepdims=True)
+    return gamma / gamma.sum(axis=1, keepdims=True), last, first
+
+
+def marginals(scores: np.ndarray, firsts: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Forward-backward marginals of words in chains that begin at ``firsts``."""
+    return sweep(scores, firsts, trans, start)[0]
 
 
 def _sequences(docs: list[tuple[list[str], int]], langs: int, rng: np.random.Generator) -> list[tuple[list[str], list[int]]]:
@@ -225,8 +240,9 @@ def _pairs(scores: np.ndarray, firsts: np.ndarray, inner: np.ndarray, trans: np.
 def fit(train_docs: DataFrame) -> dict:
     """Model of ``train_docs`` (doc_id, text, lang); rows without a language or text are not used.
 
-    The sample is a hash fraction of each language's documents, so its size is
-    about SAMPLE a language at any input; one task fits the model.
+    The sample is a hash fraction of each language's different documents, so
+    its size is about SAMPLE a language at any input, also where one doc_id or
+    one row fills the table; one task fits the model.
     """
     spark = train_docs.sparkSession
     scratch = Scratch(spark, "language")
@@ -235,9 +251,9 @@ def fit(train_docs: DataFrame) -> dict:
     names = [r["lang"] for r in sizes.select("lang").orderBy("lang").collect()]
     if not names:
         return {"names": []}
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = (usable.join(F.broadcast(sizes), "lang").where(draw * F.col("_n") < SAMPLE)
-              .select("doc_id", "lang", "text").repartition(1).sortWithinPartitions("doc_id", "text"))
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chosen = (usable.join(sizes, "lang").where(draw * F.col("_n") < SAMPLE)
+              .select("doc_id", "lang", "text").distinct().repartition(1).sortWithinPartitions("doc_id", "text", "lang"))
     number = {lang: i for i, lang in enumerate(names)}
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
@@ -253,27 +269,53 @@ def fit(train_docs: DataFrame) -> dict:
             "lexicon": {w: i for i, w in enumerate(m["lexicon"])}}
 
 
+def _scores(words: list[str], model: dict) -> np.ndarray:
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    return emissions(coded.dictionary.to_pylist(), model["weights"], model["lexicon"])[coded.indices.to_numpy()]
+
+
 def label_words(words: list[str], lens: list[int], model: dict) -> np.ndarray:
     """Marginals of every word; ``lens`` has the words of each text, none of them empty."""
-    coded = pa.array(words, pa.string()).dictionary_encode()
-    own = emissions(coded.dictionary.to_pylist(), model["weights"], model["lexicon"])
-    scores = own[coded.indices.to_numpy()]
     firsts = np.cumsum(lens) - np.array(lens)
-    return marginals(scores, firsts, model["trans"], model["start"])
+    return marginals(_scores(words, model), firsts, model["trans"], model["start"])
+
+
+def mean_marginals(text: str, most: int, model: dict) -> np.ndarray:
+    """Mean marginals of the words of one text, ``most`` of them at a time.
+
+    A first run carries the forward state from part to part and remembers one
+    state and the place of each; a second one, from the last part to the
+    first, carries the backward state and sums the marginals.
+    """
+    trans, start, text = model["trans"], model["start"], text.lower()
+    found, parts, state = _WORD.finditer(text), [], None
+    while own := list(islice(found, most)):
+        parts.append((own[0].start(), own[-1].end(), state))
+        firsts = np.zeros(1 if state is None else 0, int)
+        state = sweep(_scores([m.group() for m in own], model), firsts, trans, start, state, None, False)[1]
+    total, n, state = np.zeros(len(start)), 0, None
+    for low, high, before in reversed(parts):
+        firsts = np.zeros(1 if before is None else 0, int)
+        gamma, _, state = sweep(_scores(_WORD.findall(text, low, high), model), firsts, trans, start, before, state)
+        total, n = total + gamma.sum(axis=0), n + len(gamma)
+    return total / n
 
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, lang_pred, score, shares) of every row; shares: (lang, words' mean marginal), largest first.
 
     A null text, or one without letters, is ``und`` with score 0 and no
-    shares; so is every text if there was nothing to learn from.  Repeated
-    rows score alike; other columns are not read.
+    shares; so is every text if there was nothing to learn from.  Letters are
+    Unicode's (numbers such as a half or a Roman numeral sign are none).
+    Repeated rows score alike; other columns are not read.  A task holds the
+    numbers of CELLS / languages^2 words at a time, however long a text is.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         m = shared.value
         names = m["names"]
+        most = max(1, CELLS // max(1, len(names)) ** 2)
 
         def close(ids: list, words: list[str], lens: list[int]) -> dict:
             mean = np.zeros((len(ids), len(names)))
@@ -282,8 +324,10 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
                 own = [lens[i] for i in some]
                 gamma = label_words(words, own, m)
                 mean[some] = np.add.reduceat(gamma, np.cumsum(own) - np.array(own), axis=0) / np.array(own)[:, None]
+            return rated(ids, mean, [not n or not names for n in lens])
+
+        def rated(ids: list, mean: np.ndarray, und: list[bool]) -> dict:
             best = mean.argmax(axis=1) if names else [0] * len(ids)
-            und = [not n or not names for n in lens]
             return {"doc_id": ids, "lang_pred": ["und" if u else names[k] for u, k in zip(und, best)],
                     "score": [0.0 if u else float(min(1.0, row[k])) for u, k, row in zip(und, best, mean)],
                     "shares": [[] if u else sorted(({"lang": n, "share": float(p)} for n, p in zip(names, row)), key=lambda s: -s["share"])
@@ -294,13 +338,16 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
         lens: list[int] = []
         for b in batches:
             for doc, text in zip(b["doc_id"].to_pylist(), b["text"]):
-                own = words_of(text.as_py())
+                own = first_words(text.as_py(), most + 1)
+                if len(own) > most and names:
+                    yield rated([doc], mean_marginals(text.as_py(), most, m)[None, :], [False])
+                    continue
+                if len(words) + len(own) > most:
+                    yield close(ids, words, lens)
+                    ids, words, lens = [], [], []
                 ids.append(doc)
                 words += own
                 lens.append(len(own))
-                if len(words) >= CHAIN:
-                    yield close(ids, words, lens)
-                    ids, words, lens = [], [], []
         yield close(ids, words, lens)
 
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),

@@ -1,6 +1,7 @@
 """Toxicity, quality and language: held-out results, awkward rows, and the methods themselves."""
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -189,6 +190,72 @@ def test_marginals_against_the_plain_recursion():
     assert np.allclose(language_crf._pairs(scores, firsts, inner, trans, start), pairs)
 
 
+def invented(langs):
+    rng = np.random.default_rng(langs)
+    return {"names": [f"l{i:02d}" for i in range(langs)], "weights": rng.normal(size=(language_crf.BUCKETS, langs)) / 4,
+            "trans": rng.normal(size=(langs, langs)), "start": rng.normal(size=langs), "lexicon": {}}
+
+
+def invented_text(n):
+    rng = random.Random(n)
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 7))) for _ in range(n))
+
+
+@pytest.mark.parametrize("most", [1, 2, 37, 499, 500])
+def test_a_text_in_parts_gives_the_marginals_of_the_whole(most):
+    model, text = invented(3), invented_text(500)
+    want = language_crf.label_words(text.split(), [500], model).mean(axis=0)
+    assert np.allclose(language_crf.mean_marginals(text, most, model), want)
+
+
+def test_sixty_languages_and_long_texts_need_no_more_memory():
+    model, most, peaks = invented(60), language_crf.CELLS // 3600, []
+    for n in (4000, 12000):
+        text = invented_text(n)
+        tracemalloc.start()
+        mean = language_crf.mean_marginals(text, most, model)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert mean.sum() == pytest.approx(1)
+    assert peaks[1] < 1.1 * peaks[0] < 10 * 8 * language_crf.CELLS
+
+
+def test_predictions_do_not_depend_on_the_words_held_at_a_time(spark, monkeypatch):
+    rows = [(i, invented_text(n)) for i, n in enumerate((0, 1, 40, 41, 7, 3000, 39, 0, 200000))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    want = language_crf.predict(df, invented(4)).collect()
+    monkeypatch.setattr(language_crf, "CELLS", 16 * 40)
+    got = language_crf.predict(df, invented(4)).collect()
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in got) == sorted((r["doc_id"], r["lang_pred"]) for r in want)
+    by = {r["doc_id"]: r["score"] for r in want}
+    assert all(r["score"] == pytest.approx(by[r["doc_id"]]) for r in got)
+
+
+def test_number_signs_are_no_letters(spark):
+    df = spark.createDataFrame([(1, "\u00bd \u00b2 \u2167 12 _"), (2, "\u00bdab"), (3, "\u4e2d\u6587")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in language_crf.predict(df, invented(3)).collect()}
+    assert got[1]["lang_pred"] == "und" and got[1]["score"] == 0
+    assert got[2]["lang_pred"] != "und" and got[3]["lang_pred"] != "und"
+    assert language_crf.words_of("\u00bdAb c_d2e") == ["ab", "c", "d", "e"]
+
+
+def test_one_row_that_fills_the_table_does_not_fill_the_sample(spark):
+    text = lambda i, a: " ".join(random.Random(i).choice(a) * 3 for _ in range(30))
+    rows = [(7, text(0, "abc"), "x")] * 3000 + [(i, text(i, "abc"), "x") for i in range(100, 400)] + [(i, text(i, "klm"), "y") for i in range(400, 600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_crf.predict(df.where("doc_id > 100"), language_crf.fit(df)).join(df.select("doc_id", "lang"), "doc_id").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.95
+
+
+@pytest.mark.parametrize("n", [2, 4, 9])
+def test_quality_learns_from_a_few_rows(spark, n):
+    rows = [(i, ("good clear prose" if i % 2 else "spam click here") + f" number {i}", i % 2) for i in range(n)]
+    model = quality_nbsvm.fit(spark.createDataFrame(rows, "doc_id long, text string, _label int"))
+    df = spark.createDataFrame([(0, "spam click here"), (1, "good clear prose")], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in quality_nbsvm.score(df, model).collect()}
+    assert got[1] > got[0]
+
+
 def test_switched_text_is_labelled_word_by_word(spark):
     docs = spark.read.parquet(f"{BIG}/documents.parquet")
     model = language_crf.fit(docs)
