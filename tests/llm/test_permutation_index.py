@@ -41,8 +41,7 @@ def test_ties_repeats_and_unusable_vectors(spark):
 
 
 def test_a_vector_that_a_third_of_all_rows_share(spark, monkeypatch):
-    monkeypatch.setattr(permutation_index, "FILE_BLOCK", 50)
-    monkeypatch.setattr(permutation_index, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(permutation_index, "BLOCK", 100)
     rng = np.random.default_rng(1)
     rows = [(i, [1.0, 2.0, 3.0] if i % 3 == 0 else rng.normal(size=3).tolist()) for i in range(900)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
@@ -50,3 +49,38 @@ def test_a_vector_that_a_third_of_all_rows_share(spark, monkeypatch):
     same = [i for i in range(0, 60, 3)]
     for q in (0, 300, 600):
         assert [r["vec_id"] for r in got if r["query_id"] == q] == [i for i in same if i != q][:10]
+
+
+def test_savings_against_the_footrule_distance():
+    rng = np.random.default_rng(3)
+    x, pivots = rng.normal(size=(60, 5)), rng.normal(size=(80, 5))
+    near = permutation_index.nearest_pivots(x, pivots)
+    n = permutation_index.NEAREST
+    files = permutation_index.inverted_files(near)
+    assert sum(len(rows) for rows, _ in files.values()) == near.size
+    for q in range(10):
+        assert near[q].tolist() == sorted(range(80), key=lambda p: (((x[q] - pivots[p]) ** 2).sum(), p))[:n]
+        want = []
+        for own in near:
+            place = [{p: i for i, p in enumerate(o.tolist())} for o in (near[q], own)]
+            want.append(sum(abs(place[0].get(p, n) - place[1].get(p, n)) for p in place[0].keys() | place[1].keys()))
+        assert (n * (n + 1) - permutation_index.saved(files, near[q], 60)).tolist() == want
+
+
+def test_vectors_of_other_lengths_take_no_part(spark):
+    rows = [(i, [float(i + 1)] * (3 if i % 4 else 4)) for i in range(40)] + [(100, [1.0] * 5), (200, [2.0] * 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = permutation_index.search(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
+    assert {r["query_id"] for r in got} == {200} and [r["vec_id"] for r in got][:3] == [1, 2, 3]
+    assert all(r["vec_id"] % 4 for r in got)
+
+
+def test_an_id_with_many_vectors_is_one_neighbour(spark, monkeypatch):
+    monkeypatch.setattr(permutation_index, "BLOCK", 150)
+    rng = np.random.default_rng(2)
+    rows = [(7, rng.normal(size=4).tolist()) for _ in range(400)] + [(i, (rng.normal(size=4) + 9).tolist()) for i in range(100, 112)]
+    rows += [(0, [0.0, 0.0, 0.0, 0.1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = permutation_index.search(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    far = sorted((float(np.sqrt(((np.array(v) - rows[-1][1]) ** 2).sum())), i) for i, v in rows if i >= 100)
+    assert [r["vec_id"] for r in got] == [7] + [i for _, i in far][:9]
