@@ -53,16 +53,20 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest doc_id, of every group of near duplicates.
 
-    Of rows that repeat a doc_id one stays; rows without a doc_id, and
-    documents without words, are nobody's duplicates and stay.
+    Rows that share a doc_id but not a text are documents of their own.  Of
+    rows that are near duplicates and share the smallest doc_id one stays.
+    Rows without a doc_id, and documents without words, are nobody's
+    duplicates and stay.
     """
     found = near_dedup.near_duplicates(docs, SHINGLE, LIKENESS)
-    heads = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_head")).distinct()
-    nth, head = fresh(docs, "_nth"), fresh(docs, "_head")
-    named = (docs.where(F.col("doc_id").isNotNull())
-             .join(heads.withColumnRenamed("_head", head), F.col("doc_id") == F.col(head))
-             .withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(nth) == 1))
-    return named.select(*columns(docs)).unionByName(docs.where(F.col("doc_id").isNull()))
+    nth, head, own = fresh(docs, "_nth"), fresh(docs, "_head"), fresh(docs, "_own")
+    heads = (found.where(F.col("label").isNotNull() & (F.col("doc_id") == F.col("component_id")))
+             .groupBy("label", F.col("doc_id").alias(head)).agg(F.min("text_hash").alias(own)).select(head, own))
+    compared = F.col("doc_id").isNotNull() & (F.btrim(F.coalesce("text", F.lit("")), F.lit(ASCII_SPACE)) != "")
+    rows = Window.partitionBy(head, own).orderBy(F.xxhash64(*columns(docs)))
+    named = (docs.where(compared).join(heads, (F.col("doc_id") == F.col(head)) & (F.xxhash64("text") == F.col(own)))
+             .withColumn(nth, F.row_number().over(rows)).where(F.col(nth) == 1))
+    return named.select(*columns(docs)).unionByName(docs.where(~compared))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,22 +127,22 @@ def _signed(x: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """(doc_id, n, c1, c2, bands, sketch) of every row; c1 and c2 name the shingle set."""
+    """(doc_id, text_hash, n, c1, c2, bands, sketch) of every row; c1 and c2 name the shingle set."""
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         shingle = Shingler(shingle_words)
         for b in batches:
-            out: dict[str, list] = {c: [] for c in ("doc_id", "n", "c1", "c2", "bands", "sketch")}
-            for doc, text in zip(b["doc_id"].to_pylist(), b["text"]):
+            out: dict[str, list] = {c: [] for c in ("doc_id", "text_hash", "n", "c1", "c2", "bands", "sketch")}
+            for doc, own, text in zip(b["doc_id"].to_pylist(), b["text_hash"].to_pylist(), b["text"]):
                 s = shingle(text.as_py())
                 c = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8").tolist()
                 m = samples(s) if len(s) else None
-                for name, v in zip(out, (doc, len(s), *c, _signed(band_keys(m)) if len(s) else None,
+                for name, v in zip(out, (doc, own, len(s), *c, _signed(band_keys(m)) if len(s) else None,
                                          _signed(odd_sketch(m)) if len(s) else None)):
                     out[name].append(v)
             yield out
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-                       "doc_id long, n long, c1 long, c2 long, bands array<long>, sketch array<long>", run)
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"),
+                       "doc_id long, text_hash long, n long, c1 long, c2 long, bands array<long>, sketch array<long>", run)
 
 
 def _near(a: Column, b: Column, likeness: float) -> Column:
@@ -181,20 +181,33 @@ def _verify(pairs: DataFrame, sets: DataFrame, ratio: Fraction, scratch: Scratch
     return scratch.keep(map_batches(left.join(right, ["a", "part"]).select("a", "b", "sa", "sb"), "a long, b long", run), "links")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
-    """(node, shingles) of the ``wanted`` (node) classes, from the text of each class's first document."""
+def _sets(docs: DataFrame, heads: DataFrame, shingle_words: int) -> DataFrame:
+    """(node, shingles) of ``heads`` (node, _head, _hash), from the text with the id and hash of each."""
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         shingle = Shingler(shingle_words)
         for b in batches:
             yield {"node": b["node"], "shingles": [shingle(t.as_py()).astype("<u8").tobytes() for t in b["text"]]}
 
-    heads = classes.join(wanted, "node").select("node", F.col("doc_id").alias("_head"))
     own = docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
-    one = (own.join(heads, F.col("_doc") == F.col("_head")).select("node", "text")
+    one = (own.join(heads, (F.col("_doc") == F.col("_head")) & (F.xxhash64("text") == F.col("_hash"))).select("node", "text")
            .groupBy("node").agg(F.min("text").alias("text")))
     return map_batches(one, "node long, shingles binary", run)
 
 
+def _classes(some: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
+    """(c1, c2, doc_id, node), a row per shingle set, and whether a doc_id is the smallest one of several sets.
+
+    A set's node is the smallest doc_id that holds it, or a hash of id and set
+    where that id is the smallest one of several sets.
+    """
+    first = scratch.keep(some.groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id")), "classes")
+    clash = scratch.keep(first.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_sets")).where(F.col("_sets") > 1), "clash")
+    if clash.isEmpty():
+        return first.withColumn("node", F.col("doc_id")), False
+    node = F.when(F.col("_sets").isNull(), F.col("doc_id")).otherwise(F.xxhash64("doc_id", "c1", "c2"))
+    return scratch.keep(first.join(clash, "doc_id", "left").select("c1", "c2", "doc_id", node.alias("node")), "nodes"), True
+
+
 def _counters(sets: DataFrame) -> np.ndarray:
     """How often the shingles of ``sets`` occur, by COUNTERS counters."""
     def run(batches: Iterator[dict]) -> Iterator[dict]:
@@ -247,16 +260,20 @@ def _across(open_sets: DataFrame, ratio: Fraction, scratch: Scratch) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, likeness: float = 0.8) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+    """(doc_id, n_shingles, component_id, text_hash, label) of every row of ``docs``.
 
     Words are runs of other than ASCII white space, A-Z in lower case; a text
     of fewer words than a shingle is one shingle, one without words has none
     and is linked with nothing.  Documents are linked if intersection size /
     union size >= ``likeness``; component_id is the smallest doc_id reachable.
 
+    Rows that share a doc_id but not a text are documents of their own: they
+    are linked by their texts only.  ``label`` names the component also where
+    several components have one smallest doc_id, ``text_hash`` (xxhash64 of
+    the text) the row's text.
+
     Nulls: a null text has no words.  A row with a null doc_id is not
-    compared (its component_id is null).  Rows that repeat a doc_id should
-    repeat its text; where they do not, the id stands for its smallest text.
+    compared (its component_id is null).  Rows not compared have no label.
     An empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
@@ -265,16 +282,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, likeness: float = 0
     signed = scratch.keep(sketches(docs, shingle_words), "sketches")
     some = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     # one node per shingle set; equal sets have equal sketches
-    classes = scratch.keep(some.groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id")).select("c1", "c2", "doc_id", F.col("doc_id").alias("node")), "classes")
-    firsts = some.join(classes.select("c1", "c2", F.col("doc_id").alias("_first")), ["c1", "c2"]).where(F.col("doc_id") == F.col("_first"))
-    nodes = scratch.keep(firsts.select(F.col("doc_id").alias("node"), "bands", "sketch").dropDuplicates(["node"]), "nodes")
+    classes, clashing = _classes(some, scratch)
+    firsts = (some.join(classes.select("c1", "c2", "node", F.col("doc_id").alias("_first")), ["c1", "c2"])
+              .where(F.col("doc_id") == F.col("_first")))
+    nodes = scratch.keep(firsts.select("node", F.col("doc_id").alias("_head"), F.col("text_hash").alias("_hash"), "bands", "sketch")
+                         .dropDuplicates(["node"]), "nodes")
     member = nodes.select("node", F.explode("bands").alias("band"))
     buckets = scratch.keep(member.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1), "buckets")
     inside = scratch.keep(member.join(buckets, "band").select("band", "node", "k"), "inside")
     near = inside.groupBy("node").agg(F.sum("k").alias("near"))
     hubs = scratch.keep(inside.join(near, "node").groupBy("band").agg(F.max(F.struct("near", (-F.col("node")).alias("node"))).alias("top"))
                         .select("band", (-F.col("top.node")).alias("hub")), "hubs")
-    sets = scratch.keep(_sets(docs, classes, near.select("node"), shingle_words), "sets")
+    sets = scratch.keep(_sets(docs, nodes.select("node", "_head", "_hash").join(near.select("node"), "node"), shingle_words), "sets")
 
     sketch = nodes.select("node", "sketch")
 
@@ -299,7 +318,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, likeness: float = 0
 
     final = components(links.unionByName(extra), scratch)
     of_class = (classes.join(final, "node", "left")
-                .select("c1", "c2", F.coalesce("label", "node").alias("component_id")))
-    alone = signed.where((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    linked = some.join(of_class, ["c1", "c2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+                .select("c1", "c2", "doc_id", "node", F.coalesce("label", "node").alias("label")))
+    smallest = F.col("label")  # a component's smallest node is its smallest doc_id, but for hashed nodes
+    if clashing:
+        of_class = scratch.keep(of_class, "labelled")
+        hashed = of_class.where(F.col("node") != F.col("doc_id")).select("label").distinct()
+        least = of_class.join(hashed, "label").groupBy("label").agg(F.min("doc_id").alias("_least"))
+        of_class, smallest = of_class.join(least, "label", "left"), F.coalesce("_least", "label")
+    of_class = of_class.select("c1", "c2", "label", smallest.alias("component_id"))
+    alone = (signed.where((F.col("n") == 0) | F.col("doc_id").isNull())
+             .select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_hash", F.lit(None).cast("long").alias("label")))
+    linked = some.join(of_class, ["c1", "c2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash", "label")
     return linked.unionByName(alone)

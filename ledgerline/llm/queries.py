@@ -42,7 +42,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under a likeness of 0.85 on three-word shingles."""
     found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, likeness=0.85)
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,3 +84,24 @@ def test_sketches_keep_what_is_near():
         differ = [sum(bin(int(x ^ y)).count("1") for x, y in zip(a, z)) for z in (b, c)]
         assert differ[0] <= most
         assert differ[1] > differ[0]
+
+
+def test_rows_that_share_an_id_but_not_a_text(spark):
+    rng = random.Random(8)
+    text = lambda: [f"v{rng.randrange(3000)}" for _ in range(60)]
+    bases = [text() for _ in range(12)]
+    docs = [(1, bases[0]), (1, bases[1]), (1, bases[1]), (5, bases[1]), (4, bases[2]), (4, bases[3]), (3, bases[2] + ["x"]),
+            (9, bases[3] + ["y"]), (7, bases[4]), (7, bases[4] + ["z"]), (8, bases[5])]
+    docs += [(2, text()) for _ in range(30)] + [(20 + i, bases[6] + [str(i)]) for i in range(3)] + [(2, bases[6])]
+    docs = [(i, " ".join(w)) for i, w in docs]
+    for _ in range(2):
+        rng.shuffle(docs)
+        root = list(range(len(docs)))
+        for a, b in itertools.combinations(range(len(docs)), 2):
+            x, y = shingles(docs[a][1], 5), shingles(docs[b][1], 5)
+            if 100 * len(x & y) >= 80 * len(x | y):
+                root = [root[a] if r == root[b] else r for r in root]
+        least = {r: min(i for (i, _), q in zip(docs, root) if q == r) for r in root}
+        rows = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+        assert sorted((r["doc_id"], r["component_id"]) for r in rows) == sorted((i, least[r]) for (i, _), r in zip(docs, root))
+        assert len({r["label"] for r in rows}) == len(set(root))

@@ -86,3 +86,12 @@ def test_a_document_put_together_from_others_stays(spark, sf):
     # 3 has lines of three documents; 4 and 5 are copies of 0 and of a part of it; 9 is one of 8, whose lines 0 and 8 keep
     assert set(out) == {0, 1, 2, 3, 6, 7, 8}
     assert out[3] == ("", 0) and out[8] == ("header of its own here", 22) and out[7] == (None, None)
+
+
+def test_rows_that_share_an_id_but_not_a_text_stay(spark, sf):
+    text = lambda a: " ".join(f"{a}{i}" for i in range(40))
+    rows = [(1, text("a")), (1, text("b")), (1, text("b")), (2, text("b") + " more"), (2, text("c")), (3, text("c")), (4, text("d")),
+            (4, text("d") + " end"), (5, ""), (5, " "), (5, None), (None, text("a")), (None, text("a"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r["doc_id"], (r["text"] or "")[:1]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf).collect())
+    assert got == {(1, "a"): 1, (1, "b"): 1, (2, "c"): 1, (4, "d"): 1, (5, ""): 2, (5, " "): 1, (None, "a"): 2}
