@@ -5,8 +5,12 @@ are one class, and only a class's first document goes on.  ``BANDS`` bands of
 ``BAND_ROWS`` MinHash values name candidates; the same samples are folded
 into an odd sketch, a bitmap of parities, so the number of bits in which two
 sketches differ estimates how many samples differ.  Candidates whose sketches
-say that they are far below the wanted likeness are dropped; the rest are
-checked on their full sets.
+say that they are far below the wanted likeness are dropped.  A second,
+longer odd sketch folds the full sets themselves: what two sets share cancels,
+so its bits count the shingles they differ in, and never more of them than
+there are.  It tells a likeness just under the wanted one (documents made from
+one template) from a link without the sets; what passes both is checked on the
+full sets.
 
 Within a band bucket every document is first compared with the bucket's hub,
 the one with the most neighbours over all its buckets.  What that links is
@@ -15,7 +19,9 @@ still hold several components are joined exactly by their rarest shingles
 (two sets of the wanted likeness must share one among the first of them, in
 positions that leave room for the overlap), so a group of thousands of
 copies costs thousands of comparisons, not their square, and no link between
-components is lost.
+components is lost.  Documents of a template that are no links still meet by
+the template's shingles: pairs of ids, which the sketches drop before anything
+is written or a set is moved.
 """
 
 from __future__ import annotations
@@ -37,6 +43,8 @@ from ledgerline.llm.components import components
 BANDS, BAND_ROWS = 40, 6
 #: Bits of an odd sketch, in 64-bit words.
 SKETCH_WORDS = 16
+#: Bits of the odd sketch of a full set, in 64-bit words (at most 2^12 bits: the counters take other bits of a shingle).
+WHOLE_WORDS = 64
 #: Standard errors of the estimate by which a sketch must miss the likeness.
 SLACK = 5.0
 #: Counters by which shingles are ordered from rare to frequent; more shingles than that share counters.
@@ -100,9 +108,16 @@ def band_keys(sample: np.ndarray) -> np.ndarray:
 
 def odd_sketch(sample: np.ndarray) -> np.ndarray:
     """Parities of the numbered samples over 64 * SKETCH_WORDS bits."""
-    bits = 64 * SKETCH_WORDS
-    at = (_mix(sample + np.arange(1, len(sample) + 1, dtype=np.uint64) * _ODD) % np.uint64(bits)).astype(np.int64)
-    parity = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
+    return _parities(_mix(sample + np.arange(1, len(sample) + 1, dtype=np.uint64) * _ODD), 64 * SKETCH_WORDS)
+
+
+def whole_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of all shingles of a set over 64 * WHOLE_WORDS bits."""
+    return _parities(shingles, 64 * WHOLE_WORDS)
+
+
+def _parities(x: np.ndarray, bits: int) -> np.ndarray:
+    parity = (np.bincount((x % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(parity, bitorder="little").view("<u8")
 
 
@@ -145,9 +160,29 @@ def sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
                        "doc_id long, text_hash long, n long, c1 long, c2 long, bands array<long>, sketch array<long>", run)
 
 
-def _near(a: Column, b: Column, likeness: float) -> Column:
-    differ = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-    return differ <= most_differing_bits(likeness)
+def most_whole_bits(size_sum: Column, ratio: Fraction) -> Column:
+    """Largest number of differing bits of the full sets' sketches at this likeness, for two sets of this total size.
+
+    Linked sets differ in at most d = (1 - J) / (1 + J) * (total size)
+    shingles.  That many balls set at most d of n bits, and as long sets come
+    near n, no more than the parities' mean and SLACK deviations.
+    """
+    over, under, n = ratio.numerator, ratio.denominator, 64.0 * WHOLE_WORDS
+    d = F.floor(size_sum * (under - over) / F.lit(under + over) + F.lit(1e-9))
+    once, twice = F.pow(F.lit(1 - 2 / n), d), F.pow(F.lit(1 - 4 / n), d)
+    noise = F.greatest((n + n * (n - 1) * twice - n * n * once * once) / 4, F.lit(0.0))
+    return F.least(d.cast("double"), n / 2 * (1 - once) + SLACK * F.sqrt(noise))
+
+
+def _differ(a: Column, b: Column, words: int) -> Column:
+    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(words)), F.lit(0))
+
+
+def _near(a: str, b: str, ratio: Fraction) -> Column:
+    """Whether neither sketch of the structs ``a`` and ``b`` (n, sketch, whole) rules out the likeness."""
+    return ((_differ(F.col(f"{a}.sketch"), F.col(f"{b}.sketch"), SKETCH_WORDS) <= most_differing_bits(float(ratio)))
+            & (_differ(F.col(f"{a}.whole"), F.col(f"{b}.whole"), WHOLE_WORDS)
+               <= most_whole_bits(F.col(f"{a}.n") + F.col(f"{b}.n"), ratio)))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, ratio: Fraction, scratch: Scratch) -> DataFrame:
@@ -182,16 +217,18 @@ def _verify(pairs: DataFrame, sets: DataFrame, ratio: Fraction, scratch: Scratch
 
 
 def _sets(docs: DataFrame, heads: DataFrame, shingle_words: int) -> DataFrame:
-    """(node, shingles) of ``heads`` (node, _head, _hash), from the text with the id and hash of each."""
+    """(node, n, sketch, whole, shingles) of ``heads`` (node, _head, _hash, sketch), from the text with the id and hash of each."""
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         shingle = Shingler(shingle_words)
         for b in batches:
-            yield {"node": b["node"], "shingles": [shingle(t.as_py()).astype("<u8").tobytes() for t in b["text"]]}
+            sets = [shingle(t.as_py()) for t in b["text"]]
+            yield {"node": b["node"], "n": [len(s) for s in sets], "sketch": b["sketch"],
+                   "whole": [_signed(whole_sketch(s)) for s in sets], "shingles": [s.astype("<u8").tobytes() for s in sets]}
 
     own = docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
-    one = (own.join(heads, (F.col("_doc") == F.col("_head")) & (F.xxhash64("text") == F.col("_hash"))).select("node", "text")
-           .groupBy("node").agg(F.min("text").alias("text")))
-    return map_batches(one, "node long, shingles binary", run)
+    one = (own.join(heads, (F.col("_doc") == F.col("_head")) & (F.xxhash64("text") == F.col("_hash")))
+           .select("node", "text", "sketch").groupBy("node").agg(F.min("text").alias("text"), F.any_value("sketch").alias("sketch")))
+    return map_batches(one, "node long, n long, sketch array<long>, whole array<long>, shingles binary", run)
 
 
 def _classes(some: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
@@ -293,15 +330,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, likeness: float = 0
     near = inside.groupBy("node").agg(F.sum("k").alias("near"))
     hubs = scratch.keep(inside.join(near, "node").groupBy("band").agg(F.max(F.struct("near", (-F.col("node")).alias("node"))).alias("top"))
                         .select("band", (-F.col("top.node")).alias("hub")), "hubs")
-    sets = scratch.keep(_sets(docs, nodes.select("node", "_head", "_hash").join(near.select("node"), "node"), shingle_words), "sets")
+    sets = scratch.keep(_sets(docs, nodes.select("node", "_head", "_hash", "sketch").join(near.select("node"), "node"), shingle_words), "sets")
 
-    sketch = nodes.select("node", "sketch")
+    marks = F.struct("n", "sketch", "whole")
 
     def like(pairs: DataFrame) -> DataFrame:
         """Pairs whose sketches do not rule out the likeness."""
-        return (pairs.join(sketch.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-                .join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
-                .where(_near(F.col("sa"), F.col("sb"), likeness)).select("a", "b"))
+        return (pairs.join(sets.select(F.col("node").alias("b"), marks.alias("of_b")), "b")
+                .join(sets.select(F.col("node").alias("a"), marks.alias("of_a")), "a")
+                .where(_near("of_a", "of_b", ratio)).select("a", "b"))
 
     stars = (inside.join(hubs, "band").where(F.col("hub") != F.col("node"))
              .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
@@ -313,7 +350,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, likeness: float = 0
     mixed = scratch.keep(per.groupBy("band").agg(F.max(F.struct("k", "label")).alias("top"), F.count(F.lit(1)).alias("parts"))
                          .where(F.col("parts") > 1).select("band", F.col("top.label").alias("largest")), "mixed")
     still = placed.join(mixed, "band").groupBy("node", "label").agg(F.max(F.col("label") != F.col("largest")).alias("outside"))
-    pairs = _across(scratch.keep(still.join(sets, "node"), "open"), ratio, scratch)
+    pairs = _across(scratch.keep(still.join(sets.select("node", "shingles"), "node"), "open"), ratio, scratch)
     extra = _verify(scratch.keep(like(pairs), "more"), sets, ratio, scratch)
 
     final = components(links.unionByName(extra), scratch)

@@ -1,6 +1,9 @@
 import itertools
 import random
 import re
+from fractions import Fraction
+
+import numpy as np
 
 from ledgerline.llm import near_dedup, queries
 from tests.llm import edges
@@ -105,3 +108,58 @@ def test_rows_that_share_an_id_but_not_a_text(spark):
         rows = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
         assert sorted((r["doc_id"], r["component_id"]) for r in rows) == sorted((i, least[r]) for (i, _), r in zip(docs, root))
         assert len({r["label"] for r in rows}) == len(set(root))
+
+
+def template(rng, m, words, changed, start=0):
+    """``m`` documents of one text of which each has ``changed`` words of its own."""
+    base = [f"t{rng.randrange(50_000)}" for _ in range(words)]
+    out = []
+    for i in range(m):
+        own = list(base)
+        for at in rng.sample(range(words), changed):
+            own[at] = f"x{rng.randrange(10 ** 9)}"
+        out.append((start + i, " ".join(own)))
+    return out
+
+
+def test_template_family_under_the_threshold(spark, monkeypatch):
+    """Documents of a template, none linked by it: sketches leave few pairs, and the planted links are found."""
+    kept = {}
+
+    class Counted(near_dedup.Scratch):
+        def keep(self, df, name):
+            out = super().keep(df, name)
+            kept[name] = out.count()
+            return out
+
+    monkeypatch.setattr(near_dedup, "Scratch", Counted)
+    rng = random.Random(11)
+    for m in (100, 400):
+        docs = template(rng, m, 600, 12)  # likeness about 0.79, threshold 0.85
+        planted = []
+        for i in range(0, 40, 2):  # links of every nearness, down to the threshold
+            own = docs[i][1].split(" ")
+            for at in rng.sample(range(600), i // 4):
+                own[at] = f"y{rng.randrange(10 ** 9)}"
+            planted.append((m + i, " ".join(own)))
+        docs += planted
+        check(spark, docs, 3, 0.85)
+        assert kept["more"] + kept["stars"] <= 4 * len(docs), kept
+
+
+def test_whole_sketch_counts_differences(spark):
+    """No link is ruled out at any size; the bound is exact where bits do not crowd."""
+    rng = np.random.default_rng(4)
+    ratio = Fraction("0.85")
+    pairs = []
+    for size in (3, 40, 300, 1200, 5000, 30000, 200000):
+        for _ in range(30):
+            d = int((1 - 0.85) / (1 + 0.85) * 2 * size) // 2  # own shingles of either side
+            both = rng.integers(0, 1 << 63, size - d).astype(np.uint64)
+            x, y = (np.concatenate([both, rng.integers(0, 1 << 63, d).astype(np.uint64)]) for _ in range(2))
+            a, b = near_dedup.whole_sketch(x), near_dedup.whole_sketch(y)
+            pairs.append((2 * size, int(sum(bin(int(v)).count("1") for v in a ^ b))))
+    df = spark.createDataFrame(pairs, "total long, differ long")
+    bound = near_dedup.most_whole_bits(df["total"], ratio)
+    assert df.where(df["differ"] > bound).count() == 0
+    assert df.where(bound > df["total"] * 0.15 / 1.85 + 1e-6).count() == 0
