@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 #: A word of the contracts, as a Java regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Copies of one counted row that are made from one array.
+CHUNK = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -117,3 +119,19 @@ def fresh(df: DataFrame, name: str) -> str:
 def columns(df: DataFrame, but: tuple[str, ...] = ()) -> list[Column]:
     """The columns of ``df``, whatever their names hold, without those in ``but``."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in but]
+
+
+def numbered(rows: DataFrame, times: str, name: str) -> DataFrame:
+    """Every row as often as its column ``times`` (1 or more) says, numbered from 0 in a new column ``name``.
+
+    The copies are numbered in chunks of ``CHUNK`` first, the chunks are dealt
+    to tasks by a hash, and the copies are made where their chunk lies: no
+    array or task holds all copies of a row, and copies are not shuffled.
+    """
+    one, size = F.lit(1).cast("long"), F.lit(CHUNK).cast("long")
+    chunk = fresh(rows, "_chunk")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, or few chunk rows are put into one task again
+    dealt = (rows.withColumn(chunk, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - one) / size))))
+             .repartition(tasks, F.xxhash64(*columns(rows), chunk)))
+    low = F.col(chunk) * size
+    return dealt.withColumn(name, F.explode(F.sequence(low, F.least(low + size, F.col(times)) - one))).drop(chunk)

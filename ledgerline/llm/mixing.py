@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import WORD, Scratch, columns, fresh
+from ledgerline.llm.common import WORD, Scratch, columns, fresh, numbered
 
 #: Documents (or residuals) that one fold of the reduction tree takes, on average.
 BLOCK = 128
@@ -90,8 +90,8 @@ def mix(docs: DataFrame, weights: list[int] | None = None, share: float = 1.5, m
 
     ``docs`` has doc_id (long), source and text.  One row per row of ``docs``;
     rows alike in doc_id, source and size are told apart by ``i`` (0, 1, ...)
-    only, and are counted, not gathered, until the units are dealt to blocks,
-    so that neither a source nor an id with a third of all rows makes a large
+    only, and are counted, not gathered, until chunks of their units are dealt
+    to tasks, so that neither a source nor an id with a third of all rows makes a large
     task.  All draws are hashes of the unit and ``seed``: a rerun, on any
     layout of the input, agrees.
 
@@ -113,8 +113,8 @@ def mix(docs: DataFrame, weights: list[int] | None = None, share: float = 1.5, m
         .select("source", "source_size", "target", "units", F.floor("rate").cast("int").alias("sure"),
                 (F.col("rate") - F.floor("rate")).alias("part")), "plan")
     units = (alike.join(plan.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
-             .select("doc_id", "source", "size", "units", "part",
-                     F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")))
+             .select("doc_id", "source", "size", "units", "part", "n"))
+    units = numbered(units, "n", "i").drop("n")
     rounded = _rounded(spark, scratch, units, plan, seed)
     whole = units.where((F.col("size") == 0) | (F.col("part") == 0)).select("doc_id", "source", "size", "i", F.lit(0).alias("up"))
     return (whole.unionByName(rounded)

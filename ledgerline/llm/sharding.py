@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from ledgerline.llm.common import numbered
+
 #: Multiplier of the 64-bit linear congruential generator of jump hashing (fixed value).
 _LCG = np.uint64(2862933555777941757)
 
@@ -56,8 +58,8 @@ def shard_manifest(docs: DataFrame, shards: int, key: str = "doc_id", text: str
     shuffle partitions), so no task ever holds a shard: rows are counted per
     cell, cells get their offsets, and a row's slot is the offset plus its
     place in the cell.  Rows that are alike in all three columns are one
-    counted row until the end, so a key that repeats in a third of all rows
-    costs no task more than another.
+    counted row until the end, where chunks of their copies are dealt to tasks,
+    so a key that repeats in a third of all rows costs no task more than another.
 
     Nulls: a null key is a key like any other; a null text has no bytes
     (size 8, crc 0).  An empty table gives an empty manifest.  Other columns
@@ -81,7 +83,7 @@ def shard_manifest(docs: DataFrame, shards: int, key: str = "doc_id", text: str
     placed = (dealt.withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
               .join(offset, ["shard", "_cell"])
               .withColumn("_first", F.col("_offset") + F.col("_ahead")))
-    return placed.select(
-        key, "size", "text_crc32", F.lit("key").alias("law"), "shard",
-        F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)).alias("slot"),
+    placed = placed.select(key, "size", "text_crc32", "shard", "grown_shard", "_first", "_n")
+    return numbered(placed, "_n", "_nth").select(
+        key, "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("_first") + F.col("_nth")).alias("slot"),
         "grown_shard")

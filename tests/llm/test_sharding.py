@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerline.llm import queries, sharding
+from ledgerline.llm.common import numbered
 from tests.llm import edges
 
 
@@ -56,3 +57,17 @@ def test_shards_and_slots_do_not_depend_on_the_layout(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet")
     one = sharding.shard_manifest(df.repartition(7, "text"), 24).collect()
     assert sorted(map(tuple, one)) == sorted(map(tuple, sharding.shard_manifest(df, 24).collect()))
+
+
+def test_copies_of_a_hot_row_are_dealt_in_chunks(spark):
+    n = 10_000_000
+    rows = spark.range(100).select("id", F.when(F.col("id") == 7, F.lit(n)).otherwise(F.lit(3)).cast("long").alias("n"))
+    made = numbered(rows, "n", "nth")
+    per = (made.select(F.spark_partition_id().alias("task"), "id", "nth").groupBy("task")
+           .agg(F.count(F.lit(1)).alias("k")).collect())
+    assert sum(r["k"] for r in per) == n + 99 * 3
+    assert len(per) > 1 and max(r["k"] for r in per) < 2 * n / len(per)
+    assert made.groupBy("id").agg(F.count_distinct("nth").alias("d"), F.min("nth").alias("low"), F.max("nth").alias("high"),
+                                  F.max("n").alias("n")).where("d != n or low != 0 or high != n - 1").isEmpty()
+    few = numbered(rows.where("id < 3"), "n", "nth").select("id", "nth").collect()
+    assert sorted(map(tuple, few)) == [(i, j) for i in range(3) for j in range(3)]
