@@ -16,6 +16,8 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Copies of one counted row that are made from one array.
 CHUNK = 10_000
+#: Session setting: a query's shuffle files go when it ends, not when the driver next collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,9 +53,18 @@ class Scratch:
         return f"{self.root}/{self.made:03d}-{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return the written table."""
+        """Write ``df`` once and return the written table.
+
+        The shuffles of the write end with it, as all later steps read the
+        table: disk holds the shuffles of one step, not those of all steps.
+        """
         to = self.path(name)
-        df.write.option("compression", "zstd").parquet(to)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(to)
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(to)
         out._written = to
         return out
