@@ -23,7 +23,7 @@ def coarse(spark):
         put(k, v)
 
 
-@pytest.mark.parametrize("key", ["mt_cards_transactions"])
+@pytest.mark.parametrize("key", ["mt_cards_transactions", "st_gl_dividends"])
 def test_every_shuffle_has_enough_parts(coarse, sf, key):
     plan = E.queries()[key](coarse, sf)._jdf.queryExecution().executedPlan().toString()
     parts = [int(n) for n in re.findall(r"hashpartitioning\([^\n]*?, (\d+)\), ENSURE", plan)]
