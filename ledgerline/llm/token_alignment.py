@@ -30,7 +30,9 @@ from ledgerline.llm.bpe import ragged
 from ledgerline.llm.common import Scratch, map_batches
 
 #: Characters after which a block is closed (a longer document makes a longer block).
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
+#: Tokens, or links of documents to pairs, that are aligned or counted at a time (one word or document may have more).
+PART = 100_000
 #: Buckets of pairs.  Two vocabularies of 50,257 and 32,000 ids have 1.6 * 10^9 pairs, so a bucket has 25 million keys at most.
 BUCKETS = 64
 #: Blocks whose counts one vector takes, and vectors that are summed into one.
@@ -268,6 +270,27 @@ class Aligned:
         return [whole[s:e] for s, e in zip(cut, cut[1:])]
 
 
+def _parts(sizes: np.ndarray) -> Iterator[slice]:
+    """Slices of consecutive items of about ``PART`` together, one item at least."""
+    ends, low = np.cumsum(sizes), 0
+    while low < len(ends):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PART, "right")))
+        yield slice(low, high)
+        low = high
+
+
+def _aligned(a_counts, a_ids, b_counts, b_ids, sizes: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[int, Aligned]]:
+    """(number of the first word, Aligned) of the words of a block, some at a time: no word's groups depend on another's."""
+    a_edge, b_edge = (np.append(0, np.cumsum(c, dtype=np.int64)) for c in (a_counts, b_counts))
+    for some in _parts(a_counts.astype(np.int64) + b_counts):
+        yield some.start, Aligned(a_counts[some], a_ids[a_edge[some.start]:a_edge[some.stop]],
+                                  b_counts[some], b_ids[b_edge[some.start]:b_edge[some.stop]], sizes)
+
+
+def _joined(arrays: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+
+
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums of consecutive ``counts`` values."""
     edge = np.append(0, np.cumsum(values, dtype=np.int64))
@@ -299,14 +322,22 @@ def _blocks(shared, sizes) -> Callable:
             bad[doc[tokens[0][codes] == 0]] = True  # a word without tokens: its document has none
             keep = ~bad[doc]
             codes, doc, each = codes[keep], doc[keep], np.where(bad, 0, each)
-            word, key, _ = Aligned(*tokens, sizes).links(shared.value["b_size"])
-            n = np.bincount(word, minlength=len(tokens[0]))
-            size = max(1, len(tokens[0]))
-            held = np.unique(doc * size + codes)  # a document's distinct words
-            pairs, code = np.unique(key, return_inverse=True)
-            spread = ragged((np.cumsum(n) - n)[held % size], n[held % size])
-            of = np.repeat(held // size, n[held % size])
-            docs = np.bincount(np.unique(of * max(1, len(pairs)) + code[spread]) % max(1, len(pairs)), minlength=len(pairs))
+            word, key = [], []
+            for low, some in _aligned(*tokens, sizes):
+                of, keys, _ = some.links(shared.value["b_size"])
+                word.append((of + low).astype(np.uint32))
+                key.append(keys.astype(np.uint32))
+            n = np.bincount(_joined(word), minlength=len(tokens[0]))
+            pairs, code = np.unique(_joined(key), return_inverse=True)
+            del word, key
+            begin, size = np.cumsum(n) - n, max(1, len(pairs))
+            docs, edge = np.zeros(len(pairs), np.int64), np.append(0, np.cumsum(each))
+            for some in _parts(_sums(n[codes], each)):  # of these documents, the distinct pairs of each
+                own = np.repeat(np.arange(some.stop - some.start), each[some])
+                held = np.unique(own * len(n) + codes[edge[some.start]:edge[some.stop]])  # a document's distinct words
+                own, at = held // max(1, len(n)), held % max(1, len(n))
+                spread = np.repeat(own, n[at]) * size + code[ragged(begin[at], n[at])]
+                docs += np.bincount(np.unique(spread) % size, minlength=len(pairs))
             home, chunks = bucket_of(pairs[docs > 0]), []
             pairs, docs = pairs[docs > 0], docs[docs > 0]
             for bucket in np.unique(home):
@@ -461,22 +492,26 @@ def _realigned(shared, sizes) -> Callable:
                 row = {n: c[i].as_py() for n, c in b.items()}
                 tokens = [unpack(row[c], np.uint32) for c in ("a_counts", "a_ids", "b_counts", "b_ids")]
                 codes, each = unpack(row["codes"], np.uint32).astype(np.int64), np.array(row["lens"], np.int64)
-                aligned = Aligned(*tokens, sizes)
-                word, key, times = aligned.links(b_size)
                 parts = row["parts"] or []
                 keys = np.concatenate([unpack(p["keys"], np.uint32) for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
                 docs = np.concatenate([unpack(p["docs"], np.int64) for p in parts] or [np.zeros(0, np.int64)])
                 high = np.concatenate([unpack(p["best"], np.uint8) for p in parts] or [np.zeros(0, np.uint8)]).astype(np.int64)
                 order = np.argsort(keys)
-                if len(keys):  # words of documents without tokens have pairs that no part lists; no document counts them
-                    at = order[np.minimum(np.searchsorted(keys[order], key), len(keys) - 1)]
-                    docs, high = docs[at], high[at]
-                else:
-                    docs, high = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
-                n = np.bincount(word, minlength=len(tokens[0]))
-                per_word = (aligned.a_counts, aligned.b_counts, aligned.groups, _sums(times, n), _sums(times * high, n), _sums(times * docs, n))
+                keys, docs, high = keys[order], docs[order], high[order]
+                found, written = [], []
+                for _, some in _aligned(*tokens, sizes):
+                    word, key, times = some.links(b_size)
+                    if len(keys):  # words of documents without tokens have pairs that no part lists; no document counts them
+                        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                        n_docs, best = docs[at], high[at]
+                    else:
+                        n_docs, best = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+                    n = np.bincount(word, minlength=len(some.groups))
+                    found.append((some.a_counts, some.b_counts, some.groups, _sums(times, n), _sums(times * best, n), _sums(times * n_docs, n)))
+                    written += some.texts(names)
+                per_word = [_joined(list(x)) for x in zip(*found)] or [np.zeros(0, np.int64)] * 6
                 per_doc = [_sums(x[codes], each) for x in per_word]
-                written, edge = aligned.texts(names), np.append(0, np.cumsum(each)).tolist()
+                edge = np.append(0, np.cumsum(each)).tolist()
                 places = codes.tolist()
                 low, chars, out = 0, 0, []
                 for d in range(len(each)):
@@ -500,7 +535,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, pattern: str) -> DataFrame:
     empty or not given back by the tokens (those with U+2581) have no tokens.
     An empty table gives an empty result; other columns are not read.
 
-    A frequent pair is one key per block and bucket.  Tasks hold a block, or
+    A frequent pair is one key per block and bucket.  Tasks hold a block, of
+    which they align and count ``PART`` tokens or links at a time, or
     the distinct pairs of one bucket (the vocabularies bound them) and one
     row of a block at a time.  The driver takes one number per id of A.
     """

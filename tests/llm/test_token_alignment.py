@@ -2,9 +2,11 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -141,3 +143,30 @@ def test_awkward_rows(spark, tokenizers):
     order = lambda x: (x[0] is None, x[0] or 0, x[1:])
     assert sorted((tuple(r)[:1] + tuple(r)[1:] for r in rows), key=order) == sorted(want, key=order)
     assert ta.align(docs.limit(0), A, B, public_tokenizers.PATTERN).collect() == []
+
+
+def test_a_task_aligns_some_words_of_a_block_at_a_time(tokenizers, monkeypatch):
+    """Both passes over one block of 4,000 distinct words, documents without tokens and empty ones among them."""
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopq", k=rng.randint(3, 9))) for _ in range(200)) for _ in range(20)]
+    texts += ["", "text with ▁ inside", texts[0], None]
+    both = ta.read_vocabularies(A, B, public_tokenizers.PATTERN)
+    sizes = np.array([len(both["a_bytes"].get(i, b"")) for i in range(both["a_size"])]), np.array([len(x) for x in both["b_bytes"]])
+    shared, most, begin = SimpleNamespace(value=both), [], ta.Aligned.__init__
+
+    def seen(self, a_counts, a_ids, b_counts, b_ids, sizes):
+        most.append(len(a_ids) + len(b_ids))
+        begin(self, a_counts, a_ids, b_counts, b_ids, sizes)
+
+    monkeypatch.setattr(ta.Aligned, "__init__", seen)
+    monkeypatch.setattr(ta, "PART", 500)
+    (block,) = ta._blocks(shared, sizes)(iter([{"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)}]))
+    want = Counter(p for t in texts for p in {(x, y) for xs, ys in groups_of(t or "", tokenizers) for x in xs for y in ys})
+    got = {int(k): int(n) for c in block["chunks"][0] for k, n in zip(ta.unpack(c["keys"], np.uint32), ta.unpack(c["docs"], np.uint32))}
+    assert got == {x * both["b_size"] + y: n for (x, y), n in want.items()}
+    parts = [{"keys": c["keys"], "docs": ta.pack(ta.unpack(c["docs"], np.uint32).astype(np.int64)),
+              "best": ta.pack(np.zeros(len(ta.unpack(c["docs"], np.uint32)), np.uint8))} for c in block["chunks"][0]]
+    names = ("ids", "lens", "codes", "a_counts", "a_ids", "b_counts", "b_ids")
+    out = [g for b in ta._realigned(shared, sizes)(iter([{n: pa.array(block[n]) for n in names} | {"parts": pa.array([parts])}])) for g in b["groups"]]
+    assert out == [x[-1] for x in expected(texts, tokenizers)]
+    assert len(most) > 20 and max(most) <= 500  # no word of these texts has more
