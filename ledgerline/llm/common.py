@@ -18,6 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 CHUNK = 10_000
 #: Session setting: a query's shuffle files go when it ends, not when the driver next collects its garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Session setting, and its most: bytes of a batch that goes to a Python worker (10,000 rows of text are ten times as
+#: many, held in the executor's buffers and in the worker).
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -77,8 +80,22 @@ class Scratch:
             p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches to Python workers of at most ``BATCH_BYTES`` from now on; a smaller number of the session stays."""
+    jvm = spark.sparkContext._jvm
+    named = spark.conf.get(BATCH, None)
+    now = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(named) if named and not named.startswith("-") else 0
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
 def map_batches(df: DataFrame, schema: str, fn: Callable[[Iterator[dict]], Iterator[dict]]) -> DataFrame:
-    """``mapInArrow`` over column dictionaries: ``fn`` gets and yields {name: pyarrow array or list}."""
+    """``mapInArrow`` over column dictionaries: ``fn`` gets and yields {name: pyarrow array or list}.
+
+    Batches are small, and a worker gives Arrow's memory back when its task
+    ends: idle workers are kept, and an executor has one for every task and
+    Python step of a stage.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -89,7 +106,9 @@ def map_batches(df: DataFrame, schema: str, fn: Callable[[Iterator[dict]], Itera
             cols = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type)
                     for f in arrow for c in [out[f.name]]]
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)
+        pa.default_memory_pool().release_unused()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -44,3 +44,24 @@ def test_the_training_rows_of_toxicity_leave_no_shuffle_files(spark):
     rows = toxicity._shared(common.labelled(docs, labels, "toxic"), scratch)
     assert not left_over(spark, before)
     assert rows.count() == 300
+
+
+def test_a_worker_gets_a_few_megabytes_at_a_time(spark):
+    """3,000 rows of 10,000 characters in one task: 30 MB, below the 10,000 rows that a batch may have."""
+    old = spark.conf.get(common.BATCH, None)
+    rows = spark.range(3000, numPartitions=1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield {"n": [len(b["text"])], "bytes": [b["text"].nbytes]}
+
+    try:
+        spark.conf.unset(common.BATCH)
+        got = common.map_batches(rows, "n long, bytes long", sizes).collect()
+        assert sum(r["n"] for r in got) == 3000
+        assert max(r["bytes"] for r in got) <= 1.1 * common.BATCH_BYTES
+        spark.conf.set(common.BATCH, "1m")  # a session's smaller number stays
+        common.small_batches(spark)
+        assert spark.conf.get(common.BATCH) == "1m"
+    finally:
+        spark.conf.unset(common.BATCH) if old is None else spark.conf.set(common.BATCH, old)
