@@ -12,6 +12,8 @@ from pyspark.sql.types import StringType
 SALTS = 4
 #: Parts that a key is dealt to where only the parts that occur get the key's figures.
 PARTS = 32
+#: Parts that a key is dealt to where the dimension has a few rows only: enough for all parts of a shuffle.
+SPREAD = 256
 #: Copies of a row that a task makes in one go.
 COPIES = 10_000
 

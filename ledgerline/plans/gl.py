@@ -10,6 +10,7 @@ from ledgerline.functions.common import MONEY_SUM, from_cents, to_cents
 from ledgerline.functions import gl as G
 from ledgerline.operators.calendar import add_months, grid_window, zero_filled_grid
 from ledgerline.operators.gl import monthly_gl_activity, running_balance
+from ledgerline.operators.skew import SPREAD, salted_left_join
 from ledgerline.operators.tenant import tenant_enrich
 from ledgerline.params import Params
 from ledgerline.plans.variant import Variant
@@ -194,6 +195,18 @@ def dim_branch(branch_config: DataFrame, entity: DataFrame) -> DataFrame:
             .join(ent, ["branch_entity_id"], "left").drop("branch_entity_id"))
 
 
+def with_branch(rows: DataFrame, t: Tables, by: list[str]) -> DataFrame:
+    """``rows`` LEFT JOIN ``dim_branch`` on the branch config id.
+
+    A shuffle by branch has as many parts with rows as there are branches, so
+    a task would sort an eighth of all rows where eight occur, and more as the
+    tables grow.  The rows of a branch (and those without one) are dealt by a
+    hash of ``by``.
+    """
+    return salted_left_join(rows, dim_branch(t["branch_config"], t["entity"]), ["branch_config_id"],
+                            [F.col(c) for c in by], SPREAD)
+
+
 def gl_dividends(t: Tables, p: Params, v: Variant) -> DataFrame:
     """R08 (single tenant): share and certificate dividend postings since
     ``dividend_start`` with member, account, GL and branch attributes and
@@ -217,9 +230,9 @@ def gl_dividends(t: Tables, p: Params, v: Variant) -> DataFrame:
     coa = t["gl_chart_of_accounts"].select(F.col("record_number").alias("gl_chart_of_account_id"),
                                            F.col("account_number").cast("string").alias("gl_number"),
                                            F.col("description").alias("gl_description"), "short_desc")
-    br = dim_branch(t["branch_config"], t["entity"])
     j = (tx.join(mem, ["member_id"], "left").join(acc, ["account_id"], "left")
-         .join(coa, ["gl_chart_of_account_id"], "left").join(br, ["branch_config_id"], "left"))
+         .join(coa, ["gl_chart_of_account_id"], "left"))
+    j = with_branch(j, t, ["transaction_history_id", "account_id", "date_effective"])
     d = F.col("date_effective")
     return j.select(
         F.concat(F.lit("TXN_"), F.col("stored_tran_code"), F.lit("_"), F.col("transaction_history_id").cast("string"))
@@ -268,8 +281,7 @@ def gl_accounts_transactions(t: Tables, p: Params, v: Variant) -> DataFrame:
     coa = (t["gl_chart_of_accounts"].filter(F.col("account_type").isin("B", "I"))
            .select(F.col("account_number").alias("gl_account_number"), F.col("description").alias("gl_description"),
                    "short_desc", "account_type", "stored_account_type", "inactive", "restricted", "stored_controlled", "balance"))
-    j = (h.join(coa, ["gl_account_number"], "inner")
-         .join(dim_branch(t["branch_config"], t["entity"]), ["branch_config_id"], "left"))
+    j = with_branch(h.join(coa, ["gl_account_number"], "inner"), t, ["record_number", "effective_date", "amount"])
     ty = F.col("account_type")
     n = G.gl_numeric("gl_account_number")
     amt = F.col("amount")
